@@ -1,0 +1,77 @@
+"""Joins and keys that stay balanced when one key holds a large share of all rows."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+from plenary.session import broadcast_limit, plan_bytes
+
+# A key is heavy when it holds at least this share of the rows, so at most 1 / share keys are heavy.
+HEAVY_SHARE = 0.001
+
+
+def heavy_keys(df: DataFrame, keys: Sequence[str], share: float = HEAVY_SHARE,
+               counts: DataFrame | None = None) -> DataFrame:
+    """Keys with at least `share` of all rows and the number of splits that evens each of them out.
+
+    Shares add up to one, so the result has at most `1 / share` rows whatever the table size; that
+    bound is what makes it safe to broadcast. `counts` may pass key counts that already exist, with
+    the count in column `n`.
+    """
+    if counts is None:
+        counts = df.where(_all_present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    total = counts.agg((F.sum("n") * F.lit(share)).alias("limit")).scalar()
+    return (
+        counts.where((F.col("n") >= total) & (F.col("n") > 1))
+        .select(*keys, F.ceil(F.col("n") / total).cast("int").alias("splits"))
+    )
+
+
+def _all_present(keys: Sequence[str]) -> Column:
+    present = F.lit(True)
+    for key in keys:
+        present = present & F.col(key).isNotNull()
+    return present
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    return plan_bytes(df) <= broadcast_limit(df.sparkSession)
+
+
+def lookup_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "left",
+                spread_by: Sequence[str] | None = None, counts: DataFrame | None = None,
+                share: float = HEAVY_SHARE, salted: bool | None = None) -> DataFrame:
+    """Equi-join of a large left side, whose keys may be skewed, to a lookup table.
+
+    A right side under Spark's broadcast threshold is joined plainly: Spark broadcasts it and no row
+    of the left side moves. Beyond that, heavy keys are split: rows of the left side spread over the
+    key's splits by a hash of `spread_by` (all columns by default), the matching right rows are
+    repeated once per split, and the join runs on (key, split). Rows with a null key match nothing
+    and are spread as well. The result is the same as that of the plain join.
+    """
+    keys = [on] if isinstance(on, str) else list(on)
+    if how not in ("left", "inner"):
+        raise ValueError("lookup_join keeps or filters left rows: use 'left' or 'inner'")
+    if salted is None:
+        salted = not fits_broadcast(right)
+    if not salted:
+        return left.join(right, keys, how)
+
+    heavy = F.broadcast(heavy_keys(left, keys, share, counts))
+    spread = F.xxhash64(*(spread_by or left.columns))
+    most = int(1 / share)
+    null_key = ~_all_present(keys)
+    split_left = (
+        left.join(heavy, keys, "left")
+        .withColumn("_split", F.pmod(spread, F.when(null_key, F.lit(most)).otherwise(
+            F.coalesce("splits", F.lit(1)))).cast("int"))
+        .drop("splits")
+    )
+    split_right = (
+        right.join(heavy, keys, "left")
+        .withColumn("_split", F.explode(F.sequence(F.lit(0), F.coalesce("splits", F.lit(1)) - 1)))
+        .drop("splits")
+    )
+    return split_left.join(split_right, [*keys, "_split"], how).drop("_split")
