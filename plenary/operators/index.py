@@ -3,14 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, functions as F, Window
+from pyspark.sql import Column, DataFrame, functions as F
 
+from plenary.operators.skew import lookup_join
 from plenary.session import ensure_checkpoint_dir
 
 _PART_BITS = 33  # monotonically_increasing_id keeps the partition above bit 33
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """A reliable checkpoint in the cluster's shared folder: survives lost executors, cuts lineage."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def dense_index(df: DataFrame, order_by: Sequence[str | Column], name: str = "position") -> DataFrame:
     """Adds 0, 1, 2, … in the order of `order_by`, which must be unique per row.
 
@@ -18,29 +26,19 @@ def dense_index(df: DataFrame, order_by: Sequence[str | Column], name: str = "po
     numbered rows are checkpointed: recomputing a range partitioning may move its borders, and the
     offsets below must match the rows they were counted on. Keep `df` narrow (keys only).
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    numbered = (
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    numbered = materialize(
         df.repartitionByRange(parts, *order_by)
         .sortWithinPartitions(*order_by)
-        .withColumn("_row", F.monotonically_increasing_id())
-        .checkpoint()
-    )
-    part = F.shiftright("_row", _PART_BITS)
-    # One row per range partition: bounded by the number of shuffle partitions.
-    offsets = (
-        numbered.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_offset", F.sum("_rows").over(Window.orderBy("_part")) - F.col("_rows"))
-        .drop("_rows")
-    )
-    within = F.col("_row").bitwiseAND(F.lit((1 << _PART_BITS) - 1))
-    return (
-        numbered.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")
-        .withColumn(name, F.col("_offset") + within)
-        .drop("_part", "_offset", "_row")
+        .withColumn("_seat", F.monotonically_increasing_id())
     )
+    part = F.shiftright("_seat", _PART_BITS).cast("int")
+    # One count per range partition comes to the driver: as many numbers as there are partitions.
+    counts = {r[0]: r[1] for r in numbered.groupBy(part).agg(F.count(F.lit(1))).collect()}
+    sizes = [counts.get(p, 0) for p in range(max(counts, default=0) + 1)]
+    offsets = F.lit([0, *accumulate(sizes)][: len(sizes)]).cast("array<bigint>")
+    within = F.col("_seat").bitwiseAND(F.lit((1 << _PART_BITS) - 1))
+    return numbered.withColumn(name, F.get(offsets, part) + within).drop("_seat")
 
 
 def group_position(df: DataFrame, group: Sequence[str], order_by: Sequence[str],
@@ -48,8 +46,6 @@ def group_position(df: DataFrame, group: Sequence[str], order_by: Sequence[str],
     """1-based position within each group, for groups too large for one task's window."""
     indexed = dense_index(df, [*group, *order_by], "_index")
     starts = indexed.groupBy(*group).agg(F.min("_index").alias("_start"))
-    from plenary.operators.skew import lookup_join
-
     return (
         lookup_join(indexed, starts, list(group), "inner", spread_by=["_index"])
         .withColumn(name, F.col("_index") - F.col("_start") + 1)

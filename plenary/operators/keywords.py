@@ -73,16 +73,17 @@ def keywords_from_responses(items: DataFrame, responses: DataFrame, key: str, na
     answers = responses.where(F.col("error").isNull()).withColumn(
         key, F.col("item_id").cast(items.schema[key].dataType))
     first = first_per_key(answers, [key], ["attempt", "text"]).select(key, "text")
-    joined = lookup_join(items, first, key, "left")
+    joined = items.join(first, key, "left")
     return joined.withColumn(name, json_strings(F.coalesce("text", F.lit("")), limit)).drop("text")
 
 
 def single_topics(docs: DataFrame, key: str, topic: str = "topic") -> DataFrame:
     """Unclustered documents (topic -1 or null) get the id -(row number + 2)."""
-    numbers = dense_index(docs.select(key), [key], "_row")
-    own = -(F.col("_row") + 2)
+    numbers = dense_index(docs.select(key), [key], "_number")
+    own = -(F.col("_number") + 2)
     unclustered = F.coalesce(F.col(topic) == -1, F.lit(True))
-    return docs.join(numbers, key).withColumn(topic, F.when(unclustered, own).otherwise(F.col(topic))).drop("_row")
+    return docs.join(numbers, key).withColumn(topic, F.when(unclustered, own).otherwise(F.col(topic))) \
+        .drop("_number")
 
 
 def keyword_label(keywords: Column) -> Column:

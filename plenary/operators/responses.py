@@ -14,7 +14,6 @@ from plenary.functions.jsons import bill_fields
 from plenary.functions.text import clean_slogan, clean_text, convert_to_sentence, strip
 from plenary.operators.dedup import first_per_key
 from plenary.operators.filters import any_field, length_between
-from plenary.operators.skew import lookup_join
 
 
 def first_accepted(items: DataFrame, attempts: DataFrame, key: str, answer: Column, accept: Column,
@@ -23,7 +22,7 @@ def first_accepted(items: DataFrame, attempts: DataFrame, key: str, answer: Colu
     usable = attempts if max_attempts is None else attempts.where(F.col(attempt) <= max_attempts)
     usable = usable.select(key, attempt, answer.alias(name), accept.alias("_accept")).where("_accept")
     first = first_per_key(usable, [key], [attempt, name]).select(key, name)
-    return lookup_join(items, first, key, "left")
+    return items.join(first, key, "left")
 
 
 def _clear(error: str = "error") -> Column:

@@ -36,13 +36,16 @@ def _all_present(keys: Sequence[str]) -> Column:
     return present
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    return plan_bytes(df) <= broadcast_limit(df.sparkSession)
+def fits_broadcast(df: DataFrame, rows: int | None = None) -> bool:
+    """Whether a table is under the broadcast threshold, by its counted rows or Catalyst's estimate."""
+    size = plan_bytes(df) if rows is None else rows * df._jdf.schema().defaultSize()
+    return size <= broadcast_limit(df.sparkSession)
 
 
 def lookup_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "left",
                 spread_by: Sequence[str] | None = None, counts: DataFrame | None = None,
-                share: float = HEAVY_SHARE, salted: bool | None = None) -> DataFrame:
+                share: float = HEAVY_SHARE, salted: bool | None = None,
+                right_rows: int | None = None) -> DataFrame:
     """Equi-join of a large left side, whose keys may be skewed, to a lookup table.
 
     A right side under Spark's broadcast threshold is joined plainly: Spark broadcasts it and no row
@@ -50,12 +53,16 @@ def lookup_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how:
     key's splits by a hash of `spread_by` (all columns by default), the matching right rows are
     repeated once per split, and the join runs on (key, split). Rows with a null key match nothing
     and are spread as well. The result is the same as that of the plain join.
+
+    The left side is read twice on that path (once for key counts unless `counts` is given), so it
+    should be a stored or checkpointed table. `right_rows` is the lookup table's counted size, where
+    known; the estimate of a computed table is often far too high.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if how not in ("left", "inner"):
         raise ValueError("lookup_join keeps or filters left rows: use 'left' or 'inner'")
     if salted is None:
-        salted = not fits_broadcast(right)
+        salted = not fits_broadcast(right, right_rows)
     if not salted:
         return left.join(right, keys, how)
 

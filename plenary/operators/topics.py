@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from plenary.functions.jsons import classification, subgroups
 from plenary.operators.dedup import first_per_key
-from plenary.operators.index import dense_index, group_position
+from plenary.operators.index import dense_index, group_position, materialize
 from plenary.operators.keywords import tokens
 from plenary.operators.skew import lookup_join
 
 SPLIT_OVER = 10
-_REST = 2**31 - 1  # documents no subgroup names form the last subgroup of their group
+_REST = 2**31 - 1  # sorts after every subgroup an answer names
 
 
 def classify(docs: DataFrame, responses: DataFrame, key: str = "bill_id") -> DataFrame:
@@ -24,7 +24,7 @@ def classify(docs: DataFrame, responses: DataFrame, key: str = "bill_id") -> Dat
     first = first_per_key(answers, [key], ["attempt", "text"]).select(key, F.col("text").alias("_answer"))
     parsed = classification(F.coalesce("_answer", F.lit("")))
     return (
-        lookup_join(docs, first, key, "left")
+        docs.join(first, key, "left")
         .withColumn("_class", parsed)
         .withColumns({f: F.col(f"_class.{f}") for f in ("category", "subcategory", "confidence")})
         .drop("_class", "_answer")
@@ -35,48 +35,55 @@ def group_key(docs: DataFrame, name: str = "topic_group") -> DataFrame:
     return docs.withColumn(name, F.concat_ws("_", "category", "subcategory"))
 
 
-def assign_subgroups(docs: DataFrame, responses: DataFrame, key: str = "bill_id",
-                     group: str = "topic_group", split_over: int = SPLIT_OVER) -> DataFrame:
-    """(key, group, subgroup): large groups split as answered, smaller ones whole.
+def subgroup_mentions(responses: DataFrame, sizes: DataFrame, group: str = "topic_group") -> DataFrame:
+    """(group, position, subgroup) of the positions that grouping answers name.
 
-    An answer lists 1-based positions in the group's order by key. Positions outside the group are
-    ignored, the first mention of a document counts, and the rest form one last subgroup.
+    An answer lists 1-based positions in the group's order. Positions outside the group are ignored
+    and the first mention of a document counts.
     """
-    members = docs.select(key, group)
-    sizes = members.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
-    large = sizes.where(F.col("n") > split_over)
-
     answers = first_per_key(
         responses.where(F.col("error").isNull()).withColumnRenamed("item_id", group), [group], ["attempt", "text"])
-    mentions = (
-        answers.join(large, group)
+    named = (
+        answers.join(sizes, group)
         .select(group, "n", F.posexplode(subgroups(F.col("text"))).alias("subgroup", "g"))
         .select(group, "n", "subgroup", F.posexplode("g.bills").alias("mention", "position"))
         .where(F.col("position").between(1, F.col("n")))
     )
-    mentions = first_per_key(mentions, [group, "position"], ["subgroup", "mention"]) \
+    return first_per_key(named, [group, "position"], ["subgroup", "mention"]) \
         .select(group, F.col("position").cast("bigint").alias("position"), "subgroup")
 
-    asked = lookup_join(members, mentions.select(group).distinct(), group, "inner",
-                        spread_by=[key], counts=sizes)
-    named = group_position(asked, [group], [key]).join(mentions, [group, "position"]).select(key, "subgroup")
-    # A large group without any usable mention stays whole: its rest is all of it.
+
+def assign_subgroups(members: DataFrame, responses: DataFrame, key: str = "bill_id",
+                     group: str = "topic_group", split_over: int = SPLIT_OVER) -> DataFrame:
+    """(key, group, subgroup): large groups split as answered, smaller ones whole.
+
+    Documents no subgroup names form the last subgroup of their group; a large group without any
+    usable mention therefore stays whole. `members` is a stored (key, group) table.
+    """
+    sizes = members.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
+    mentions = materialize(subgroup_mentions(responses, sizes.where(F.col("n") > split_over), group))
+    asked = mentions.select(group).distinct()
+    named = group_position(
+        lookup_join(members, asked, group, "inner", spread_by=[key], counts=sizes, right_rows=asked.count()),
+        [group], [key],
+    ).join(mentions, [group, "position"]).select(key, "subgroup")
     return members.join(named, key, "left").withColumn("subgroup", F.coalesce("subgroup", F.lit(_REST)))
 
 
 def number_clusters(subgrouped: DataFrame, key: str = "bill_id", group: str = "topic_group",
                     name: str = "topic") -> DataFrame:
-    """Cluster ids 0, 1, 2, … in the order of (group, subgroup)."""
+    """(key, group, cluster id): ids 0, 1, 2, … in the order of (group, subgroup)."""
     ids = dense_index(subgrouped.select(group, "subgroup").distinct(), [group, "subgroup"], name)
-    return lookup_join(subgrouped, ids, [group, "subgroup"], "inner", spread_by=[key]).select(key, name)
+    return lookup_join(subgrouped, ids, [group, "subgroup"], "inner", spread_by=[key],
+                       right_rows=ids.count()).drop("subgroup")
 
 
 def cluster(docs: DataFrame, class_responses: DataFrame, group_responses: DataFrame, key: str = "bill_id",
             split_over: int = SPLIT_OVER) -> DataFrame:
-    """Documents with their topic class and cluster id."""
-    classed = group_key(classify(docs, class_responses, key))
-    numbered = number_clusters(assign_subgroups(classed, group_responses, key, split_over=split_over), key)
-    return classed.join(numbered, key)
+    """(key, topic_group, topic) of each document, as a stored table."""
+    members = materialize(group_key(classify(docs.select(key), class_responses, key)).select(key, "topic_group"))
+    subgrouped = materialize(assign_subgroups(members, group_responses, key, split_over=split_over))
+    return materialize(number_clusters(subgrouped, key))
 
 
 def kmeans_topics(docs: DataFrame, key: str, text: str = "content", k: int = 16, features: int = 1 << 12,

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from plenary.functions import lexicon
 from plenary.operators.keywords import as_keyword_list, cluster_term_scores, keyword_label, \
     keywords_from_responses, single_topics
+from plenary.operators.index import materialize
 from plenary.operators.project import select_present
 from plenary.operators.skew import lookup_join
 from plenary.operators.topics import cluster
@@ -22,15 +23,16 @@ def label_bills(bills: DataFrame, class_responses: DataFrame, group_responses: D
     Classes and keywords come from the original text. Without keyword responses the keywords are the
     cluster's own best terms.
     """
-    prepared = preprocess_bills(bills)
-    originals = bills.select(key, F.col("content"))
-    topics = cluster(originals, class_responses, group_responses, key).select(key, "topic")
+    topics = cluster(bills, class_responses, group_responses, key).select(key, "topic")
     if keyword_responses is None:
-        keywords = as_keyword_list(cluster_term_scores(originals.join(topics, key), "topic"), "topic")
+        texts = bills.select(key, "content").join(topics, key)
+        keywords = as_keyword_list(cluster_term_scores(texts, "topic"), "topic")
     else:
         keywords = keywords_from_responses(topics.select("topic").distinct(), keyword_responses, "topic")
-    labels = keywords.select("topic", keyword_label(F.col("keywords")).alias("topic_label"))
-    labelled = lookup_join(prepared.join(topics, key, "left"), labels, "topic", "left", spread_by=[key])
+    # One row per cluster, stored: its counted size decides how it is joined.
+    labels = materialize(keywords.select("topic", keyword_label(F.col("keywords")).alias("topic_label")))
+    labelled = lookup_join(topics, labels, "topic", "left", spread_by=[key], right_rows=labels.count())
+    labelled = preprocess_bills(bills).join(labelled, key, "left")
     default = ", ".join(lexicon.DEFAULT_KEYWORDS)
     labelled = labelled.withColumn("topic_label", F.coalesce("topic_label", F.lit(default)))
     return select_present(labelled, LABEL_COLUMNS)
