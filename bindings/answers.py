@@ -8,6 +8,7 @@ from bindings.registry import Tables, query
 from bindings.sqltext import content_clean, strip
 from plenary.operators import prompts, responses
 from plenary.operators.responses import extracted_fields, fetched_content
+from plenary.session import spread
 
 
 def _attempts(t: Tables) -> DataFrame:
@@ -74,7 +75,7 @@ def field_extract(t):
         F.col("user_id").cast("string"), F.when(F.col("event_type") == "click", "").otherwise("main text"))
     answer = F.when(F.col("event_type") == "error", '{"bill_no": "", "reason": "", "main": ""}').when(
         F.col("event_type") == "view", F.concat(F.lit('{"bill_no": '), k)).otherwise(full)
-    rows = t.events.select(F.concat(F.col("event_id").cast("string"), F.lit(".pdf")).alias("item_id"),
+    rows = spread(t.events, "event_id").select(F.concat(F.col("event_id").cast("string"), F.lit(".pdf")).alias("item_id"),
                            F.lit(1).alias("attempt"), answer.alias("text"), F.lit(None).cast("string").alias("error"))
     return extracted_fields(rows)
 

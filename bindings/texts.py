@@ -8,6 +8,7 @@ from bindings.registry import query
 from bindings.sqltext import SPACE, article_text, content_clean, strip, tidy
 from plenary.functions import html, jsons, lexicon, text
 from plenary.operators.filters import is_valid_file_id, is_web_url
+from plenary.session import spread
 from plenary.sources.landed import bill_files
 
 _HEADINGS = (r"The\s*that", r"that", r"de\s*la", r"token\s*=", r"of\s*the\s*and", r"[*%$#&]{3}")
@@ -16,7 +17,7 @@ _HEADINGS = (r"The\s*that", r"that", r"de\s*la", r"token\s*=", r"of\s*the\s*and"
 @query(f"SELECT doc_id, {content_clean('text', _HEADINGS)} AS content FROM documents")
 def clean_text_rules(t):
     """Controls, quotes, commas and headings out; longest heading first."""
-    return t.documents.select(
+    return spread(t.documents, "doc_id").select(
         "doc_id", text.clean_text(F.col("text"), lexicon.HEADINGS + _HEADINGS).alias("content"))
 
 
@@ -31,7 +32,7 @@ _PREPROCESSED = tidy(f"regexp_replace(coalesce(text, ''), '{_LAW}', ' ', 'g')")
 @query(f"SELECT doc_id, {_PREPROCESSED} AS content FROM documents")
 def law_pattern_removal(t):
     """Statute references, quotes, percentages and filler out, then compounds apart."""
-    return t.documents.select("doc_id", text.preprocess(F.col("text")).alias("content"))
+    return spread(t.documents, "doc_id").select("doc_id", text.preprocess(F.col("text")).alias("content"))
 
 
 _STOP = ("the", "that", "and", "de", "la", "of", "und", "der", "en", "in")
@@ -43,20 +44,20 @@ _DROPPED = ", ".join(f"'{w}'" for w in _STOP if w not in _KEEP)
   string_split({tidy('text')}, ' '), lambda w: w <> '' AND w NOT IN ({_DROPPED})), ' ') END AS content FROM documents""")
 def stopword_filter(t):
     """Stop words out, preserved words kept."""
-    return t.documents.select(
+    return spread(t.documents, "doc_id").select(
         "doc_id", text.drop_stop_words(F.col("text"), _STOP, _KEEP, phrases=()).alias("content"))
 
 
 @query(f"SELECT page_id, {article_text('html')} AS content FROM pages")
 def page_content(t):
     """Text of the content element of each page."""
-    return t.pages.select("page_id", html.element_text(F.col("html"), "article").alias("content"))
+    return spread(t.pages, "page_id").select("page_id", html.element_text(F.col("html"), "article").alias("content"))
 
 
 @query(f"SELECT page_id, {article_text('html', 'h1', '')} AS bill_title, '의안명 없음' AS missing_title FROM pages")
 def page_title(t):
     """The classed heading, else the first heading, else the default."""
-    return t.pages.select("page_id", html.page_title(F.col("html"), "h1").alias("bill_title"),
+    return spread(t.pages, "page_id").select("page_id", html.page_title(F.col("html"), "h1").alias("bill_title"),
                           html.page_title(F.col("html")).alias("missing_title"))
 
 
@@ -66,7 +67,7 @@ def bill_page_content(t):
     block = F.replace(F.replace(
         F.col("html"), F.lit("<article>"), F.lit('<div class="x textType02" id="summaryContentDiv"><div></div>')),
         F.lit("</article>"), F.lit("</div>"))
-    return t.pages.select("page_id", text.clean_text(html.bill_content(block)).alias("content"),
+    return spread(t.pages, "page_id").select("page_id", text.clean_text(html.bill_content(block)).alias("content"),
                           html.bill_content(block).isNull().alias("is_missing"))
 
 
@@ -85,7 +86,7 @@ def file_id_extract(t):
     linked = F.concat(
         F.col("html"), F.format_string(link, F.substring(digest, 1, 36), F.lit("0")),
         F.format_string(link, F.when(no_file, digest).otherwise(uuid), F.lit("1")))
-    return bill_files(t.pages.select("url", linked.alias("html"))).where(is_valid_file_id(F.col("file_id")))
+    return bill_files(spread(t.pages, "page_id").select("url", linked.alias("html"))).where(is_valid_file_id(F.col("file_id")))
 
 
 @query("""SELECT page_id, coalesce(regexp_extract(url, '[?&]utm_source=([^&#]*)', 1), '') AS utm_source,
@@ -95,7 +96,7 @@ def url_param(t):
     """Query parameters of page URLs, decoded, empty without one."""
     url = F.col("url")
     encoded = F.concat(F.regexp_replace(url, r"[?#].*", ""), F.lit("?x=1&billId=a+b%2F%C3%BC&billId=2#top"))
-    return t.pages.select(
+    return spread(t.pages, "page_id").select(
         "page_id", text.query_param(url, "utm_source").alias("utm_source"), text.query_param(url, "ref").alias("ref"),
         is_web_url(url).alias("is_web"), text.query_param(encoded, "billId").alias("decoded"))
 
@@ -123,7 +124,7 @@ def comma_repair(t):
     """Commas beyond the fourth separator out; lines with fewer fields untouched."""
     line = F.concat_ws(",", "doc_id", "lang", "source", "n_chars", text.flatten_lines(F.concat(F.lit("|"), F.col("text"))))
     repaired = F.replace(text.repair_commas(line), F.lit(",|"), F.lit(","))
-    return t.documents.select("doc_id", F.regexp_replace(repaired, "^$", "").alias("value"),
+    return spread(t.documents, "doc_id").select("doc_id", F.regexp_replace(repaired, "^$", "").alias("value"),
                               text.repair_commas(F.concat_ws(",", "lang", "source")).alias("short_value"))
 
 
@@ -132,7 +133,7 @@ def url_cell_split(t):
     """`url,text` cells split at the first comma, the text cleaned."""
     cell = F.concat(F.lit(" "), F.concat_ws("/", "lang", "source"), F.lit(" ,"), F.col("text"))
     parts = text.split_url_cell(cell)
-    return t.documents.select("doc_id", parts["url"].alias("url"), parts["content"].alias("content"))
+    return spread(t.documents, "doc_id").select("doc_id", parts["url"].alias("url"), parts["content"].alias("content"))
 
 
 @query("""SELECT p_partkey, CASE WHEN p_size < 3 THEN '[]' WHEN p_size < 5 THEN '[]'
@@ -194,6 +195,6 @@ def json_extract(t):
     words = F.when(F.col("event_type") == "click", "no list here [1, 2]").otherwise(
         F.format_string('Keywords: ["%s" , "b, c",\n"d", "e", "f"] done ["g"]', "event_type"))
     parsed = jsons.classification(answer)
-    return t.events.select(
+    return spread(t.events, "event_id").select(
         "event_id", parsed["category"].alias("category"), parsed["subcategory"].alias("subcategory"),
         parsed["confidence"].alias("confidence"), F.array_join(jsons.json_strings(words), "|").alias("keywords"))

@@ -7,7 +7,7 @@ classes so that the result does not depend on the JVM's regex flags.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
@@ -15,12 +15,14 @@ from plenary.functions import lexicon
 
 # Every character Python counts as white space.
 SPACE_CHARS = "".join(chr(n) for n in range(0x3001) if chr(n).isspace())
-SPACE = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in SPACE_CHARS) + "]"
-_ODD_SPACE = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in SPACE_CHARS if c != " ") + "]"
-# One odd space, or a run of two or more: single blanks are already right and need no rewrite.
-_UNTIDY_SPACE = f"{SPACE}{{2,}}|{_ODD_SPACE}"
+SPACE = r"[\t-\r\x1c- \x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+# The intersections let the regex engine pass over printable ASCII with a single range test.
+_ODD_SPACE = f"[[\\x00-\\x1f\\x7f-\\x{{10ffff}}]&&{SPACE}]"
+# A run that starts with an odd space, or a blank with more space behind it: a single blank between
+# words is already right and needs no rewrite.
+_UNTIDY_SPACE = f"{_ODD_SPACE}{SPACE}*| {SPACE}+"
 # Zero-width characters, byte-order mark, no-break space and line controls.
-_CONTROL = "".join(map(chr, (0x200B, 0x200C, 0x200D, 0xFEFF, 0xA0))) + "\r\n\t"
+_CONTROL = r"[[\x00-\x1f\x80-\x{10ffff}]&&[\x{200b}\x{200c}\x{200d}\x{feff}\xa0\r\n\t]]"
 _WORD = r"[\p{L}\p{N}_]"
 _BOUNDARY = f"(?:(?<!{_WORD})(?={_WORD})|(?<={_WORD})(?!{_WORD}))"
 _JAVA_CLASSES = {r"\s": SPACE, r"\d": r"\p{Nd}", r"\b": _BOUNDARY}
@@ -31,8 +33,21 @@ def java_regex(pattern: str) -> str:
     return re.sub(r"\\[sdb]", lambda m: _JAVA_CLASSES[m.group()], pattern)
 
 
-def any_of(patterns: Iterable[str]) -> str:
-    return "|".join(java_regex(p) for p in patterns)
+def any_of(patterns: Sequence[str], starters: str | None = None) -> str:
+    """One alternation in the given order.
+
+    `starters` lists the characters a match can begin with, as the inside of a character class; where
+    every pattern begins with a plain character they are read off the patterns. Positions that cannot
+    start a match are then passed over without trying each alternative.
+    """
+    choice = "|".join(java_regex(p) for p in patterns)
+    if starters is None:
+        if not all(re.match(r"[^\\\[(.^$|?*+{](?![?*{])", p) for p in patterns):
+            return choice
+        starters = re.sub(r"([\[\]\\^&-])", r"\\\1", "".join(sorted({p[0] for p in patterns})))
+    ascii_part = re.sub(r"\\p\{Nd\}", "0-9", starters)
+    ascii_part = "".join(c for c in ascii_part if c.isascii())
+    return f"(?=[{ascii_part}\\x{{80}}-\\x{{10ffff}}])(?=[{starters}])(?:{choice})"
 
 
 def strip(c: Column, chars: str = SPACE_CHARS) -> Column:
@@ -50,8 +65,8 @@ def tidy(c: Column) -> Column:
 
 def clean_text(c: Column, headings: Sequence[str] = lexicon.HEADINGS) -> Column:
     """Control characters, outer quotes, commas and section headings removed; null stays null."""
-    plain = F.translate(c, _CONTROL, " " * len(_CONTROL))
-    plain = F.translate(strip(strip(plain, '"')), ",", " ")
+    plain = F.regexp_replace(c, _CONTROL, " ")
+    plain = F.replace(strip(strip(plain, '"')), F.lit(","), F.lit(" "))
     without = plain
     for heading in sorted(headings, key=len, reverse=True):
         without = F.regexp_replace(without, java_regex(heading), "")
@@ -61,18 +76,19 @@ def clean_text(c: Column, headings: Sequence[str] = lexicon.HEADINGS) -> Column:
     return tidy(without)
 
 
-def remove_law_patterns(c: Column, patterns: Sequence[str] = lexicon.LAW_PATTERNS) -> Column:
+def remove_law_patterns(c: Column, patterns: Sequence[str] = lexicon.LAW_PATTERNS,
+                        starters: str | None = lexicon.LAW_STARTERS) -> Column:
     """One alternation, so an earlier pattern wins over a later one at the same position."""
-    return tidy(F.regexp_replace(F.coalesce(c, F.lit("")), any_of(patterns), " "))
+    return tidy(F.regexp_replace(F.coalesce(c, F.lit("")), any_of(patterns, starters), " "))
 
 
 def split_compounds(c: Column, compounds: Sequence[tuple[str, str]] = lexicon.COMPOUNDS) -> Column:
-    dotless = F.translate(F.coalesce(c, F.lit("")), "·？", "  ")
+    dotless = F.regexp_replace(F.coalesce(c, F.lit("")), "[·？]", " ")
     spaced = dotless
     for pattern, replacement in compounds:
         spaced = F.regexp_replace(spaced, java_regex(pattern), replacement)
     if compounds:
-        spaced = F.when(dotless.rlike(any_of(p for p, _ in compounds)), spaced).otherwise(dotless)
+        spaced = F.when(dotless.rlike(any_of([p for p, _ in compounds])), spaced).otherwise(dotless)
     return tidy(spaced)
 
 
@@ -107,7 +123,7 @@ def drop_stop_words(
 
 def convert_to_sentence(c: Column) -> Column:
     """Bullet characters out, and the closing form the summaries share."""
-    text = strip(F.translate(c, "→·|,", ""))
+    text = strip(F.regexp_replace(c, "[→·|,]", ""))
     return F.when(text.endswith("함") | text.endswith("요"), text).otherwise(F.concat(text, F.lit("함")))
 
 
@@ -180,7 +196,7 @@ def digits_only(c: Column) -> Column:
 
 
 def flatten_lines(c: Column) -> Column:
-    return strip(F.translate(c, "\r\n", "  "))
+    return strip(F.regexp_replace(c, r"[\r\n]", " "))
 
 
 def split_district(c: Column, proportional: str = lexicon.PROPORTIONAL_SEAT,

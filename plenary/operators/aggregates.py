@@ -50,19 +50,21 @@ def group_counts(df: DataFrame, key: str, columns: Mapping[str, tuple[str, Seque
     """Several cross-tabs of one key in a single aggregation.
 
     `columns` maps a source column to (name prefix, values): one shuffle of partial counts replaces a
-    pivot and a join per column.
+    pivot and a join per column. `n` is the key's row count.
     """
     counts = [
         F.count_if(F.col(column) == v).alias(f"{prefix}{v}")
         for column, (prefix, values) in columns.items() for v in values
     ]
-    return df.groupBy(key).agg(*counts)
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n"), *counts)
 
 
 def attach_counts(details: DataFrame, counts: DataFrame, key: str, spread_by: Sequence[str] | None = None) -> DataFrame:
     """Per-bill counts on every detail row, in one join, nulls as zero."""
-    joined = lookup_join(details, counts, key, "left", spread_by=spread_by)
-    return joined.na.fill(0, [c for c in counts.columns if c != key])
+    names = [c for c in counts.columns if c not in (key, "n")]
+    joined = lookup_join(details, counts.select(key, *names), key, "left", spread_by=spread_by,
+                         counts=counts.select(key, "n"))
+    return joined.na.fill(0, names)
 
 
 def content_audit(df: DataFrame, column: str = "content") -> DataFrame:

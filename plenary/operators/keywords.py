@@ -12,6 +12,7 @@ from plenary.functions.text import join_list
 from plenary.operators.dedup import first_per_key
 from plenary.operators.index import dense_index
 from plenary.operators.skew import lookup_join
+from plenary.session import spread
 
 TOP_TERMS = 4
 
@@ -36,7 +37,7 @@ def cluster_term_scores(docs: DataFrame, cluster: str, text: str = "content", to
 
     A document counts a term once, inside its own row, so only (cluster, term) counts are shuffled.
     """
-    pairs = docs.select(cluster, F.explode(F.array_distinct(tokens(F.col(text), stop))).alias("term"))
+    pairs = spread(docs).select(cluster, F.explode(F.array_distinct(tokens(F.col(text), stop))).alias("term"))
     counts = pairs.groupBy(cluster, "term").agg(F.count(F.lit(1)).alias("n"))
     containing = counts.groupBy("term").agg(F.sum("n").alias("containing"), F.count(F.lit(1)).alias("_n"))
     total = docs.agg(F.count(F.lit(1))).scalar()
@@ -50,7 +51,7 @@ def doc_term_scores(docs: DataFrame, key: str, text: str = "content", top: int =
                     stop: Sequence[str] = lexicon.STOP_WORDS) -> DataFrame:
     """The best `top` terms of each document by term count and rarity."""
     counts = (
-        docs.select(key, F.explode(tokens(F.col(text), stop)).alias("term"))
+        spread(docs, key).select(key, F.explode(tokens(F.col(text), stop)).alias("term"))
         .groupBy(key, "term").agg(F.count(F.lit(1)).alias("n"))
     )
     containing = counts.groupBy("term").agg(F.count(F.lit(1)).alias("containing"))

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from plenary.session import broadcast_limit, plan_bytes
+from plenary.session import broadcast_limit, input_bytes, measured_bytes, plan_bytes
 
 # A key is heavy when it holds at least this share of the rows, so at most 1 / share keys are heavy.
 HEAVY_SHARE = 0.001
@@ -36,33 +36,34 @@ def _all_present(keys: Sequence[str]) -> Column:
     return present
 
 
-def fits_broadcast(df: DataFrame, rows: int | None = None) -> bool:
-    """Whether a table is under the broadcast threshold, by its counted rows or Catalyst's estimate."""
-    size = plan_bytes(df) if rows is None else rows * df._jdf.schema().defaultSize()
-    return size <= broadcast_limit(df.sparkSession)
-
-
 def lookup_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "left",
                 spread_by: Sequence[str] | None = None, counts: DataFrame | None = None,
                 share: float = HEAVY_SHARE, salted: bool | None = None,
-                right_rows: int | None = None) -> DataFrame:
+                right_bytes: int | None = None) -> DataFrame:
     """Equi-join of a large left side, whose keys may be skewed, to a lookup table.
 
-    A right side under Spark's broadcast threshold is joined plainly: Spark broadcasts it and no row
-    of the left side moves. Beyond that, heavy keys are split: rows of the left side spread over the
-    key's splits by a hash of `spread_by` (all columns by default), the matching right rows are
-    repeated once per split, and the join runs on (key, split). Rows with a null key match nothing
-    and are spread as well. The result is the same as that of the plain join.
+    A right side whose size is under Spark's broadcast threshold is broadcast and no row of the left
+    side moves. The size is Catalyst's estimate or, where that is too high but the tables read are
+    small, a measurement; `right_bytes` passes one already taken of a stored table.
 
-    The left side is read twice on that path (once for key counts unless `counts` is given), so it
-    should be a stored or checkpointed table. `right_rows` is the lookup table's counted size, where
-    known; the estimate of a computed table is often far too high.
+    Beyond the threshold, heavy keys are split: rows of the left side spread over the key's splits by
+    a hash of `spread_by` (all columns by default), the matching right rows are repeated once per
+    split, and the join runs on (key, split). Rows with a null key match nothing and are spread as
+    well. The result is the same as that of the plain join. On this path the left side is read twice,
+    once for key counts unless `counts` is given, so it should be a stored table or a plain scan.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if how not in ("left", "inner"):
         raise ValueError("lookup_join keeps or filters left rows: use 'left' or 'inner'")
     if salted is None:
-        salted = not fits_broadcast(right, right_rows)
+        limit = broadcast_limit(left.sparkSession)
+        if right_bytes is None and plan_bytes(right) <= limit:
+            return left.join(right, keys, how)  # Spark broadcasts it on the same estimate
+        if right_bytes is None and input_bytes(right) <= limit:
+            right_bytes = measured_bytes(right)
+        salted = right_bytes is None or right_bytes > limit
+        if not salted:
+            return left.join(F.broadcast(right), keys, how)
     if not salted:
         return left.join(right, keys, how)
 

@@ -12,6 +12,7 @@ from plenary.operators.dedup import first_per_key
 from plenary.operators.index import dense_index, group_position, materialize
 from plenary.operators.keywords import tokens
 from plenary.operators.skew import lookup_join
+from plenary.session import measured_bytes, spread
 
 SPLIT_OVER = 10
 _REST = 2**31 - 1  # sorts after every subgroup an answer names
@@ -64,7 +65,7 @@ def assign_subgroups(members: DataFrame, responses: DataFrame, key: str = "bill_
     mentions = materialize(subgroup_mentions(responses, sizes.where(F.col("n") > split_over), group))
     asked = mentions.select(group).distinct()
     named = group_position(
-        lookup_join(members, asked, group, "inner", spread_by=[key], counts=sizes, right_rows=asked.count()),
+        lookup_join(members, asked, group, "inner", spread_by=[key], counts=sizes, right_bytes=measured_bytes(asked)),
         [group], [key],
     ).join(mentions, [group, "position"]).select(key, "subgroup")
     return members.join(named, key, "left").withColumn("subgroup", F.coalesce("subgroup", F.lit(_REST)))
@@ -75,7 +76,7 @@ def number_clusters(subgrouped: DataFrame, key: str = "bill_id", group: str = "t
     """(key, group, cluster id): ids 0, 1, 2, … in the order of (group, subgroup)."""
     ids = dense_index(subgrouped.select(group, "subgroup").distinct(), [group, "subgroup"], name)
     return lookup_join(subgrouped, ids, [group, "subgroup"], "inner", spread_by=[key],
-                       right_rows=ids.count()).drop("subgroup")
+                       right_bytes=measured_bytes(ids)).drop("subgroup")
 
 
 def cluster(docs: DataFrame, class_responses: DataFrame, group_responses: DataFrame, key: str = "bill_id",
@@ -92,7 +93,7 @@ def kmeans_topics(docs: DataFrame, key: str, text: str = "content", k: int = 16,
 
     Term hashing keeps the model at k x features numbers however many terms the texts hold.
     """
-    words = docs.select(key, tokens(F.col(text)).alias("words"))
+    words = spread(docs, key).select(key, tokens(F.col(text)).alias("words"))
     pipeline = Pipeline(stages=[
         HashingTF(inputCol="words", outputCol="tf", numFeatures=features),
         IDF(inputCol="tf", outputCol="tfidf"),

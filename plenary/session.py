@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 _UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
 
@@ -46,8 +46,43 @@ def plan_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the tables a plan reads. Estimates of joins multiply their sides; this does not."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves().iterator()
+    total = 0
+    while leaves.hasNext():
+        total += int(str(leaves.next().stats().sizeInBytes()))
+    return total
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """The in-memory size of a table's rows, measured by reading it. For small or stored tables."""
+    fixed, texts = 16, F.lit(0)
+    for field in df.schema.fields:
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            texts = texts + F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            texts = texts + F.coalesce(F.octet_length(F.to_json(F.struct(f"`{field.name}`"))), F.lit(0))
+        fixed += 16
+    rows, chars = df.agg(F.count(F.lit(1)), F.sum(texts.cast("bigint"))).first()
+    return rows * fixed + (chars or 0)
+
+
 def broadcast_limit(spark: SparkSession) -> int:
     """`spark.sql.autoBroadcastJoinThreshold` in bytes; -1 when broadcasting is off."""
     text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
     number = text.rstrip("bkmgt")
     return int(number) * _UNITS.get(text[len(number):] or "b", 1)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """A small table spread over all cores before costly row work; a large one is returned as it is.
+
+    Parquet is split at row groups, so a small file can arrive as one task. Tables with enough bytes
+    for a full partition per core have enough row groups and are not shuffled.
+    """
+    context = df.sparkSession.sparkContext
+    full = int(df.sparkSession.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b"))
+    if plan_bytes(df) >= full * context.defaultParallelism:
+        return df
+    return df.repartition(context.defaultParallelism, *keys)

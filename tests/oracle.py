@@ -71,7 +71,7 @@ if __name__ == "__main__":
 
     folder, wanted = sys.argv[1], sys.argv[2:]
     spark = build_session(master="local[8]", **{
-        "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g", "spark.log.level": "ERROR"})
+        "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g", "spark.log.level": "ERROR", "spark.ui.showConsoleProgress": "false"})
     con, oracles, bad = connect(folder), oracle_sql(), 0
     for name, run in queries().items():
         if wanted and name not in wanted:
