@@ -10,56 +10,76 @@ from plenary.functions import lexicon
 from plenary.functions.jsons import json_strings
 from plenary.functions.text import join_list
 from plenary.operators.dedup import first_per_key
-from plenary.operators.index import dense_index
+from plenary.operators.index import dense_index, materialize
 from plenary.operators.skew import lookup_join
-from plenary.session import spread
+from plenary.session import measured_bytes, spread
 
 TOP_TERMS = 4
 
 
-def tokens(text: Column, stop: Sequence[str] = lexicon.STOP_WORDS, min_chars: int = 2) -> Column:
-    """Lower-case runs of letters, without stop words and very short runs."""
-    words = F.regexp_extract_all(F.lower(text), F.lit(r"(\p{L}+)"), F.lit(1))
-    return F.filter(words, lambda w: (F.length(w) >= min_chars) & ~w.isin(*stop))
+def words(text: Column) -> Column:
+    """Lower-case runs of letters, in order."""
+    return F.regexp_extract_all(F.lower(text), F.lit(r"(\p{L}+)"), F.lit(1))
 
 
-def _weight(count: Column, total: Column, containing: Column) -> Column:
-    return F.round(count * F.log((F.lit(1.0) + total) / (F.lit(1.0) + containing)), 6)
+def is_term(word: Column, stop: Sequence[str] = lexicon.STOP_WORDS, min_chars: int = 2) -> Column:
+    return (F.length(word) >= min_chars) & ~word.isin(*stop)
+
+
+def tokens(text: Column, stop: Sequence[str] = lexicon.STOP_WORDS) -> Column:
+    """The terms of a text as an array, stop words and very short runs left out."""
+    return F.filter(words(text), lambda w: is_term(w, stop))
+
+
+def _weigh(counts: DataFrame, containing: DataFrame, total: int, spread_by: Sequence[str]) -> DataFrame:
+    """Adds `score`: a term's count times the logarithm of its rarity among all documents.
+
+    `containing` (term, containing, uses) is stored. `uses` is each term's row count in `counts`, so
+    the join can split the few terms that nearly every document has.
+    """
+    joined = lookup_join(counts, containing.select("term", "containing"), "term", "inner", spread_by=spread_by,
+                         counts=containing.select("term", F.col("uses").alias("n")),
+                         right_bytes=measured_bytes(containing))
+    rarity = F.log(F.lit(1.0 + total) / (F.lit(1.0) + F.col("containing")))
+    return joined.withColumn("score", F.round(F.col("n") * rarity, 6))
 
 
 def _top(scored: DataFrame, key: str, n: int) -> DataFrame:
-    return first_per_key(scored, [key], [F.desc("score"), "term"], n)
+    return first_per_key(scored.select(key, "term", "score"), [key], [F.desc("score"), "term"], n)
 
 
 def cluster_term_scores(docs: DataFrame, cluster: str, text: str = "content", top: int = TOP_TERMS,
                         stop: Sequence[str] = lexicon.STOP_WORDS) -> DataFrame:
     """Terms shared by many documents of a cluster and by few others: the best `top` per cluster.
 
-    A document counts a term once, inside its own row, so only (cluster, term) counts are shuffled.
+    A document counts a term once, inside its own row, so only partial (cluster, term) counts are
+    shuffled; they are stored, and texts are taken apart once.
     """
-    pairs = spread(docs).select(cluster, F.explode(F.array_distinct(tokens(F.col(text), stop))).alias("term"))
-    counts = pairs.groupBy(cluster, "term").agg(F.count(F.lit(1)).alias("n"))
-    containing = counts.groupBy("term").agg(F.sum("n").alias("containing"), F.count(F.lit(1)).alias("_n"))
-    total = docs.agg(F.count(F.lit(1))).scalar()
-    joined = lookup_join(counts, containing.drop("_n"), "term", "inner", spread_by=[cluster, "term"],
-                         counts=containing.select("term", F.col("_n").alias("n")))
-    return _top(joined.withColumn("score", _weight(F.col("n"), total, F.col("containing"))), cluster, top) \
-        .select(cluster, "term", "score")
+    pairs = spread(docs).select(cluster, F.explode(F.array_distinct(words(F.col(text)))).alias("term"))
+    counts = materialize(
+        pairs.where(is_term(F.col("term"), stop)).groupBy(cluster, "term").agg(F.count(F.lit(1)).alias("n")))
+    containing = materialize(
+        counts.groupBy("term").agg(F.sum("n").alias("containing"), F.count(F.lit(1)).alias("uses")))
+    return _top(_weigh(counts, containing, docs.count(), [cluster, "term"]), cluster, top)
 
 
 def doc_term_scores(docs: DataFrame, key: str, text: str = "content", top: int = TOP_TERMS,
                     stop: Sequence[str] = lexicon.STOP_WORDS) -> DataFrame:
-    """The best `top` terms of each document by term count and rarity."""
+    """The best `top` terms of each document by term count and rarity.
+
+    Document frequencies come from a pass of their own, which counts each document's distinct terms
+    map-side: that shuffles one row per term and task, not one per document and term.
+    """
+    rows = spread(docs, key)
+    once = rows.select(F.explode(F.array_distinct(words(F.col(text)))).alias("term"))
+    containing = materialize(
+        once.where(is_term(F.col("term"), stop)).groupBy("term").agg(F.count(F.lit(1)).alias("containing"))
+        .withColumn("uses", F.col("containing")))
     counts = (
-        spread(docs, key).select(key, F.explode(tokens(F.col(text), stop)).alias("term"))
+        rows.select(key, F.explode(words(F.col(text))).alias("term")).where(is_term(F.col("term"), stop))
         .groupBy(key, "term").agg(F.count(F.lit(1)).alias("n"))
     )
-    containing = counts.groupBy("term").agg(F.count(F.lit(1)).alias("containing"))
-    total = docs.agg(F.count(F.lit(1))).scalar()
-    joined = lookup_join(counts, containing, "term", "inner", spread_by=[key],
-                         counts=containing.withColumnRenamed("containing", "n"))
-    return _top(joined.withColumn("score", _weight(F.col("n"), total, F.col("containing"))), key, top) \
-        .select(key, "term", "score")
+    return _top(_weigh(counts, containing, docs.count(), [key, "term"]), key, top)
 
 
 def as_keyword_list(scores: DataFrame, key: str, name: str = "keywords") -> DataFrame:

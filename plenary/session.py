@@ -83,6 +83,6 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     """
     context = df.sparkSession.sparkContext
     full = int(df.sparkSession.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b"))
-    if plan_bytes(df) >= full * context.defaultParallelism:
+    if input_bytes(df) >= full * context.defaultParallelism:
         return df
     return df.repartition(context.defaultParallelism, *keys)
