@@ -10,7 +10,7 @@ from plenary.functions.lexicon import DEFAULT_TITLE
 from plenary.functions.text import is_uuid_shaped, strip
 
 _HIDDEN = r"(?is)<!--.*?-->|<(script|style|template)\b[^>]*>.*?</\1\s*>"
-_REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,7});"
+_REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*+);?"
 
 
 def _code_point(c: Column) -> Column:
@@ -31,7 +31,10 @@ def _decode_reference(ref: Column) -> Column:
 
 
 def unescape(c: Column) -> Column:
-    """Character references decoded in a single pass, so `&amp;lt;` gives `&lt;`."""
+    """Character references decoded in a single pass, so `&amp;lt;` gives `&lt;`.
+
+    The closing semicolon is optional, as for a lenient HTML reader; unknown names stay as they are.
+    """
     between = F.split(c, _REFERENCE)
     found = F.regexp_extract_all(c, F.lit(_REFERENCE), F.lit(0))
     decoded = F.zip_with(
@@ -41,8 +44,8 @@ def unescape(c: Column) -> Column:
 
 
 def visible(html: Column) -> Column:
-    """HTML without comments, scripts and styles."""
-    return F.regexp_replace(html, _HIDDEN, "")
+    """HTML with comments, scripts and styles as a bare tag: text on either side stays apart."""
+    return F.regexp_replace(html, _HIDDEN, "<br>")
 
 
 def inner_html(html: Column, tag: str, start_tag: str) -> Column:

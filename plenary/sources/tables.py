@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -27,8 +27,10 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructTy
 def read_csv_lenient(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType) -> DataFrame:
     """CSV that loses rows with too many fields; rows with too few are padded with nulls."""
     with_raw = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
-    rows = spark.read.csv(
-        paths, schema=with_raw, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT, escape='"')
+    rows = (
+        spark.read.schema(with_raw).option("columnPruning", False)  # a pruned parse misses surplus fields
+        .csv(paths, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT, escape='"')
+    )
     outside_quotes = F.regexp_replace(F.col(_CORRUPT), '"[^"]*"', "")
     fields = F.coalesce(F.regexp_count(outside_quotes, F.lit(",")), F.lit(0)) + 1
     return rows.where(fields <= len(schema.fields)).drop(_CORRUPT)
@@ -39,6 +41,18 @@ def korean_charsets(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.legacy.javaCharsets", "true")
 
 
+@contextmanager
+def _replacing_bad_bytes(spark: SparkSession):
+    """Expressions built inside decode bad bytes to U+FFFD; by default they raise."""
+    name = "spark.sql.legacy.codingErrorAction"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def csv_encodings(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """(path, encoding) of each file: UTF-8 if every line is valid UTF-8, else the Korean code page.
 
@@ -48,11 +62,13 @@ def csv_encodings(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     korean_charsets(spark)
     lines = spark.read.text(paths).select(
         F.col("_metadata.file_path").alias("path"), F.col("value").cast("binary").alias("raw"))
-    decoded = F.decode("raw", _KOREAN)
-    return lines.groupBy("path").agg(
-        F.when(F.bool_and(F.is_valid_utf8(F.col("raw").cast("string"))), F.lit("UTF-8"))
-        .when(F.bool_and(~decoded.contains("�")), F.lit(_KOREAN)).alias("encoding")
-    )
+    is_utf8 = F.is_valid_utf8(F.col("raw").cast("string"))
+    with _replacing_bad_bytes(spark):
+        decoded = F.decode("raw", _KOREAN)
+        return lines.groupBy("path").agg(
+            F.when(F.bool_and(is_utf8), F.lit("UTF-8"))
+            .when(F.bool_and(~decoded.contains("\ufffd")), F.lit(_KOREAN)).alias("encoding")
+        )
 
 
 def read_csv_any_encoding(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType) -> DataFrame:
@@ -111,6 +127,3 @@ def rows_to_table(spark: SparkSession, rows: Sequence, schema: T.StructType | st
     """A small literal table, such as the parties or a test fixture."""
     return spark.createDataFrame(rows, schema)
 
-
-def numbers_in(text: str) -> list[int]:
-    return [int(n) for n in re.findall(r"\d+", text)]
