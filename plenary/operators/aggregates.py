@@ -22,11 +22,9 @@ def join_texts(df: DataFrame, key: str, value: str, order_by: str, separator: st
     aggregated on its own, nothing is dropped, and the parts joined in order are the same text.
     """
     keys = [F.col(key)] + ([part.alias("part")] if part is not None else [])
-    text = F.listagg(F.col(value), F.lit(separator)).alias(value) if not order_by else F.array_join(
-        F.transform(F.array_sort(F.collect_list(F.when(
-            F.col(value).isNotNull(), F.struct(F.col(order_by), F.col(value))))), lambda x: x[value]),
-        separator,
-    ).alias(value)
+    pair = F.struct(F.col(order_by).alias("_order"), F.col(value).alias("_text"))
+    ordered = F.array_sort(F.collect_list(F.when(F.col(value).isNotNull(), pair)))
+    text = F.array_join(F.transform(ordered, lambda x: x["_text"]), separator).alias(value)
     return df.where(F.col(key).isNotNull()).groupBy(*keys).agg(text)
 
 

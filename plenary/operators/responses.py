@@ -1,7 +1,7 @@
 """The first acceptable answer per item from a table of attempts, with its fallback.
 
 Model and fetch results are landed tables: `responses(item_id, attempt, text, error)` and
-`fetches(url, attempt, html, error)`.
+`fetches(url, attempt, html, error)`, with attempts counted from 1.
 """
 
 from __future__ import annotations
