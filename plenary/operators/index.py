@@ -2,28 +2,35 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plenary.operators.skew import lookup_join
-from plenary.session import ensure_checkpoint_dir
+from plenary.session import checkpoint_dir
 
 _PART_BITS = 33  # monotonically_increasing_id keeps the partition above bit 33
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the cluster's shared folder: survives lost executors, cuts lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """The table written to the cluster's shared checkpoint folder and read back.
+
+    It is computed once, survives lost executors, cuts the lineage, is read column by column, and has
+    its real size, by which later joins are chosen.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/plenary-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def dense_index(df: DataFrame, order_by: Sequence[str | Column], name: str = "position") -> DataFrame:
     """Adds 0, 1, 2, … in the order of `order_by`, which must be unique per row.
 
     Rows are range-partitioned and sorted, so a hot leading key is cut by the later columns. The
-    numbered rows are checkpointed: recomputing a range partitioning may move its borders, and the
+    numbered rows are stored: recomputing a range partitioning may move its borders, and the
     offsets below must match the rows they were counted on. Keep `df` narrow (keys only).
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

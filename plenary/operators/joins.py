@@ -93,7 +93,7 @@ def update_report(before: DataFrame, after: DataFrame, fills: DataFrame, key: st
 
 def enrich_bills(bills: DataFrame, clusters: DataFrame, summaries: DataFrame, on: str = "bill_id") -> DataFrame:
     """Bills with their cluster columns, then their summary."""
-    return lookup_join(lookup_join(bills, clusters, on), summaries, on)
+    return bills.join(clusters, on, "left").join(summaries, on, "left")
 
 
 def join_page_text(votes: DataFrame, texts: DataFrame, url: str = "BILL_URL", text_url: str = "url",
@@ -101,7 +101,7 @@ def join_page_text(votes: DataFrame, texts: DataFrame, url: str = "BILL_URL", te
     """One row per trimmed bill URL, joined to text rows with the same trimmed URL."""
     bills = first_per_key(votes.withColumn(url, strip(F.col(url))), [url], order_by or [url])
     right = texts.withColumn(url, strip(F.col(text_url)))
-    return lookup_join(bills, right.drop(text_url) if text_url != url else right, url, "inner")
+    return bills.join(right.drop(text_url) if text_url != url else right, url)
 
 
 def attach_members(votes: DataFrame, members: DataFrame, on: str | Sequence[str]) -> DataFrame:

@@ -9,9 +9,12 @@ from plenary.functions.text import drop_stop_words, preprocess
 from plenary.operators.aggregates import join_texts
 from plenary.operators.dedup import distinct_values, first_per_key
 from plenary.operators.filters import passed
-from plenary.operators.joins import attach_content, attach_results, with_key_in
+from plenary.operators.index import materialize
+from plenary.operators.joins import attach_content, with_key_in
 from plenary.operators.project import VOTE_NAMES, rename
 from plenary.operators.responses import fetched_content, slogans, summaries
+from plenary.operators.skew import lookup_join
+from plenary.session import measured_bytes, spread
 from plenary.sources.landed import bill_rows, vote_rows
 
 
@@ -36,9 +39,13 @@ def page_texts(fetches: DataFrame) -> DataFrame:
     return join_texts(fetched, "url", "content", order_by="content")
 
 
+def published_votes(votes: DataFrame) -> DataFrame:
+    """Published column names and a date; an unreadable date is null."""
+    return rename(votes, VOTE_NAMES).withColumn("date", vote_date(F.col("date")))
+
+
 def votes_with_text(votes: DataFrame, texts: DataFrame) -> DataFrame:
-    merged = rename(attach_content(votes, texts), VOTE_NAMES)
-    return merged.withColumn("date", vote_date(F.col("date")))
+    return published_votes(attach_content(votes, texts))
 
 
 def unique_bills(votes: DataFrame, limit: int | None = None) -> DataFrame:
@@ -58,16 +65,28 @@ def preprocess_bills(bills: DataFrame, column: str = "content", stop_words: bool
 def assemble_term(votes: DataFrame, fetches: DataFrame, summary_responses: DataFrame,
                   slogan_responses: DataFrame, limit: int | None = None,
                   stop_words: bool = False) -> dict[str, DataFrame]:
-    """The five stage tables of one term, lazily; write them with `sinks.write_stages`."""
-    texts = page_texts(fetches)
-    merged = votes_with_text(votes, texts)
-    bills = preprocess_bills(unique_bills(merged, limit), stop_words=stop_words).drop("original_content")
-    bills = slogans(summaries(bills, summary_responses), slogan_responses)
-    final = attach_results(merged, bills, ["summary", "card_news_content"])
+    """The five stage tables of one term; write them with `sinks.write_stages`.
+
+    Texts are read, cleaned and answered once per bill. They meet the votes again only in the last
+    join, so neither the page text nor its processing is repeated for every member's vote.
+    """
+    texts = materialize(page_texts(spread(fetches, "url")))
+    # A vote's bill and page; n is what the last join needs to know about frequent bills.
+    keyed = votes.withColumn("_bill", F.coalesce("BILL_ID", F.lit("")))
+    pairs = materialize(keyed.groupBy("_bill", "BILL_ID", "BILL_URL").agg(F.count(F.lit(1)).alias("n")))
+    read = pairs.join(texts.withColumnRenamed("url", "BILL_URL"), "BILL_URL")
+    bills = unique_bills(read.select(F.col("BILL_ID").alias("bill_id"), "content"), limit)
+    bills = preprocess_bills(bills, stop_words=stop_words).drop("original_content")
+    bills = materialize(slogans(summaries(bills, summary_responses), slogan_responses))
+    results = bills.select(F.coalesce("bill_id", F.lit("")).alias("_bill"), F.col("content").alias("cleaned"),
+                           "summary", "card_news_content")
+    per_page = materialize(read.select("_bill", "BILL_URL").join(results, "_bill", "left"))
+    final = lookup_join(keyed, per_page, ["_bill", "BILL_URL"], "inner", spread_by=["MONA_CD", "BILL_ID"],
+                        counts=pairs.select("_bill", "BILL_URL", "n"), right_bytes=measured_bytes(per_page))
     return {
         "01_votes": votes,
         "02_page_texts": texts,
-        "03_votes_with_text": merged,
+        "03_votes_with_text": votes_with_text(votes, texts),
         "04_unique_bills": bills,
-        "05_final": final,
+        "05_final": published_votes(final.drop("_bill")),
     }

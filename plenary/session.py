@@ -27,18 +27,15 @@ def build_session(app: str = "plenary", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared checkpoint folder; fall back to a fresh one in local mode only."""
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The cluster's shared checkpoint folder; a fresh one of our own in local mode only."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        context.setCheckpointDir(shared)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="plenary-checkpoint-"))
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    if context.getCheckpointDir() is None:
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="plenary-checkpoint-"))
+    return context.getCheckpointDir()
 
 
 def plan_bytes(df: DataFrame) -> int:

@@ -23,8 +23,8 @@ def _rows_schema(service: str, columns: Sequence[str]) -> str:
 def api_rows(pages: DataFrame, service: str, columns: Sequence[str], body: str = "body") -> DataFrame:
     """Rows of landed JSON pages; pages that lack the row block, or do not parse, give none."""
     parts = F.from_json(F.col(body), _rows_schema(service, columns))[service]
-    rows = pages.select(F.when(F.size(parts) >= 2, F.get(parts, F.lit(1))["row"]).alias("row"))
-    return rows.select(F.inline("row"))
+    # The row block is the second part; `get` is null where there is none, and null inlines to no rows.
+    return pages.select(F.inline(F.get(parts, F.lit(1))["row"]))
 
 
 def bill_rows(pages: DataFrame, body: str = "body") -> DataFrame:
