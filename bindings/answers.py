@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from bindings.registry import Tables, query
-from bindings.sqltext import content_clean, strip
+from bindings.sqltext import content_clean, strip, tidy
 from plenary.operators import prompts, responses
 from plenary.operators.responses import extracted_fields, fetched_content
 from plenary.session import spread
@@ -45,6 +45,20 @@ def first_valid_attempt(t):
     return responses.slogans(responses.summaries(_items(t), attempts), attempts)
 
 
+_TIDY = tidy("text")
+_FIRST = f"CASE WHEN regexp_matches({_TIDY}, '^.*?[.!?。]( |$)') THEN regexp_extract({_TIDY}, '^(.*?[.!?。])(?: |$)', 1) ELSE {_TIDY} END"
+_BARE = strip(f"rtrim({_FIRST}, '.!?。')")
+_CLOSED = strip(f"translate({_BARE}, '→·|,', '')")
+
+
+@query(f"""SELECT doc_id AS bill_id, CASE WHEN {_TIDY} = '' OR {_BARE} = '' THEN text WHEN {_CLOSED} LIKE '%함' OR {_CLOSED} LIKE '%요' THEN {_CLOSED}
+  ELSE {_CLOSED} || '함' END AS summary FROM documents""")
+def first_sentence_summary(t):
+    """Summaries without a model: the first sentence of each text in the closing form."""
+    docs = spread(t.documents, "doc_id").select(F.col("doc_id").alias("bill_id"), F.col("text").alias("content"))
+    return responses.summaries(docs, responses.first_sentence_answers(docs)).select("bill_id", "summary")
+
+
 @query(f"""WITH f AS (SELECT 'conv/' || conv_id AS url, turn, text,
     CASE WHEN role = 'user' THEN 'HTTP ' || length(text) END AS error FROM conversations WHERE turn <= 2),
 r AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY error IS NOT NULL,

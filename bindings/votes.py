@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from bindings.registry import Tables, query
 from plenary.operators.aggregates import with_ratios, crosstab
+from plenary.operators.joins import attach_bill_number
 from plenary.operators.sets import head
 from plenary.plans.crosstabs import category_values, member_votes, result_shares, vote_summary
 
@@ -57,6 +58,15 @@ def party_opposition_ranked(t):
     return shares.orderBy(F.desc("N"), "party")
 
 
+@query("""SELECT l_orderkey AS vote_no, l_partkey AS bill_id, p_size::VARCHAR AS bill_number
+FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_type <> 'ECONOMY') ON l_partkey = p_partkey""")
+def bill_number_join(t):
+    """The bill's number on every vote, null for bills the table lacks."""
+    bills = t.part.where("p_type <> 'ECONOMY'").select(F.col("p_partkey").alias("bill_id"), F.col("p_size").alias("bill_number"))
+    votes = t.lineitem.select(F.col("l_orderkey").alias("vote_no"), F.col("l_partkey").alias("bill_id"))
+    return attach_bill_number(votes, bills)
+
+
 _DISTRICTS = [f"NATION_{n}" for n in (0, 1, 10, 11, 12, 13, 14, 15, 16, 17)]
 _REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 _COUNTS = ",\n  ".join(

@@ -10,6 +10,8 @@ from plenary.functions.lexicon import DEFAULT_TITLE
 from plenary.functions.text import is_uuid_shaped, strip
 
 _HIDDEN = r"(?is)<!--.*?-->|<(script|style|template)\b[^>]*>.*?</\1\s*>"
+# A tag begins with a letter right after `<` or `</`; a `>` inside a quoted attribute does not end it.
+_TAG = r"""</?[A-Za-z](?:[^>"']++|"[^"]*+"|'[^']*+')*+>|</?[A-Za-z][^>]*>|<[!?][^>]*>"""
 _REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*+);?"
 
 
@@ -80,7 +82,7 @@ def inner_html(html: Column, tag: str, start_tag: str) -> Column:
 
 def inner_text(fragment: Column, separator: str = " ") -> Column:
     """Text nodes stripped, empty ones dropped, joined by the separator."""
-    nodes = F.transform(F.split(fragment, "<[^>]*>"), lambda node: strip(unescape(node)))
+    nodes = F.transform(F.split(fragment, _TAG), lambda node: strip(unescape(node)))
     return F.array_join(F.filter(nodes, lambda node: node != ""), separator)
 
 

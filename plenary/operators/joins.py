@@ -109,6 +109,11 @@ def attach_members(votes: DataFrame, members: DataFrame, on: str | Sequence[str]
     return lookup_join(votes, members, on, "left")
 
 
+def attach_bill_number(votes: DataFrame, bills: DataFrame, on: str = "bill_id", number: str = "bill_number") -> DataFrame:
+    """The bill's number, as text, on every vote; null for a bill the table lacks."""
+    return lookup_join(votes, bills.select(on, F.col(number).cast("string").alias(number)), on, "left")
+
+
 def attach_boundary(districts: DataFrame, boundaries: DataFrame, code: str = "SGG_Code", width: int = 7) -> DataFrame:
     """District rows with the boundary of their zero-filled code; null where there is none."""
     return lookup_join(districts.withColumn(code, zero_fill(F.col(code), width)), boundaries, code, "left")

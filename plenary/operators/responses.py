@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from plenary.functions import lexicon
 from plenary.functions.html import bill_content
 from plenary.functions.jsons import bill_fields
-from plenary.functions.text import clean_slogan, clean_text, convert_to_sentence, strip
+from plenary.functions.text import (
+    clean_slogan, clean_text, convert_to_sentence, first_sentence, java_regex, strip)
 from plenary.operators.dedup import first_per_key
 from plenary.operators.filters import any_field, length_between
 
@@ -79,6 +80,26 @@ def extracted_fields(responses: DataFrame, key: str = "file_name", max_attempts:
     )
 
 
+def first_sentence_answers(bills: DataFrame, key: str = "bill_id", text: str = "content") -> DataFrame:
+    """A response table without a model: each text answered by its own first sentence."""
+    return bills.select(
+        F.col(key).cast("string").alias("item_id"), F.lit(1).alias("attempt"),
+        F.rtrim(first_sentence(F.col(text)), F.lit(".!?。")).alias("text"), F.lit(None).cast("string").alias("error"))
+
+
+def section_answers(files: DataFrame, key: str = "file_name", text: str = "text") -> DataFrame:
+    """A response table without a model: number, reason and main sections found by their headings."""
+    body = F.col(text)
+    fields = F.struct(
+        F.regexp_extract(body, java_regex(r"의안\s*번호\s*[:：]?\s*(?:제\s*)?(\d+)"), 1).alias("bill_no"),
+        F.regexp_extract(body, java_regex(r"(?s)제안\s*이유\s*(?!및)(.*?)(?=주요\s*내용|주\s문|\z)"), 1).alias("reason"),
+        F.regexp_extract(body, java_regex(r"(?s)(?:주요\s*내용|주\s문)\s*(.*)\z"), 1).alias("main"),
+    )
+    return files.select(
+        F.col(key).cast("string").alias("item_id"), F.lit(1).alias("attempt"), F.to_json(fields).alias("text"),
+        F.lit(None).cast("string").alias("error"))
+
+
 def fetched_content(fetches: DataFrame, max_attempts: int = 3) -> DataFrame:
     """Bill text per URL from its first successful fetch, else `ERROR: ` and the last error.
 

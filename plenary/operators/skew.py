@@ -3,83 +3,81 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, Row, functions as F, types as T
 
 from plenary.session import broadcast_limit, input_bytes, measured_bytes, plan_bytes
 
-# A key is heavy when it holds at least this share of the rows, so at most 1 / share keys are heavy.
+# A key is heavy when it holds at least this share of the rows, so at most 1 / share keys are heavy …
 HEAVY_SHARE = 0.001
+# … and more rows than one task joins without trouble.
+HEAVY_ROWS = 100_000
 
 
-def heavy_keys(df: DataFrame, keys: Sequence[str], share: float = HEAVY_SHARE,
+def heavy_keys(df: DataFrame, keys: Sequence[str], share: float = HEAVY_SHARE, least: int = HEAVY_ROWS,
                counts: DataFrame | None = None) -> DataFrame:
-    """Keys with at least `share` of all rows and the number of splits that evens each of them out.
+    """Keys with at least `share` of all rows, null keys included, and how many splits even each out.
 
     Shares add up to one, so the result has at most `1 / share` rows whatever the table size; that
-    bound is what makes it safe to broadcast. `counts` may pass key counts that already exist, with
-    the count in column `n`.
+    bound is what makes it safe to collect and to broadcast. `counts` may pass key counts that already
+    exist, with the count in column `n`.
     """
     if counts is None:
-        counts = df.where(_all_present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg((F.sum("n") * F.lit(share)).alias("limit")).scalar()
-    return (
-        counts.where((F.col("n") >= total) & (F.col("n") > 1))
-        .select(*keys, F.ceil(F.col("n") / total).cast("int").alias("splits"))
-    )
-
-
-def _all_present(keys: Sequence[str]) -> Column:
-    present = F.lit(True)
-    for key in keys:
-        present = present & F.col(key).isNotNull()
-    return present
+        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    even = counts.agg(F.greatest(F.sum("n") * F.lit(share), F.lit(least)).alias("even")).scalar()
+    return counts.where(F.col("n") >= even).select(*keys, F.ceil(F.col("n") / even).cast("int").alias("splits"))
 
 
 def lookup_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "left",
                 spread_by: Sequence[str] | None = None, counts: DataFrame | None = None,
-                share: float = HEAVY_SHARE, salted: bool | None = None,
+                share: float = HEAVY_SHARE, least: int = HEAVY_ROWS,
                 right_bytes: int | None = None) -> DataFrame:
     """Equi-join of a large left side, whose keys may be skewed, to a lookup table.
 
     A right side whose size is under Spark's broadcast threshold is broadcast and no row of the left
     side moves. The size is Catalyst's estimate or, where that is too high but the tables read are
-    small, a measurement; `right_bytes` passes one already taken of a stored table.
+    small, a measurement; `right_bytes` passes one already taken.
 
-    Beyond the threshold, heavy keys are split: rows of the left side spread over the key's splits by
-    a hash of `spread_by` (all columns by default), the matching right rows are repeated once per
-    split, and the join runs on (key, split). Rows with a null key match nothing and are spread as
-    well. The result is the same as that of the plain join. On this path the left side is read twice,
-    once for key counts unless `counts` is given, so it should be a stored table or a plain scan.
+    Beyond the threshold both sides are shuffled, and heavy keys are split: rows of the left side
+    spread over the key's splits by a hash of `spread_by` (all columns by default), the matching right
+    rows are repeated once per split, and the join runs on (key, split). Rows with a null key match
+    nothing and are spread too. The result is the same as that of the plain join, which is what runs
+    when no key is heavy. Finding heavy keys counts the left side's keys unless `counts` is given.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if how not in ("left", "inner"):
         raise ValueError("lookup_join keeps or filters left rows: use 'left' or 'inner'")
-    if salted is None:
-        limit = broadcast_limit(left.sparkSession)
-        if right_bytes is None and plan_bytes(right) <= limit:
+    limit = broadcast_limit(left.sparkSession)
+    if right_bytes is None:
+        if plan_bytes(right) <= limit:
             return left.join(right, keys, how)  # Spark broadcasts it on the same estimate
-        if right_bytes is None and input_bytes(right) <= limit:
+        if input_bytes(right) <= limit:
             right_bytes = measured_bytes(right)
-        salted = right_bytes is None or right_bytes > limit
-        if not salted:
-            return left.join(F.broadcast(right), keys, how)
-    if not salted:
+    if right_bytes is not None and right_bytes <= limit:
+        return left.join(F.broadcast(right), keys, how)
+
+    heavy = heavy_keys(left, keys, share, least, counts).collect()  # at most 1 / share rows
+    if not heavy:
         return left.join(right, keys, how)
+    return _split_join(left, right, keys, how, heavy, spread_by or left.columns)
+
 
-    heavy = F.broadcast(heavy_keys(left, keys, share, counts))
-    spread = F.xxhash64(*(spread_by or left.columns))
-    most = int(1 / share)
-    null_key = ~_all_present(keys)
+def _split_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, heavy: list[Row],
+                spread_by: Sequence[str]) -> DataFrame:
+    null_splits = max((r["splits"] for r in heavy if any(r[k] is None for k in keys)), default=1)
+    schema = T.StructType([*(left.schema[k] for k in keys), T.StructField("_splits", T.IntegerType())])
+    splits = F.broadcast(left.sparkSession.createDataFrame(
+        [tuple(r) for r in heavy if all(r[k] is not None for k in keys)], schema))
+    has_null = reduce(or_, (F.col(k).isNull() for k in keys))
+    of_key = F.when(has_null, F.lit(null_splits)).otherwise(F.coalesce("_splits", F.lit(1)))
     split_left = (
-        left.join(heavy, keys, "left")
-        .withColumn("_split", F.pmod(spread, F.when(null_key, F.lit(most)).otherwise(
-            F.coalesce("splits", F.lit(1)))).cast("int"))
-        .drop("splits")
+        left.join(splits, keys, "left")
+        .withColumn("_split", F.pmod(F.xxhash64(*spread_by), of_key).cast("int")).drop("_splits")
     )
     split_right = (
-        right.join(heavy, keys, "left")
-        .withColumn("_split", F.explode(F.sequence(F.lit(0), F.coalesce("splits", F.lit(1)) - 1)))
-        .drop("splits")
+        right.join(splits, keys, "left")
+        .withColumn("_split", F.explode(F.sequence(F.lit(0), F.coalesce("_splits", F.lit(1)) - 1))).drop("_splits")
     )
     return split_left.join(split_right, [*keys, "_split"], how).drop("_split")

@@ -72,14 +72,16 @@ def broadcast_limit(spark: SparkSession) -> int:
     return int(number) * _UNITS.get(text[len(number):] or "b", 1)
 
 
+# Below this size a shuffle is cheaper than leaving most cores idle.
+SPREAD_BYTES = 1 << 30
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """A small table spread over all cores before costly row work; a large one is returned as it is.
 
-    Parquet is split at row groups, so a small file can arrive as one task. Tables with enough bytes
-    for a full partition per core have enough row groups and are not shuffled.
+    Parquet is split at row groups, so a small file can arrive as one task. Large tables have row
+    groups enough and are not shuffled.
     """
-    context = df.sparkSession.sparkContext
-    full = int(df.sparkSession.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b"))
-    if input_bytes(df) >= full * context.defaultParallelism:
+    if input_bytes(df) >= SPREAD_BYTES:
         return df
-    return df.repartition(context.defaultParallelism, *keys)
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)

@@ -41,6 +41,17 @@ def test_extracted_fields(spark):
     assert [tuple(r) for r in responses.extracted_fields(tried).collect()] == [("1.pdf", "22", "a b", "")]
 
 
+def test_answers_without_a_model(spark):
+    files = spark.createDataFrame([
+        ("1.pdf", "의안번호 : 제 2207521\n제안이유\n가나\n다\n주요내용\n라마"), ("2.pdf", "의 안\n주 문\n바사"), ("3.pdf", "없음")],
+        "file_name string, text string")
+    got = responses.extracted_fields(responses.section_answers(files))
+    assert sorted(map(tuple, got.collect())) == [("1.pdf", "2207521", "가나 다", "라마"), ("2.pdf", "", "", "바사")]
+    bills = spark.createDataFrame([("a", "제도를 개선함. 둘째."), ("b", " ")], "bill_id string, content string")
+    answered = responses.summaries(bills, responses.first_sentence_answers(bills))
+    assert by_key(answered, "bill_id", "summary") == {"a": "제도를 개선함", "b": " "}
+
+
 def test_fetched_content(spark):
     page = '<div id="summaryContentDiv" class="textType02">■ 제안이유 {}</div>'
     fetches = spark.createDataFrame([

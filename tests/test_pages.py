@@ -1,5 +1,9 @@
 """HTML, JSON and binary content on literal rows."""
 
+from html.parser import HTMLParser
+
+from hypothesis import HealthCheck, given, settings, strategies as st
+
 from plenary.functions import html, jsons
 
 
@@ -66,3 +70,65 @@ def test_bill_fields(column):
     values = ['a {"bill_no": "제 2207521 호", "reason": " 이유\\n둘 ", "main": "내용\\r"} b', '{"bill_no": 12}', "broken {", None]
     assert [tuple(r) for r in column(jsons.bill_fields, values)] == [
         ("2207521", "이유 둘", "내용"), ("12", "", ""), ("", "", ""), ("", "", "")]
+
+
+class Block(HTMLParser):
+    """Text nodes of the first content block, by the standard library's parser."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.depth, self.nodes, self.buffer, self.done, self.hidden = 0, None, "", False, False
+
+    def _flush(self):
+        if self.nodes is not None and not self.done and self.buffer.strip():
+            self.nodes.append(self.buffer.strip())
+        self.buffer = ""
+
+    def handle_starttag(self, tag, attrs):
+        self._flush()
+        self.hidden = tag in ("script", "style")
+        if tag != "div" or self.done:
+            return
+        attrs = dict(attrs)
+        if self.nodes is None and attrs.get("id") == "summaryContentDiv" and "textType02" in attrs.get("class", "").split():
+            self.nodes, self.depth = [], 0
+        if self.nodes is not None:
+            self.depth += 1
+
+    def handle_endtag(self, tag):
+        self._flush()
+        self.hidden = False
+        if tag == "div" and self.nodes is not None:
+            self.depth -= 1
+            self.done = self.done or self.depth == 0
+
+    def handle_comment(self, data):
+        self._flush()
+
+    def handle_data(self, data):
+        if not self.hidden:
+            self.buffer += data
+
+
+def parsed_content(page):
+    block = Block()
+    block.feed(page)
+    block.close()
+    block._flush()
+    return None if block.nodes is None else " ".join(block.nodes)
+
+
+LEAF = st.sampled_from(["가나", " b ", "\n", "a &amp; b", "x < y", "5 > 3", "<br>", "<br/>", "<!-- </div> -->", "&middot;",
+                        "<script>var t='</div>';</script>", "<style>p{}</style>", "<img alt=\"a > b\">", "　"])
+NODES = st.recursive(
+    st.lists(LEAF, max_size=4).map("".join),
+    lambda inner: st.tuples(st.sampled_from(["div", "p", "b", "span", "DIV"]), st.lists(inner, max_size=3)).map(
+        lambda x: f"<{x[0]} class='c'>{''.join(x[1])}</{x[0]}>"),
+    max_leaves=8)
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(NODES, NODES, NODES), min_size=20, max_size=40))
+def test_bill_content_agrees_with_a_parser(column, pages):
+    pages = [f"<html><body>{a}<div id='summaryContentDiv' class='x textType02'>{b}</div>{c}</body></html>" for a, b, c in pages]
+    assert column(html.bill_content, pages) == [parsed_content(p) for p in pages]

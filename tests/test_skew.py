@@ -26,40 +26,67 @@ def lookup(spark):
         spark.range(2).select((F.col("id") * 5).alias("k"), (-F.col("id") - 1).alias("v")))
 
 
+LARGE = 1 << 40  # a lookup size beyond every broadcast threshold
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("how", ["left", "inner"])
 @pytest.mark.parametrize("share", [0.001, 0.05])
-def test_salted_join_equals_plain_join(hot, lookup, how, share):
-    salted = lookup_join(hot, lookup, "k", how, spread_by=["id"], share=share, salted=True)
+def test_split_join_equals_plain_join(hot, lookup, how, share):
+    split = lookup_join(hot, lookup, "k", how, spread_by=["id"], share=share, least=2, right_bytes=LARGE)
     plain = hot.join(lookup, "k", how)
-    assert salted.columns == plain.columns
-    assert Counter(map(tuple, salted.collect())) == Counter(map(tuple, plain.collect()))
+    assert "_split" in plan(split) and split.columns == plain.columns
+    assert Counter(map(tuple, split.collect())) == Counter(map(tuple, plain.collect()))
+
+
+def test_split_join_on_two_keys(hot):
+    left = hot.withColumn("j", F.when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.lit("x")))
+    right = left.where("k IS NOT NULL").select("k", F.lit("x").alias("j")).distinct().withColumn("v", F.col("k") * 2)
+    split = lookup_join(left, right, ["k", "j"], "left", share=0.05, least=2, right_bytes=LARGE)
+    assert "_split" in plan(split)
+    assert Counter(map(tuple, split.collect())) == Counter(map(tuple, left.join(right, ["k", "j"], "left").collect()))
 
 
-def test_given_counts_serve_the_salted_join(hot, lookup):
-    counts = hot.where("k IS NOT NULL").groupBy("k").agg(F.count("*").alias("n"))
-    salted = lookup_join(hot, lookup, "k", "left", counts=counts, salted=True)
-    assert Counter(map(tuple, salted.collect())) == Counter(map(tuple, hot.join(lookup, "k", "left").collect()))
+def test_given_counts_serve_the_split_join(hot, lookup):
+    counts = hot.groupBy("k").agg(F.count("*").alias("n"))
+    split = lookup_join(hot, lookup, "k", "left", counts=counts, least=2, right_bytes=LARGE)
+    assert Counter(map(tuple, split.collect())) == Counter(map(tuple, hot.join(lookup, "k", "left").collect()))
 
 
 def test_heavy_keys_are_few(hot):
-    heavy = {r["k"]: r["splits"] for r in heavy_keys(hot, ["k"], 0.05).collect()}
+    heavy = {r["k"]: r["splits"] for r in heavy_keys(hot, ["k"], 0.05, least=2).collect()}
     assert list(heavy) == [0] and heavy[0] >= 6
-    assert heavy_keys(hot, ["k"], 0.001).count() <= 1000
+    assert heavy_keys(hot, ["k"], 0.001, least=2).count() <= 1000
+    assert heavy_keys(hot, ["k"]).count() == 0
 
 
-def test_hot_key_is_spread_over_tasks(hot, lookup):
-    joined = lookup_join(hot, lookup, "k", "inner", spread_by=["id"], share=0.01, salted=True)
-    assert "_split" not in joined.columns
-    plan = joined._jdf.queryExecution().executedPlan().toString()
-    assert "_split" in plan
+def test_no_heavy_key_means_a_plain_join(hot, lookup):
+    assert "_split" not in plan(lookup_join(hot, lookup, "k", right_bytes=LARGE))
+
+
+def test_hot_key_lands_in_many_partitions(hot, lookup):
+    joined = lookup_join(hot, lookup, "k", "inner", spread_by=["id"], share=0.01, least=2, right_bytes=LARGE)
+    joined.sparkSession.conf.set("spark.sql.adaptive.enabled", "false")
+    joined.sparkSession.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = lookup_join(hot, lookup, "k", "inner", spread_by=["id"], share=0.01, least=2)
+        parts = joined.where("k = 0").select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        joined.sparkSession.conf.unset("spark.sql.adaptive.enabled")
+        joined.sparkSession.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert parts > 4
 
 
 def test_join_choice_follows_measured_size(spark, hot, lookup):
     limit = broadcast_limit(spark)
     assert limit == 10 * 1024 * 1024 and plan_bytes(lookup) > 0
     assert 62 * 16 <= measured_bytes(lookup) <= 62 * 64
-    assert "_split" not in lookup_join(hot, lookup, "k")._jdf.queryExecution().executedPlan().toString()
-    assert "_split" in lookup_join(hot, lookup, "k", right_bytes=limit + 1)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan(lookup_join(hot, lookup, "k"))
+    wide = lookup.join(lookup.withColumnRenamed("v", "w"), "k").join(lookup.withColumnRenamed("v", "x"), "k")
+    assert "BroadcastHashJoin" in plan(lookup_join(hot, wide, "k"))
 
 
 def test_wrong_join_kind(hot, lookup):
@@ -95,11 +122,7 @@ def test_join_texts_parts(spark):
     assert sorted(map(tuple, parts.collect())) == [("a", 0, "x / y"), ("a", 1, "z"), ("b", 0, "")]
 
 
-def test_spread_leaves_large_tables_alone(spark, hot):
+def test_spread_leaves_large_tables_alone(spark, hot, monkeypatch):
     assert spread(hot, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    try:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", "1")
-        assert spread(hot, "id") is hot
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    monkeypatch.setattr("plenary.session.SPREAD_BYTES", 1)
+    assert spread(hot, "id") is hot
