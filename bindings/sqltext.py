@@ -26,11 +26,14 @@ def content_clean(x: str, headings=()) -> str:
 
 
 def article_text(html: str, tag: str = "article", separator: str = " ") -> str:
-    """Text nodes of the first element of a tag, for pages without nested elements of that tag."""
+    """Text nodes of the first element of a tag, for pages without nested elements of that tag.
+
+    References may lack their semicolon, as in headings cut short.
+    """
     plain = f"regexp_replace({html}, '(?is)<!--.*?-->|<script\\b[^>]*>.*?</script>|<style\\b[^>]*>.*?</style>', '', 'g')"
     inner = f"regexp_extract({plain}, '(?is)<{tag}\\b[^>]*>(.*?)</{tag}>', 1)"
     decoded = "n"
-    for ref, char in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
-        decoded = f"replace({decoded}, '{ref}', '{char}')"
+    for ref, char in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("lt", "<"), ("gt", ">"), ("amp", "&")):
+        decoded = f"regexp_replace({decoded}, '&{ref};?', '{char}', 'g')"
     nodes = f"list_transform(string_split_regex({inner}, '<[^>]*>'), lambda n: {strip(decoded)})"
     return f"array_to_string(list_filter({nodes}, lambda n: n <> ''), '{separator}')"

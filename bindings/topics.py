@@ -50,7 +50,7 @@ def topic_groups(t):
 
 @query("""SELECT doc_id AS bill_id, CASE WHEN lang = 'es' THEN '기타' ELSE lang END AS category,
   CASE WHEN lang = 'es' THEN '일반' ELSE source END AS subcategory,
-  CASE WHEN lang = 'es' THEN 0.5 ELSE 0.9 END AS confidence FROM documents""")
+  CASE WHEN lang = 'es' THEN 0.5 ELSE 0.9 END::DOUBLE AS confidence FROM documents""")
 def topic_classes(t):
     """Category, subcategory and confidence from answers, the default class otherwise."""
     return topics.classify(_docs(t).select("bill_id"), _class_responses(t))
