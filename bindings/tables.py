@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from bindings.registry import Tables, query
 from bindings.sqltext import strip
-from plenary.functions.dates import bucket_label, vote_date, vote_date_text
+from plenary.functions.dates import vote_date, vote_date_text
 from plenary.functions.text import strip as strip_text, zero_fill
 from plenary.operators import aggregates, dedup, filters, joins, project, sets
 from plenary.plans import backfill, bills

@@ -5,10 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from bindings.registry import Tables, query
-from plenary.functions import lexicon
 from plenary.operators import aggregates, keywords, prompts, sets, topics
 from plenary.plans.topic_labels import label_bills, label_unclustered
-from bindings.sqltext import tidy
 from bindings.texts import _PREPROCESSED
 
 _GROUPING = '{"groups": [{"name": "a", "bills": [1, 3, 5, 0]}, {"name": "b", "bills": [3, 2, 4, 99999999]}, {"name": "c", "bills": []}]}'

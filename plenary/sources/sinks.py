@@ -8,10 +8,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 
+# Cells are written as they are; by default Spark would trim them.
+_AS_IS = {"escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def write_csv(df: DataFrame, path: str, null_as: str = "", quote_all: bool = False) -> None:
     """CSV with a header; nulls as `null_as`, every field quoted on request."""
-    df.write.mode("overwrite").csv(path, header=True, nullValue=null_as, quoteAll=quote_all, escape='"',
-                                   emptyValue="" if not quote_all else None)
+    df.write.mode("overwrite").csv(path, header=True, nullValue=null_as, quoteAll=quote_all,
+                                   emptyValue="" if not quote_all else None, **_AS_IS)
 
 
 def write_unquoted(df: DataFrame, path: str) -> None:
@@ -39,7 +43,7 @@ def write_by_value(df: DataFrame, path: str, column: str, kind: str = "parquet")
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = F.pmod(F.xxhash64(*df.columns), F.lit(parts))
     writer = df.repartition(parts, F.col(column), spread).write.mode("overwrite").partitionBy(column)
-    writer.csv(path, header=True, escape='"') if kind == "csv" else writer.parquet(path)
+    writer.csv(path, header=True, **_AS_IS) if kind == "csv" else writer.parquet(path)
 
 
 def write_split(df: DataFrame, path: str, flag: str = "removed") -> None:

@@ -14,26 +14,43 @@ _CORRUPT = "_corrupt_row"
 _KOREAN = "MS949"
 
 
-def _csv(spark: SparkSession, paths, schema: T.StructType, encoding: str) -> DataFrame:
-    return spark.read.csv(
-        paths, schema=schema, header=True, encoding=encoding, multiLine=False, escape='"', enforceSchema=True)
+# Cell texts that stand for a missing value.
+MISSING = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
+           "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
 
-def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType) -> DataFrame:
-    """CSV with a header row, UTF-8 with or without a byte-order mark, and a stated schema."""
-    return _csv(spark, paths, schema, "UTF-8")
+def missing_to_null(df: DataFrame, markers: Sequence[str] = MISSING) -> DataFrame:
+    """Text cells that stand for a missing value become null."""
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    return df.withColumns({c: F.when(~F.col(f"`{c}`").isin(*markers), F.col(f"`{c}`")) for c in texts})
 
 
-def read_csv_lenient(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType) -> DataFrame:
+def _csv(spark: SparkSession, paths, schema: T.StructType, encoding: str, multi_line: bool) -> DataFrame:
+    rows = spark.read.csv(
+        paths, schema=schema, header=True, encoding=encoding, multiLine=multi_line, escape='"', enforceSchema=True)
+    return missing_to_null(rows)
+
+
+def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType,
+             multi_line: bool = True) -> DataFrame:
+    """CSV with a header row, UTF-8 with or without a byte-order mark, and a stated schema.
+
+    Quoted fields may hold line ends. Where none does, `multi_line=False` lets Spark split each file.
+    """
+    return _csv(spark, paths, schema, "UTF-8", multi_line)
+
+
+def read_csv_lenient(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType,
+                     multi_line: bool = True) -> DataFrame:
     """CSV that loses rows with too many fields; rows with too few are padded with nulls."""
     with_raw = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
     rows = (
         spark.read.schema(with_raw).option("columnPruning", False)  # a pruned parse misses surplus fields
-        .csv(paths, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT, escape='"')
+        .csv(paths, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT, multiLine=multi_line, escape='"')
     )
     outside_quotes = F.regexp_replace(F.col(_CORRUPT), '"[^"]*"', "")
     fields = F.coalesce(F.regexp_count(outside_quotes, F.lit(",")), F.lit(0)) + 1
-    return rows.where(fields <= len(schema.fields)).drop(_CORRUPT)
+    return missing_to_null(rows.where(fields <= len(schema.fields)).drop(_CORRUPT))
 
 
 def korean_charsets(spark: SparkSession) -> None:
@@ -71,7 +88,8 @@ def csv_encodings(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
         )
 
 
-def read_csv_any_encoding(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType) -> DataFrame:
+def read_csv_any_encoding(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType,
+                          multi_line: bool = True) -> DataFrame:
     """CSV files each read in the first encoding that fits; an error names the files none fits."""
     # One row per input file: the same list the reader keeps on the driver anyway.
     found = {r["path"]: r["encoding"] for r in csv_encodings(spark, paths).collect()}
@@ -79,7 +97,7 @@ def read_csv_any_encoding(spark: SparkSession, paths: str | Sequence[str], schem
     if unreadable:
         raise ValueError(f"no supported encoding fits: {', '.join(unreadable)}")
     parts = [
-        _csv(spark, [p for p, e in found.items() if e == encoding], schema, encoding)
+        _csv(spark, [p for p, e in found.items() if e == encoding], schema, encoding, multi_line)
         for encoding in sorted(set(found.values()))
     ]
     if not parts:
@@ -96,10 +114,11 @@ def file_term(path: Column) -> Column:
     return F.regexp_extract(name, r"(\d+)", 1).try_cast("int")
 
 
-def read_terms(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType, term: str = "age") -> DataFrame:
+def read_terms(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType, term: str = "age",
+               multi_line: bool = True) -> DataFrame:
     """All per-term files in one scan, the term taken from each file's name."""
-    rows = spark.read.csv(paths, schema=schema, header=True, escape='"')
-    return rows.select("*", file_term(F.col("_metadata.file_path")).alias(term))
+    rows = spark.read.csv(paths, schema=schema, header=True, multiLine=multi_line, escape='"')
+    return missing_to_null(rows.select("*", file_term(F.col("_metadata.file_path")).alias(term)))
 
 
 def terms_present(spark: SparkSession, folder: str) -> DataFrame:

@@ -104,6 +104,19 @@ def test_csv_writers(spark, tmp_path):
     assert lines("bare") == ["x,y,n", r"a\,b,,1", 'q",,2']
 
 
+def test_csv_round_trip(spark, tmp_path):
+    texts = ["a,b", 'say "x"', "two\nlines", "carriage\r\nreturn", " lead", "tail ", "\\", "한글", "#", "'"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i string, content string")
+    df = df.select(F.col("i").alias("party"), F.col("content").alias("color"))
+    sinks.write_csv(df, str(tmp_path / "csv"))
+    back = tables.read_csv(spark, str(tmp_path / "csv"), schemas.PARTY_COLOR)
+    got = {r[0]: r[1] for r in back.collect()}
+    missing = spark.createDataFrame([("a", None), ("b", "NULL"), ("c", "nan"), ("d", "")], schemas.PARTY_COLOR)
+    sinks.write_csv(missing, str(tmp_path / "missing"), null_as="NULL")
+    assert tables.read_csv(spark, str(tmp_path / "missing"), schemas.PARTY_COLOR).where("color IS NULL").count() == 4
+    assert got == {str(i): t for i, t in enumerate(texts)}
+
+
 def test_partitioned_writers(spark, tmp_path):
     bills = spark.createDataFrame([(20, "예산안 심사"), (21, "법률안"), (21, None)], "age int, title string")
     sinks.write_by_value(bills, str(tmp_path / "terms"), "age")
