@@ -10,6 +10,7 @@ from plenary.functions import html, jsons, lexicon, text
 from plenary.operators.filters import is_valid_file_id, is_web_url
 from plenary.session import spread
 from plenary.sources.landed import bill_files
+from plenary.sources.tables import file_term
 
 _HEADINGS = (r"The\s*that", r"that", r"de\s*la", r"token\s*=", r"of\s*the\s*and", r"[*%$#&]{3}")
 
@@ -101,6 +102,12 @@ def url_param(t):
         is_web_url(url).alias("is_web"), text.query_param(encoded, "billId").alias("decoded"))
 
 
+@query("""SELECT page_id, try_cast(regexp_extract(split_part(url, '/', -1), '([0-9]+)', 1) AS INT) AS age FROM pages""")
+def file_terms(t):
+    """The term number in the last part of a path, null without one."""
+    return t.pages.select("page_id", file_term(F.col("url")).alias("age"))
+
+
 @query(r"""SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN '' ELSE split_part(o_orderpriority, '-', 1) END AS bill_number,
   CASE WHEN o_orderstatus = 'P' THEN o_orderpriority
        WHEN contains(o_orderpriority, '-') THEN substr(o_orderpriority, 3) ELSE '' END AS title,

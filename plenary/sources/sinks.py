@@ -18,21 +18,23 @@ def write_csv(df: DataFrame, path: str, null_as: str = "", quote_all: bool = Fal
                                    emptyValue="" if not quote_all else None, **_AS_IS)
 
 
+def write_lines(lines: DataFrame, path: str, header: str) -> None:
+    """Text lines, each part file starting with the header as in Spark's own CSV output."""
+
+    def with_header(batches):
+        yield pd.DataFrame({"value": [header]})
+        yield from batches
+
+    lines.mapInPandas(with_header, "value string").write.mode("overwrite").text(path)
+
+
 def write_unquoted(df: DataFrame, path: str) -> None:
     """CSV lines without quotes: separators, backslashes and line ends are escaped by a backslash."""
     cells = [
         F.regexp_replace(F.coalesce(F.col(c).cast("string"), F.lit("")), r"([\\,\r\n])", r"\\$1")
         for c in df.columns
     ]
-    header = ",".join(df.columns)
-
-    def with_header(batches):
-        # Each part file starts with the header, as in Spark's own CSV output.
-        yield pd.DataFrame({"value": [header]})
-        yield from batches
-
-    lines = df.select(F.concat_ws(",", *cells).alias("value")).mapInPandas(with_header, "value string")
-    lines.write.mode("overwrite").text(path)
+    write_lines(df.select(F.concat_ws(",", *cells).alias("value")), path, ",".join(df.columns))
 
 
 def write_by_value(df: DataFrame, path: str, column: str, kind: str = "parquet") -> None:
