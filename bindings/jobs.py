@@ -104,7 +104,7 @@ SELECT age, title, bill_id, bill_number, coalesce(fill, content) AS content FROM
 WHERE coalesce(fill, content) IS NOT NULL""")
 def backfill_bills(t):
     """Titles and extracts merged, put together with published bills, filled by number and cleaned."""
-    titles = t.orders.select(
+    titles = spread(t.orders, "o_orderkey").select(
         F.floor(F.col("o_orderkey") / 10000).cast("int").alias("age"),
         F.concat(F.lit("http://x/y?a=1&billId=PRC%5F"), _text("o_orderkey")).alias("url"),
         F.concat(F.lit("["), F.lpad(_text("o_orderkey"), 7, "0"), F.lit("] "), F.col("o_orderpriority")).alias("bill_title"))

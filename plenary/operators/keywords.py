@@ -70,13 +70,15 @@ def doc_term_scores(docs: DataFrame, key: str, text: str = "content", top: int =
     Document frequencies come from a pass of their own, which counts each document's distinct terms
     map-side: that shuffles one row per term and task, not one per document and term.
     """
-    rows = spread(docs, key)
-    once = rows.select(F.explode(F.array_distinct(words(F.col(text)))).alias("term"))
+    once = spread(docs).select(F.explode(F.array_distinct(words(F.col(text)))).alias("term"))
     containing = materialize(
         once.where(is_term(F.col("term"), stop)).groupBy("term").agg(F.count(F.lit(1)).alias("containing"))
         .withColumn("uses", F.col("containing")))
+    # Moving each text once to its key's partition costs less than moving its terms, and the counts
+    # and the final ranking find their rows in place.
     counts = (
-        rows.select(key, F.explode(words(F.col(text))).alias("term")).where(is_term(F.col("term"), stop))
+        docs.select(key, text).repartition(F.col(key))
+        .select(key, F.explode(words(F.col(text))).alias("term")).where(is_term(F.col("term"), stop))
         .groupBy(key, "term").agg(F.count(F.lit(1)).alias("n"))
     )
     return _top(_weigh(counts, containing, docs.count(), [key, "term"]), key, top)

@@ -106,8 +106,10 @@ def fetched_content(fetches: DataFrame, max_attempts: int = 3) -> DataFrame:
     A page read without the content element has a null content.
     """
     failed = F.col("error").isNotNull()
-    order = [failed, F.when(~failed, F.col("attempt")), F.desc("attempt"), F.col("html"), F.col("error")]
-    one = first_per_key(fetches.where(F.col("attempt") <= max_attempts), ["url"], order)
     content = F.when(failed, F.concat(F.lit("ERROR: "), F.col("error"))).otherwise(
         clean_text(bill_content(F.col("html"))))
-    return one.select("url", content.alias("content"), failed.alias("is_error"))
+    # The text is taken from the page before rows are moved: pages are many times larger.
+    read = fetches.where(F.col("attempt") <= max_attempts).select(
+        "url", "attempt", content.alias("content"), failed.alias("is_error"))
+    order = ["is_error", F.when(~F.col("is_error"), F.col("attempt")), F.desc("attempt"), "content"]
+    return first_per_key(read, ["url"], order).drop("attempt")

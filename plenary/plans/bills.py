@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from plenary.functions.dates import vote_date
 from plenary.functions.text import drop_stop_words, preprocess
 from plenary.operators.aggregates import join_texts
-from plenary.operators.dedup import distinct_values, first_per_key
+from plenary.operators.dedup import distinct_values
 from plenary.operators.filters import passed
 from plenary.operators.index import materialize
 from plenary.operators.joins import attach_content, with_key_in
@@ -48,10 +48,17 @@ def votes_with_text(votes: DataFrame, texts: DataFrame) -> DataFrame:
     return published_votes(attach_content(votes, texts))
 
 
-def unique_bills(votes: DataFrame, limit: int | None = None) -> DataFrame:
-    """One row per bill, before the costly text work. `limit` keeps the first bills by id."""
-    bills = first_per_key(votes.select("bill_id", "content"), ["bill_id"], [F.col("content").asc_nulls_last()])
-    return bills if limit is None else bills.orderBy("bill_id").limit(limit)
+def unique_bills(pairs: DataFrame, texts: DataFrame, limit: int | None = None) -> DataFrame:
+    """(bill_id, content): one row per bill that has a text, before the costly text work.
+
+    `pairs` holds the bills' pages. A bill with several pages keeps the first by URL, which is chosen
+    before the texts are touched. `limit` keeps the first bills by id.
+    """
+    read = pairs.join(texts.select(F.col("url").alias("BILL_URL")), "BILL_URL", "left_semi")
+    chosen = read.groupBy(F.col("BILL_ID").alias("bill_id")).agg(F.min("BILL_URL").alias("url"))
+    if limit is not None:
+        chosen = chosen.orderBy("bill_id").limit(limit)
+    return chosen.join(texts, "url").select("bill_id", "content")
 
 
 def preprocess_bills(bills: DataFrame, column: str = "content", stop_words: bool = False) -> DataFrame:
@@ -74,12 +81,11 @@ def assemble_term(votes: DataFrame, fetches: DataFrame, summary_responses: DataF
     # A vote's bill and page; n is what the last join needs to know about frequent bills.
     keyed = votes.withColumn("_bill", F.coalesce("BILL_ID", F.lit("")))
     pairs = materialize(keyed.groupBy("_bill", "BILL_ID", "BILL_URL").agg(F.count(F.lit(1)).alias("n")))
-    read = pairs.join(texts.withColumnRenamed("url", "BILL_URL"), "BILL_URL")
-    bills = unique_bills(read.select(F.col("BILL_ID").alias("bill_id"), "content"), limit)
-    bills = preprocess_bills(bills, stop_words=stop_words).drop("original_content")
+    bills = preprocess_bills(unique_bills(pairs, texts, limit), stop_words=stop_words).drop("original_content")
     bills = materialize(slogans(summaries(bills, summary_responses), slogan_responses))
     results = bills.select(F.coalesce("bill_id", F.lit("")).alias("_bill"), F.col("content").alias("cleaned"),
                            "summary", "card_news_content")
+    read = pairs.join(texts.select(F.col("url").alias("BILL_URL")), "BILL_URL", "left_semi")
     per_page = materialize(read.select("_bill", "BILL_URL").join(results, "_bill", "left"))
     final = lookup_join(keyed, per_page, ["_bill", "BILL_URL"], "inner", spread_by=["MONA_CD", "BILL_ID"],
                         counts=pairs.select("_bill", "BILL_URL", "n"), right_bytes=measured_bytes(per_page))
