@@ -118,7 +118,7 @@ def parsed_content(page):
     return None if block.nodes is None else " ".join(block.nodes)
 
 
-LEAF = st.sampled_from(["가나", " b ", "\n", "a &amp; b", "x < y", "5 > 3", "<br>", "<br/>", "<!-- </div> -->", "&middot;", "cut &amp",
+LEAF = st.sampled_from(["가나", " b ", "\n", "a &amp; b", "x < y", "5 > 3", "<br>", "<br/>", "<!-- </div> -->", "&middot;", "cut &amp<br>",
                         "<script>var t='</div>';</script>", "<style>p{}</style>", "<img alt=\"a > b\">", "　"])
 NODES = st.recursive(
     st.lists(LEAF, max_size=4).map("".join),
