@@ -124,7 +124,7 @@ def drop_stop_words(
 def convert_to_sentence(c: Column) -> Column:
     """Bullet characters out, and the closing form the summaries share."""
     text = strip(F.regexp_replace(c, "[→·|,]", ""))
-    return F.when(text.endswith("함") | text.endswith("요"), text).otherwise(F.concat(text, F.lit("함")))
+    return F.regexp_replace(text, r"(?<![함요])\z", "함")
 
 
 def clean_slogan(c: Column, label: str = lexicon.SLOGAN_LABEL) -> Column:
@@ -132,29 +132,26 @@ def clean_slogan(c: Column, label: str = lexicon.SLOGAN_LABEL) -> Column:
     return strip(F.substring_index(text, "\n", 1))
 
 
+# Join keys are inlined into the null filters Spark derives from a join, so the functions that make
+# keys name their input once.
+
+
 def split_title(c: Column) -> Column:
     """`[number] text` as a struct(bill_number, title); text without `]` has an empty number."""
-    parts = F.split(c, r"\]", 2)
-    bracketed = F.struct(
-        strip(parts[0], "[] ").alias("bill_number"), strip(parts[1]).alias("title")
-    )
-    plain = F.struct(F.lit("").alias("bill_number"), c.alias("title"))
-    return F.when(c.contains("]"), bracketed).otherwise(plain)
+    number = strip(F.regexp_extract(c, r"(?s)^([^\]]*)\]", 1), "[] ")
+    title = F.regexp_replace(c, rf"(?s)^[^\]]*\]{SPACE}*(.*?){SPACE}*\z", "$1")
+    return F.struct(F.coalesce(number, F.lit("")).alias("bill_number"), title.alias("title"))
 
 
 def zero_fill(c: Column, width: int) -> Column:
     """Zeros to the left up to `width`, after a leading sign; longer text is not cut."""
-    text = c.cast("string")
-    filled = F.lpad(text, F.greatest(F.lit(width), F.length(text)), F.lit("0"))
-    body = F.substring(text, 2, 2**31 - 1)
-    signed = F.concat(
-        F.left(text, F.lit(1)), F.lpad(body, F.greatest(F.lit(width - 1), F.length(body)), F.lit("0"))
-    )
-    return F.when(text.rlike(r"^[+-]"), signed).otherwise(filled)
+    padded = F.regexp_replace(c.cast("string"), r"^([+-]?)", "$1" + "0" * width)
+    surplus = rf"(?s)^(?:([+-])0{{0,{width}}}(?=.{{{width - 1},}}\z)|0{{0,{width}}}(?=.{{{width},}}\z))"
+    return F.regexp_replace(padded, surplus, "$1")
 
 
 def last4_key(c: Column) -> Column:
-    return zero_fill(F.right(c, F.lit(4)), 4)
+    return zero_fill(F.substring(c, -4, 4), 4)
 
 
 def join_nullable(*columns: Column) -> Column:
