@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plenary.llm import language, mixing, secrets
-from plenary.llm.queries import ownership_columns, remainder
+from plenary.llm.queries import ownership_columns, remainder, table
 from plenary.operators.index import materialize
 
 ORACLE_SQL = None  # learnt models, hashed sampling and token pieces are beyond SQL
@@ -40,7 +40,7 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of a folder; each stage's rows are stored before the next one begins."""
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for number, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if number < len(STAGES) - 1:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from plenary.llm import language, mixing, pii, secrets, spans, toxicity
@@ -14,7 +17,15 @@ def query(build):
     return build
 
 
+def find_package(spark: SparkSession) -> None:
+    """Lets Python workers import this package when the driver was started in another folder."""
+    root, known = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if root not in known.get("PYTHONPATH", "").split(os.pathsep):
+        known["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known.get("PYTHONPATH", "")]))
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    find_package(spark)
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 

@@ -75,8 +75,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, usable, per_
     return rows.mapInArrow(extract, "y int, features array<int>")
 
 
-def fit(samples: list[tuple[int, np.ndarray]], share: float | None = None, epochs: int = 4, alpha: float = 0.1,
-        beta: float = 1.0, l1: float = 1.0, l2: float = 1.0, bits: int = BITS, seed: int = 7) -> Model:
+def fit(samples: list[tuple[int, np.ndarray]], share: float | None = None, epochs: int = 6, alpha: float = 3.0,
+        beta: float = 1.0, l1: float = 8.0, l2: float = 0.01, bits: int = BITS, seed: int = 7) -> Model:
     """FTRL-proximal over (label, distinct feature numbers) pairs.
 
     `share` is the share of label 1 among all labelled rows; the intercept is moved to it, as the sample is
