@@ -7,9 +7,10 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from plenary.llm import language, mixing, pii, secrets, spans, toxicity
+from plenary.llm import language, mixing, pieces, pii, secrets, spans, topk, toxicity
 
 QUERIES, ORACLES = {}, {}
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def query(build):
@@ -54,6 +55,21 @@ def op1_secrets(spark: SparkSession, folder: str) -> DataFrame:
         F.size(F.filter("spans", lambda s: ~s["live"])).cast("bigint").alias("n_example"))
 
 
+@query
+def op2_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.search(table(spark, folder, "embeddings"), F.col("id") % 100 == 0)
+
+
+ORACLES["op2_topk"] = """
+WITH usable AS (SELECT vec_id, embedding FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+v AS (SELECT vec_id, min(list_transform(embedding, lambda x: floor(x::DOUBLE * 1024)::BIGINT)) AS ints FROM usable GROUP BY vec_id),
+s AS (SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.ints::DOUBLE[], v.ints::DOUBLE[])::BIGINT AS score
+  FROM v AS q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 100 = 0),
+r AS (SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score FROM s)
+SELECT * FROM r WHERE rank <= 10"""
+
+
 @query
 def op4_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
@@ -77,6 +93,12 @@ def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
         F.size("terms").cast("bigint").alias("n_term"))
 
 
+@query
+def op9_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    encoded = pieces.encode(table(spark, folder, "documents").select("doc_id", "text"), PIECE_MODEL)
+    return encoded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", "round_trip")
+
+
 @query
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")

@@ -67,11 +67,15 @@ def find_words(data: np.ndarray, starts: np.ndarray, separators: np.ndarray = SP
     tails = starts[1:][starts[1:] > 0] - 1
     first[heads], last[tails] = inside[heads], inside[tails]
     begin, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+    return begin, end, stretch_hashes(data, begin, end), np.searchsorted(begin, starts)
+
+
+def stretch_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the non-empty stretches of bytes from `begin` to before `end`."""
     power, inverse = _tables(len(data))
     total = np.cumsum(_BYTE[data] * power[: len(data)])
     value = total[end - 1] - np.where(begin > 0, total[begin - 1], np.uint64(0))
-    hashes = mix(value * inverse[begin] + (end - begin).astype(np.uint64))
-    return begin, end, hashes, np.searchsorted(begin, starts)
+    return mix(value * inverse[begin] + (end - begin).astype(np.uint64))
 
 
 def word_hash(word: str) -> int:
