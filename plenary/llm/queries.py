@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from plenary.llm import language, mixing, pieces, pii, secrets, spans, topk, toxicity
+from plenary.llm import language, mixing, pieces, pii, secrets, spans, spotsigs, topk, toxicity
 
 QUERIES, ORACLES = {}, {}
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -93,6 +93,11 @@ def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
         F.size("terms").cast("bigint").alias("n_term"))
 
 
+@query
+def op8_spotsigs(spark: SparkSession, folder: str) -> DataFrame:
+    return spotsigs.edited_fingerprints(table(spark, folder, "documents"))
+
+
 @query
 def op9_pieces(spark: SparkSession, folder: str) -> DataFrame:
     encoded = pieces.encode(table(spark, folder, "documents").select("doc_id", "text"), PIECE_MODEL)
