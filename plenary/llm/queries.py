@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from plenary.llm import language, mixing, pieces, pii, secrets, spans, spotsigs, topk, toxicity
+from plenary.llm import language, mixing, pieces, pii, recurrent, secrets, spans, spotsigs, topk, toxicity
 
 QUERIES, ORACLES = {}, {}
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -82,6 +82,12 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
 
+@query
+def op6_recurrent(spark: SparkSession, folder: str) -> DataFrame:
+    scored = recurrent.score(table(spark, folder, "documents"), remainder(7) != 2)
+    return scored.select("doc_id", (remainder(7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query
 def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.personal_data(table(spark, folder, "documents"))
