@@ -8,8 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plenary.llm import language, mixing, secrets
-from plenary.llm.queries import ownership_columns, remainder, table
+from plenary.llm import language, mixing, neardup, pieces, secrets
+from plenary.llm.queries import PIECE_MODEL, ownership_columns, remainder, table
 from plenary.operators.index import materialize
 
 ORACLE_SQL = None  # learnt models, hashed sampling and token pieces are beyond SQL
@@ -21,6 +21,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return language.accepted(docs, model)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near copies the document with the least id stays."""
+    return neardup.keep_first(docs)
+
+
 def remove_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Live secrets are replaced by a marker in the text; every document stays."""
     return secrets.redact(docs, *ownership_columns())
@@ -31,18 +36,24 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select(*docs.columns)
 
 
+def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row with its piece ids, their number, and whether they decode to the text."""
+    encoded = pieces.encode(docs, PIECE_MODEL)
+    return encoded.withColumn("n_tokens", F.size("ids").cast("bigint"))
+
+
 STAGES = [
     ("language_id", identify_language),
+    ("near_dedup", drop_near_copies),
     ("secrets", remove_secrets),
     ("mixing", mix_sources),
+    ("sentencepiece", tokenise),
 ]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of a folder; each stage's rows are stored before the next one begins."""
     docs = table(spark, sf_dir, "documents")
-    for number, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if number < len(STAGES) - 1:
-            docs = materialize(docs)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

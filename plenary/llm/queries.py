@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from plenary.llm import language, mixing, pieces, pii, recurrent, secrets, spans, spotsigs, topk, toxicity
+from plenary.llm import language, mixing, neardup, pieces, pii, recurrent, secrets, spans, spotsigs, topk, toxicity
 
 QUERIES, ORACLES = {}, {}
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -70,6 +70,11 @@ r AS (SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score
 SELECT * FROM r WHERE rank <= 10"""
 
 
+@query
+def op3_neardup(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.classes(table(spark, folder, "documents")).select("doc_id", "class_id", "class_size")
+
+
 @query
 def op4_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
