@@ -54,11 +54,10 @@ def source_rates(docs: DataFrame, weights: dict[str, float] | None = None, defau
     for name, value in (weights or {}).items():
         weight = F.when(F.col("source").eqNullSafe(F.lit(name)), F.lit(float(value))).otherwise(weight)
     totals = materialize(totals.withColumn("_weight", F.when(F.col("_size") > 0, weight).otherwise(0.0)))
-    whole = totals.agg(F.sum("_weight").alias("_weights"), F.sum("_size").alias("_sizes"))
-    budget = F.col("_sizes") if target is None else F.lit(float(target))
-    wanted = F.col("_weight") / F.col("_weights") * budget / F.col("_size")
-    rate = F.when((F.col("_size") > 0) & (F.col("_weights") > 0), wanted).otherwise(0.0)
-    rates = totals.crossJoin(F.broadcast(whole)).select("source", rate.alias("rate"))  # `whole` is one row
+    all_weights, all_sizes = totals.agg(F.sum("_weight"), F.sum("_size")).first()
+    budget = float(all_sizes or 0.0) if target is None else float(target)
+    wanted = F.col("_weight") / F.lit(all_weights or 1.0) * F.lit(budget) / F.col("_size")
+    rates = totals.select("source", F.when(F.col("_size") > 0, wanted).otherwise(0.0).alias("rate"))
     return materialize(rates.withColumn("steps", poisson_steps(F.col("rate"))))
 
 
