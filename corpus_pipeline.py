@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plenary.llm import language, mixing, neardup, pieces, secrets
-from plenary.llm.queries import PIECE_MODEL, ownership_columns, remainder, table
+from plenary.llm.queries import PIECE_MODEL, remainder, table
 from plenary.operators.index import materialize
 
 ORACLE_SQL = None  # learnt models, hashed sampling and token pieces are beyond SQL
@@ -28,7 +28,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def remove_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Live secrets are replaced by a marker in the text; every document stays."""
-    return secrets.redact(docs, *ownership_columns())
+    return secrets.redact(docs, "source", ["source", "lang"])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

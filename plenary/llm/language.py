@@ -97,7 +97,8 @@ def train(samples: dict[str, list[str]], sample_bytes: int = SAMPLE_BYTES) -> Mo
     width, tables, roots, bits, base = len(used) + 2, [], [], [], 0
     for name in languages:
         moves = suffix_automaton(classes[np.frombuffer(coded[name], np.uint8)].tolist())
-        start = np.full(width, base * width, np.int64)
+        moves.append({})  # the state between phrases, in which every byte begins a new one
+        start = np.full(width, (base + len(moves) - 1) * width, np.int64)
         for c, state in moves[0].items():
             start[c] = (base + state) * width
         table = np.tile(start.astype(np.int32) | _NEW, (len(moves), 1))
@@ -106,7 +107,7 @@ def train(samples: dict[str, list[str]], sample_bytes: int = SAMPLE_BYTES) -> Mo
             if out:
                 table[state, list(out)] = (base + np.fromiter(out.values(), np.int64)) * width
         tables.append(table)
-        roots.append(base * width)
+        roots.append((base + len(moves) - 1) * width)
         bits.append(np.log2(max(len(coded[name]), 2)))
         base += len(moves)
     table = np.concatenate(tables).ravel() if tables else np.zeros(0, np.int32)
@@ -131,7 +132,7 @@ def phrases(model: Model, column: pa.Array, lane: int = LANE):
         within = np.arange(len(code)) - np.repeat(begin, size)
         grid[within, np.repeat(column_of, size)] = code
         state = np.repeat(model.roots[:, None], len(doc), 1)
-        count = np.ones((len(model.languages), len(doc)), np.int32)
+        count = np.zeros((len(model.languages), len(doc)), np.int32)
         longest = size[order]
         for step in range(int(longest[0]) if len(longest) else 0):
             live = int(np.searchsorted(-longest, -step, "left"))  # lanes longer than `step` come first

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from plenary.llm.columns import shield
 from plenary.operators.index import materialize
 
 _BITS = 52  # hex digits 1 to 13 of a hash as a number in [0, 1)
@@ -71,18 +72,18 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, default_weight
         seed: another seed gives another draw.
 
     Returns:
-        The columns of `docs`, and `copy` (1, 2, …), `rate` and `shuffle_key` (the place in the global order).
+        The columns of `docs`, and `copy` (1, 2, …), `rate` and `shuffle_key` (the place in the global order), which
+        take the place of columns of the same names.
         Documents drawn zero times are not in the mixture. Rows that repeat a `doc_id` draw the same count. A
         null `doc_id` draws as the empty id; a null text has size zero; an empty table gives no row.
     """
+    docs, restore = shield(docs, "doc_id", "text", "source")
     rates = source_rates(docs, weights, default_weight, target=target)
-    rates = rates.select(F.col("source").alias("_source"), F.col("rate").alias("_rate"), F.col("steps").alias("_steps"))
+    rates = rates.select(F.col("source").alias("_source"), "rate", "steps")
     joined = docs.join(rates, docs["source"].eqNullSafe(rates["_source"]))
-    times = F.size(F.filter("_steps", lambda p: p <= uniform(seed, F.col("doc_id"))))
-    taken = [c for c in docs.columns if c not in ("copy", "rate", "shuffle_key")]
-    copies = (joined.withColumn("_times", times).where("_times > 0")
-              .select(*taken, F.col("_rate").alias("rate"), F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("copy")))
-    keyed = copies.withColumn("shuffle_key", uniform(seed + 1, F.col("doc_id"), F.col("copy")))
+    times = F.size(F.filter("steps", lambda p: p <= uniform(seed, F.col("doc_id"))))
+    copies = joined.withColumn("times", times).where("times > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times"))))
+    keyed = copies.select(*docs.columns, "rate", "copy", uniform(seed + 1, F.col("doc_id"), F.col("copy")).alias("shuffle_key"))
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     dealt = keyed.repartition(parts, "shuffle_key").sortWithinPartitions("shuffle_key")
-    return dealt.select(*taken, "copy", "rate", "shuffle_key")
+    return restore(dealt, "copy", "rate", "shuffle_key")

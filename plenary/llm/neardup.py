@@ -20,6 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plenary.llm import tokens
+from plenary.llm.columns import shield
 from plenary.llm.components import components
 from plenary.operators.index import materialize
 
@@ -300,9 +301,10 @@ def classes(docs: DataFrame, least: float = LEAST, bands: int = BANDS, rows: int
 
 def keep_first(docs: DataFrame, **settings) -> DataFrame:
     """One document of each class, the one with the least id (of equal ids, any one row), with all its columns."""
+    docs, restore = shield(docs, "doc_id", "text")
     found = classes(docs, **settings)
     least = F.coalesce(F.col("class_id"), F.lit(-(1 << 63)).cast("bigint"))
     who = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63)).cast("bigint"))
     kept = materialize(found.where(who == least).select(who.alias("_who"), F.col("key").alias("_key")).distinct())
     keyed = docs.withColumn("_who", who).withColumn("_key", text_key(F.col("text")))
-    return keyed.join(kept.hint("shuffle_hash"), ["_who", "_key"], "left_semi").dropDuplicates(["_who", "_key"]).select(*docs.columns)
+    return restore(keyed.join(kept.hint("shuffle_hash"), ["_who", "_key"], "left_semi").dropDuplicates(["_who", "_key"]))

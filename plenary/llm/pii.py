@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plenary.llm import spans
+from plenary.llm.columns import shield
 from plenary.operators.index import materialize
 
 KINDS = ["email", "ip", "card", "phone", "term"]
@@ -123,7 +124,11 @@ def personal_data(docs: DataFrame, window: int = WINDOW, generalise: float = GEN
 
 
 def sanitise(docs: DataFrame, remove: float = REMOVE, **settings) -> DataFrame:
-    """`docs` with entities replaced by their kind, terms by `[TERM]`, and the most telling terms taken out."""
+    """`docs` with entities replaced by their kind, terms by `[TERM]`, and the most telling terms taken out.
+
+    Every row and column stays; a null text stays null.
+    """
+    docs, restore = shield(docs, "doc_id", "text")
     keyed = materialize(docs.withColumn("_key", F.monotonically_increasing_id()))
     found = personal_data(keyed.select(F.col("_key").alias("doc_id"), "text"), remove=remove, **settings)
     both = F.concat(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), F.lit(0.0).alias("ratio"))), F.col("terms"))
@@ -131,4 +136,4 @@ def sanitise(docs: DataFrame, remove: float = REMOVE, **settings) -> DataFrame:
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     marker = lambda s: F.when(s["ratio"] >= remove, "").otherwise(F.get(names, s["kind"]))
     text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(spans.replaced(F.col("text"), F.col("_spans"), marker))
-    return keyed.join(changed, "_key", "left").withColumn("text", text).select(*docs.columns)
+    return restore(keyed.join(changed, "_key", "left").withColumn("text", text))

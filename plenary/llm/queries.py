@@ -7,9 +7,10 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from plenary.llm import language, mixing, neardup, pieces, pii, recurrent, secrets, spans, spotsigs, topk, toxicity
+from plenary.llm import language, mixing, neardup, oracles, pieces, pii, recurrent, secrets, spans, spotsigs, topk, toxicity
 
-QUERIES, ORACLES = {}, {}
+QUERIES = {}
+ORACLES = {"op1_secrets": oracles.SECRETS, "op2_topk": oracles.TOP_K, "op5_mixing": oracles.MIXING, "op7_pii": oracles.PERSONAL}
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
@@ -60,16 +61,6 @@ def op2_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.search(table(spark, folder, "embeddings"), F.col("id") % 100 == 0)
 
 
-ORACLES["op2_topk"] = """
-WITH usable AS (SELECT vec_id, embedding FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-v AS (SELECT vec_id, min(list_transform(embedding, lambda x: floor(x::DOUBLE * 1024)::BIGINT)) AS ints FROM usable GROUP BY vec_id),
-s AS (SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.ints::DOUBLE[], v.ints::DOUBLE[])::BIGINT AS score
-  FROM v AS q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 100 = 0),
-r AS (SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score FROM s)
-SELECT * FROM r WHERE rank <= 10"""
-
-
 @query
 def op3_neardup(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.classes(table(spark, folder, "documents")).select("doc_id", "class_id", "class_size")

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plenary.llm import spans
+from plenary.llm.columns import shield
 from plenary.operators.index import materialize
 
 KINDS = ["assign", "access", "hex", "opaque"]
@@ -95,16 +96,24 @@ def secrets(docs: DataFrame, owner: Column, repository: Column, example_owners:
         "spans", F.coalesce("spans", F.array().cast(found.schema["spans"].dataType)))
 
 
-def redact(docs: DataFrame, owner: Column, repository: Column, marker: str = "[SECRET]", **settings) -> DataFrame:
-    """`docs` with its columns, live secrets replaced by a marker and `n_chars`, if there, counted anew."""
+def redact(docs: DataFrame, owner: str, repository: list[str], marker: str = "[SECRET]", **settings) -> DataFrame:
+    """`docs` with its columns, live secrets replaced by a marker and `n_chars`, if there, counted anew.
+
+    Args:
+        owner, repository: the column of the owner, and the columns that together name the repository.
+
+    Every row stays; rows without a candidate are passed on as they are.
+    """
+    docs, restore = shield(docs, "doc_id", "text", "n_chars", owner, *repository)
+    holder, place = F.col(owner), F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in repository])
     hit = F.size(candidates(F.coalesce(F.col("text"), F.lit("")))) > 0
     keyed = materialize(docs.where(hit).withColumn("_key", F.monotonically_increasing_id()))  # only these rows move
     named = keyed.withColumn("doc_id", F.col("_key"))
-    found = secrets(named, owner, repository, **settings).select(F.col("doc_id").alias("_key"), F.filter("spans", lambda s: s["live"]).alias("_live"))
+    found = secrets(named, holder, place, **settings).select(F.col("doc_id").alias("_key"), F.filter("spans", lambda s: s["live"]).alias("_live"))
     found = found.where(F.size("_live") > 0)
     joined = keyed.join(found, "_key", "left")
     text = F.when(F.col("_live").isNull(), F.col("text")).otherwise(spans.replaced(F.col("text"), F.col("_live"), lambda s: F.lit(marker)))
     out = joined.withColumn("text", text)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("_live").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("bigint")))
-    return docs.where(~hit).unionByName(out.select(*docs.columns))
+    return restore(docs.where(~hit).unionByName(out.select(*docs.columns)))

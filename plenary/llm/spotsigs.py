@@ -134,7 +134,7 @@ def with_next(docs: DataFrame, parts: int | None = None) -> DataFrame:
     key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63)).cast("bigint"))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), key.alias("key"))
     cuts = rows.select(F.percentile_approx("key", [i / parts for i in range(1, parts)], 10000)).first()[0] or []
-    borders = sorted({float(c) for c in cuts})
+    borders = sorted({float(c) for c in cuts}) or [0.0]
     splits = [-float("inf"), *borders, float("inf")]
     ranged = Bucketizer(splits=splits, inputCol="place", outputCol="part").transform(rows.withColumn("place", F.col("key").cast("double")))
     ranged = ranged.withColumn("part", F.col("part").cast("int"))

@@ -85,7 +85,7 @@ def fit(samples: list[tuple[int, np.ndarray]], share: float | None = None, epoch
     z, n = np.zeros((1 << bits) + 1), np.zeros((1 << bits) + 1)
     bias = 1 << bits
     rng = np.random.default_rng(seed)
-    samples = [(y, np.append(np.asarray(x, np.int64), bias)) for y, x in samples]
+    samples = [(y, np.append(x, bias).astype(np.int32)) for y, x in samples]
 
     def weights(i):
         shrunk = np.sign(z[i]) * np.maximum(np.abs(z[i]) - np.where(i == bias, 0.0, l1), 0.0)
@@ -142,8 +142,12 @@ def toxicity(docs: DataFrame, labels: DataFrame, usable, label: str = "toxic", p
     Returns:
         `doc_id`, `score` (0 to 1), one row per row of `docs`.
     """
-    rows = training_sample(docs, labels, label, usable, per_class).toArrow().to_pydict()
-    samples = sorted(((y, np.asarray(x)) for y, x in zip(rows["y"], rows["features"])), key=lambda s: (s[0], len(s[1]), s[1].tobytes()))
+    rows = training_sample(docs, labels, label, usable, per_class).toArrow().combine_chunks()
+    samples = []
+    for y, x in zip(rows.column("y").chunks, rows.column("features").chunks):
+        lists = np.split(x.flatten().to_numpy(), x.offsets.to_numpy()[1:-1] - x.offsets[0].as_py())
+        samples += zip(y.to_pylist(), lists)
+    samples.sort(key=lambda s: (s[0], len(s[1]), s[1].tobytes()))
     counted = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).where(usable)
     share = counted.agg(F.avg(F.col(label).cast("double"))).first()[0]
     return score(docs, fit(samples, share))
