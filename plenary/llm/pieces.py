@@ -20,6 +20,7 @@ from plenary.llm import tokens
 
 _BLANK = "▁"
 SLICE_BYTES = 1 << 20  # of distinct words handled at a time; a longer word is handled alone
+BATCH_BYTES = 6 << 20  # of text that is indexed together
 LONG = 400  # words of more symbols are relaxed with a heap
 
 
@@ -60,8 +61,11 @@ def load(model_file: str) -> Pieces:
 def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """starts[0], starts[0] + 1, … (lengths[0] numbers), starts[1], …"""
     total = int(lengths.sum())
-    shift = np.repeat(starts - np.concatenate([[0], np.cumsum(lengths)[:-1]]) if len(starts) else starts, lengths)
-    return shift + np.arange(total)
+    kind = np.int32 if total + (int(starts.max()) if len(starts) else 0) < 1 << 31 else np.int64
+    shift = starts - np.concatenate([[0], np.cumsum(lengths)[:-1]]) if len(starts) else starts
+    out = np.repeat(shift.astype(kind), lengths)
+    out += np.arange(total, dtype=kind)
+    return out
 
 
 def _keys(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -274,9 +278,15 @@ def encode_batch(column: pa.Array, pieces: Pieces) -> tuple[np.ndarray, np.ndarr
 
 def decode_batch(ids: np.ndarray, offsets: np.ndarray, pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts end to end, and their offsets; the mark before the first word is taken away."""
-    size = np.diff(pieces.offsets)[ids]
-    data = pieces.data[spread(pieces.offsets[ids], size)]
-    bounds = np.concatenate([[0], np.cumsum(size)])[offsets]
+    lengths = np.diff(pieces.offsets)
+    parts, counts = [np.zeros(0, np.uint8)], [np.zeros(1, np.int64)]
+    for at in range(0, len(ids), 1 << 19):  # places of half a million pieces at a time
+        part = ids[at: at + (1 << 19)]
+        size = lengths[part]
+        parts.append(pieces.data[spread(pieces.offsets[part], size)])
+        counts.append(size)
+    data = np.concatenate(parts)
+    bounds = np.cumsum(np.concatenate(counts))[offsets]
     keep = np.ones(len(data), bool)
     heads = bounds[:-1][bounds[:-1] < bounds[1:]]
     keep[heads[data[heads] == 32]] = False
@@ -301,7 +311,7 @@ def encode(docs: DataFrame, model_file: str, column: str = "text") -> DataFrame:
             at, rows = 0, batch.num_rows
             sizes = np.cumsum(pc.binary_length(batch.column(place).fill_null("")).to_numpy(zero_copy_only=False).astype(np.int64))
             while at < rows:
-                end = max(int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + (16 << 20), "right")), at + 1)
+                end = max(int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + BATCH_BYTES, "right")), at + 1)
                 part = batch.slice(at, end - at)
                 text = part.column(place).fill_null("")
                 ids, offsets = encode_batch(text, pieces)

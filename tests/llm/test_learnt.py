@@ -210,7 +210,7 @@ def test_block_scores_beside_one_text_at_a_time():
     counts = np.array([4, 0, 3, 2, 1])
     sizes = np.array([0, 90, 3, 1])
     codes = rng.integers(0, 5, sizes.sum())
-    _, _, base, score = recurrent._score_block(net, seen, sizes, codes, words, counts, window=8)
+    _, _, base, score = recurrent._score_block(net, seen, sizes, codes, words, counts, rows=8)
     number = recurrent._numbers(words, seen)
     end = int(recurrent._numbers(np.array([recurrent.END]), seen)[0])
     at = 0
