@@ -12,8 +12,8 @@ from plenary.session import spread
 
 
 def _attempts(t: Tables) -> DataFrame:
-    """Assistant turns as attempts; very long answers count as failed."""
-    failed = F.when(F.length("text") > 800, "429")
+    """Assistant turns as attempts; every fourth conversation's second turns failed."""
+    failed = F.when((F.col("conv_id") % 4 == 0) & (F.col("turn") % 4 == 1), "429")
     return t.conversations.where("role = 'assistant'").select(
         F.col("conv_id").cast("string").alias("item_id"), F.col("turn").cast("int").alias("attempt"), "text",
         failed.alias("error"))
@@ -28,11 +28,11 @@ def _items(t: Tables) -> DataFrame:
 _ANSWERS = f"""items AS (SELECT conv_id, arg_min(CASE WHEN role = 'system' THEN '' ELSE text END, turn) AS content
   FROM conversations GROUP BY conv_id),
 ok AS (SELECT conv_id, turn, {strip('text')} AS answer FROM conversations
-  WHERE role = 'assistant' AND length(text) <= 800),
-sums AS (SELECT conv_id, arg_min(answer, turn) AS answer FROM ok WHERE turn <= 5 AND answer <> '' GROUP BY conv_id),
+  WHERE role = 'assistant' AND NOT (conv_id % 4 = 0 AND turn % 4 = 1)),
+sums AS (SELECT conv_id, arg_min(answer, turn) AS answer FROM ok WHERE answer <> '' GROUP BY conv_id),
 bills AS (SELECT i.conv_id, i.content, CASE WHEN i.content = '' THEN '' WHEN answer IS NULL THEN i.content
   ELSE {strip("translate(answer, '→·|,', '')")} || '함' END AS summary FROM items i LEFT JOIN sums USING (conv_id)),
-lines AS (SELECT conv_id, turn, {strip("split_part(answer, chr(10), 1)")} AS line FROM ok WHERE turn <= 3),
+lines AS (SELECT conv_id, turn, {strip("split_part(answer, chr(10), 1)")} AS line FROM ok),
 slogans AS (SELECT conv_id, arg_min(line, turn) AS line FROM lines WHERE length(line) BETWEEN 7 AND 35 GROUP BY conv_id)"""
 
 
@@ -60,7 +60,7 @@ def first_sentence_summary(t):
 
 
 @query(f"""WITH f AS (SELECT 'conv/' || conv_id AS url, turn, text,
-    CASE WHEN role = 'user' THEN 'HTTP ' || length(text) END AS error FROM conversations WHERE turn <= 2),
+    CASE WHEN role = 'user' THEN 'HTTP ' || length(text) END AS error FROM conversations),
 r AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY error IS NOT NULL,
     CASE WHEN error IS NULL THEN turn END, turn DESC) AS rn FROM f)
 SELECT url, CASE WHEN error IS NULL THEN {content_clean('text')} ELSE 'ERROR: ' || error END AS content,
@@ -73,7 +73,7 @@ def fetch_outcome(t):
         F.concat(F.lit("conv/"), F.col("conv_id").cast("string")).alias("url"), F.col("turn").cast("int").alias("attempt"),
         F.when(~failed, page).alias("html"),
         F.when(failed, F.concat(F.lit("HTTP "), F.length("text").cast("string"))).alias("error"))
-    return fetched_content(fetches, max_attempts=2)
+    return fetched_content(fetches)
 
 
 @query("""SELECT event_id || '.pdf' AS file_name,
@@ -94,14 +94,17 @@ def field_extract(t):
     return extracted_fields(rows)
 
 
-@query("""SELECT doc_id::VARCHAR AS item_id, '법안을 주제 분류 하나로 나누세요. 목록에 없으면 새 분류를 쓰세요.
+@query("""WITH p AS (SELECT *, greatest(ceil(length(text) / 3000.0)::INT, 1) AS parts FROM documents),
+c AS (SELECT *, unnest(range(0, parts))::INT AS part FROM p)
+SELECT doc_id::VARCHAR AS item_id, part, parts, '법안을 주제 분류 하나로 나누세요. 목록에 없으면 새 분류를 쓰세요.
 분류: 교육정책, 보건의료, 경제금융, 환경에너지, 사회복지, 국방안보, 법무사법, 행정안전, 과학기술, 문화체육, 농림수산, 국토교통, 외교통일, 디지털정보통신, 출입국관리, 기타
 제목: ' || source || '
-내용: ' || left(text, 3000) || '
-답: {"category": "분류", "subcategory": "세부", "confidence": 0.9}' AS prompt FROM documents""")
+내용: ' || substr(text, part * 3000 + 1, 3000) || '
+답: {"category": "분류", "subcategory": "세부", "confidence": 0.9}' AS prompt FROM c""")
 def prompt_table(t):
-    """Classification prompts within the task's text budget."""
-    return prompts.prompt_table(t.documents, "doc_id", prompts.classify_prompt(F.col("source"), F.col("text")))
+    """Classification requests over whole texts, long ones in parts."""
+    docs = spread(t.documents, "doc_id")
+    return prompts.prompt_parts(docs, "doc_id", "text", prompts.CLASSIFY_CHARS, lambda part: prompts.classify_prompt(F.col("source"), part))
 
 
 @query("""SELECT doc_id::VARCHAR AS item_id, '핵심 조치와 이유를 한 문장으로 요약하고 ''함''으로 끝내세요. → · | , 는 쓰지 마세요.
@@ -123,9 +126,34 @@ def nickname_prompt(t):
 
 
 @query(f"""WITH one AS (SELECT conv_id, arg_min({strip('text')}, turn) AS nickname FROM conversations
-  WHERE role = 'assistant' AND length(text) <= 800 AND {strip('text')} <> '' GROUP BY conv_id)
+  WHERE role = 'assistant' AND NOT (conv_id % 4 = 0 AND turn % 4 = 1) AND {strip('text')} <> '' GROUP BY conv_id)
 SELECT DISTINCT c.conv_id AS topic, nickname FROM conversations c LEFT JOIN one USING (conv_id)""")
 def topic_nicknames(t):
     """The first usable nickname of each topic, null without one."""
     topics = t.conversations.select(F.col("conv_id").alias("topic")).distinct()
     return responses.nicknames(topics, _attempts(t))
+
+
+@query(f"""WITH ok AS (SELECT conv_id, turn, {tidy('text')} AS answer FROM conversations
+  WHERE role = 'assistant' AND NOT (conv_id % 4 = 0 AND turn % 4 = 1)),
+a AS (SELECT conv_id, arg_min(answer, turn) AS answer FROM ok WHERE answer <> '' GROUP BY conv_id)
+SELECT doc_id AS bill_id, CASE WHEN {strip('text')} = '' THEN text ELSE coalesce(answer, text) END AS content
+FROM documents LEFT JOIN a ON doc_id = conv_id""")
+def stop_word_answers(t):
+    """Texts replaced by the first usable stop-word answer, the text itself without one."""
+    bills = t.documents.select(F.col("doc_id").cast("string").alias("bill_id"), F.col("text").alias("content"))
+    cleaned = responses.cleaned_texts(bills, _attempts(t))
+    return cleaned.select(F.col("bill_id").cast("bigint").alias("bill_id"), "content")
+
+
+@query("""SELECT lang || '_' || source AS item_id, ((rn - 1) // 15)::INT AS part, '같은 분류의 법안을 비슷한 것끼리 묶고 번호로 답하세요.
+분류: ' || lang || '_' || source || '
+' || string_agg(rn || '. ' || text, chr(10) ORDER BY rn) || '
+답: {"groups": [{"name": "묶음", "bills": [1, 2]}]}' AS prompt
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source ORDER BY doc_id) AS rn FROM documents) GROUP BY lang, source, part""")
+def grouping_prompts(t):
+    """Grouping requests: every title of every class, some per request."""
+    docs = t.documents.select("doc_id", F.concat_ws("_", "lang", "source").alias("topic"), F.col("text").alias("title"))
+    pages = prompts.numbered_titles(docs, "topic", "doc_id")
+    return pages.select(F.col("topic").alias("item_id"), F.col("page").alias("part"),
+                        prompts.grouping_prompt(F.col("topic"), F.col("titles")).alias("prompt"))

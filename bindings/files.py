@@ -73,6 +73,16 @@ def csv_unquoted_lines(t):
   CASE WHEN p_size < 10 THEN NULL ELSE p_brand || ',"' END AS brand FROM part WHERE p_size <= 40""")
 def csv_lenient_scan(t):
     """Rows with too many fields are dropped, rows with too few are padded."""
+    return tables.read_csv_lenient(t.spark, _lenient_file(t), _texts("id", "name", "brand"))
+
+
+@query('''SELECT p_partkey || ',' || p_name || ',"' || p_brand || ',""",surplus' AS row, 4 AS fields FROM part WHERE p_size > 40''')
+def csv_rejected_rows(t):
+    """The rows that the lenient scan leaves out."""
+    return tables.csv_rejects(t.spark, _lenient_file(t), _texts("id", "name", "brand")).select("row", "fields")
+
+
+def _lenient_file(t: Tables) -> str:
     path = _folder(t)
     full = F.concat(F.col("p_partkey").cast("string"), F.lit(","), "p_name", F.lit(',"'), "p_brand", F.lit(',"""'))
     line = (
@@ -81,7 +91,7 @@ def csv_lenient_scan(t):
         .when(F.col("p_size") > 40, F.concat(full, F.lit(",surplus"))).otherwise(full)
     )
     sinks.write_lines(t.part.select(line.alias("value")), path, "id,name,brand")
-    return tables.read_csv_lenient(t.spark, path, _texts("id", "name", "brand"))
+    return path
 
 
 @query("""SELECT c_custkey::VARCHAR AS party, '정당 ' || c_name AS color FROM customer
@@ -148,3 +158,25 @@ def line_file_repair(t):
 def stored_table(t):
     """A table stored in the shared folder and read back with its real size."""
     return materialize(t.orders.groupBy(F.col("o_custkey").alias("bill_id")).agg(F.count(F.lit(1)).alias("n")))
+
+
+@query("""SELECT 'members' || (c_custkey % 3 + 20) || '.csv' AS file, (c_custkey % 3 + 20)::INT AS age, count(*) AS members, min(c_name) AS first
+FROM customer GROUP BY ALL""")
+def term_files_scan(t):
+    """Per-term files read in one scan, the term taken from each file's name."""
+    path = _folder(t)
+    members = t.customer.select(F.col("c_custkey").cast("string").alias("member_id"), F.col("c_name").alias("name"), (F.col("c_custkey") % 3 + 20).alias("term"))
+    for term in (20, 21, 22):
+        sinks.write_csv(members.where(F.col("term") == term).drop("term"), f"{path}/members{term}.csv")
+    rows = t.spark.read.option("recursiveFileLookup", True).schema(_texts("member_id", "name")).csv(path, header=True)
+    folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+    named = rows.select("name", folder.alias("file"), tables.file_term(folder).alias("age"))
+    return named.groupBy("file", "age").agg(F.count(F.lit(1)).alias("members"), F.min("name").alias("first"))
+
+
+@query("SELECT 'PRC_' || o_orderkey AS bill_id FROM orders")
+def key_list_scan(t):
+    """A file of keys read as a table of keys."""
+    path = _folder(t)
+    sinks.write_csv(t.orders.select(F.concat(F.lit("PRC_"), F.col("o_orderkey").cast("string")).alias("bill_id")), path)
+    return tables.read_key_list(t.spark, path)

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from bindings.registry import Tables, query
 from bindings.sqltext import article_text, content_clean, strip, tidy
+from bindings.tables import extract_number, matched
 from bindings.texts import _LAW
-from plenary.operators.index import materialize
 from plenary.plans import backfill, bills
 from plenary.session import spread
+from plenary.sources import landed
 from plenary.sources.landed import vote_rows
 
 
@@ -18,12 +19,14 @@ def _text(name: str):
 
 
 def _vote_pages(t: Tables) -> DataFrame:
-    """One landed page per order; orders in work have an error page without rows."""
+    """One landed page per order; orders in work have an error page without rows, some cells a text."""
+    cell = F.concat(F.lit("page/"), _text("o_custkey"), F.when(
+        F.col("o_custkey") % 7 == 0, F.concat(F.lit(", note "), _text("o_orderstatus"))).otherwise(""))
     row = F.format_string(
         '{"AGE":"22","MONA_CD":"M%s","BILL_NAME":"%s","BILL_NO":"%s","BILL_ID":"PRC_%s","RESULT_VOTE_MOD":"%s",'
-        '"VOTE_DATE":"%s","BILL_URL":"page/%s","SEQ":%s}',
+        '"VOTE_DATE":"%s","BILL_URL":"%s","SEQ":%s}',
         _text("o_orderkey"), "o_orderpriority", F.lpad(_text("o_custkey"), 7, "0"), _text("o_custkey"), "o_orderstatus",
-        F.date_format("o_orderdate", "yyyyMMdd HHmmss"), _text("o_custkey"), _text("o_orderkey"))
+        F.date_format("o_orderdate", "yyyyMMdd HHmmss"), cell, _text("o_orderkey"))
     page = F.concat(F.lit('{"nojepdqqaweusdfbi":[{"head":[{"list_total_count":1}]},{"row":['), row, F.lit("]}]}"))
     error = F.lit('{"RESULT":{"CODE":"INFO-200","MESSAGE":"none"}}')
     orders = spread(t.orders, "o_orderkey")
@@ -32,7 +35,7 @@ def _vote_pages(t: Tables) -> DataFrame:
 
 _LANDED = """SELECT '22' AS "AGE", 'M' || o_orderkey AS "MONA_CD", o_orderpriority AS "BILL_NAME",
   lpad(o_custkey::VARCHAR, 7, '0') AS "BILL_NO", 'PRC_' || o_custkey AS "BILL_ID", o_orderstatus AS "RESULT_VOTE_MOD",
-  strftime(o_orderdate, '%Y%m%d %H%M%S') AS "VOTE_DATE", 'page/' || o_custkey AS "BILL_URL"
+  strftime(o_orderdate, '%Y%m%d %H%M%S') AS "VOTE_DATE", 'page/' || o_custkey || CASE WHEN o_custkey % 7 = 0 THEN ', note ' || o_orderstatus ELSE '' END AS "BILL_URL"
 FROM orders WHERE o_orderpriority <> '5-LOW'"""
 
 
@@ -52,6 +55,18 @@ def landed_passed_ids(t):
     return bills.passed_ids(t.orders.select(body.alias("body")))
 
 
+@query("""SELECT count(*) AS pages, count(*) FILTER (o_orderpriority <> '1-URGENT') AS parsed_pages,
+  count(*) FILTER (o_orderpriority NOT IN ('1-URGENT', '5-LOW')) AS row_pages,
+  count(*) FILTER (o_orderpriority NOT IN ('1-URGENT', '5-LOW'))::BIGINT AS landed_rows, count(*)::INT AS stated_rows FROM orders""")
+def landed_report(t):
+    """Pages that parse, rows landed and rows stated, before anything is read from the pages."""
+    head = F.lit('{"BILLRCP":[{"head":[{"list_total_count":%d}]}' % t.orders.count())
+    full = F.concat(head, F.lit(',{"row":[{"BILL_ID":"'), _text("o_orderkey"), F.lit('"}]}]}'))
+    body = F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("<html>busy")).when(
+        F.col("o_orderpriority") == "5-LOW", F.concat(head, F.lit("]}"))).otherwise(full)
+    return landed.page_report(t.orders.select(body.alias("body")), landed.BILL_SERVICE)
+
+
 def _fetches(t: Tables) -> DataFrame:
     """Pages whose article stands for the content block, fetched at the second attempt."""
     html = F.replace(F.replace(F.col("html"), F.lit("<article>"), F.lit('<div id="summaryContentDiv" class="textType02">')),
@@ -72,31 +87,30 @@ def _responses(t: Tables) -> DataFrame:
 _CLEANED = tidy(f"regexp_replace(content, '{_LAW}', ' ', 'g')")
 
 
-@query(f"""WITH v AS ({_LANDED}), p AS (SELECT 'page/' || page_id AS url, {content_clean(article_text('html'))} AS content FROM pages),
+@query(f"""WITH v AS ({_LANDED}), t AS (SELECT 'page/' || page_id AS url, {content_clean(article_text('html'))} AS content FROM pages
+  UNION ALL SELECT DISTINCT split_part("BILL_URL", ',', 1), {strip("split_part(\"BILL_URL\", ',', 2)")} FROM v WHERE "BILL_URL" LIKE '%,%'),
+p AS (SELECT url, string_agg(content, ' / ' ORDER BY content) AS content FROM t GROUP BY url),
 b AS (SELECT 'PRC_' || substr(url, 6) AS bill_id, url, {_CLEANED} AS cleaned FROM p),
 a AS (SELECT 'PRC_' || conv_id AS bill_id, turn, {strip('text')} AS answer FROM conversations WHERE role = 'assistant'),
-s AS (SELECT bill_id, arg_min(answer, turn) AS answer FROM a WHERE answer <> '' AND turn <= 5 GROUP BY bill_id),
-l AS (SELECT bill_id, turn, {strip("split_part(answer, chr(10), 1)")} AS line FROM a WHERE turn <= 3),
+s AS (SELECT bill_id, arg_min(answer, turn) AS answer FROM a WHERE answer <> '' GROUP BY bill_id),
+l AS (SELECT bill_id, turn, {strip("split_part(answer, chr(10), 1)")} AS line FROM a),
 c AS (SELECT bill_id, arg_min(line, turn) AS line FROM l WHERE length(line) BETWEEN 7 AND 35 GROUP BY bill_id),
 done AS (SELECT b.*, CASE WHEN cleaned = '' OR answer IS NULL THEN cleaned ELSE answer END AS raw, answer, line
   FROM b LEFT JOIN s USING (bill_id) LEFT JOIN c USING (bill_id)),
 final AS (SELECT bill_id, url, cleaned, CASE WHEN cleaned = '' OR answer IS NULL THEN cleaned
   ELSE {strip("translate(answer, '→·|,', '')")} || '함' END AS summary, line FROM done)
 SELECT "AGE" AS age, "MONA_CD" AS member_id, "BILL_NAME" AS title, "BILL_NO" AS bill_number, v."BILL_ID" AS bill_id,
-  "RESULT_VOTE_MOD" AS result, strptime("VOTE_DATE", '%Y%m%d %H%M%S')::DATE AS date, v."BILL_URL" AS url, cleaned, summary,
+  "RESULT_VOTE_MOD" AS result, strptime("VOTE_DATE", '%Y%m%d %H%M%S')::DATE AS date, f.url, cleaned, summary,
   CASE WHEN summary = '' THEN '내용 없음' ELSE coalesce(line, '더 나은 사회를 위한 변화!') END AS card_news_content
-FROM v JOIN final f ON f.url = v."BILL_URL" """)
+FROM v JOIN final f ON f.url = split_part(v."BILL_URL", ',', 1)""")
 def term_assembly(t):
-    """One term from landed votes and pages to votes with cleaned text, summary and slogan."""
+    """One term from landed votes, pages and texts in page cells to votes with cleaned text, summary and slogan."""
     answers = _responses(t)
-    votes = materialize(vote_rows(_vote_pages(t)))  # parsed once, read several times
-    return bills.assemble_term(votes, _fetches(t), answers, answers)["05_final"]
+    return bills.assemble_term(vote_rows(_vote_pages(t)), _fetches(t), answers, answers)["05_final"]
 
 
-@query(f"""WITH t AS (SELECT (o_orderkey // 10000)::INT AS age, 'PRC_' || o_orderkey AS bill_id,
-    lpad(o_orderkey::VARCHAR, 7, '0') AS bill_number, o_orderpriority AS title FROM orders),
-x AS (SELECT (c_custkey // 10000)::INT AS age, lpad(c_custkey::VARCHAR, 7, '0') AS bill_number, c_name || ' ' || c_mktsegment AS content FROM customer),
-m AS (SELECT t.age, title, bill_id, t.bill_number, content FROM t JOIN x ON t.age = x.age AND right(t.bill_number, 4) = right(x.bill_number, 4)
+@query(f"""WITH {matched("c_name || ' ' || c_mktsegment")},
+m AS (SELECT age, title, bill_id, bill_number, content FROM matched
   UNION ALL SELECT 99, p_name, 'P' || p_partkey, p_partkey::VARCHAR, CASE WHEN p_size > 40 THEN p_type END FROM part),
 f AS (SELECT p_partkey::VARCHAR AS bill_number, min(l_returnflag || l_linestatus) AS fill FROM lineitem JOIN part ON l_partkey = p_partkey
   WHERE p_size > 20 GROUP BY ALL)
@@ -105,11 +119,11 @@ WHERE coalesce(fill, content) IS NOT NULL""")
 def backfill_bills(t):
     """Titles and extracts merged, put together with published bills, filled by number and cleaned."""
     titles = spread(t.orders, "o_orderkey").select(
-        F.floor(F.col("o_orderkey") / 10000).cast("int").alias("age"),
+        (F.col("o_orderkey") % 2).cast("int").alias("age"),
         F.concat(F.lit("http://x/y?a=1&billId=PRC%5F"), _text("o_orderkey")).alias("url"),
         F.concat(F.lit("["), F.lpad(_text("o_orderkey"), 7, "0"), F.lit("] "), F.col("o_orderpriority")).alias("bill_title"))
     extracts = t.customer.select(
-        F.floor(F.col("c_custkey") / 10000).cast("int").alias("age"), _text("c_custkey").alias("bill_number"),
+        (extract_number() % 2).cast("int").alias("age"), extract_number().cast("string").alias("bill_number"),
         F.col("c_name").alias("reason"), F.col("c_mktsegment").alias("main"))
     published = t.part.select(
         F.lit(99).alias("age"), F.col("p_name").alias("title"), F.concat(F.lit("P"), _text("p_partkey")).alias("bill_id"),
@@ -136,7 +150,7 @@ def enriched_bills(t):
 
 @query(f"""SELECT '22' AS age, 'M' || o_orderkey AS member_id, o_orderpriority AS "BILL_NAME",
   lpad(o_custkey::VARCHAR, 7, '0') AS bill_number, o_orderstatus AS result, strftime(o_orderdate, '%Y-%m-%d') AS date,
-  'page/' || o_custkey AS "BILL_URL" FROM orders WHERE o_orderpriority <> '5-LOW'""")
+  'page/' || o_custkey || CASE WHEN o_custkey % 7 = 0 THEN ', note ' || o_orderstatus ELSE '' END AS "BILL_URL" FROM orders WHERE o_orderpriority <> '5-LOW'""")
 def published_votes(t):
     """The published vote table, dates as text."""
     return backfill.vote_table(vote_rows(_vote_pages(t)))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from bindings.registry import Tables, query
 from bindings.sqltext import strip
@@ -95,28 +95,37 @@ def left_enrich_dropna(t):
     return joins.attach_results(bills.votes_with_text(votes, texts), results, ["summary", "card_news_content"])
 
 
-@query(f"""WITH l AS (
-  SELECT (o_orderkey // 10000)::INT AS age, o_orderpriority AS title, 'PRC_' || o_orderkey AS bill_id,
-    lpad(o_orderkey::VARCHAR, 7, '0') AS bill_number FROM orders),
-r AS (
-  SELECT (c_custkey // 10000)::INT AS age, lpad(right(c_custkey::VARCHAR, 4), 4, '0') AS k,
-    CASE WHEN c_acctbal >= 0 THEN c_name END AS reason,
-    CASE WHEN c_mktsegment <> 'MACHINERY' THEN c_mktsegment END AS main FROM customer)
-SELECT l.age, title, bill_id, bill_number, {strip("coalesce(reason, '') || ' ' || coalesce(main, '')")} AS content
-FROM l JOIN r ON l.age = r.age AND right(l.bill_number, 4) = r.k
-WHERE {strip("coalesce(reason, '') || ' ' || coalesce(main, '')")} <> ''""")
+def matched(content: str) -> str:
+    """CTEs that end in `matched`: orders with the customers' texts, by equal number, else by last four digits."""
+    return f"""l AS (SELECT (o_orderkey % 2)::INT AS age, o_orderpriority AS title, 'PRC_' || o_orderkey AS bill_id,
+  lpad(o_orderkey::VARCHAR, 7, '0') AS bill_number, o_orderkey::VARCHAR AS f, right(lpad(o_orderkey::VARCHAR, 7, '0'), 4) AS k FROM orders),
+c AS (SELECT *, ((c_custkey // 2) * 37) % 15000 AS n FROM customer),
+r AS (SELECT (n % 2)::INT AS age, n::VARCHAR AS f, right(lpad(n::VARCHAR, 4, '0'), 4) AS k, {content} AS x FROM c WHERE {content} <> ''),
+e AS (SELECT age, f, string_agg(x, ' / ' ORDER BY x) AS content, count(*) AS matches FROM r GROUP BY age, f),
+s AS (SELECT age, k, string_agg(x, ' / ' ORDER BY x) AS content, count(*) AS matches FROM r ANTI JOIN l USING (age, f) GROUP BY age, k),
+matched AS (SELECT l.age, title, bill_id, bill_number, content, matches FROM l JOIN e USING (age, f)
+  UNION ALL SELECT l.age, title, bill_id, bill_number, content, matches FROM (FROM l ANTI JOIN e USING (age, f)) AS l JOIN s USING (age, k))"""
+
+
+def extract_number() -> Column:
+    """Numbers that several customers share, in full or in their last four digits."""
+    return F.floor(F.col("c_custkey") / 2) * 37 % 15000
+
+
+@query(f"""WITH {matched(strip("coalesce(CASE WHEN c_acctbal >= 0 THEN c_name END, '') || ' ' || coalesce(CASE WHEN c_mktsegment <> 'MACHINERY' THEN c_mktsegment END, '')"))}
+SELECT * FROM matched""")
 def last4_key_join(t):
-    """Bills without text joined to extracts of their term on the last four digits of the number."""
+    """Bills without text joined to extracts of their term by number, else on its last four digits."""
     missing = t.orders.select(
-        F.floor(F.col("o_orderkey") / 10000).cast("int").alias("age"), F.col("o_orderpriority").alias("title"),
+        (F.col("o_orderkey") % 2).cast("int").alias("age"), F.col("o_orderpriority").alias("title"),
         F.concat(F.lit("PRC_"), F.col("o_orderkey").cast("string")).alias("bill_id"),
         zero_fill(F.col("o_orderkey"), 7).alias("bill_number"))
     extracts = t.customer.select(
-        F.floor(F.col("c_custkey") / 10000).cast("int").alias("age"),
-        F.concat(F.lit(" "), F.col("c_custkey").cast("string")).alias("bill_number"),
+        (extract_number() % 2).cast("int").alias("age"),
+        F.concat(F.lit(" "), extract_number().cast("string")).alias("bill_number"),
         F.when(F.col("c_acctbal") >= 0, F.col("c_name")).alias("reason"),
         F.when(F.col("c_mktsegment") != "MACHINERY", F.col("c_mktsegment")).alias("main"))
-    return joins.fill_from_extracts(missing, extracts).select("age", "title", "bill_id", "bill_number", "content")
+    return joins.fill_from_extracts(missing, extracts).select("age", "title", "bill_id", "bill_number", "content", "matches")
 
 
 @query("""WITH k AS (SELECT count(*) AS rows_per_key FROM orders GROUP BY o_custkey)
@@ -214,17 +223,19 @@ def trimmed_inner_join(t):
 
 
 @query("""SELECT lpad(c_custkey::VARCHAR, greatest(7, length(c_custkey::VARCHAR))::INT, '0') AS "SGG_Code", c_name,
-  CASE WHEN s_suppkey IS NOT NULL THEN '{"type":"Point","coordinates":[' || s_suppkey || ',' || s_nationkey || ']}' END AS boundary
+  CASE WHEN s_suppkey IS NOT NULL THEN '{"type":"Point","coordinates":[' || s_suppkey || ',' || CASE WHEN s_suppkey % 2 = 0 THEN 99 ELSE s_nationkey END || ']}' END AS boundary
 FROM customer LEFT JOIN supplier ON s_suppkey = c_custkey""")
 def boundary_lookup(t):
-    """Zero-filled codes with the geometry text of their GeoJSON feature."""
-    feature = ('{"type":"FeatureCollection","features":[{"type":"Feature","properties":{"SGG_Code":"%s"},'
-               '"geometry":{"type":"Point","coordinates":[%s,%s]}}]}')
-    collections = t.supplier.select(F.format_string(
-        feature, F.lpad(F.col("s_suppkey").cast("string"), 7, "0"), F.col("s_suppkey").cast("string"),
-        F.col("s_nationkey").cast("string")).alias("body"))
+    """Zero-filled codes with the geometry text of their GeoJSON feature; codes repeat in files and across them."""
+    code, key = F.lpad(F.col("s_suppkey").cast("string"), 7, "0"), F.col("s_suppkey").cast("string")
+    feature = '{"type":"Feature","properties":{"SGG_Code":"%s"},"geometry":{"type":"Point","coordinates":[%s,%s]}}'
+    first = F.format_string('{"type":"FeatureCollection","features":[' + feature + "," + feature + "]}",
+                            code, key, F.lit("7"), code, key, F.col("s_nationkey").cast("string"))
+    later = F.format_string('{"type":"FeatureCollection","features":[' + feature + "]}", code, key, F.lit("99"))
+    collections = t.supplier.select(first.alias("body"), F.lit("a.json").alias("file")).unionByName(
+        t.supplier.where("s_suppkey % 2 = 0").select(later.alias("body"), F.lit("b.json").alias("file")))
     districts = t.customer.select(F.col("c_custkey").alias("SGG_Code"), "c_name")
-    return joins.attach_boundary(districts, boundaries(collections))
+    return joins.attach_boundary(districts, boundaries(collections, file="file"))
 
 
 _WORDS = ("token", "license", "@", "%%")

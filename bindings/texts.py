@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from bindings.registry import query
-from bindings.sqltext import article_text, content_clean, strip, tidy
+from bindings.sqltext import SPACE, article_text, content_clean, strip, tidy
 from plenary.functions import html, jsons, lexicon, text
 from plenary.operators.filters import is_valid_file_id, is_web_url
 from plenary.session import spread
@@ -22,11 +22,8 @@ def clean_text_rules(t):
         "doc_id", text.clean_text(F.col("text"), lexicon.HEADINGS + _HEADINGS).alias("content"))
 
 
-# The Hangul-only filler words of the full list cannot occur in the test documents.
-_LAW = "|".join((
-    r"제?\d+조의?\d*(?:제?\d+항)?(?:제?\d+호)?", r"안\s*제?\d+조의?\d*(?:제?\d+항)?(?:제?\d+호)?",
-    r"\d+년\s*\d+월\s*\d+일?", r"\d+만\s*\d+천?\s*\d+명?", r"\d+%", r"\([^)]*법[^)]*\)", r"\([^)]*년[^)]*\)",
-    r"''[^'']*''", r'"[^"]*"', "？", "신설", "정비", "조정", "인용조문", "안"))
+# RE2 spells white space as a class and knows no Unicode word border.
+_LAW = "|".join(p.replace("'", "''").replace(r"\s", SPACE).replace(r"\b", "") for p in lexicon.LAW_PATTERNS)
 _PREPROCESSED = tidy(f"regexp_replace(coalesce(text, ''), '{_LAW}', ' ', 'g')")
 
 
@@ -41,12 +38,12 @@ _KEEP = ("of", "und")
 _DROPPED = ", ".join(f"'{w}'" for w in _STOP if w not in _KEEP)
 
 
-@query(f"""SELECT doc_id, CASE WHEN length(text) < 10 THEN text ELSE array_to_string(list_filter(
-  string_split({tidy('text')}, ' '), lambda w: w <> '' AND w NOT IN ({_DROPPED})), ' ') END AS content FROM documents""")
+@query(f"""SELECT doc_id, array_to_string(list_filter(
+  string_split({tidy('text')}, ' '), lambda w: w <> '' AND w NOT IN ({_DROPPED})), ' ') AS content FROM documents""")
 def stopword_filter(t):
     """Stop words out, preserved words kept."""
     return spread(t.documents, "doc_id").select(
-        "doc_id", text.drop_stop_words(F.col("text"), _STOP, _KEEP, phrases=()).alias("content"))
+        "doc_id", text.drop_stop_words(F.col("text"), _STOP, _KEEP).alias("content"))
 
 
 @query(f"SELECT page_id, {article_text('html')} AS content FROM pages")

@@ -35,7 +35,7 @@ def _group_responses(t: Tables) -> DataFrame:
 
 _TOPICS = """k AS (SELECT doc_id, lang, CASE WHEN lang = 'es' THEN '기타_일반' ELSE lang || '_' || source END AS topic_group FROM documents),
 p AS (SELECT *, row_number() OVER (PARTITION BY topic_group ORDER BY doc_id) AS pos, count(*) OVER (PARTITION BY topic_group) AS n FROM k),
-g AS (SELECT doc_id, topic_group, CASE WHEN n <= 10 OR lang = 'de' THEN 9 WHEN pos IN (1, 3, 5) THEN 0 WHEN pos IN (2, 4) THEN 1 ELSE 9 END AS sub FROM p),
+g AS (SELECT doc_id, topic_group, CASE WHEN lang = 'de' THEN 9 WHEN pos IN (1, 3, 5) THEN 0 WHEN pos IN (2, 4) THEN 1 ELSE 9 END AS sub FROM p),
 topics AS (SELECT doc_id, topic_group, (dense_rank() OVER (ORDER BY topic_group, sub) - 1)::BIGINT AS topic FROM g)"""
 
 
@@ -55,24 +55,24 @@ def topic_classes(t):
 
 
 @query("""WITH r AS (SELECT *, row_number() OVER (PARTITION BY lang, source ORDER BY doc_id) AS rn FROM documents)
-SELECT lang || '_' || source AS topic, left(string_agg(text, ' ' ORDER BY doc_id), 4000) AS sample_text,
-  arg_min(n_chars, doc_id) AS sample_title FROM r WHERE rn <= 3 GROUP BY ALL""")
+SELECT lang || '_' || source AS topic, ((rn - 1) // 3)::INT AS page, string_agg(text, ' ' ORDER BY doc_id) AS sample_text,
+  arg_min(n_chars, doc_id) AS sample_title FROM r GROUP BY ALL""")
 def cluster_sample_text(t):
-    """Texts of each cluster's first three documents within the keyword task's budget."""
+    """All texts of each cluster, three documents to a page."""
     docs = t.documents.select("doc_id", F.concat_ws("_", "lang", "source").alias("topic"),
                               F.col("text").alias("content"), F.col("n_chars").alias("title"))
     return prompts.cluster_samples(docs, "topic", "doc_id")
 
 
 @query("""WITH r AS (SELECT lang || '_' || source AS topic, text, row_number() OVER (PARTITION BY lang, source ORDER BY doc_id) AS rn FROM documents)
-SELECT topic, string_agg(rn || '. ' || left(text, 80) || '...', chr(10) ORDER BY rn) AS titles FROM r WHERE rn <= 15 GROUP BY topic""")
+SELECT topic, ((rn - 1) // 15)::INT AS page, string_agg(rn || '. ' || text, chr(10) ORDER BY rn) AS titles FROM r GROUP BY ALL""")
 def numbered_titles(t):
-    """The first titles of each class as the grouping task shows them."""
+    """All titles of each class as the grouping task shows them, fifteen to a page."""
     docs = t.documents.select("doc_id", F.concat_ws("_", "lang", "source").alias("topic"), F.col("text").alias("title"))
     return prompts.numbered_titles(docs, "topic", "doc_id")
 
 
-_WORDS = "list_filter(regexp_extract_all(lower(text), '\\p{L}+'), lambda w: length(w) >= 2)"
+_WORDS = "regexp_extract_all(lower(text), '\\p{L}+')"
 _SCORE = "round(c.n * ln((1.0 + (SELECT count(*) FROM documents)) / (1.0 + containing)), 6)"
 
 

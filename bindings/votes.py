@@ -8,7 +8,7 @@ from bindings.registry import Tables, query
 from plenary.operators.aggregates import with_ratios, crosstab
 from plenary.operators.joins import attach_bill_number
 from plenary.operators.sets import head
-from plenary.plans.crosstabs import category_values, member_votes, result_shares, vote_summary
+from plenary.plans.crosstabs import member_votes, result_shares, vote_counts, vote_summary
 
 RESULTS = ("A", "N", "R")
 
@@ -67,24 +67,17 @@ def bill_number_join(t):
     return attach_bill_number(votes, bills)
 
 
-_DISTRICTS = [f"NATION_{n}" for n in (0, 1, 10, 11, 12, 13, 14, 15, 16, 17)]
-_REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
-_COUNTS = ",\n  ".join(
-    [f"count(*) FILTER (party = '{v}') AS \"partyCount_{v}\"" for v in _REGIONS]
-    + [f"count(*) FILTER (gender = '{v}') AS \"genderCount_{v}\"" for v in ("F", "M")]
-    + [f"count(*) FILTER (district = '{v}') AS \"districtCount_{v}\"" for v in _DISTRICTS])
-
-
-@query(f"""WITH v AS (
+_SUMMARY = """v AS (
   SELECT l_partkey AS bill, l_orderkey AS vote_no, s_name AS member_name, r_name AS party,
     CASE WHEN s_acctbal >= 4500 THEN 'F' ELSE 'M' END AS gender, n_name AS district, l_returnflag AS result
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
     JOIN region ON n_regionkey = r_regionkey WHERE l_returnflag IS NOT NULL),
-c AS (SELECT bill, {_COUNTS} FROM v GROUP BY bill)
-SELECT v.bill, vote_no, member_name, party, gender, district, result, c.* EXCLUDE (bill)
-FROM v JOIN c ON v.bill = c.bill""")
-def vote_crosstab_counts(t):
-    """Every vote with its bill's counts by party, gender and the first ten districts by name."""
+n AS (SELECT bill, 'party' AS attribute, party AS value, count(*) AS n FROM v GROUP BY ALL
+  UNION ALL SELECT bill, 'gender', gender, count(*) FROM v GROUP BY ALL
+  UNION ALL SELECT bill, 'district', district, count(*) FROM v GROUP BY ALL)"""
+
+
+def _member_votes(t: Tables) -> DataFrame:
     members = (
         t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
         .join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
@@ -95,14 +88,29 @@ def vote_crosstab_counts(t):
     )
     votes = t.lineitem.select(F.col("l_partkey").alias("bill"), F.col("l_orderkey").alias("vote_no"),
                               F.col("l_suppkey").alias("member_id"), F.col("l_returnflag").alias("result "))
-    joined = member_votes(votes, members, "member_id", ["result", "bill", "party", "gender", "district"])
-    values = {
-        "party": category_values(t.region, "r_name"),
-        "gender": ["F", "M"],
-        "district": category_values(t.nation, "n_name", 10),
-    }
-    return vote_summary(joined, "bill", "party", "gender", "district",
-                        ["vote_no", "member_name", "party", "gender", "district", "result"], values)
+    return member_votes(votes, members, "member_id", ["result", "bill", "party", "gender", "district"])
+
+
+_ATTRIBUTES = ("party", "gender", "district")
+
+
+@query(f"WITH {_SUMMARY} SELECT bill, attribute, value, n FROM n")
+def vote_counts_long(t):
+    """A bill's votes by every party, gender and district."""
+    return vote_counts(_member_votes(t), "bill", _ATTRIBUTES)
+
+
+@query(f"""WITH {_SUMMARY}, c AS (SELECT bill,
+  string_agg(value || '=' || n, ',' ORDER BY value) FILTER (attribute = 'party') AS party_counts,
+  string_agg(value || '=' || n, ',' ORDER BY value) FILTER (attribute = 'gender') AS gender_counts,
+  string_agg(value || '=' || n, ',' ORDER BY value) FILTER (attribute = 'district') AS district_counts FROM n GROUP BY bill)
+SELECT v.bill, vote_no, member_name, party, gender, district, result, party_counts, gender_counts, district_counts
+FROM v JOIN c ON v.bill = c.bill""")
+def vote_crosstab_counts(t):
+    """Every vote with its bill's counts by party, gender and district, all values."""
+    out = vote_summary(_member_votes(t), "bill", _ATTRIBUTES, ["vote_no", "member_name", "party", "gender", "district", "result"])
+    written = lambda c: F.array_join(F.transform(F.array_sort(F.map_entries(c)), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), ",")
+    return out.withColumns({f"{c}_counts": written(F.col(f"{c}_counts")) for c in _ATTRIBUTES})
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice FROM lineitem

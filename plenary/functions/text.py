@@ -103,14 +103,8 @@ def preprocess(c: Column) -> Column:
     return split_compounds(remove_law_patterns(blank_markers_to_empty(c)))
 
 
-def drop_stop_words(
-    c: Column,
-    stop: Sequence[str] = lexicon.STOP_WORDS + lexicon.LEGAL_STOP_WORDS + lexicon.EXCLUDED_TERMS,
-    preserve: Sequence[str] = lexicon.PRESERVED_TERMS + lexicon.PROPER_NOUNS,
-    phrases: Sequence[str] = lexicon.EXCLUDED_BIGRAMS,
-    min_chars: int = 10,
-) -> Column:
-    """Blank-separated tokens without stop words; texts under `min_chars` are left alone."""
+def drop_stop_words(c: Column, stop: Sequence[str], preserve: Sequence[str] = (), phrases: Sequence[str] = ()) -> Column:
+    """Blank-separated tokens without the caller's stop words and phrases; preserved words stay."""
     dropped = sorted(set(stop) - set(preserve))
     text = tidy(c)
     if phrases:
@@ -118,7 +112,7 @@ def drop_stop_words(
             text, "(?<![^ ])(?:" + "|".join(re.escape(p) for p in phrases) + ")(?![^ ])", " "
         )
     kept = F.filter(F.split(text, " "), lambda t: (t != "") & ~t.isin(dropped))
-    return F.when(F.length(c) < min_chars, c).otherwise(F.array_join(kept, " "))
+    return F.array_join(kept, " ")
 
 
 def convert_to_sentence(c: Column) -> Column:
@@ -196,12 +190,17 @@ def flatten_lines(c: Column) -> Column:
     return strip(F.regexp_replace(c, r"[\r\n]", " "))
 
 
+def names(c: Column, part: str) -> Column:
+    """Whether a text holds a name; false for null."""
+    return F.coalesce(c.contains(part), F.lit(False))
+
+
 def split_district(c: Column, proportional: str = lexicon.PROPORTIONAL_SEAT,
                    special: str = lexicon.SEJONG, special_name: str = lexicon.SEJONG_SHORT) -> Column:
     """struct(sido, sgg) cut at the first blank; null for proportional seats and unspaced names."""
     parts = F.split(c, " ", 2)
-    usable = ~F.coalesce(c.contains(proportional), F.lit(False)) & (F.size(parts) == 2)
-    is_special = F.coalesce(c.contains(special), F.lit(False))
+    usable = ~names(c, proportional) & (F.size(parts) == 2)
+    is_special = names(c, special)
     return F.struct(
         F.when(is_special, F.lit(special_name)).when(usable, F.get(parts, 0)).alias("sido"),
         F.when(is_special, c).when(usable, F.get(parts, 1)).alias("sgg"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
@@ -44,25 +44,26 @@ def with_ratios(counts: DataFrame, values: Sequence, prefix: str = "ratio_", dig
     })
 
 
-def group_counts(df: DataFrame, key: str, columns: Mapping[str, tuple[str, Sequence]]) -> DataFrame:
-    """Several cross-tabs of one key in a single aggregation.
+def group_counts(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """Several cross-tabs of one key in long form: (key, attribute, value, n).
 
-    `columns` maps a source column to (name prefix, values): one shuffle of partial counts replaces a
-    pivot and a join per column. `n` is the key's row count.
+    One shuffle of partial counts serves all columns and any number of values. Nulls are not counted.
     """
-    counts = [
-        F.count_if(F.col(column) == v).alias(f"{prefix}{v}")
-        for column, (prefix, values) in columns.items() for v in values
-    ]
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n"), *counts)
-
-
-def attach_counts(details: DataFrame, counts: DataFrame, key: str, spread_by: Sequence[str] | None = None) -> DataFrame:
-    """Per-bill counts on every detail row, in one join, nulls as zero."""
-    names = [c for c in counts.columns if c not in (key, "n")]
-    joined = lookup_join(details, counts.select(key, *names), key, "left", spread_by=spread_by,
-                         counts=counts.select(key, "n"))
-    return joined.na.fill(0, names)
+    pairs = F.array(*[F.struct(F.lit(c).alias("attribute"), F.col(c).cast("string").alias("value")) for c in columns])
+    rows = df.select(key, F.explode(pairs).alias("p")).select(key, "p.attribute", "p.value")
+    return rows.where(F.col("value").isNotNull()).groupBy(key, "attribute", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def attach_counts(details: DataFrame, counts: DataFrame, key: str, columns: Sequence[str],
+                  spread_by: Sequence[str] | None = None) -> DataFrame:
+    """A key's long-form counts on every detail row as one map per column, empty where there are none.
+
+    `counts` is a stored table.
+    """
+    none = F.create_map().cast("map<string,bigint>")
+    maps = [F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("attribute") == c, F.struct("value", "n"))))).alias(f"{c}_counts") for c in columns]
+    joined = lookup_join(details, counts.groupBy(key).agg(*maps), key, "left", spread_by=spread_by)
+    return joined.withColumns({f"{c}_counts": F.coalesce(f"{c}_counts", none) for c in columns})
 
 
 def content_audit(df: DataFrame, column: str = "content") -> DataFrame:

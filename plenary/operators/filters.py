@@ -80,11 +80,3 @@ def length_between(c: Column, low: int, high: int) -> Column:
 
 def is_valid_file_id(c: Column) -> Column:
     return F.coalesce(is_uuid_shaped(c), F.lit(False))
-
-
-def is_proportional(district: Column) -> Column:
-    return F.coalesce(district.contains(lexicon.PROPORTIONAL_SEAT), F.lit(False))
-
-
-def is_sejong(district: Column) -> Column:
-    return F.coalesce(district.contains(lexicon.SEJONG), F.lit(False))

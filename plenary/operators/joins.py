@@ -31,22 +31,27 @@ def attach_results(votes: DataFrame, bills: DataFrame, columns: Sequence[str], o
 
 def fill_from_extracts(missing: DataFrame, extracts: DataFrame, term: str = "age",
                        number: str = "bill_number", reason: str = "reason", main: str = "main") -> DataFrame:
-    """Bills lacking text joined to extracted text of the same term on the number's last four digits.
+    """Bills lacking text with the extracted text of the same term, one row per bill that finds one.
 
-    The key can repeat; every match is kept and `matches` tells how many a bill number has.
+    An equal number (without leading zeros) decides. Bills and extracts that find no equal number meet
+    on the last four digits. The extracts of a key are joined into one text in order, and `matches`
+    tells how many there are, so the result grows with the bills.
     """
-    key = "bill_last4"
-    left = missing.withColumn(key, last4_key(F.col(number)))
-    right = (
-        extracts.withColumn(key, last4_key(strip(F.col(number))))
-        .select(term, key, F.col(reason).alias("_reason"), F.col(main).alias("_main"))
-    )
-    return (
-        lookup_join(left, right, [term, key], "left")
-        .withColumn("content", join_nullable(F.col("_reason"), F.col("_main")))
-        .where(not_blank(F.col("content")))
-        .drop("_reason", "_main", key)
-    )
+    full, short = "_full", "_last4"
+    plain = lambda c: F.regexp_replace(strip(c), "^0+(?=.)", "")
+    text = join_nullable(F.col(reason), F.col(main))
+    found = extracts.select(term, plain(F.col(number)).alias(full), last4_key(strip(F.col(number))).alias(short), text.alias("_text")).where(not_blank(F.col("_text")))
+
+    def joined(rows: DataFrame, key: str) -> DataFrame:
+        return rows.groupBy(term, key).agg(F.array_join(F.array_sort(F.collect_list("_text")), " / ").alias("content"), F.count(F.lit(1)).alias("matches"))
+
+    bills = missing.drop("content", "matches").withColumn(full, plain(F.col(number))).withColumn(short, last4_key(F.col(number)))
+    exact = lookup_join(bills, joined(found, full), [term, full], "left")
+    equal = exact.where(F.col("matches").isNotNull())
+    left = exact.where(F.col("matches").isNull()).drop("content", "matches")
+    spare = found.join(missing.select(term, plain(F.col(number)).alias(full)).distinct(), [term, full], "left_anti")
+    close = lookup_join(left, joined(spare, short), [term, short], "inner")
+    return equal.unionByName(close).drop(full, short)
 
 
 def key_multiplicity(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from plenary.functions import lexicon
 from plenary.functions.jsons import json_strings
 from plenary.functions.text import join_list
 from plenary.operators.dedup import first_per_key
@@ -15,6 +14,8 @@ from plenary.operators.skew import lookup_join
 from plenary.session import measured_bytes, spread
 
 TOP_TERMS = 4
+# Particles and counters that join or number other words; callers pass their own list where they have one.
+PARTICLES = ("등", "및", "또는", "그", "이", "의", "을", "를", "은", "는", "에", "와", "과")
 
 
 def words(text: Column) -> Column:
@@ -22,12 +23,12 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"(\p{L}+)"), F.lit(1))
 
 
-def is_term(word: Column, stop: Sequence[str] = lexicon.STOP_WORDS, min_chars: int = 2) -> Column:
-    return (F.length(word) >= min_chars) & ~word.isin(*stop)
+def is_term(word: Column, stop: Sequence[str] = PARTICLES) -> Column:
+    return ~word.isin(*stop)
 
 
-def tokens(text: Column, stop: Sequence[str] = lexicon.STOP_WORDS) -> Column:
-    """The terms of a text as an array, stop words and very short runs left out."""
+def tokens(text: Column, stop: Sequence[str] = PARTICLES) -> Column:
+    """The terms of a text as an array, stop words left out."""
     return F.filter(words(text), lambda w: is_term(w, stop))
 
 
@@ -49,7 +50,7 @@ def _top(scored: DataFrame, key: str, n: int) -> DataFrame:
 
 
 def cluster_term_scores(docs: DataFrame, cluster: str, text: str = "content", top: int = TOP_TERMS,
-                        stop: Sequence[str] = lexicon.STOP_WORDS) -> DataFrame:
+                        stop: Sequence[str] = PARTICLES) -> DataFrame:
     """Terms shared by many documents of a cluster and by few others: the best `top` per cluster.
 
     A document counts a term once, inside its own row, so only partial (cluster, term) counts are
@@ -64,23 +65,27 @@ def cluster_term_scores(docs: DataFrame, cluster: str, text: str = "content", to
 
 
 def doc_term_scores(docs: DataFrame, key: str, text: str = "content", top: int = TOP_TERMS,
-                    stop: Sequence[str] = lexicon.STOP_WORDS) -> DataFrame:
+                    stop: Sequence[str] = PARTICLES) -> DataFrame:
     """The best `top` terms of each document by term count and rarity.
 
-    Document frequencies come from a pass of their own, which counts each document's distinct terms
-    map-side: that shuffles one row per term and task, not one per document and term.
+    Texts are taken apart once, in place, into stored (key, term, count) rows; everything else reads those.
     """
-    once = spread(docs).select(F.explode(F.array_distinct(words(F.col(text)))).alias("term"))
-    containing = materialize(
-        once.where(is_term(F.col("term"), stop)).groupBy("term").agg(F.count(F.lit(1)).alias("containing"))
-        .withColumn("uses", F.col("containing")))
-    # Moving each text once to its key's partition costs less than moving its terms, and the counts
-    # and the final ranking find their rows in place.
-    counts = (
-        docs.select(key, text).repartition(F.col(key))
-        .select(key, F.explode(words(F.col(text))).alias("term")).where(is_term(F.col("term"), stop))
-        .groupBy(key, "term").agg(F.count(F.lit(1)).alias("n"))
-    )
+    # Runs of equal words in a text's sorted words are its counts, so no text and no term is moved to count them.
+    ordered = F.array_sort(tokens(F.col(text), stop))
+    empty = F.array().cast("array<struct<term:string,n:bigint>>")
+    start = F.struct(empty.alias("done"), F.lit(None).cast("string").alias("term"), F.lit(0).cast("bigint").alias("n"))
+
+    def closed(run: Column) -> Column:
+        return F.when(run["term"].isNull(), run["done"]).otherwise(F.array_append(run["done"], F.struct(run["term"].alias("term"), run["n"].alias("n"))))
+
+    def step(run: Column, word: Column) -> Column:
+        more = F.struct(run["done"].alias("done"), word.alias("term"), (run["n"] + 1).alias("n"))
+        new = F.struct(closed(run).alias("done"), word.alias("term"), F.lit(1).cast("bigint").alias("n"))
+        return F.when(run["term"] == word, more).otherwise(new)
+
+    found = spread(docs).select(key, F.explode(F.aggregate(ordered, start, step, closed)).alias("t"))
+    counts = materialize(found.select(key, "t.term", "t.n"))
+    containing = materialize(counts.groupBy("term").agg(F.count(F.lit(1)).alias("containing")).withColumn("uses", F.col("containing")))
     return _top(_weigh(counts, containing, docs.count(), [key, "term"]), key, top)
 
 

@@ -12,16 +12,15 @@ from plenary.functions import lexicon
 from plenary.functions.html import bill_content
 from plenary.functions.jsons import bill_fields
 from plenary.functions.text import (
-    clean_slogan, clean_text, convert_to_sentence, first_sentence, java_regex, strip)
+    clean_slogan, clean_text, convert_to_sentence, first_sentence, java_regex, strip, tidy)
 from plenary.operators.dedup import first_per_key
 from plenary.operators.filters import any_field, length_between
 
 
 def first_accepted(items: DataFrame, attempts: DataFrame, key: str, answer: Column, accept: Column,
-                   name: str, attempt: str = "attempt", max_attempts: int | None = None) -> DataFrame:
-    """Adds the answer of the lowest accepted attempt; null where no attempt is accepted."""
-    usable = attempts if max_attempts is None else attempts.where(F.col(attempt) <= max_attempts)
-    usable = usable.select(key, attempt, answer.alias(name), accept.alias("_accept")).where("_accept")
+                   name: str, attempt: str = "attempt") -> DataFrame:
+    """Adds the answer of the lowest accepted attempt of all; null where no attempt is accepted."""
+    usable = attempts.select(key, attempt, answer.alias(name), accept.alias("_accept")).where("_accept")
     first = first_per_key(usable, [key], [attempt, name]).select(key, name)
     return items.join(first, key, "left")
 
@@ -31,19 +30,18 @@ def _clear(error: str = "error") -> Column:
 
 
 def summaries(bills: DataFrame, responses: DataFrame, key: str = "bill_id", text: str = "content",
-              name: str = "summary", max_attempts: int = 5, failure: str | None = None) -> DataFrame:
+              name: str = "summary", failure: str | Column | None = None) -> DataFrame:
     """One-line summaries; blank texts pass through, and unanswered ones keep their text.
 
-    `failure` gives the text used instead when every attempt failed (the file job's variant).
+    `failure` gives the text used instead when every attempt failed: a constant, or a column such as the
+    last error of `last_errors` (the file job's variant).
     """
     answers = responses.withColumnRenamed("item_id", key)
     raw = strip(F.col("text"))
     joined = first_accepted(
-        bills, answers, key, raw, F.coalesce(_clear() & (raw != ""), F.lit(False)), "_answer",
-        max_attempts=max_attempts,
-    )
+        bills, answers, key, raw, F.coalesce(_clear() & (raw != ""), F.lit(False)), "_answer")
     blank = F.col(text).isNull() | (strip(F.col(text)) == "")
-    fallback = F.col(text) if failure is None else F.lit(failure)
+    fallback = F.col(text) if failure is None else failure if isinstance(failure, Column) else F.lit(failure)
     summary = F.when(blank, F.col(text)).when(
         F.col("_answer").isNotNull(), convert_to_sentence(F.col("_answer"))
     ).otherwise(fallback)
@@ -51,26 +49,55 @@ def summaries(bills: DataFrame, responses: DataFrame, key: str = "bill_id", text
 
 
 def slogans(bills: DataFrame, responses: DataFrame, key: str = "bill_id", text: str = "summary",
-            name: str = "card_news_content", max_attempts: int = 3, low: int = 7, high: int = 35) -> DataFrame:
+            name: str = "card_news_content", low: int = 7, high: int = 35) -> DataFrame:
     """Slogans of 7 to 35 characters; a stock phrase without one, and a marker for empty input."""
     answers = responses.withColumnRenamed("item_id", key).withColumn("_slogan", clean_slogan(F.col("text")))
     accept = F.coalesce(_clear() & length_between(F.col("_slogan"), low, high), F.lit(False))
-    joined = first_accepted(bills, answers, key, F.col("_slogan"), accept, "_answer", max_attempts=max_attempts)
+    joined = first_accepted(bills, answers, key, F.col("_slogan"), accept, "_answer")
     empty = F.col(text).isNull() | (F.col(text) == "")
     slogan = F.when(empty, lexicon.EMPTY_SLOGAN).otherwise(
         F.coalesce("_answer", F.lit(lexicon.DEFAULT_SLOGAN)))
     return joined.withColumn(name, slogan).drop("_answer")
 
 
+def last_errors(items: DataFrame, responses: DataFrame, key: str, name: str = "error") -> DataFrame:
+    """Adds the error of each item's latest failed attempt, null without one."""
+    failed = responses.where(F.col("error").isNotNull()).withColumnRenamed("item_id", key).select(key, "attempt", F.col("error").alias(name))
+    return items.join(first_per_key(failed, [key], [F.desc("attempt"), name]).select(key, name), key, "left")
+
+
+def cleaned_texts(bills: DataFrame, responses: DataFrame, key: str = "bill_id", text: str = "content") -> DataFrame:
+    """Texts replaced by the first usable stop-word answer, its white space collapsed; else the text itself."""
+    answers = responses.withColumnRenamed("item_id", key).withColumnRenamed("text", "_raw")
+    answer = tidy(F.col("_raw"))
+    joined = first_accepted(bills, answers, key, answer, F.coalesce(_clear() & (answer != ""), F.lit(False)), "_answer")
+    blank = F.col(text).isNull() | (strip(F.col(text)) == "")
+    return joined.withColumn(text, F.when(blank, F.col(text)).otherwise(F.coalesce("_answer", text))).drop("_answer")
+
+
+def merged_parts(responses: DataFrame) -> DataFrame:
+    """Answers to requests that came in parts as attempts of the whole item: earlier parts first.
+
+    Every operator here takes an item's first usable answer, so a later part speaks where no earlier one does.
+    """
+    order = F.coalesce(F.col("part"), F.lit(0)).cast("bigint") * (1 << 31) + F.col("attempt")
+    return responses.withColumn("attempt", order).drop("part")
+
+
 def nicknames(topics: DataFrame, responses: DataFrame, key: str = "topic", name: str = "nickname") -> DataFrame:
     answers = responses.withColumn(key, F.col("item_id").cast(topics.schema[key].dataType))
     raw = strip(F.col("text"))
     return first_accepted(topics, answers, key, raw, F.coalesce(_clear() & (raw != ""), F.lit(False)), name)
 
 
-def extracted_fields(responses: DataFrame, key: str = "file_name", max_attempts: int = 1) -> DataFrame:
-    """Bill number, reason and main content of each file's answer; all-empty rows are dropped."""
-    usable = responses.where(F.col("attempt") <= max_attempts)
+def extracted_fields(responses: DataFrame, key: str = "file_name") -> DataFrame:
+    """Bill number, reason and main content of each file's first usable answer; all-empty rows are dropped.
+
+    An answer is usable if it came without an error and names one of the fields.
+    """
+    named = bill_fields(F.col("text"))
+    usable = responses.where(_clear()).withColumn("_f", named).where(F.coalesce(
+        *[F.when(F.col(f"_f.{c}") != "", True) for c in ("bill_no", "reason", "main")], F.lit(False)))
     first = first_per_key(usable, ["item_id"], ["attempt", F.col("text").asc_nulls_last()])
     fields = first.select(F.col("item_id").alias(key), bill_fields(F.col("text")).alias("f"))
     return any_field(
@@ -100,7 +127,7 @@ def section_answers(files: DataFrame, key: str = "file_name", text: str = "text"
         F.lit(None).cast("string").alias("error"))
 
 
-def fetched_content(fetches: DataFrame, max_attempts: int = 3) -> DataFrame:
+def fetched_content(fetches: DataFrame) -> DataFrame:
     """Bill text per URL from its first successful fetch, else `ERROR: ` and the last error.
 
     A page read without the content element has a null content.
@@ -109,7 +136,7 @@ def fetched_content(fetches: DataFrame, max_attempts: int = 3) -> DataFrame:
     content = F.when(failed, F.concat(F.lit("ERROR: "), F.col("error"))).otherwise(
         clean_text(bill_content(F.col("html"))))
     # The text is taken from the page before rows are moved: pages are many times larger.
-    read = fetches.where(F.col("attempt") <= max_attempts).select(
+    read = fetches.select(
         "url", "attempt", content.alias("content"), failed.alias("is_error"))
     order = ["is_error", F.when(~F.col("is_error"), F.col("attempt")), F.desc("attempt"), "content"]
     return first_per_key(read, ["url"], order).drop("attempt")

@@ -14,7 +14,6 @@ from plenary.operators.keywords import tokens
 from plenary.operators.skew import lookup_join
 from plenary.session import measured_bytes, spread
 
-SPLIT_OVER = 10
 _REST = 2**31 - 1  # sorts after every subgroup an answer names
 
 
@@ -55,14 +54,14 @@ def subgroup_mentions(responses: DataFrame, sizes: DataFrame, group: str = "topi
 
 
 def assign_subgroups(members: DataFrame, responses: DataFrame, key: str = "bill_id",
-                     group: str = "topic_group", split_over: int = SPLIT_OVER) -> DataFrame:
-    """(key, group, subgroup): large groups split as answered, smaller ones whole.
+                     group: str = "topic_group") -> DataFrame:
+    """(key, group, subgroup): groups split as answered, whatever their size; the others whole.
 
-    Documents no subgroup names form the last subgroup of their group; a large group without any
-    usable mention therefore stays whole. `members` is a stored (key, group) table.
+    Documents no subgroup names form the last subgroup of their group; a group without any usable
+    mention therefore stays whole. `members` is a stored (key, group) table.
     """
     sizes = members.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
-    mentions = materialize(subgroup_mentions(responses, sizes.where(F.col("n") > split_over), group))
+    mentions = materialize(subgroup_mentions(responses, sizes, group))
     asked = mentions.select(group).distinct()
     named = group_position(
         lookup_join(members, asked, group, "inner", spread_by=[key], counts=sizes, right_bytes=measured_bytes(asked)),
@@ -79,11 +78,10 @@ def number_clusters(subgrouped: DataFrame, key: str = "bill_id", group: str = "t
                        right_bytes=measured_bytes(ids)).drop("subgroup")
 
 
-def cluster(docs: DataFrame, class_responses: DataFrame, group_responses: DataFrame, key: str = "bill_id",
-            split_over: int = SPLIT_OVER) -> DataFrame:
+def cluster(docs: DataFrame, class_responses: DataFrame, group_responses: DataFrame, key: str = "bill_id") -> DataFrame:
     """(key, topic_group, topic) of each document, as a stored table."""
     members = materialize(group_key(classify(docs.select(key), class_responses, key)).select(key, "topic_group"))
-    subgrouped = materialize(assign_subgroups(members, group_responses, key, split_over=split_over))
+    subgrouped = materialize(assign_subgroups(members, group_responses, key))
     return materialize(number_clusters(subgrouped, key))
 
 
@@ -94,10 +92,11 @@ def kmeans_topics(docs: DataFrame, key: str, text: str = "content", k: int = 16,
     Term hashing keeps the model at k x features numbers however many terms the texts hold.
     """
     words = spread(docs, key).select(key, tokens(F.col(text)).alias("words"))
+    counts = HashingTF(inputCol="words", outputCol="tf", numFeatures=features).transform(words).select(key, "tf")
+    counts = materialize(counts)  # texts are taken apart once; fits and the transform read the vectors
     pipeline = Pipeline(stages=[
-        HashingTF(inputCol="words", outputCol="tf", numFeatures=features),
         IDF(inputCol="tf", outputCol="tfidf"),
         Normalizer(inputCol="tfidf", outputCol="features"),
         KMeans(k=k, seed=seed, maxIter=iterations, predictionCol=name),
     ])
-    return pipeline.fit(words).transform(words).select(key, name)
+    return pipeline.fit(counts).transform(counts).select(key, name)

@@ -6,17 +6,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from plenary.functions.dates import bucket_label, vote_date_text
 from plenary.functions.text import format_keywords, query_param, repair_commas, split_district, split_title
-from plenary.operators.filters import any_null, clean_content, flag_procedural, missing_content
+from plenary.operators.filters import clean_content, flag_procedural, missing_content
 from plenary.operators.joins import enrich_bills, fill_from_extracts, lookup_update
-from plenary.operators.dedup import distinct_values
 from plenary.operators.project import MEMBER_NAMES, as_text_key, rename
 from plenary.operators.sets import BILL_COLUMNS, union_sources, union_terms
 
 
-def urls_without_text(page_texts: DataFrame) -> DataFrame:
-    return distinct_values(any_null(page_texts), "url")
-
-
 def titled_bills(titles: DataFrame, url: str = "url", title: str = "bill_title") -> DataFrame:
     """Bill id from the page URL, number and title from the page heading."""
     return (

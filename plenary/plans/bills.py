@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from plenary.functions.dates import vote_date
-from plenary.functions.text import drop_stop_words, preprocess
+from plenary.functions.text import drop_stop_words, preprocess, split_url_cell
 from plenary.operators.aggregates import join_texts
 from plenary.operators.dedup import distinct_values
 from plenary.operators.filters import passed
 from plenary.operators.index import materialize
 from plenary.operators.joins import attach_content, with_key_in
 from plenary.operators.project import VOTE_NAMES, rename
-from plenary.operators.responses import fetched_content, slogans, summaries
+from plenary.operators.responses import cleaned_texts, fetched_content, slogans, summaries
 from plenary.operators.skew import lookup_join
 from plenary.session import measured_bytes, spread
 from plenary.sources.landed import bill_rows, vote_rows
@@ -29,14 +31,24 @@ def term_votes(id_pages: DataFrame, vote_pages: DataFrame) -> DataFrame:
     return with_key_in(vote_rows(vote_pages), ids, "BILL_ID")
 
 
+def split_cells(votes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Votes with plain page URLs, and the (url, content) texts that `url,text` cells brought along."""
+    cell = split_url_cell(F.col("BILL_URL"))
+    texts = votes.select(cell.alias("cell")).distinct().select("cell.*").where("content IS NOT NULL")
+    return votes.withColumn("BILL_URL", cell["url"]), texts
+
+
 def urls_to_fetch(votes: DataFrame) -> DataFrame:
-    return distinct_values(votes, "BILL_URL")
+    """Pages to read: cells that are a URL alone; a cell with a text needs no fetch."""
+    return distinct_values(votes.where(~F.col("BILL_URL").contains(",")), "BILL_URL")
 
 
-def page_texts(fetches: DataFrame) -> DataFrame:
-    """One text per URL: the fetched pages' contents joined, the empty string where there is none."""
-    fetched = fetched_content(fetches)
-    return join_texts(fetched, "url", "content", order_by="content")
+def page_texts(fetches: DataFrame, given: DataFrame | None = None) -> DataFrame:
+    """One text per URL: the contents of fetched pages and of `given` texts joined, the empty string where there is none."""
+    texts = fetched_content(fetches).select("url", "content")
+    if given is not None:
+        texts = texts.unionByName(given.select("url", "content"))
+    return join_texts(texts, "url", "content", order_by="content")
 
 
 def published_votes(votes: DataFrame) -> DataFrame:
@@ -48,40 +60,42 @@ def votes_with_text(votes: DataFrame, texts: DataFrame) -> DataFrame:
     return published_votes(attach_content(votes, texts))
 
 
-def unique_bills(pairs: DataFrame, texts: DataFrame, limit: int | None = None) -> DataFrame:
+def unique_bills(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """(bill_id, content): one row per bill that has a text, before the costly text work.
 
     `pairs` holds the bills' pages. A bill with several pages keeps the first by URL, which is chosen
-    before the texts are touched. `limit` keeps the first bills by id.
+    before the texts are touched.
     """
     read = pairs.join(texts.select(F.col("url").alias("BILL_URL")), "BILL_URL", "left_semi")
     chosen = read.groupBy(F.col("BILL_ID").alias("bill_id")).agg(F.min("BILL_URL").alias("url"))
-    if limit is not None:
-        chosen = chosen.orderBy("bill_id").limit(limit)
     return chosen.join(texts, "url").select("bill_id", "content")
 
 
-def preprocess_bills(bills: DataFrame, column: str = "content", stop_words: bool = False) -> DataFrame:
+def preprocess_bills(bills: DataFrame, column: str = "content", stop_words: Sequence[str] = ()) -> DataFrame:
     """Cleaned text with the source text kept beside it."""
     text = preprocess(F.col(column))
     if stop_words:
-        text = drop_stop_words(text)
+        text = drop_stop_words(text, stop_words)
     return bills.withColumn("original_content", F.col(column)).withColumn(column, text)
 
 
 def assemble_term(votes: DataFrame, fetches: DataFrame, summary_responses: DataFrame,
-                  slogan_responses: DataFrame, limit: int | None = None,
-                  stop_words: bool = False) -> dict[str, DataFrame]:
+                  slogan_responses: DataFrame, stop_words: Sequence[str] = (),
+                  stop_word_responses: DataFrame | None = None) -> dict[str, DataFrame]:
     """The five stage tables of one term; write them with `sinks.write_stages`.
 
-    Texts are read, cleaned and answered once per bill. They meet the votes again only in the last
-    join, so neither the page text nor its processing is repeated for every member's vote.
+    Texts are read, cleaned and answered once per bill and meet the votes again only in the last join. Stage 03
+    holds keys and the length of the text, which itself is in stage 02. Votes are stored, as several stages read
+    them. `stop_word_responses` are the model's answers to the third cleaning step.
     """
-    texts = materialize(page_texts(spread(fetches, "url")))
+    votes, given = split_cells(materialize(votes))
+    texts = materialize(page_texts(spread(fetches, "url"), given))
     # A vote's bill and page; n is what the last join needs to know about frequent bills.
     keyed = votes.withColumn("_bill", F.coalesce("BILL_ID", F.lit("")))
     pairs = materialize(keyed.groupBy("_bill", "BILL_ID", "BILL_URL").agg(F.count(F.lit(1)).alias("n")))
-    bills = preprocess_bills(unique_bills(pairs, texts, limit), stop_words=stop_words).drop("original_content")
+    bills = preprocess_bills(unique_bills(pairs, texts), stop_words=stop_words).drop("original_content")
+    if stop_word_responses is not None:
+        bills = cleaned_texts(bills, stop_word_responses)
     bills = materialize(slogans(summaries(bills, summary_responses), slogan_responses))
     results = bills.select(F.coalesce("bill_id", F.lit("")).alias("_bill"), F.col("content").alias("cleaned"),
                            "summary", "card_news_content")
@@ -92,7 +106,7 @@ def assemble_term(votes: DataFrame, fetches: DataFrame, summary_responses: DataF
     return {
         "01_votes": votes,
         "02_page_texts": texts,
-        "03_votes_with_text": votes_with_text(votes, texts),
+        "03_votes_with_text": votes_with_text(votes, texts.select("url", F.length("content").alias("content"))).withColumnRenamed("content", "content_chars"),
         "04_unique_bills": bills,
         "05_final": published_votes(final.drop("_bill")),
     }

@@ -2,20 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
 from plenary.operators.aggregates import attach_counts, crosstab, group_counts, with_ratios
-from plenary.operators.dedup import sorted_values
 from plenary.operators.filters import drop_incomplete
+from plenary.operators.index import materialize
 from plenary.operators.joins import attach_members
 from plenary.operators.project import trim_names
 
-DISTRICTS_SHOWN = 10
-# A pivot needs its column list up front; more values than this is a key, not a category.
-MOST_VALUES = 1000
-
 
 def member_votes(votes: DataFrame, members: DataFrame, on: str | Sequence[str],
                  required: Sequence[str]) -> DataFrame:
@@ -23,28 +19,19 @@ def member_votes(votes: DataFrame, members: DataFrame, on: str | Sequence[str],
     return drop_incomplete(attach_members(trim_names(votes), trim_names(members), on), required)
 
 
-def category_values(df: DataFrame, column: str, at_most: int | None = None) -> list:
-    """All values of a category in order, or its first `at_most`."""
-    values = sorted_values(df, column, at_most or MOST_VALUES + 1)
-    if at_most is None and len(values) > MOST_VALUES:
-        raise ValueError(f"{column} has more than {MOST_VALUES} values: pass the ones to count")
-    return values
-
-
-def vote_summary(votes: DataFrame, bill: str, party: str, gender: str, district: str,
-                 details: Sequence[str], values: Mapping[str, Sequence] | None = None,
-                 districts: int = DISTRICTS_SHOWN) -> DataFrame:
-    """Every vote with its bill's row counts per party, gender and the first districts by name."""
-    values = dict(values or {})
-    for column, at_most in ((party, None), (gender, None), (district, districts)):
-        if column not in values:
-            values[column] = category_values(votes, column, at_most)
-    counts = group_counts(votes, bill, {
-        party: ("partyCount_", values[party]),
-        gender: ("genderCount_", values[gender]),
-        district: ("districtCount_", values[district]),
-    })
-    return attach_counts(votes.select(bill, *details), counts, bill)
+def vote_counts(votes: DataFrame, bill: str, attributes: Sequence[str]) -> DataFrame:
+    """(bill, attribute, value, n): a bill's votes by every value of every attribute, in one aggregation."""
+    return group_counts(votes, bill, attributes)
+
+
+def vote_summary(votes: DataFrame, bill: str, attributes: Sequence[str], details: Sequence[str]) -> DataFrame:
+    """Every vote with its bill's counts, one map from value to count per attribute (`party_counts`, …).
+
+    All values are kept; picking columns out of the maps is the caller's. The counts are stored, so the
+    votes are read once to count and once for their details.
+    """
+    counts = materialize(vote_counts(votes, bill, attributes))
+    return attach_counts(votes.select(bill, *details), counts, bill, attributes)
 
 
 def result_shares(votes: DataFrame, groups: Sequence[str], result: str, results: Sequence) -> DataFrame:

@@ -9,7 +9,6 @@ def _strings(*names: str) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-PASSED_BILL = _strings("bill_id")
 VOTE_RAW = _strings("AGE", "MONA_CD", "BILL_NAME", "BILL_NO", "BILL_ID", "RESULT_VOTE_MOD", "VOTE_DATE", "BILL_URL")
 MEMBER = _strings("monaCode", "이름", "정당", "선거구", "성별")
 DISTRICT = _strings("SGG_Code", "SIDO_SGG", "SIDO", "SGG")

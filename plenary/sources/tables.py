@@ -48,9 +48,23 @@ def read_csv_lenient(spark: SparkSession, paths: str | Sequence[str], schema: T.
         spark.read.schema(with_raw).option("columnPruning", False)  # a pruned parse misses surplus fields
         .csv(paths, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT, multiLine=multi_line, escape='"')
     )
+    return missing_to_null(rows.where(_field_count() <= len(schema.fields)).drop(_CORRUPT))
+
+
+def _field_count() -> Column:
     outside_quotes = F.regexp_replace(F.col(_CORRUPT), '"[^"]*"', "")
-    fields = F.coalesce(F.regexp_count(outside_quotes, F.lit(",")), F.lit(0)) + 1
-    return missing_to_null(rows.where(fields <= len(schema.fields)).drop(_CORRUPT))
+    return F.coalesce(F.regexp_count(outside_quotes, F.lit(",")), F.lit(0)) + 1
+
+
+def csv_rejects(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType, multi_line: bool = True) -> DataFrame:
+    """(path, row, fields) of the rows that `read_csv_lenient` leaves out."""
+    with_raw = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
+    rows = spark.read.schema(with_raw).option("columnPruning", False).csv(
+        paths, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT, multiLine=multi_line, escape='"')
+    # Spark refuses to read the raw row alone, so a parsed field is part of the expression, with no character of it.
+    raw = F.concat(F.col(_CORRUPT), F.left(F.coalesce(F.col(f"`{schema.fields[0].name}`"), F.lit("")), F.lit(0)))
+    found = rows.select(F.col("_metadata.file_path").alias("path"), raw.alias("row"), _field_count().alias("fields"))
+    return found.where(F.col("fields") > len(schema.fields))
 
 
 def korean_charsets(spark: SparkSession) -> None:

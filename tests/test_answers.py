@@ -21,9 +21,12 @@ def test_summaries(spark):
     tried = answers(spark, ("a", 0, None, "503"), ("a", 1, "  "), ("a", 2, " 제도를 → 개선 "), ("a", 3, "늦음"),
                     ("b", 0, "무시"), ("d", 0, None, "429"), ("d", 7, "너무 늦음"), ("e", 0, "강화함"))
     assert by_key(responses.summaries(bills, tried), "bill_id", "summary") == {
-        "a": "제도를  개선함", "b": None, "c": "  ", "d": "원문 그대로", "e": "강화함"}
+        "a": "제도를  개선함", "b": None, "c": "  ", "d": "너무 늦음함", "e": "강화함"}
+    tried = tried.where("attempt < 7")
     failed = responses.summaries(bills, tried, failure="오류: 응답 없음")
     assert by_key(failed, "bill_id", "summary")["d"] == "오류: 응답 없음"
+    own = responses.summaries(responses.last_errors(bills, tried, "bill_id", "why"), tried, failure=F.concat(F.lit("오류: "), "why"))
+    assert by_key(own, "bill_id", "summary")["d"] == "오류: 429"
 
 
 def test_slogans(spark):
@@ -32,13 +35,13 @@ def test_slogans(spark):
                     ("e", 0, None, "x"), ("e", 4, "세 번을 넘긴 시도입니다"))
     stock = "더 나은 사회를 위한 변화!"
     assert by_key(responses.slogans(bills, tried), "bill_id", "card_news_content") == {
-        "a": "우리 동네가 더 안전해져요!", "b": "내용 없음", "c": "내용 없음", "d": stock, "e": stock}
+        "a": "우리 동네가 더 안전해져요!", "b": "내용 없음", "c": "내용 없음", "d": stock, "e": "세 번을 넘긴 시도입니다"}
 
 
 def test_extracted_fields(spark):
-    tried = answers(spark, ("1.pdf", 1, '{"bill_no": "제22호", "reason": "a\\nb", "main": ""}'), ("2.pdf", 1, "오류"),
+    tried = answers(spark, ("1.pdf", 1, '{"bill_no": "제22호", "reason": "a\\nb", "main": ""}'), ("2.pdf", 1, "오류"), ("4.pdf", 1, None, "x"), ("4.pdf", 5, '{"bill_no": "7"}'),
                     ("3.pdf", 1, '{"bill_no": "", "reason": "", "main": ""}'))
-    assert [tuple(r) for r in responses.extracted_fields(tried).collect()] == [("1.pdf", "22", "a b", "")]
+    assert sorted(map(tuple, responses.extracted_fields(tried).collect())) == [("1.pdf", "22", "a b", ""), ("4.pdf", "7", "", "")]
 
 
 def test_answers_without_a_model(spark):
@@ -59,7 +62,7 @@ def test_fetched_content(spark):
         ("u2", 1, None, "first"), ("u2", 2, None, "last"), ("u2", 4, page.format("늦음"), None),
         ("u3", 1, "<p>없음</p>", None)], schemas.FETCH)
     assert by_key(responses.fetched_content(fetches), "url", "content", "is_error") == {
-        "u1": ("둘째", False), "u2": ("ERROR: last", True), "u3": (None, False)}
+        "u1": ("둘째", False), "u2": ("늦음", False), "u3": (None, False)}
 
 
 def test_nicknames(spark):
@@ -67,33 +70,48 @@ def test_nicknames(spark):
     assert by_key(got, "topic", "nickname") == {1: "별", 2: None}
 
 
-def test_prompt_budgets(spark):
-    df = spark.createDataFrame([("a", None, "가" * 7000)], "bill_id string, title string, content string")
-    cut = {
-        "classify": (prompts.classify_prompt(F.col("title"), F.col("content")), 3000),
-        "keyword": (prompts.keyword_prompt(F.col("title"), F.col("content")), 3000),
-        "stop": (prompts.stop_word_prompt(F.col("content")), 3000),
-        "extract": (prompts.extract_prompt(F.col("content")), 6000),
-        "summary": (prompts.summary_prompt(F.col("content")), 7000),
-        "slogan": (prompts.slogan_prompt(F.col("content")), 7000),
-    }
-    for name, (prompt, chars) in cut.items():
-        text = prompts.prompt_table(df, "bill_id", prompt).first()["prompt"]
-        assert "가" * chars in text and "가" * (chars + 1) not in text, name
+def test_stop_word_answers(spark):
+    bills = spark.createDataFrame([("a", "원문"), ("b", None), ("c", "원문"), ("d", " ")], "bill_id string, content string")
+    tried = answers(spark, ("a", 0, " "), ("a", 9, " 법률 \n 개정 "), ("b", 0, "무시"), ("c", 0, None, "x"), ("d", 0, "무시"))
+    assert by_key(responses.cleaned_texts(bills, tried), "bill_id", "content") == {"a": "법률 개정", "b": None, "c": "원문", "d": " "}
+
+
+def test_prompt_parts_add_up_to_the_text(spark):
+    texts = {"a": "가나다" * 2500, "b": "", "c": None, "d": "라" * 3000}
+    df = spark.createDataFrame([(k, None, v) for k, v in texts.items()], "bill_id string, title string, content string")
+    for request in (lambda x: prompts.classify_prompt(F.col("title"), x), lambda x: prompts.keyword_prompt(F.col("title"), x),
+                    prompts.stop_word_prompt, prompts.extract_prompt):
+        plain = prompts.prompt_parts(df, "bill_id", "content", 3000, lambda x: x).collect()
+        asked = {(r.item_id, r.part): r.prompt for r in prompts.prompt_parts(df, "bill_id", "content", 3000, request).collect()}
+        for key, text in texts.items():
+            parts = sorted((r.part, r.prompt) for r in plain if r.item_id == key)
+            assert "".join(p for _, p in parts) == (text or "") and [p for p, _ in parts] == list(range(len(parts)))
+            assert all(piece in asked[(key, i)] for i, piece in parts)
+    whole = prompts.prompt_table(df, "bill_id", prompts.summary_prompt(F.col("content"))).where("item_id = 'a'").first()["prompt"]
+    assert texts["a"] in whole
+
+
+def test_answers_to_parts(spark):
+    rows = [("a", 0, 1, None, "x"), ("a", 1, 0, '["나"]', None), ("a", 0, 2, '["가"]', None)]
+    tried = spark.createDataFrame(rows, "item_id string, part int, attempt int, text string, error string")
+    merged = responses.merged_parts(tried)
+    items = spark.createDataFrame([("a",)], "bill_id string")
+    assert keywords.keywords_from_responses(items, merged, "bill_id").first()["keywords"] == ["가"]
 
 
 def test_samples_and_titles(spark):
     df = spark.createDataFrame([(i, "g", f"text{i}", f"title{i}") for i in range(20)], "id int, topic string, content string, title string")
-    assert prompts.cluster_samples(df, "topic", "id").first()[1:] == ("text0 text1 text2", "title0")
-    lines = prompts.numbered_titles(df, "topic", "id", chars=5).first()["titles"].split("\n")
-    assert lines[0] == "1. title..." and len(lines) == 15
+    pages = {r.page: (r.sample_text, r.sample_title) for r in prompts.cluster_samples(df, "topic", "id").collect()}
+    assert len(pages) == 7 and pages[0] == ("text0 text1 text2", "title0") and pages[6] == ("text18 text19", "title18")
+    lines = {r.page: r.titles.split("\n") for r in prompts.numbered_titles(df, "topic", "id").collect()}
+    assert lines[0][0] == "1. title0" and len(lines[0]) == 15 and lines[1] == [f"{i + 1}. title{i}" for i in range(15, 20)]
 
 
 @pytest.fixture(scope="module")
 def labelled(spark):
-    """Group A_x has 12 bills and is split; B_y has 11 and an unusable answer; the rest stay whole."""
+    """Groups A_x and C_일반 are split as answered; B_y has an unusable answer; the rest stay whole."""
     docs = [(f"a{i:02d}", "A", "x") for i in range(1, 13)] + [(f"b{i:02d}", "B", "y") for i in range(1, 12)]
-    docs += [("c1", "C", None), ("d1", None, None)]
+    docs += [("c1", "C", None), ("c2", "C", None), ("d1", None, None)]
     bills = spark.createDataFrame([(d, f"{d} text") for d, *_ in docs], "bill_id string, content string")
     classes = answers(spark, *[
         (d, 1, "none" if c is None else '{"category": "%s"%s}' % (c, f', "subcategory": "{s}"' if s else ""))
@@ -110,7 +128,7 @@ def test_clusters(labelled):
     assert got["a02"] == ("A_x", 1)
     assert {got[f"a{i:02d}"] for i in range(4, 13)} == {("A_x", 2)}
     assert {got[f"b{i:02d}"] for i in range(1, 12)} == {("B_y", 3)}
-    assert got["c1"] == ("C_일반", 4) and got["d1"] == ("기타_일반", 5)
+    assert (got["c1"], got["c2"], got["d1"]) == (("C_일반", 4), ("C_일반", 5), ("기타_일반", 6))
 
 
 def test_keyword_answers(spark):

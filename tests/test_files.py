@@ -89,6 +89,28 @@ def test_geojson(spark, tmp_path):
     assert rows(landed.read_geojson(spark, path).na.fill("null")) == [("2110101", '{"type":"Point","n":"가"}'), ("2110201", "null")]
 
 
+def test_geojson_files_and_lines(spark, tmp_path):
+    feature = '{"properties": {"SGG_Code": "%s"}, "geometry": {"n": %d}}'
+    for name, numbers in (("a", (1, 2)), ("b", (3,))):
+        write(tmp_path / f"{name}.json", '{"features": [' + ", ".join(feature % ("1", n) for n in numbers) + "]}")
+        write(tmp_path / f"{name}.lines", "\n".join(feature % (k, n) + "," for k, n in (("1", numbers[-1]), (name, 0))))
+    assert rows(landed.read_geojson(spark, str(tmp_path / "*.json"))) == [("1", '{"n":3}')]
+    assert rows(landed.read_feature_lines(spark, str(tmp_path / "*.lines"))) == [("1", '{"n":3}'), ("a", '{"n":0}'), ("b", '{"n":0}')]
+
+
+def test_landing_report(spark):
+    pages = spark.createDataFrame([
+        ('{"BILLRCP":[{"head":[{"list_total_count":3}]},{"row":[{"BILL_ID":"A"},{"BILL_ID":"B"}]}]}',),
+        ('{"BILLRCP":[{"head":[{"list_total_count":4}]}]}',), ("not json",), (None,)], "body string")
+    assert tuple(landed.page_report(pages, landed.BILL_SERVICE).first()) == (4, 2, 1, 2, 4)
+
+
+def test_rejected_rows(spark, tmp_path):
+    path = write(tmp_path / "p.csv", 'party,color\na,#1\nb\nc,#2,extra\n"d,e",#3\n')
+    got = tables.csv_rejects(spark, path, schemas.PARTY_COLOR)
+    assert [(r["path"].split("/")[-1], r["row"], r["fields"]) for r in got.collect()] == [("p.csv", "c,#2,extra", 3)]
+
+
 def test_csv_writers(spark, tmp_path):
     df = spark.createDataFrame([("a,b", None, 1), ('q"', "", 2)], "x string, y string, n int").coalesce(1)
 

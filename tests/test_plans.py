@@ -46,8 +46,11 @@ def test_assemble_term(spark, landed):
     assert first["summary"] == "의료 인력을 늘림함" and first["card_news_content"] == "의료 인력을 늘림"
     assert final[("M1", "B2")]["cleaned"] == "" and final[("M1", "B2")]["card_news_content"] == "내용 없음"
     assert "content" not in stages["05_final"].columns
-    limited = bills.assemble_term(votes, fetches, answers, answers, limit=1)
-    assert limited["04_unique_bills"].count() == 1 and limited["05_final"].where("cleaned IS NULL").count() == 1
+    third = stages["03_votes_with_text"]
+    assert "content" not in third.columns and {r["content_chars"] for r in third.collect()} == {len("안 제5조에 따라 의료 인력을 늘림"), 0}
+    cleaned = spark.createDataFrame([("B1", 0, "의료  인력", None)], schemas.RESPONSE)
+    again = bills.assemble_term(votes, fetches, answers, answers, stop_word_responses=cleaned)["05_final"]
+    assert {r["cleaned"] for r in again.where("bill_id = 'B1'").collect()} == {"의료 인력"}
 
 
 def test_label_bills(spark):
@@ -64,8 +67,8 @@ def test_label_bills(spark):
     assert "의료" in rows["B1"]["topic_label"].split(", ") and rows["B3"]["content"] == "교육 법률"
     answered = spark.createDataFrame([("1", 1, '["가", "나"]', None)], schemas.RESPONSE)
     labels = {r["bill_id"]: r["topic_label"] for r in topic_labels.label_bills(table, classes, none, answered).collect()}
-    assert labels == {"B1": "가, 나", "B2": "가, 나", "B3": "법안, 개정, 정책, 시행"} or set(labels.values()) == {
-        "가, 나", "법안, 개정, 정책, 시행"}
+    number = {b: r["topic"] for b, r in rows.items()}
+    assert labels == {b: "가, 나" if number[b] == 1 else "법안, 개정, 정책, 시행" for b in number}
     summary = aggregates.topic_summary(got).collect()
     assert [r["document_count"] for r in summary] == [2, 1]
 
@@ -93,6 +96,15 @@ def test_backfill_chain(spark):
     assert {r["age_group"] for r in backfill.age_classes(merged).collect()} == {"20대"}
 
 
+def test_numbers_before_last_digits(spark):
+    bills_ = spark.createDataFrame([(22, "a", "B1", "2207521"), (22, "b", "B2", "1107521"), (22, "c", "B3", "3307521"), (21, "d", "B4", "2207521")],
+                                   "age int, title string, bill_id string, bill_number string")
+    extracts = spark.createDataFrame([(22, "2207521", "own", None), (22, " 01107521", "other", "x"), (22, "7521", "short", None), (22, "97521", "also", None)],
+                                     "age int, bill_number string, reason string, main string")
+    got = joins.fill_from_extracts(bills_, extracts).select("bill_id", "content", "matches").collect()
+    assert sorted(map(tuple, got)) == [("B1", "own", 1), ("B2", "other x", 1), ("B3", "also / short", 2)]
+
+
 def test_enriched_and_published_tables(spark):
     table = spark.createDataFrame([(22, "가", "B1", "1", "c"), (22, "나", "B2", "2", "c")], schemas.BILL)
     topics = spark.createDataFrame([("B1", 3, "(의료, 인력)", "의료")], "bill_id string, topic int, topic_label string, content string")
@@ -116,11 +128,13 @@ def test_vote_summary_finds_its_columns(spark):
     members = spark.createDataFrame([("김", "p", "남", "서울 종로"), ("이", "q", "여", "비례대표")],
                                     "HG_NM string, party string, gender string, district string")
     joined = crosstabs.member_votes(votes, members, "HG_NM", ["RESULT", "BILL_NAME", "party", "gender", "district"])
-    got = crosstabs.vote_summary(joined, "BILL_NAME", "party", "gender", "district", ["HG_NM", "RESULT"], districts=1)
-    assert got.columns == ["BILL_NAME", "HG_NM", "RESULT", "partyCount_p", "partyCount_q", "genderCount_남",
-                           "genderCount_여", "districtCount_비례대표"]
-    assert sorted(map(tuple, got.collect())) == [
-        ("가법", "김", "찬성", 1, 1, 1, 1, 1), ("가법", "이", "반대", 1, 1, 1, 1, 1), ("나법", "김", "찬성", 1, 0, 1, 0, 0)]
+    got = crosstabs.vote_summary(joined, "BILL_NAME", ["party", "gender", "district"], ["HG_NM", "RESULT"])
+    assert got.columns == ["BILL_NAME", "HG_NM", "RESULT", "party_counts", "gender_counts", "district_counts"]
+    assert sorted((tuple(r) for r in got.collect()), key=str) == [
+        ("가법", "김", "찬성", {"p": 1, "q": 1}, {"남": 1, "여": 1}, {"비례대표": 1, "서울 종로": 1}),
+        ("가법", "이", "반대", {"p": 1, "q": 1}, {"남": 1, "여": 1}, {"비례대표": 1, "서울 종로": 1}),
+        ("나법", "김", "찬성", {"p": 1}, {"남": 1}, {"서울 종로": 1})]
+    assert crosstabs.vote_counts(joined, "BILL_NAME", ["party"]).count() == 3
     shares = crosstabs.result_shares(joined, ["BILL_NAME", "party"], "RESULT", ["찬성", "반대"])
     assert sorted(map(tuple, shares.collect())) == [
         ("가법", "p", 1, 0, 1.0, 0.0), ("가법", "q", 0, 1, 0.0, 1.0), ("나법", "p", 1, 0, 1.0, 0.0)]

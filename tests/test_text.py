@@ -76,8 +76,9 @@ def test_preprocess_markers(column):
 
 def test_drop_stop_words(column):
     values = [None, "등 수 짧음", "이 법률 개정 등 경우 하여야 국민 안전", "기관 교육 실시 후 운영 관리 확인", "운영 관리자 교육  실시"]
-    assert column(text.drop_stop_words, values) == [
-        None, "등 수 짧음", "법률 개정 국민 안전", "기관 확인", "관리자"]
+    stop, phrases = ("이", "등", "수", "경우", "하여야", "후", "실시", "운영", "교육", "국민"), ("교육 실시", "운영 관리")
+    assert column(lambda c: text.drop_stop_words(c, stop, ("국민", "교육"), phrases), values) == [
+        None, "짧음", "법률 개정 국민 안전", "기관 확인", "관리자"]
 
 
 def test_sentence_and_slogan(column):
