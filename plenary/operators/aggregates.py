@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from plenary.functions.text import strip
 from plenary.operators.filters import is_valid_content
-from plenary.operators.skew import lookup_join
+from plenary.operators.index import materialize
 
 
 def join_texts(df: DataFrame, key: str, value: str, order_by: str, separator: str = " / ",
@@ -54,15 +54,15 @@ def group_counts(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     return rows.where(F.col("value").isNotNull()).groupBy(key, "attribute", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def attach_counts(details: DataFrame, counts: DataFrame, key: str, columns: Sequence[str],
-                  spread_by: Sequence[str] | None = None) -> DataFrame:
+def attach_counts(details: DataFrame, counts: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """A key's long-form counts on every detail row as one map per column, empty where there are none.
 
-    `counts` is a stored table.
+    The maps are stored: both sides of the join are then plain scans, so adaptive execution can split a key
+    with very many details.
     """
     none = F.create_map().cast("map<string,bigint>")
     maps = [F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("attribute") == c, F.struct("value", "n"))))).alias(f"{c}_counts") for c in columns]
-    joined = lookup_join(details, counts.groupBy(key).agg(*maps), key, "left", spread_by=spread_by)
+    joined = details.join(materialize(counts.groupBy(key).agg(*maps)), key, "left")
     return joined.withColumns({f"{c}_counts": F.coalesce(f"{c}_counts", none) for c in columns})
 
 

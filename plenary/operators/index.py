@@ -8,7 +8,6 @@ from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from plenary.operators.skew import lookup_join
 from plenary.session import checkpoint_dir
 
 _PART_BITS = 33  # monotonically_increasing_id keeps the partition above bit 33
@@ -52,9 +51,9 @@ def group_position(df: DataFrame, group: Sequence[str], order_by: Sequence[str],
                    name: str = "position") -> DataFrame:
     """1-based position within each group, for groups too large for one task's window."""
     indexed = dense_index(df, [*group, *order_by], "_index")
-    starts = indexed.groupBy(*group).agg(F.min("_index").alias("_start"))
+    starts = materialize(indexed.groupBy(*group).agg(F.min("_index").alias("_start")))
     return (
-        lookup_join(indexed, starts, list(group), "inner", spread_by=["_index"])
+        indexed.join(starts, list(group))
         .withColumn(name, F.col("_index") - F.col("_start") + 1)
         .drop("_index", "_start")
     )

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from plenary.functions.text import join_nullable, last4_key, strip, zero_fill
 from plenary.operators.dedup import first_per_key
 from plenary.operators.filters import not_blank
-from plenary.operators.skew import lookup_join
 
 
 def attach_content(votes: DataFrame, texts: DataFrame, url: str = "BILL_URL", text_url: str = "url",
@@ -19,14 +18,14 @@ def attach_content(votes: DataFrame, texts: DataFrame, url: str = "BILL_URL", te
     An empty text is kept: it stands for a page that was read and lacked the element.
     """
     right = texts.select(F.col(text_url).alias(url), content).where(F.col(content).isNotNull())
-    return lookup_join(votes, right, url, "inner")
+    return votes.join(right, url, "inner")
 
 
 def attach_results(votes: DataFrame, bills: DataFrame, columns: Sequence[str], on: str = "bill_id",
                    content: str = "content", cleaned: str = "cleaned") -> DataFrame:
     """Per-bill results on every vote; the bill's processed text replaces the vote's raw text."""
     right = bills.select(on, F.col(content).alias(cleaned), *columns)
-    return lookup_join(votes.drop(content), right, on, "left")
+    return votes.drop(content).join(right, on, "left")
 
 
 def fill_from_extracts(missing: DataFrame, extracts: DataFrame, term: str = "age",
@@ -46,11 +45,11 @@ def fill_from_extracts(missing: DataFrame, extracts: DataFrame, term: str = "age
         return rows.groupBy(term, key).agg(F.array_join(F.array_sort(F.collect_list("_text")), " / ").alias("content"), F.count(F.lit(1)).alias("matches"))
 
     bills = missing.drop("content", "matches").withColumn(full, plain(F.col(number))).withColumn(short, last4_key(F.col(number)))
-    exact = lookup_join(bills, joined(found, full), [term, full], "left")
+    exact = bills.join(joined(found, full), [term, full], "left")
     equal = exact.where(F.col("matches").isNotNull())
     left = exact.where(F.col("matches").isNull()).drop("content", "matches")
     spare = found.join(missing.select(term, plain(F.col(number)).alias(full)).distinct(), [term, full], "left_anti")
-    close = lookup_join(left, joined(spare, short), [term, short], "inner")
+    close = left.join(joined(spare, short), [term, short], "inner")
     return equal.unionByName(close).drop(full, short)
 
 
@@ -70,7 +69,7 @@ def lookup_update(bills: DataFrame, fills: DataFrame, key: str = "bill_number",
     fill = first_per_key(fills, [key], order).select(key, F.col(content).alias("_new"))
     names = bills.columns
     return (
-        lookup_join(bills.withColumn(key, F.col(key).cast("string")), fill, key, "left")
+        bills.withColumn(key, F.col(key).cast("string")).join(fill, key, "left")
         .withColumn(content, F.coalesce("_new", content))
         .select(*names)
     )
@@ -111,17 +110,17 @@ def join_page_text(votes: DataFrame, texts: DataFrame, url: str = "BILL_URL", te
 
 def attach_members(votes: DataFrame, members: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Member attributes on every vote; by name, or better by (term, member id)."""
-    return lookup_join(votes, members, on, "left")
+    return votes.join(members, on, "left")
 
 
 def attach_bill_number(votes: DataFrame, bills: DataFrame, on: str = "bill_id", number: str = "bill_number") -> DataFrame:
     """The bill's number, as text, on every vote; null for a bill the table lacks."""
-    return lookup_join(votes, bills.select(on, F.col(number).cast("string").alias(number)), on, "left")
+    return votes.join(bills.select(on, F.col(number).cast("string").alias(number)), on, "left")
 
 
 def attach_boundary(districts: DataFrame, boundaries: DataFrame, code: str = "SGG_Code", width: int = 7) -> DataFrame:
     """District rows with the boundary of their zero-filled code; null where there is none."""
-    return lookup_join(districts.withColumn(code, zero_fill(F.col(code), width)), boundaries, code, "left")
+    return districts.withColumn(code, zero_fill(F.col(code), width)).join(boundaries, code, "left")
 
 
 def with_key_in(df: DataFrame, other: DataFrame, key: str) -> DataFrame:

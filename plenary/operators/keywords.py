@@ -10,8 +10,7 @@ from plenary.functions.jsons import json_strings
 from plenary.functions.text import join_list
 from plenary.operators.dedup import first_per_key
 from plenary.operators.index import dense_index, materialize
-from plenary.operators.skew import lookup_join
-from plenary.session import measured_bytes, spread
+from plenary.session import spread
 
 TOP_TERMS = 4
 # Particles and counters that join or number other words; callers pass their own list where they have one.
@@ -32,15 +31,12 @@ def tokens(text: Column, stop: Sequence[str] = PARTICLES) -> Column:
     return F.filter(words(text), lambda w: is_term(w, stop))
 
 
-def _weigh(counts: DataFrame, containing: DataFrame, total: int, spread_by: Sequence[str]) -> DataFrame:
+def _weigh(counts: DataFrame, containing: DataFrame, total: int) -> DataFrame:
     """Adds `score`: a term's count times the logarithm of its rarity among all documents.
 
-    `containing` (term, containing, uses) is stored. `uses` is each term's row count in `counts`, so
-    the join can split the few terms that nearly every document has.
+    Both tables are stored, so adaptive execution can split the few terms that nearly every document has.
     """
-    joined = lookup_join(counts, containing.select("term", "containing"), "term", "inner", spread_by=spread_by,
-                         counts=containing.select("term", F.col("uses").alias("n")),
-                         right_bytes=measured_bytes(containing))
+    joined = counts.join(containing, "term")
     rarity = F.log(F.lit(1.0 + total) / (F.lit(1.0) + F.col("containing")))
     return joined.withColumn("score", F.round(F.col("n") * rarity, 6))
 
@@ -60,8 +56,8 @@ def cluster_term_scores(docs: DataFrame, cluster: str, text: str = "content", to
     counts = materialize(
         pairs.where(is_term(F.col("term"), stop)).groupBy(cluster, "term").agg(F.count(F.lit(1)).alias("n")))
     containing = materialize(
-        counts.groupBy("term").agg(F.sum("n").alias("containing"), F.count(F.lit(1)).alias("uses")))
-    return _top(_weigh(counts, containing, docs.count(), [cluster, "term"]), cluster, top)
+        counts.groupBy("term").agg(F.sum("n").alias("containing")))
+    return _top(_weigh(counts, containing, docs.count()), cluster, top)
 
 
 def doc_term_scores(docs: DataFrame, key: str, text: str = "content", top: int = TOP_TERMS,
@@ -85,8 +81,8 @@ def doc_term_scores(docs: DataFrame, key: str, text: str = "content", top: int =
 
     found = spread(docs).select(key, F.explode(F.aggregate(ordered, start, step, closed)).alias("t"))
     counts = materialize(found.select(key, "t.term", "t.n"))
-    containing = materialize(counts.groupBy("term").agg(F.count(F.lit(1)).alias("containing")).withColumn("uses", F.col("containing")))
-    return _top(_weigh(counts, containing, docs.count(), [key, "term"]), key, top)
+    containing = materialize(counts.groupBy("term").agg(F.count(F.lit(1)).alias("containing")))
+    return _top(_weigh(counts, containing, docs.count()), key, top)
 
 
 def as_keyword_list(scores: DataFrame, key: str, name: str = "keywords") -> DataFrame:

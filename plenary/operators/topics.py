@@ -11,8 +11,7 @@ from plenary.functions.jsons import classification, subgroups
 from plenary.operators.dedup import first_per_key
 from plenary.operators.index import dense_index, group_position, materialize
 from plenary.operators.keywords import tokens
-from plenary.operators.skew import lookup_join
-from plenary.session import measured_bytes, spread
+from plenary.session import spread
 
 _REST = 2**31 - 1  # sorts after every subgroup an answer names
 
@@ -62,10 +61,9 @@ def assign_subgroups(members: DataFrame, responses: DataFrame, key: str = "bill_
     """
     sizes = members.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
     mentions = materialize(subgroup_mentions(responses, sizes, group))
-    asked = mentions.select(group).distinct()
+    asked = materialize(mentions.select(group).distinct())
     named = group_position(
-        lookup_join(members, asked, group, "inner", spread_by=[key], counts=sizes, right_bytes=measured_bytes(asked)),
-        [group], [key],
+        members.join(asked, group), [group], [key],
     ).join(mentions, [group, "position"]).select(key, "subgroup")
     return members.join(named, key, "left").withColumn("subgroup", F.coalesce("subgroup", F.lit(_REST)))
 
@@ -74,8 +72,7 @@ def number_clusters(subgrouped: DataFrame, key: str = "bill_id", group: str = "t
                     name: str = "topic") -> DataFrame:
     """(key, group, cluster id): ids 0, 1, 2, … in the order of (group, subgroup)."""
     ids = dense_index(subgrouped.select(group, "subgroup").distinct(), [group, "subgroup"], name)
-    return lookup_join(subgrouped, ids, [group, "subgroup"], "inner", spread_by=[key],
-                       right_bytes=measured_bytes(ids)).drop("subgroup")
+    return subgrouped.join(ids, [group, "subgroup"]).drop("subgroup")
 
 
 def cluster(docs: DataFrame, class_responses: DataFrame, group_responses: DataFrame, key: str = "bill_id") -> DataFrame:

@@ -15,8 +15,7 @@ from plenary.operators.index import materialize
 from plenary.operators.joins import attach_content, with_key_in
 from plenary.operators.project import VOTE_NAMES, rename
 from plenary.operators.responses import cleaned_texts, fetched_content, slogans, summaries
-from plenary.operators.skew import lookup_join
-from plenary.session import measured_bytes, spread
+from plenary.session import spread
 from plenary.sources.landed import bill_rows, vote_rows
 
 
@@ -90,9 +89,9 @@ def assemble_term(votes: DataFrame, fetches: DataFrame, summary_responses: DataF
     """
     votes, given = split_cells(materialize(votes))
     texts = materialize(page_texts(spread(fetches, "url"), given))
-    # A vote's bill and page; n is what the last join needs to know about frequent bills.
+    # A vote's bill and page.
     keyed = votes.withColumn("_bill", F.coalesce("BILL_ID", F.lit("")))
-    pairs = materialize(keyed.groupBy("_bill", "BILL_ID", "BILL_URL").agg(F.count(F.lit(1)).alias("n")))
+    pairs = materialize(keyed.select("_bill", "BILL_ID", "BILL_URL").distinct())
     bills = preprocess_bills(unique_bills(pairs, texts), stop_words=stop_words).drop("original_content")
     if stop_word_responses is not None:
         bills = cleaned_texts(bills, stop_word_responses)
@@ -101,8 +100,7 @@ def assemble_term(votes: DataFrame, fetches: DataFrame, summary_responses: DataF
                            "summary", "card_news_content")
     read = pairs.join(texts.select(F.col("url").alias("BILL_URL")), "BILL_URL", "left_semi")
     per_page = materialize(read.select("_bill", "BILL_URL").join(results, "_bill", "left"))
-    final = lookup_join(keyed, per_page, ["_bill", "BILL_URL"], "inner", spread_by=["MONA_CD", "BILL_ID"],
-                        counts=pairs.select("_bill", "BILL_URL", "n"), right_bytes=measured_bytes(per_page))
+    final = keyed.join(per_page, ["_bill", "BILL_URL"])
     return {
         "01_votes": votes,
         "02_page_texts": texts,

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 
 from plenary.operators.aggregates import attach_counts, crosstab, group_counts, with_ratios
 from plenary.operators.filters import drop_incomplete
-from plenary.operators.index import materialize
 from plenary.operators.joins import attach_members
 from plenary.operators.project import trim_names
 
@@ -30,8 +29,7 @@ def vote_summary(votes: DataFrame, bill: str, attributes: Sequence[str], details
     All values are kept; picking columns out of the maps is the caller's. The counts are stored, so the
     votes are read once to count and once for their details.
     """
-    counts = materialize(vote_counts(votes, bill, attributes))
-    return attach_counts(votes.select(bill, *details), counts, bill, attributes)
+    return attach_counts(votes.select(bill, *details), vote_counts(votes, bill, attributes), bill, attributes)
 
 
 def result_shares(votes: DataFrame, groups: Sequence[str], result: str, results: Sequence) -> DataFrame:

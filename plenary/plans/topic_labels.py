@@ -9,10 +9,9 @@ from plenary.operators.keywords import as_keyword_list, cluster_term_scores, key
     keywords_from_responses, single_topics
 from plenary.operators.index import materialize
 from plenary.operators.project import select_present
-from plenary.operators.skew import lookup_join
 from plenary.operators.topics import cluster
 from plenary.plans.bills import preprocess_bills
-from plenary.session import measured_bytes, spread
+from plenary.session import spread
 
 LABEL_COLUMNS = ("age", "title", "bill_id", "bill_number", "content", "topic", "topic_label")
 
@@ -32,7 +31,7 @@ def label_bills(bills: DataFrame, class_responses: DataFrame, group_responses: D
         keywords = keywords_from_responses(topics.select("topic").distinct(), keyword_responses, "topic")
     # One row per cluster, stored: its counted size decides how it is joined.
     labels = materialize(keywords.select("topic", keyword_label(F.col("keywords")).alias("topic_label")))
-    labelled = lookup_join(topics, labels, "topic", "left", spread_by=[key], right_bytes=measured_bytes(labels))
+    labelled = topics.join(labels, "topic", "left")
     labelled = preprocess_bills(spread(bills, key)).join(labelled, key, "left")
     default = ", ".join(lexicon.DEFAULT_KEYWORDS)
     labelled = labelled.withColumn("topic_label", F.coalesce("topic_label", F.lit(default)))

@@ -1,4 +1,4 @@
-"""Salted joins, dense numbers and positions give the plain results when one key is hot."""
+"""Joins, dense numbers and positions when one key is hot."""
 
 from collections import Counter
 
@@ -7,9 +7,8 @@ from pyspark.sql import functions as F, Window
 
 from plenary.operators.aggregates import join_texts
 from plenary.operators.dedup import first_per_key
-from plenary.operators.index import dense_index, group_position
-from plenary.operators.skew import heavy_keys, lookup_join
-from plenary.session import broadcast_limit, measured_bytes, plan_bytes, spread
+from plenary.operators.index import dense_index, group_position, materialize
+from plenary.session import spread
 
 
 @pytest.fixture(scope="module")
@@ -19,79 +18,22 @@ def hot(spark):
     return spark.range(3000).select("id", k.cast("bigint").alias("k"))
 
 
-@pytest.fixture(scope="module")
-def lookup(spark):
-    """Some keys missing, one repeated."""
-    return spark.range(60).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v")).unionByName(
-        spark.range(2).select((F.col("id") * 5).alias("k"), (-F.col("id") - 1).alias("v")))
-
-
-LARGE = 1 << 40  # a lookup size beyond every broadcast threshold
-
-
-def plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-@pytest.mark.parametrize("how", ["left", "inner"])
-@pytest.mark.parametrize("share", [0.001, 0.05])
-def test_split_join_equals_plain_join(hot, lookup, how, share):
-    split = lookup_join(hot, lookup, "k", how, spread_by=["id"], share=share, least=2, right_bytes=LARGE)
-    plain = hot.join(lookup, "k", how)
-    assert "_split" in plan(split) and split.columns == plain.columns
-    assert Counter(map(tuple, split.collect())) == Counter(map(tuple, plain.collect()))
-
-
-def test_split_join_on_two_keys(hot):
-    left = hot.withColumn("j", F.when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.lit("x")))
-    right = left.where("k IS NOT NULL").select("k", F.lit("x").alias("j")).distinct().withColumn("v", F.col("k") * 2)
-    split = lookup_join(left, right, ["k", "j"], "left", share=0.05, least=2, right_bytes=LARGE)
-    assert "_split" in plan(split)
-    assert Counter(map(tuple, split.collect())) == Counter(map(tuple, left.join(right, ["k", "j"], "left").collect()))
-
-
-def test_given_counts_serve_the_split_join(hot, lookup):
-    counts = hot.groupBy("k").agg(F.count("*").alias("n"))
-    split = lookup_join(hot, lookup, "k", "left", counts=counts, least=2, right_bytes=LARGE)
-    assert Counter(map(tuple, split.collect())) == Counter(map(tuple, hot.join(lookup, "k", "left").collect()))
-
-
-def test_heavy_keys_are_few(hot):
-    heavy = {r["k"]: r["splits"] for r in heavy_keys(hot, ["k"], 0.05, least=2).collect()}
-    assert list(heavy) == [0] and heavy[0] >= 6
-    assert heavy_keys(hot, ["k"], 0.001, least=2).count() <= 1000
-    assert heavy_keys(hot, ["k"]).count() == 0
-
-
-def test_no_heavy_key_means_a_plain_join(hot, lookup):
-    assert "_split" not in plan(lookup_join(hot, lookup, "k", right_bytes=LARGE))
-
-
-def test_hot_key_lands_in_many_partitions(hot, lookup):
-    joined = lookup_join(hot, lookup, "k", "inner", spread_by=["id"], share=0.01, least=2, right_bytes=LARGE)
-    joined.sparkSession.conf.set("spark.sql.adaptive.enabled", "false")
-    joined.sparkSession.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def test_hot_key_is_split_by_adaptive_execution(spark, hot, tmp_path):
+    """Both sides are stored, so the plain join of a hot key is cut into several tasks."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
     try:
-        joined = lookup_join(hot, lookup, "k", "inner", spread_by=["id"], share=0.01, least=2)
-        parts = joined.where("k = 0").select(F.spark_partition_id().alias("p")).distinct().count()
+        left = materialize(hot.repartition(8).withColumn("pad", F.sha2(F.col("id").cast("string"), 256)))
+        right = materialize(spark.range(97).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v")))
+        joined = left.join(right, "k").select("id", "k", "v", F.spark_partition_id().alias("p"))
+        rows = joined.collect()
     finally:
-        joined.sparkSession.conf.unset("spark.sql.adaptive.enabled")
-        joined.sparkSession.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert parts > 4
-
-
-def test_join_choice_follows_measured_size(spark, hot, lookup):
-    limit = broadcast_limit(spark)
-    assert limit == 10 * 1024 * 1024 and plan_bytes(lookup) > 0
-    assert 62 * 16 <= measured_bytes(lookup) <= 62 * 64
-    assert "BroadcastHashJoin" in plan(lookup_join(hot, lookup, "k"))
-    wide = lookup.join(lookup.withColumnRenamed("v", "w"), "k").join(lookup.withColumnRenamed("v", "x"), "k")
-    assert "BroadcastHashJoin" in plan(lookup_join(hot, wide, "k"))
-
-
-def test_wrong_join_kind(hot, lookup):
-    with pytest.raises(ValueError):
-        lookup_join(hot, lookup, "k", "full")
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(rows) == hot.where("k IS NOT NULL").count() and len({r["p"] for r in rows if r["k"] == 0}) > 1
 
 
 def test_dense_index_matches_row_number(hot):
