@@ -28,7 +28,9 @@ WORDS, LEAST = 5, 0.8
 SLACK = 1e-6
 UNIT = 512  # texts of either side that are compared in one unit
 BANDS, ROWS = 16, 4
-RARE = 1e-3  # words in a smaller share of the documents all weigh the same, so the table of words is bounded
+# Words in a smaller share of the documents all weigh the same: the table of words is bounded, and a few rare words
+# that an edit brought in do not outweigh the rest of a copy.
+RARE = 5e-2
 
 _TABLE_BITS = 15
 _rng = np.random.default_rng(977)
