@@ -364,7 +364,52 @@ def of_term(t):
     return filters.of_term(named, "BUILDING", "c_mktsegment").select("c_custkey", strip_text(F.col("c_name")).alias("c_name"))
 
 
-@query()
+@query("SELECT 3::BIGINT AS drawn, 3::BIGINT AS distinct_rows, 3::BIGINT AS in_table")
 def random_rows(t):
-    """Three rows at random."""
-    return sets.random_rows(t.orders.select("o_orderkey", "o_custkey"), 3, seed=7)
+    """Three rows at random: as many as asked for, different ones, all from the table."""
+    table = t.orders.select("o_orderkey", "o_custkey")
+    drawn = sets.random_rows(table, 3, seed=7)
+    found = drawn.join(table.withColumn("known", F.lit(1)), ["o_orderkey", "o_custkey"], "left")
+    return found.agg(F.count(F.lit(1)).alias("drawn"), F.countDistinct("o_orderkey").alias("distinct_rows"), F.count("known").alias("in_table"))
+
+
+@query("""SELECT l_orderkey, l_linenumber, s_suppkey AS member_id, n_name AS party FROM lineitem
+LEFT JOIN (supplier JOIN nation ON s_nationkey = n_nationkey) ON 'Member ' || (l_suppkey % 40) = 'Member ' || (s_suppkey % 40)
+WHERE l_linenumber = 1""")
+def member_join_by_name(t):
+    """Members joined to votes by name; a name that several members share gives a row for each."""
+    name = lambda key: F.concat(F.lit("Member "), (F.col(key) % 40).cast("string"))
+    votes = t.lineitem.where("l_linenumber = 1").select("l_orderkey", "l_linenumber", name("l_suppkey").alias("HG_NM"))
+    members = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
+        name("s_suppkey").alias("HG_NM"), F.col("s_suppkey").alias("member_id"), F.col("n_name").alias("party"))
+    return joins.attach_members(votes, members, "HG_NM").drop("HG_NM")
+
+
+_MEMBERS = """m AS (SELECT 20 + c_custkey % 3 AS age, 'M' || c_custkey AS member_id, c_name AS name, c_mktsegment AS party,
+  CASE WHEN c_custkey % 5 = 0 THEN '비례대표' WHEN c_custkey % 7 = 0 THEN '세종특별자치시갑' ELSE 'S' || c_nationkey || ' D' || c_custkey % 9 END AS sido_sgg,
+  CASE WHEN c_acctbal > 0 THEN '남' ELSE '여' END AS gender FROM customer)"""
+
+
+def _member_table(t: Tables) -> DataFrame:
+    """Three terms' member files put together under their published names."""
+    key = F.col("c_custkey")
+    district = F.when(key % 5 == 0, "비례대표").when(key % 7 == 0, "세종특별자치시갑").otherwise(
+        F.concat(F.lit("S"), F.col("c_nationkey").cast("string"), F.lit(" D"), (key % 9).cast("string")))
+    rows = t.customer.select(
+        F.concat(F.lit("M"), key.cast("string")).alias("monaCode"), F.col("c_name").alias("이름"), F.col("c_mktsegment").alias("정당"),
+        district.alias("선거구"), F.when(F.col("c_acctbal") > 0, "남").otherwise("여").alias("성별"), (key % 3).alias("term"))
+    return backfill.member_table({20 + k: rows.where(F.col("term") == k).drop("term") for k in range(3)})
+
+
+@query(f"""WITH {_MEMBERS} SELECT age::INT AS age, name, party, sido_sgg AS "SIDO_SGG", member_id, gender FROM m""")
+def member_table(t):
+    """Members of all terms under their published column names."""
+    return _member_table(t)
+
+
+@query(f"""WITH {_MEMBERS} SELECT age::INT AS age, sido_sgg, CASE WHEN contains(sido_sgg, '세종특별자치시') THEN '세종'
+  WHEN sido_sgg <> '비례대표' THEN split_part(sido_sgg, ' ', 1) END AS sido,
+  CASE WHEN contains(sido_sgg, '세종특별자치시') THEN sido_sgg WHEN sido_sgg <> '비례대표' THEN split_part(sido_sgg, ' ', 2) END AS sgg FROM m""")
+def district_table(t):
+    """Every member's district cut in two; none for proportional seats."""
+    return backfill.district_table(_member_table(t))

@@ -152,10 +152,11 @@ def topic_summary_top(t):
 
 @query("SELECT count(DISTINCT lang || '_' || source) AS topics FROM documents")
 def topic_count(t):
-    return t.documents.agg(F.countDistinct(F.concat_ws("_", "lang", "source")).alias("topics"))
+    return aggregates.topic_count(t.documents.withColumn("topic", F.concat_ws("_", "lang", "source")))
 
 
-@query()
+@query("SELECT doc_id, true AS in_range FROM documents")
 def topic_kmeans(t):
-    """Topics without answers: hashed tf-idf and k-means."""
-    return topics.kmeans_topics(t.documents.select("doc_id", F.col("text").alias("content")), "doc_id", k=8)
+    """Topics without answers, hashed tf-idf and k-means: one per document, numbered within range."""
+    found = topics.kmeans_topics(t.documents.select("doc_id", F.col("text").alias("content")), "doc_id", k=8)
+    return found.select("doc_id", F.coalesce(F.col("topic").between(0, 7), F.lit(False)).alias("in_range"))

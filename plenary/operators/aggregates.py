@@ -118,3 +118,8 @@ def topic_summary(df: DataFrame, topic: str = "topic", title: str = "title", lab
         .agg(F.count(title).alias("document_count"), F.min_by(label, order_by).alias(label))
         .orderBy(F.desc("document_count"), topic)
     )
+
+
+def topic_count(df: DataFrame, topic: str = "topic") -> DataFrame:
+    """One row: the number of distinct topics."""
+    return df.agg(F.countDistinct(topic).alias("topics"))
