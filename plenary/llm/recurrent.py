@@ -19,7 +19,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from plenary.llm import tokens
 from plenary.operators.index import materialize
 
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 8 << 20
+SCORED_ROWS = 1 << 15  # states whose outputs are computed at a time
 FREQUENT, CLASSES, HIDDEN = 1024, 32, 32
 SAMPLE_DOCS, UPDATES, LANES, WINDOW = 800, 500, 48, 20
 END = np.uint64(0x5DEECE66D1234567)  # stands for the end of a text among the word hashes
@@ -325,7 +326,7 @@ def train(docs: DataFrame, usable: Column, seen: Corpus, sample_docs: int = SAMP
     return net
 
 
-def _score_block(net: Network, seen: Corpus, sizes: np.ndarray, codes: np.ndarray, words: np.ndarray, counts: np.ndarray, window: int = 64):
+def _score_block(net: Network, seen: Corpus, sizes: np.ndarray, codes: np.ndarray, words: np.ndarray, counts: np.ndarray, rows: int = SCORED_ROWS):
     """(tokens, known tokens, base score, network's score) of each text of a block."""
     log_rare, end = np.log10(net.rare_share), int(_numbers(np.array([END]), seen)[0])
     number = _numbers(words, seen)
@@ -343,18 +344,20 @@ def _score_block(net: Network, seen: Corpus, sizes: np.ndarray, codes: np.ndarra
     order = np.argsort(-sizes, kind="stable")
     length, begin = sizes[order] + 1, offsets[:-1][order]
     state, previous = np.zeros((len(sizes), net.hidden), np.float32), np.full(len(sizes), net.start)
-    for at in range(0, int(length[0]) if len(length) else 0, window):
-        states, targets, lanes = [], [], []
-        for t in range(at, min(at + window, int(length[0]))):
-            live = int(np.searchsorted(-length, -t, "left"))  # longer texts come first
-            state[:live] = net.step(state[:live], previous[:live])[0]
-            word = np.where(t < length[:live] - 1, number[codes[np.minimum(begin[:live] + t, max(len(codes) - 1, 0))]] if len(codes) else end, end)
-            previous[:live] = word
-            states.append(state[:live].copy())
-            targets.append(word)
-            lanes.append(np.arange(live))
-        value = net.outputs(np.concatenate(states), np.concatenate(targets))[0]
-        score[order] += np.bincount(np.concatenate(lanes), value, len(sizes)) / np.log(10)
+    states, targets, lanes, held = [], [], [], 0
+    for t in range(int(length[0]) if len(length) else 0):
+        live = int(np.searchsorted(-length, -t, "left"))  # longer texts come first
+        state[:live] = net.step(state[:live], previous[:live])[0]
+        word = np.where(t < length[:live] - 1, number[codes[np.minimum(begin[:live] + t, max(len(codes) - 1, 0))]] if len(codes) else end, end)
+        previous[:live] = word
+        states.append(state[:live].copy())
+        targets.append(word)
+        lanes.append(np.arange(live))
+        held += live
+        if held >= rows or t + 1 == length[0]:
+            value = net.outputs(np.concatenate(states), np.concatenate(targets))[0]
+            score[order] += np.bincount(np.concatenate(lanes), value, len(sizes)) / np.log(10)
+            states, targets, lanes, held = [], [], [], 0
     return sizes + 1, known, base_score, score
 
 
