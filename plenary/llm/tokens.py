@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 4 << 20  # bytes of text handled at a time; a longer text is a chunk of its own
+CHUNK = 2 << 20  # bytes of text handled at a time; a longer text is a chunk of its own
 
 _rng = np.random.default_rng(20240601)
 _BYTE = _rng.integers(0, 1 << 64, 256, dtype=np.uint64, endpoint=False)
