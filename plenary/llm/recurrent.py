@@ -3,17 +3,22 @@
 Texts become blocks of word numbers with the block's own vocabulary. Exact corpus counts come from exchanging the
 blocks' vocabularies, cut into buckets by word hash: each bucket adds up its words over all blocks and answers every
 block. The network is trained in numpy by backpropagation through windows, the state being carried from one window
-to the next, on a bounded sample of documents. It predicts the class of the next word and then the word within its
-class; words outside the frequent ones form one class, in which the smoothed corpus counts decide.
+to the next. Every token of every training document is learnt from: in each round all tasks go on from the same
+weights over their own blocks, and the weights are averaged by the tokens seen. It predicts the class of the next word
+and then the word within its class; words outside the frequent ones form one class, in which the smoothed corpus
+counts decide.
 """
 
 from __future__ import annotations
 
+import copy
+import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plenary.llm import tokens
@@ -22,27 +27,21 @@ from plenary.operators.index import materialize
 BLOCK_BYTES = 8 << 20
 SCORED_ROWS = 1 << 15  # states whose outputs are computed at a time
 FREQUENT, CLASSES, HIDDEN = 1024, 32, 32
-SAMPLE_DOCS, UPDATES, LANES, WINDOW = 800, 500, 48, 20
+UPDATES, LANES, WINDOW = 500, 48, 20  # windows at the least (small corpora are gone over again), streams, words a window
+WIDE = 256  # streams of a large block, so that the cost of a step is shared by more words
+STRETCH = 512  # words of a text that one stream takes; another one goes on from there
+ROUNDS = np.array([0, 1 / 16, 1 / 8, 1 / 4, 1 / 2, 1])  # borders of the documents' shares after which weights are averaged
+SLICES = 64  # into which the weights are cut to be averaged
 END = np.uint64(0x5DEECE66D1234567)  # stands for the end of a text among the word hashes
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def _words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes of all texts, A to Z in lower case, and their offsets per text."""
-    hashes, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-    for _, _, data, starts in tokens.chunks(column):
-        _, _, word, offsets = tokens.find_words(_LOWER[data], starts)
-        hashes.append(word)
-        counts.append(np.diff(offsets))
-    return np.concatenate(hashes), np.concatenate([[0], np.cumsum(np.concatenate(counts))])
-
-
 def encode(docs: DataFrame, train: Column) -> DataFrame:
-    """(block, doc_ids, sizes, codes, words, trained): blocks of documents as numbers of the block's words, stored.
+    """(block, doc_ids, sizes, codes, words, trained, learnt): blocks of documents as numbers of the block's words, stored.
 
-    `words` are the block's distinct hashes, ascending; `trained` counts them in the documents to learn from.
+    `words` are the block's distinct hashes, ascending; `trained` counts them in the documents to learn from, which `learnt` marks.
     """
 
     def block(parts):
@@ -55,7 +54,7 @@ def encode(docs: DataFrame, train: Column) -> DataFrame:
         return pa.RecordBatch.from_arrays([
             pa.ListArray.from_arrays(pa.array([0, sum(map(len, ids))], pa.int32()), pa.concat_arrays(ids)),
             blob(size.astype(np.int32)), blob(codes.astype(np.int32)), blob(words), blob(trained),
-            pa.array([int(np.concatenate(flags).sum())])], ["doc_ids", "sizes", "codes", "words", "trained", "texts"])
+            blob(np.concatenate(flags)), pa.array([int(np.concatenate(flags).sum())])], ["doc_ids", "sizes", "codes", "words", "trained", "learnt", "texts"])
 
     def run(batches):
         parts, held = [], 0
@@ -73,7 +72,7 @@ def encode(docs: DataFrame, train: Column) -> DataFrame:
             yield block(parts)
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", train.alias("train"))
-    out = rows.mapInArrow(run, "doc_ids array<bigint>, sizes binary, codes binary, words binary, trained binary, texts bigint")
+    out = rows.mapInArrow(run, "doc_ids array<bigint>, sizes binary, codes binary, words binary, trained binary, learnt binary, texts bigint")
     return materialize(out.withColumn("block", F.monotonically_increasing_id()))
 
 
@@ -160,6 +159,7 @@ class Network:
         rng = np.random.default_rng(seed)
         n = len(seen.words)
         self.rare, self.start, self.hidden = n, n + 1, hidden
+        self.learnt = 0  # tokens, ends of texts included, that all rounds together learnt from
         # Frequent words go into classes of equal summed square roots of their counts, most frequent first.
         order = np.argsort(-seen.counts, kind="stable")
         weight = np.cumsum(np.sqrt(seen.counts[order] + 1.0))
@@ -228,18 +228,30 @@ class Network:
                 grad_states[at] += inner @ p["B"][:, part].T
         return result, grad_states, grads
 
-    def train(self, lanes: np.ndarray, window: int = WINDOW, updates: int = UPDATES, rate: float = 0.01) -> list[float]:
-        """Adam over windows of parallel word streams (time, lane); returns the mean loss of each window."""
-        moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in self.p.items()}
+    def train(self, lanes: np.ndarray, window: int = WINDOW, updates: int = UPDATES, rate: float = 0.01,
+              counted: np.ndarray | None = None, moments: dict | None = None) -> list[float]:
+        """Adam over windows of parallel word streams (time, lane); returns the mean loss of each window.
+
+        Args:
+            counted: marks the words to predict; lanes come longest first, and one is left when none of its words remain.
+            moments: Adam's moments and its number of updates, carried from one call to the next.
+        """
+        moments = {} if moments is None else moments
+        for k, v in self.p.items():
+            moments.setdefault(k, (np.zeros_like(v), np.zeros_like(v)))
+        length = None if counted is None else len(counted) - np.argmax(counted[::-1], 0)
         losses, at, state = [], 0, np.zeros((lanes.shape[1], self.hidden), np.float32)
-        for update in range(1, updates + 1):
+        for _ in range(updates):
             if at + window + 1 > len(lanes):
-                at, state = 0, np.zeros_like(state)
+                at, state = 0, np.zeros((lanes.shape[1], self.hidden), np.float32)
                 if at + window + 1 > len(lanes):
                     break
-            loss, grads, state = self._window(lanes[at: at + window + 1], state)
+            live = lanes.shape[1] if length is None else max(int(np.searchsorted(-length, -at - 1, "left")), 1)
+            part = slice(at, at + window + 1)
+            loss, grads, state = self._window(lanes[part, :live], state[:live], None if counted is None else counted[part, :live])
             losses.append(loss)
             at += window
+            update = moments["updates"] = moments.get("updates", 0) + 1
             for k, g in grads.items():
                 first, second = moments[k]
                 first += 0.1 * (g - first)
@@ -247,10 +259,10 @@ class Network:
                 self.p[k] -= rate * (first / (1 - 0.9 ** update)) / (np.sqrt(second / (1 - 0.999 ** update)) + 1e-8)
         return losses
 
-    def _window(self, words: np.ndarray, state: np.ndarray):
+    def _window(self, words: np.ndarray, state: np.ndarray, counted: np.ndarray | None = None):
         """Loss, gradients and the last state of one window; a text's first word meets an empty state.
 
-        A stream holds the start mark before each text. The mark is read but never predicted.
+        A stream holds the start mark before each text. The mark is read but never predicted, as are words not counted.
         """
         span, lanes, h = len(words) - 1, words.shape[1], self.hidden
         kept, states = [], np.zeros((span, lanes, h), np.float32)
@@ -261,7 +273,7 @@ class Network:
             states[t] = state
             kept.append((before, z, r, n, un))
         target = words[1:].ravel()
-        real = np.flatnonzero(target != self.start)
+        real = np.flatnonzero(target != self.start if counted is None else counted[1:].ravel() & (target != self.start))
         flat = states.reshape(-1, h)
         value, grad, grads = self.outputs(flat[real], target[real], learn=True)
         scale = np.float32(1 / max(len(real), 1))
@@ -270,7 +282,7 @@ class Network:
         inner[real] = grad * scale
         inner = inner.reshape(states.shape)
         grads |= {"W": np.zeros_like(self.p["W"]), "U": np.zeros_like(self.p["U"]), "b": np.zeros_like(self.p["b"])}
-        later = np.zeros((lanes, h), np.float32)
+        later, inputs = np.zeros((lanes, h), np.float32), np.zeros((span, lanes, 3 * h), inner.dtype)
         for t in range(span - 1, -1, -1):
             before, z, r, n, un = kept[t]
             dh = inner[t] + later
@@ -280,10 +292,13 @@ class Network:
             through = np.concatenate([dz, dr, dn * r], 1)
             direct = np.concatenate([dz, dr, dn], 1)
             grads["U"] += before.T @ through
-            np.add.at(grads["W"], words[t], direct)
-            grads["b"] += direct.sum(0)
+            inputs[t] = direct
             later = dh * z + through @ self.p["U"].T
             later[words[t] == self.start] = 0
+        order = np.argsort(words[:span].ravel(), kind="stable")
+        read, first = np.unique(words[:span].ravel()[order], return_index=True)
+        grads["W"][read] = np.add.reduceat(inputs.reshape(-1, 3 * h)[order], first, 0)
+        grads["b"] += inputs.sum((0, 1))
         norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
         if norm > 1:
             grads = {k: g / np.float32(norm) for k, g in grads.items()}
@@ -295,34 +310,104 @@ def _numbers(hashes: np.ndarray, seen: Corpus) -> np.ndarray:
     return np.where(seen.words[at] == hashes, at, len(seen.words))
 
 
-def streams(texts: list[np.ndarray], net: Network, end: int, lanes: int = LANES) -> np.ndarray:
-    """(time, lane): texts dealt to lanes, each after the start mark and before the end mark, cut to equal length."""
+def streams(texts: list[np.ndarray], net: Network, end: int, lanes: int = LANES, stretch: int = STRETCH,
+            window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+    """(words, counted) by (time, lane), longest lane first, for whole windows: every word and every end is counted once.
+
+    A text stands after the start mark and before the end mark. One longer than `stretch` goes on in another lane, where
+    the `window` words before it are read again for the state but not counted. Short lanes are filled up with start marks.
+    """
     rows: list[list[np.ndarray]] = [[] for _ in range(lanes)]
-    sizes = np.zeros(lanes, np.int64)
+    marks: list[list[np.ndarray]] = [[] for _ in range(lanes)]
+    sizes = [(0, lane) for lane in range(lanes)]
     for text in texts:
-        lane = int(sizes.argmin())
-        rows[lane].append(np.concatenate([[net.start], text, [end]]))
-        sizes[lane] += len(text) + 2
-    joined = [np.concatenate(r) if r else np.array([net.start, end]) for r in rows]
-    length = min(len(r) for r in joined)
-    return np.stack([r[:length] for r in joined], 1)
-
-
-def train(docs: DataFrame, usable: Column, seen: Corpus, sample_docs: int = SAMPLE_DOCS, **settings) -> Network:
-    """A network trained on at most `sample_docs` whole documents, the first by a hash of the id.
-
-    Streams are cut to the shortest lane, and `updates` windows are seen at most, so the work is bounded too.
+        whole = np.concatenate([[net.start], text, [end]])
+        for at in range(0, len(whole) - 1, stretch):
+            seen = whole[max(at - window, 0): at + stretch + 1]
+            head = min(at, window) + 1
+            if at > window:
+                seen, head = np.concatenate([[net.start], seen]), head + 1
+            size, lane = heapq.heappop(sizes)
+            rows[lane].append(seen)
+            marks[lane].append(np.arange(len(seen)) >= head)
+            heapq.heappush(sizes, (size + len(seen), lane))
+    order = sorted((-size, lane) for size, lane in sizes if size)
+    length = -order[0][0] if order else 1
+    length = -(-(length - 1) // window) * window + 1
+    words, counted = np.full((length, len(order)), net.start), np.zeros((length, len(order)), bool)
+    for i, (size, lane) in enumerate(order):
+        words[:-size, i], counted[:-size, i] = np.concatenate(rows[lane]), np.concatenate(marks[lane])
+    return words, counted
+
+
+def share_of(documents: int) -> np.ndarray:
+    """Where in [0, 1) each training document of a block stands; evenly spread, so every round has its part of each block."""
+    return (np.arange(documents) * 0.6180339887498949) % 1.0
+
+
+def train(blocks: DataFrame, seen: Corpus, updates: int = UPDATES, rounds: np.ndarray = ROUNDS, rate: float = 0.01) -> Network:
+    """A network trained on every token of all training documents of the blocks.
+
+    Each round takes its share of the documents of every block. All tasks begin with the same weights, learn from their
+    blocks by themselves, and the weights are averaged by the tokens learnt. A corpus of less than `updates` windows of
+    LANES streams is gone over as often as it takes. The weights depend on how the documents lie in blocks and tasks.
     """
-    ids = docs.where(usable & F.col("doc_id").isNotNull()).select("doc_id", F.xxhash64("doc_id").alias("h"), F.xxhash64("text").alias("t"))
-    chosen = ids.orderBy("h", "doc_id", "t").limit(sample_docs).select("doc_id", "t")
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("t")).join(F.broadcast(chosen), ["doc_id", "t"], "left_semi")  # sample_docs ids
-    table = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "t").limit(sample_docs).select("text").toArrow()
     net = Network(seen)
-    column = table.column(0).combine_chunks()
-    hashes, offsets = _words(column.cast(pa.large_string()))
-    texts = np.split(_numbers(hashes, seen), offsets[1:-1]) if len(offsets) > 1 else []
-    if texts:
-        net.train(streams(texts, net, int(_numbers(np.array([END]), seen)[0]), min(LANES, len(texts))), **settings)
+    if seen.tokens == 0:
+        return net
+    passes = max(-(-updates * LANES * WINDOW // seen.tokens), 1)
+    end = int(_numbers(np.array([END]), seen)[0])
+    shapes = [(k, v.shape) for k, v in net.p.items()]
+
+    def learn(low: float, high: float, rate: float):
+        def run(batches):
+            mine, moments, learnt, task = copy.deepcopy(net), {}, 0, TaskContext.get().partitionId()
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    sizes, codes, words, flags = (c[i].as_py() for c in batch.columns)
+                    sizes, codes = np.frombuffer(sizes, np.int32).astype(np.int64), np.frombuffer(codes, np.int32)
+                    number, offsets = _numbers(np.frombuffer(words, np.uint64), seen), np.concatenate([[0], np.cumsum(sizes)])
+                    usable = np.flatnonzero(np.frombuffer(flags, bool))
+                    place = share_of(len(usable))
+                    chosen = usable[(place >= low) & (place < high)]
+                    texts = [number[codes[offsets[d]: offsets[d + 1]]] for d in chosen]
+                    count = int(sizes[chosen].sum()) + len(chosen)
+                    if not count:
+                        continue
+                    # At least 20 windows a lane, so that small shares take many steps too.
+                    lanes, counted = streams(texts, mine, end, min(max(count // (20 * WINDOW), 1), WIDE))
+                    mine.train(lanes, updates=(len(lanes) - 1) // WINDOW * passes, rate=rate, counted=counted, moments=moments)
+                    learnt += count
+            if learnt:
+                flat = np.concatenate([mine.p[k].ravel() for k, _ in shapes]).astype(np.float64) * learnt
+                parts = np.array_split(flat, SLICES)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(range(SLICES), pa.int32()), pa.array([task] * SLICES, pa.int32()), pa.array([learnt] * SLICES, pa.int64()),
+                    pa.array([x.tobytes() for x in parts], pa.binary())], ["slice", "task", "learnt", "weights"])
+
+        return run
+
+    def add(table: pa.Table) -> pa.Table:
+        table = table.sort_by("task")
+        total = np.sum([np.frombuffer(w, np.float64) for w in table.column("weights").to_pylist()], 0)
+        learnt = sum(table.column("learnt").to_pylist())
+        return pa.table({"slice": table.column("slice")[:1], "learnt": pa.array([learnt], pa.int64()),
+                         "weights": pa.array([(total / learnt).astype(np.float32).tobytes()], pa.binary())})
+
+    for turn, (low, high) in enumerate(zip(rounds[:-1], rounds[1:])):
+        sums = blocks.select("sizes", "codes", "words", "learnt").mapInArrow(
+            learn(float(low), float(high), rate / (1 + turn)), "slice int, task int, learnt bigint, weights binary")
+        rows = sums.groupBy("slice").applyInArrow(add, "slice int, learnt bigint, weights binary").collect()
+        if not rows:
+            continue
+        flat, at = np.concatenate([np.frombuffer(r["weights"], np.float32) for r in sorted(rows, key=lambda r: r["slice"])]), 0
+        weights = {}
+        for k, shape in shapes:
+            size = int(np.prod(shape))
+            weights[k] = flat[at: at + size].reshape(shape).copy()
+            at += size
+        net.p = weights
+        net.learnt += rows[0]["learnt"]
     return net
 
 
@@ -378,7 +463,7 @@ def score(docs: DataFrame, usable: Column, buckets: int | None = None, **setting
     buckets = buckets or 4 * max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     answers = exchange(blocks, buckets)
     seen = corpus(blocks, answers)
-    net = train(docs, usable, seen, **settings)
+    net = train(blocks, seen, **settings)
     replies = answers.where("block >= 0").groupBy("block").agg(F.array_sort(F.collect_list(F.struct("bucket", "counts"))).alias("replies"))
     ready = blocks.select("block", "doc_ids", "sizes", "codes", "words").join(replies.select("block", F.col("replies.counts").alias("replies")), "block", "left")
 

@@ -232,3 +232,26 @@ def test_training_lowers_the_loss():
     lanes = np.tile(np.array([net.start, 1, 2, 7, 1, 2, 7, 3]), 60)[:, None].repeat(4, 1)
     losses = net.train(lanes, window=10, updates=45, rate=0.02)
     assert np.mean(losses[-5:]) < 0.7 * np.mean(losses[:5])
+
+
+def test_streams_hold_every_word_once():
+    seen, net = small_network()
+    rng = np.random.default_rng(4)
+    texts = [rng.integers(0, net.rare, n) for n in (0, 3, 95, 700, 1, 40)]
+    words, counted = recurrent.streams(texts, net, 3, lanes=4, stretch=30, window=5)
+    assert (len(words) - 1) % 5 == 0 and not counted[0].any() and not counted[words == net.start].any()
+    want = Counter(w for t in texts for w in [*t.tolist(), 3])
+    assert Counter(words[counted].tolist()) == want
+    one, mark = recurrent.streams(texts[3:4], net, 3, lanes=1, stretch=30, window=5)
+    assert one[mark].tolist() == [*texts[3].tolist(), 3]
+
+
+def test_training_reads_the_whole_corpus(spark):
+    rows = [(i, " ".join(f"w{(i * 7 + k) % 50}" for k in range(1 + i % 40)), "x") for i in range(1500)]
+    rows += [(5000, "one two three " * 1500, "x"), (None, "no id", "x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, copy string").repartition(4)
+    blocks = recurrent.encode(docs, F.coalesce(queries.remainder(7) != 2, F.lit(False)))
+    seen = recurrent.corpus(blocks, recurrent.exchange(blocks, 8))
+    usable = [t for i, t, _ in rows if i is not None and remainder(i, 7) != 2]
+    assert len(usable) > 800 and seen.tokens == sum(len(t.split()) + 1 for t in usable)
+    assert recurrent.train(blocks, seen, updates=1).learnt == seen.tokens
