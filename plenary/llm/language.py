@@ -21,6 +21,7 @@ SAMPLE_TEXTS = 60
 SAMPLE_BYTES = 16 << 10
 LANE = 512  # bytes per lane; a longer text is parsed as several lanes whose phrases are added up
 MOST_BITS = 5.5  # random letters need more, prose of a learnt language about half
+TELLING_BYTES = 64  # from here on prose (some 13 phrases of 14 bits) is three standard deviations below the 25 of MOST_BITS
 _NEW = np.int32(-(1 << 31))
 
 _SIGNS = np.array([b < 128 and not chr(b).isalpha() for b in range(256)])
@@ -207,12 +208,13 @@ def identify(docs: DataFrame, usable, sample_texts: int = SAMPLE_TEXTS, sample_b
     return classify(docs, fit(docs, usable, sample_texts, sample_bytes))
 
 
-def accepted(docs: DataFrame, model: Model, most_bits: float = MOST_BITS) -> DataFrame:
+def accepted(docs: DataFrame, model: Model, most_bits: float = MOST_BITS, telling_bytes: int = TELLING_BYTES) -> DataFrame:
     """The rows of `docs` whose text is in a learnt language, all columns as they are.
 
     A text is rejected if it is null, has no letter, or needs more than `most_bits` bits per byte even in its best
-    language, as strings of random letters do. A model of no language rejects everything. The decision is taken
-    beside the rows, so nothing is joined.
+    language, as strings of random letters do. A text of fewer than `telling_bytes` normalised bytes is not judged by
+    its bits, since one unseen word or the last phrase weighs too much in it: with a letter it stays. A model of no
+    language rejects everything. The decision is taken beside the rows, so nothing is joined.
     """
     names = docs.columns
     place = names.index("text")
@@ -223,7 +225,7 @@ def accepted(docs: DataFrame, model: Model, most_bits: float = MOST_BITS) -> Dat
             keep = np.asarray(lettered.fill_null(False)).copy()
             for row, end, total, sizes in phrases(model, columns[place]):
                 best, _, bits = decide(model, total, sizes)
-                keep[row:end] &= (best >= 0) & (bits <= most_bits)
+                keep[row:end] &= (best >= 0) & ((bits <= most_bits) | (sizes < telling_bytes))
             mask = pa.array(keep)
             yield pa.RecordBatch.from_arrays([c.filter(mask) for c in columns], names=[f"c{i}" for i in range(len(columns))])
 

@@ -1,6 +1,7 @@
 """Language ID, toxicity and the recurrent language model."""
 
 import math
+import random
 import re
 from collections import Counter
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from plenary.llm import language, queries, recurrent, tokens, toxicity
 from tests.conftest import SMALL
-from tests.llm.fixtures import no_documents, odd_documents, odd_rows, remainder
+from tests.llm.fixtures import no_documents, odd_documents, odd_rows, prose, remainder
 
 
 def plain_phrases(sample: str, text: str) -> int:
@@ -86,6 +87,17 @@ def test_language_lanes_and_rejection(spark):
     assert [tuple(r) for r in unlearnt] == [("und", 0.0)]
 
 
+def test_short_clean_texts_stay(spark):
+    rng = random.Random(8)
+    samples = {lang: [prose(rng, lang, 200) for _ in range(5)] for lang in ("en", "de", "fr")}
+    model = language.train(samples)
+    short = ["A.", "Ok", "Hi", "é", "Yes.", "Jawohl!", "Grüße", "Voilà", "merci", "A.\nAll rights reserved.", "Ered. pathetic loser",
+             *[prose(rng, lang, 1) for lang in samples]]
+    junk = "".join(rng.choice("bcdfghjklmnpqrtvwxyz") for _ in range(400))
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*short, junk, "12 3", "", None])], "doc_id bigint, text string")
+    assert sorted(r.doc_id for r in language.accepted(docs, model).collect()) == list(range(len(short)))
+
+
 def toxic_rows():
     rng = np.random.default_rng(3)
     words = [f"w{i}" for i in range(400)]
