@@ -146,6 +146,23 @@ def stop_word_answers(t):
     return cleaned.select(F.col("bill_id").cast("bigint").alias("bill_id"), "content")
 
 
+@query(f"""WITH p AS (SELECT doc_id, text, unnest(range(0, greatest(ceil(length(text) / 3000.0)::INT, 1)))::INT AS part FROM documents),
+c AS (SELECT *, substr(text, part * 3000 + 1, 3000) AS piece, (doc_id + part) % 3 = 0 AS own FROM p),
+b AS (SELECT *, lag(own) OVER (PARTITION BY doc_id ORDER BY part) AS before FROM c)
+SELECT doc_id AS bill_id, CASE WHEN {strip('text')} = '' THEN text ELSE string_agg(
+  CASE WHEN part = 0 OR own AND before THEN '' ELSE ' ' END || CASE WHEN own THEN piece ELSE 'part ' || part || ' of ' || length(piece) END,
+  '' ORDER BY part) END AS content FROM b GROUP BY doc_id, text""")
+def stop_word_parts(t):
+    """Whole texts from the stop-word answers to their parts; every third part has none and keeps its text."""
+    bills = spread(t.documents, "doc_id").select(F.col("doc_id").alias("bill_id"), F.col("text").alias("content"))
+    pieces = prompts.prompt_parts(bills, "bill_id", "content", prompts.CLASSIFY_CHARS, F.length)
+    reply = F.concat(F.lit(" part  "), F.col("part").cast("string"), F.lit(" of "), F.col("prompt").cast("string"))
+    failed = F.when((F.col("item_id").cast("bigint") + F.col("part")) % 3 == 0, "429")
+    tried = pieces.select("item_id", "part", F.lit(1).alias("attempt"), reply.alias("text"), failed.alias("error"))
+    cleaned = responses.cleaned_parts(bills.withColumn("bill_id", F.col("bill_id").cast("string")), tried, prompts.CLASSIFY_CHARS)
+    return cleaned.select(F.col("bill_id").cast("bigint").alias("bill_id"), "content")
+
+
 @query("""SELECT lang || '_' || source AS item_id, ((rn - 1) // 15)::INT AS part, '같은 분류의 법안을 비슷한 것끼리 묶고 번호로 답하세요.
 분류: ' || lang || '_' || source || '
 ' || string_agg(rn || '. ' || text, chr(10) ORDER BY rn) || '

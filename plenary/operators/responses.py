@@ -10,11 +10,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from plenary.functions import lexicon
 from plenary.functions.html import bill_content
-from plenary.functions.jsons import bill_fields
+from plenary.functions.jsons import bill_fields, json_strings
 from plenary.functions.text import (
     clean_slogan, clean_text, convert_to_sentence, first_sentence, java_regex, strip, tidy)
 from plenary.operators.dedup import first_per_key
 from plenary.operators.filters import any_field, length_between
+from plenary.operators.prompts import text_parts
 
 
 def first_accepted(items: DataFrame, attempts: DataFrame, key: str, answer: Column, accept: Column,
@@ -78,12 +79,69 @@ def cleaned_texts(bills: DataFrame, responses: DataFrame, key: str = "bill_id",
 def merged_parts(responses: DataFrame) -> DataFrame:
     """Answers to requests that came in parts as attempts of the whole item: earlier parts first.
 
-    Every operator here takes an item's first usable answer, so a later part speaks where no earlier one does.
+    For tasks with one answer per item: a later part speaks where no earlier one does. Answers that add up are merged
+    by `cleaned_parts`, `extracted_parts` and `keyword_parts`.
     """
     order = F.coalesce(F.col("part"), F.lit(0)).cast("bigint") * (1 << 31) + F.col("attempt")
     return responses.withColumn("attempt", order).drop("part")
 
 
+def first_parts(responses: DataFrame, answer: Column, accept: Column) -> DataFrame:
+    """(item_id, answers): of each part of an item the first accepted answer, as (part, answer) in order."""
+    part = F.coalesce(F.col("part"), F.lit(0)).cast("int").alias("part")
+    usable = responses.select("item_id", part, "attempt", answer.alias("answer"), accept.alias("_accept")).where("_accept")
+    first = first_per_key(usable, ["item_id", "part"], ["attempt", "answer"])
+    return first.groupBy("item_id").agg(F.array_sort(F.collect_list(F.struct("part", "answer"))).alias("answers"))
+
+
+def cleaned_parts(bills: DataFrame, responses: DataFrame, chars: int, key: str = "bill_id", text: str = "content") -> DataFrame:
+    """Texts asked for in parts of `chars` characters, each part replaced by its first usable stop-word answer.
+
+    A part without one keeps its own text. Answers are set apart by a blank, as their ends are trimmed; parts that
+    both keep their text meet as they did. A blank text stays as it is.
+    """
+    answer = tidy(F.col("text"))
+    first = first_parts(responses, answer, F.coalesce(_clear() & (answer != ""), F.lit(False)))
+    joined = bills.join(first.select(F.col("item_id").alias(key), F.map_from_entries("answers").alias("_answers")), key, "left")
+    pieces = F.transform(text_parts(F.col(text), chars), lambda piece, i: F.struct(
+        F.coalesce(F.try_element_at("_answers", i), piece).alias("text"), F.try_element_at("_answers", i).isNull().alias("own")))
+    begin = F.struct(F.lit("").alias("text"), F.lit(None).cast("boolean").alias("own"))  # nothing stands before the first part
+
+    def append(acc: Column, piece: Column) -> Column:
+        gap = F.when(acc["own"].isNull() | (acc["own"] & piece["own"]), "").otherwise(" ")
+        return F.struct(F.concat(acc["text"], gap, piece["text"]).alias("text"), piece["own"].alias("own"))
+
+    merged = F.aggregate(pieces, begin, append, lambda acc: acc["text"])
+    blank = F.col(text).isNull() | (strip(F.col(text)) == "")
+    return joined.withColumn(text, F.when(blank, F.col(text)).otherwise(merged)).drop("_answers")
+
+
+def extracted_parts(responses: DataFrame, key: str = "file_name") -> DataFrame:
+    """`extracted_fields` of files asked for in parts, from the first usable answer to each part.
+
+    The bill number is the first one found. Reason and main content may run over several parts: what the parts hold
+    of them is joined in order by a blank, equal pieces once.
+    """
+    named = bill_fields(F.col("text"))
+    found = F.greatest(*[F.length(named[c]) for c in ("bill_no", "reason", "main")]) > 0
+    rows = first_parts(responses, named, F.coalesce(_clear() & found, F.lit(False)))
+    each = lambda c: F.array_distinct(F.filter(F.transform("answers", lambda a: a["answer"][c]), lambda v: v != ""))
+    return rows.select(F.col("item_id").alias(key), F.coalesce(F.get(each("bill_no"), F.lit(0)), F.lit("")).alias("bill_number"),
+                       F.array_join(each("reason"), " ").alias("reason"), F.array_join(each("main"), " ").alias("main"))
+
+
+def keyword_parts(items: DataFrame, responses: DataFrame, key: str, name: str = "keywords") -> DataFrame:
+    """The keywords of all parts of each item, in order and each once; the default keywords without a usable answer.
+
+    A part's answer is usable if it came without an error and holds a list of strings.
+    """
+    asked = json_strings(F.col("text"), default=[""])
+    first = first_parts(responses, asked, F.coalesce(_clear() & (asked != F.array(F.lit(""))), F.lit(False)))
+    words = F.array_distinct(F.flatten(F.col("answers.answer")))
+    joined = items.join(first.select(F.col("item_id").cast(items.schema[key].dataType).alias(key), words.alias(name)), key, "left")
+    return joined.withColumn(name, F.coalesce(name, F.array(*(F.lit(d) for d in lexicon.DEFAULT_KEYWORDS))))
+
+
 def nicknames(topics: DataFrame, responses: DataFrame, key: str = "topic", name: str = "nickname") -> DataFrame:
     answers = responses.withColumn(key, F.col("item_id").cast(topics.schema[key].dataType))
     raw = strip(F.col("text"))

@@ -99,6 +99,23 @@ def test_answers_to_parts(spark):
     assert keywords.keywords_from_responses(items, merged, "bill_id").first()["keywords"] == ["가"]
 
 
+def test_every_part_is_merged(spark):
+    rows = [("a", 0, 1, None, "x"), ("a", 0, 2, " P  0 ", None), ("a", 0, 3, "later", None), ("a", 3, 1, "P3", None), ("b", 0, 1, " ", None)]
+    tried = spark.createDataFrame(rows, "item_id string, part int, attempt int, text string, error string")
+    bills = spark.createDataFrame([("a", "0000111122223333"), ("b", "00001111"), ("c", None), ("d", " ")], "bill_id string, content string")
+    assert by_key(responses.cleaned_parts(bills, tried, 4), "bill_id", "content") == {"a": "P 0 11112222 P3", "b": "00001111", "c": None, "d": " "}
+
+
+def test_fields_and_keywords_of_every_part(spark):
+    rows = [("f", 0, 1, '{"bill_no": "12", "reason": "r", "main": ""}', None), ("f", 1, 1, '{"bill_no": "", "reason": "", "main": "m1"}', None),
+            ("f", 1, 2, '{"bill_no": "9", "reason": "", "main": "later"}', None), ("f", 2, 1, '{"bill_no": "", "reason": "r", "main": "m2"}', None),
+            ("g", 0, 1, "none", None), ("k", 0, 1, '["a","b"]', None), ("k", 1, 0, "none", None), ("k", 1, 1, '["b","c"]', None), ("k", 2, 1, '["d"]', "x")]
+    tried = spark.createDataFrame(rows, "item_id string, part int, attempt int, text string, error string")
+    assert [tuple(r) for r in responses.extracted_parts(tried).collect()] == [("f", "12", "r", "m1 m2")]
+    items = spark.createDataFrame([("k",), ("g",)], "topic string")
+    assert by_key(responses.keyword_parts(items, tried, "topic"), "topic", "keywords") == {"k": ["a", "b", "c"], "g": ["법안", "개정", "정책", "시행"]}
+
+
 def test_samples_and_titles(spark):
     df = spark.createDataFrame([(i, "g", f"text{i}", f"title{i}") for i in range(20)], "id int, topic string, content string, title string")
     pages = {r.page: (r.sample_text, r.sample_title) for r in prompts.cluster_samples(df, "topic", "id").collect()}
