@@ -104,3 +104,41 @@ s AS (SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.ints::DOUBLE[]
   FROM v AS q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 100 = 0),
 r AS (SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score FROM s)
 SELECT * FROM r WHERE rank <= 10"""
+
+# CRC-32 bit by bit, over the decimal digits of an id.
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length({0}) + 1), lambda i: ascii(({0})[i])::BIGINT)),
+  lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, z: xor(a >> 1, 3988292384 * (a & 1)))), 4294967295)"""
+
+
+def _field(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen({value}::VARCHAR) || ':' || {value}::VARCHAR END"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+
+def _grown(nodes: str, leaves: str) -> str:
+    """A recursive CTE of all nodes over the leaves (tree, level, pos, n, d)."""
+    return f"""{nodes} AS ({leaves} UNION ALL
+  SELECT tree, level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(d, '' ORDER BY pos)) FROM {nodes} WHERE n > 1 GROUP BY tree, level, n, pos // 3)"""
+
+
+def _folded(fold: str, nodes: str, start: str) -> str:
+    """A recursive CTE that takes (k, tree, level, pos, n, f, proof) to the root of its tree."""
+    return f"""{fold} AS ({start} UNION ALL
+  SELECT k, c.tree, c.level + 1, c.pos // 3, (c.n + 2) // 3, sha256(string_agg(CASE WHEN o.pos = c.pos THEN f ELSE d END, '' ORDER BY o.pos)),
+    any_value(proof) || coalesce(string_agg(d, '' ORDER BY o.pos) FILTER (o.pos <> c.pos), '')
+  FROM {fold} AS c JOIN {nodes} AS o ON o.tree = c.tree AND o.level = c.level AND o.pos // 3 = c.pos // 3 WHERE c.n > 1 GROUP BY k, c.tree, c.level, c.pos, c.n)"""
+
+
+MERKLE = f"""WITH RECURSIVE leaf AS (SELECT *, row_number() OVER () AS k, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+  count(*) OVER (PARTITION BY tree) AS n FROM (SELECT doc_id, coalesce('=' || source, '') AS tree, {_leaf("text")} AS leaf,
+    CASE WHEN {_CRC.format("doc_id::VARCHAR")} % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf("text")} END AS other FROM documents)),
+{_grown("node", "SELECT tree, 0 AS level, pos, n, leaf AS d FROM leaf")},
+sub AS (SELECT tree AS name, d, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM node WHERE n = 1),
+{_grown("top", "SELECT '*' AS tree, 0 AS level, pos, n, d FROM sub")},
+{_folded("inner_fold", "node", "SELECT k, tree, 0 AS level, pos, n, other AS f, '' AS proof FROM leaf")},
+{_folded("outer_fold", "top", "SELECT k, '*' AS tree, 0 AS level, s.pos, s.n, f, proof FROM inner_fold AS i JOIN sub AS s ON s.name = i.tree WHERE i.n = 1")}
+SELECT doc_id, leaf, sub.d AS subroot, top.d AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = top.d AS verified
+FROM leaf JOIN sub ON sub.name = leaf.tree JOIN outer_fold AS o ON o.k = leaf.k AND o.n = 1 JOIN top ON top.n = 1"""

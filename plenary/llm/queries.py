@@ -1,4 +1,4 @@
-"""The ten operators with production parameters on their whole tables, and SQL where it can say the same."""
+"""The numbered operators with production parameters on their whole tables, and SQL where it can say the same."""
 
 from __future__ import annotations
 
@@ -7,11 +7,12 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from plenary.llm import language, mixing, neardup, oracles, pieces, pii, recurrent, secrets, spans, spotsigs, topk, toxicity
+from plenary.llm import idstore, language, merkle, mixing, neardup, oracles, pieces, pii, recurrent, runs, secrets, spans, spotsigs, topk, toxicity
 
 QUERIES = {}
-ORACLES = {"op1_secrets": oracles.SECRETS, "op2_topk": oracles.TOP_K, "op5_mixing": oracles.MIXING, "op7_pii": oracles.PERSONAL}
+ORACLES = {"op1_secrets": oracles.SECRETS, "op2_topk": oracles.TOP_K, "op5_mixing": oracles.MIXING, "op7_pii": oracles.PERSONAL, "op13_merkle": oracles.MERKLE}
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+BYTE_BPE, END_ID = "/opt/tokenizers/byte_bpe_50k.json", 2
 
 
 def query(build):
@@ -111,3 +112,44 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     scored = toxicity.toxicity(docs, labels, remainder(5) != 0)
     return scored.select("doc_id", (remainder(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op11_idstore(spark: SparkSession, folder: str) -> DataFrame:
+    store, keys = idstore.build(table(spark, folder, "documents"), byte_bpe(), END_ID)
+    return idstore.fetch(store, keys).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def byte_bpe() -> str:
+    """Where the tokenizer's file is: as its package tells, else at its usual place."""
+    try:
+        import public_tokenizers
+    except ModuleNotFoundError:
+        return BYTE_BPE
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query
+def op12_runs(spark: SparkSession, folder: str) -> DataFrame:
+    number = F.crc32(F.col("doc_id").cast("string"))
+    found = runs.periodic_runs(table(spark, folder, "documents"), F.when(number % 10 == 0, F.floor(number / 10)))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]))
+    first = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("back"), (-r["period"]).alias("short"))))
+    found = found.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), first.alias("longest"), lines.alias("lines"), "collapsed")
+    start, length, period = -F.col("longest.back"), F.col("longest.length"), -F.col("longest.short")
+    return found.select(
+        "doc_id", "n_runs", start.alias("start"), length.alias("length"), period.alias("period"),
+        F.expr("longest.length * 1000 div -longest.short").alias("exponent_milli"),
+        _digest(F.array_join(F.transform("lines", lambda x: F.concat(x, F.lit("\n"))), "")).alias("runs_sha256"), _digest(F.col("collapsed")).alias("collapsed_sha256"))
+
+
+@query
+def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    columns = ["doc_id", "source", "lang", "n_chars"]
+    tampered = F.when(remainder(2) == 0, F.regexp_replace("text", "\n", "")).otherwise(F.col("text"))
+    rows = docs.select("doc_id", F.col("source").alias("group"), merkle.leaf(*map(F.col, columns), F.col("text")).alias("leaf"),
+                       merkle.leaf(*map(F.col, columns), tampered).alias("other"))
+    proved = merkle.prove(rows)
+    return proved.select("doc_id", "leaf", "subroot", "root", _digest(F.array_join("proof", "")).alias("proof_sha256"), "folded_root", "verified")
