@@ -36,6 +36,7 @@ from plenary.session import checkpoint_dir, input_bytes
 
 SHARD_IDS = 1 << 25  # after which a task begins another payload file
 SHARD_BYTES = 64 << 20  # of input for each task that writes
+UNKNOWN = 1 << 60  # Spark's size of a table that it knows nothing about is greater
 BUCKET_KEYS = 1 << 16  # keys of an index file, on average
 READ_BYTES = 4 << 20  # of payload read or sent on at a time; a longer document is read alone
 CACHE = 1 << 20  # distinct pieces of text whose ids a worker remembers
@@ -292,7 +293,9 @@ def _payload(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int, wid
             out.close()
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-input_bytes(rows) // SHARD_BYTES))
+    parts, size = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), input_bytes(rows)
+    if size < UNKNOWN:
+        parts = max(parts, -(-size // SHARD_BYTES))
     # Equal ids are ordered by their texts; rows alike in both are dealt out by their places in the input.
     rows = rows.withColumn("_tie", F.xxhash64("text")).withColumn("_row", F.monotonically_increasing_id())
     order = ["doc_id", "_tie", "_row"]
