@@ -254,8 +254,10 @@ def classes(docs: DataFrame, least: float = LEAST, bands: int = BANDS, rows: int
         unit: most texts on either side of a unit of comparison.
 
     Returns:
-        `doc_id`, `key` (of the text), `class_id` (least non-null doc_id of the class) and `class_size` (documents),
-        one row per row of `docs`. Texts without a word, null and empty ones included, are alike only if equal.
+        `doc_id`, `key` (of the text), `class_id` (least non-null doc_id of the class), `class_key` and `class_size`
+        (documents), one row per row of `docs`. Unlike texts may share a doc_id, so classes may share a class_id;
+        `class_key`, the key of the text with the least (doc_id, key), names one class only. Texts without a word, null
+        and empty ones included, are alike only if equal.
     """
     weights = word_weights(docs)
     signed = materialize(signatures(docs, weights, bands, rows))
@@ -296,17 +298,18 @@ def classes(docs: DataFrame, least: float = LEAST, bands: int = BANDS, rows: int
     second = materialize(compare(both.join(texts.select("key", "bands"), "key"), sets, least))
     labels = components(links.unionByName(second))
     named = materialize(texts.join(labels, "key", "left").select("key", "doc_id", "copies", F.coalesce("label", "key").alias("label")))
-    groups = named.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.sum("copies").alias("class_size"))
-    of_text = materialize(named.select("key", "label").join(materialize(groups), "label").select("key", "class_id", "class_size"))
-    return signed.select("doc_id", "key").join(of_text, "key").select("doc_id", "key", "class_id", "class_size")
+    first = F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "key"))
+    groups = materialize(named.groupBy("label").agg(first.alias("first"), F.sum("copies").alias("class_size")))
+    of_text = materialize(named.select("key", "label").join(groups, "label").select(
+        "key", F.col("first.doc_id").alias("class_id"), F.col("first.key").alias("class_key"), "class_size"))
+    return signed.select("doc_id", "key").join(of_text, "key").select("doc_id", "key", "class_id", "class_key", "class_size")
 
 
 def keep_first(docs: DataFrame, **settings) -> DataFrame:
-    """One document of each class, the one with the least id (of equal ids, any one row), with all its columns."""
+    """One document of each class with all its columns: the least id; of equal ids the least key, then any one row."""
     docs, restore = shield(docs, "doc_id", "text")
     found = classes(docs, **settings)
-    least = F.coalesce(F.col("class_id"), F.lit(-(1 << 63)).cast("bigint"))
-    who = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63)).cast("bigint"))
-    kept = materialize(found.where(who == least).select(who.alias("_who"), F.col("key").alias("_key")).distinct())
-    keyed = docs.withColumn("_who", who).withColumn("_key", text_key(F.col("text")))
+    named = lambda c: F.coalesce(F.col(c).cast("bigint"), F.lit(-(1 << 63)).cast("bigint"))
+    kept = materialize(found.select(named("class_id").alias("_who"), F.col("class_key").alias("_key")).distinct())
+    keyed = docs.withColumn("_who", named("doc_id")).withColumn("_key", text_key(F.col("text")))
     return restore(keyed.join(kept.hint("shuffle_hash"), ["_who", "_key"], "left_semi").dropDuplicates(["_who", "_key"]))

@@ -64,7 +64,8 @@ def op2_topk(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op3_neardup(spark: SparkSession, folder: str) -> DataFrame:
-    return neardup.classes(table(spark, folder, "documents")).select("doc_id", "class_id", "class_size")
+    found = neardup.classes(table(spark, folder, "documents"))
+    return found.select("doc_id", "class_id", "class_size", F.lower(F.hex("class_key")).alias("class_key"))
 
 
 @query

@@ -25,11 +25,12 @@ from plenary.llm import tokens
 from plenary.operators.index import materialize
 
 BLOCK_BYTES = 8 << 20
-SCORED_ROWS = 1 << 15  # states whose outputs are computed at a time
+SCORED_ROWS, LONGEST = 1 << 15, 1 << 10  # states computed at a time when scoring, and most words of a text among them
 FREQUENT, CLASSES, HIDDEN = 1024, 32, 32
-UPDATES, LANES, WINDOW = 500, 48, 20  # windows at the least (small corpora are gone over again), streams, words a window
-WIDE = 256  # streams of a large block, so that the cost of a step is shared by more words
-STRETCH = 512  # words of a text that one stream takes; another one goes on from there
+WINDOW, WIDE = 20, 256  # words a window, and most streams at a time, which share the cost of a step
+LONGER = 8  # times a window's words, where few streams are left
+TASK_TOKENS = 4 << 20  # of a task that are made into one set of streams
+BUCKET_BYTES = 16 << 20  # of word hashes and counts that are added up together
 ROUNDS = np.array([0, 1 / 16, 1 / 8, 1 / 4, 1 / 2, 1])  # borders of the documents' shares after which weights are averaged
 SLICES = 64  # into which the weights are cut to be averaged
 END = np.uint64(0x5DEECE66D1234567)  # stands for the end of a text among the word hashes
@@ -181,128 +182,169 @@ class Network:
             "b": np.zeros(3 * hidden, f), "A": rng.normal(0, 0.02, (hidden, self.classes + 1)).astype(f), "a": np.log(mass).astype(f),
             "B": rng.normal(0, 0.02, (hidden, n)).astype(f), "c": np.log(share[self.by_class]).astype(f)}
 
-    def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, ...]:
-        p, h = self.p, self.hidden
-        x = p["W"][word] + p["b"]
-        u = state @ p["U"]
-        gates = 1 / (1 + np.exp(-(x[:, : 2 * h] + u[:, : 2 * h])))
-        z, r = gates[:, :h], gates[:, h:]
-        n = np.tanh(x[:, 2 * h:] + r * u[:, 2 * h:])
-        return n + z * (state - n), z, r, n, u[:, 2 * h:]
-
     def outputs(self, states: np.ndarray, target: np.ndarray, learn: bool = False):
         """ln probability of each target (rare words: of their class), and gradients of its negative if wanted."""
         p = self.p
-        logits = states @ p["A"] + p["a"]
-        logits -= logits.max(1, keepdims=True)
-        shares = np.exp(logits)
-        total = shares.sum(1)
-        rows = np.arange(len(target))
-        group = self.word_class[target]
-        result = (logits[rows, group] - np.log(total)).astype(float)
+        # Rows are put in the order of their classes, so that each class is a slice.
+        order = np.argsort(self.word_class[target].astype(np.uint16), kind="stable")
+        target, states = target[order], states[order]
+        bounds = np.searchsorted(self.word_class[target], np.arange(self.classes + 2)).tolist()
+        shares = states @ p["A"]
+        shares += p["a"]
+        shares -= shares.max(1, keepdims=True)
+        value = np.empty(len(target), shares.dtype)
+        for k in range(self.classes + 1):
+            value[bounds[k]: bounds[k + 1]] = shares[bounds[k]: bounds[k + 1], k]
+        np.exp(shares, out=shares)
+        total = shares.sum(1, keepdims=True)
+        value -= np.log(total[:, 0])
         grad_states = grads = None
         if learn:
-            shares /= total[:, None]
-            shares[rows, group] -= 1
+            shares /= total
+            for k in range(self.classes + 1):
+                shares[bounds[k]: bounds[k + 1], k] -= 1
             grads = {"A": states.T @ shares, "a": shares.sum(0), "B": np.zeros_like(p["B"]), "c": np.zeros_like(p["c"])}
             grad_states = shares @ p["A"].T
-        order = np.argsort(group.astype(np.uint16), kind="stable")
-        bounds = np.searchsorted(group[order], np.arange(self.classes + 1))
         for k in range(self.classes):
-            at = order[bounds[k]: bounds[k + 1]]
-            if len(at) == 0:
-                continue
+            low, high = bounds[k], bounds[k + 1]
             part = slice(self.edges[k], self.edges[k + 1])
-            inner = states[at] @ p["B"][:, part] + p["c"][part]
+            if low == high or part.stop - part.start == 1:  # the only word of its class is certain
+                continue
+            inner = states[low:high] @ p["B"][:, part]
+            inner += p["c"][part]
             inner -= inner.max(1, keepdims=True)
-            mine = self.place[target[at]] - self.edges[k]
-            picked = inner[np.arange(len(at)), mine].astype(float)
+            rows, mine = np.arange(high - low), self.place[target[low:high]] - self.edges[k]
+            picked = inner[rows, mine]
             np.exp(inner, out=inner)
-            sums = inner.sum(1)
-            result[at] += picked - np.log(sums)
+            sums = inner.sum(1, keepdims=True)
+            value[low:high] += picked - np.log(sums[:, 0])
             if learn:
-                inner /= sums[:, None]
-                inner[np.arange(len(at)), mine] -= 1
-                grads["B"][:, part] += states[at].T @ inner
-                grads["c"][part] += inner.sum(0)
-                grad_states[at] += inner @ p["B"][:, part].T
+                inner /= sums
+                inner[rows, mine] -= 1
+                grads["B"][:, part] = states[low:high].T @ inner
+                grads["c"][part] = inner.sum(0)
+                grad_states[low:high] += inner @ p["B"][:, part].T
+        result = np.empty(len(order))
+        result[order] = value
+        if learn:
+            back = np.empty_like(grad_states)
+            back[order] = grad_states
+            grad_states = back
         return result, grad_states, grads
 
-    def train(self, lanes: np.ndarray, window: int = WINDOW, updates: int = UPDATES, rate: float = 0.01,
-              counted: np.ndarray | None = None, moments: dict | None = None) -> list[float]:
-        """Adam over windows of parallel word streams (time, lane); returns the mean loss of each window.
+    def train(self, lanes: np.ndarray, window: int = WINDOW, rate: float = 0.01, moments: dict | None = None) -> list[float]:
+        """Adam over the windows of parallel word streams (time, lane), once; returns the mean loss of each window.
 
         Args:
-            counted: marks the words to predict; lanes come longest first, and one is left when none of its words remain.
+            lanes: longest first, filled up with start marks; a lane is left when none of its words remain.
             moments: Adam's moments and its number of updates, carried from one call to the next.
         """
         moments = {} if moments is None else moments
         for k, v in self.p.items():
             moments.setdefault(k, (np.zeros_like(v), np.zeros_like(v)))
-        length = None if counted is None else len(counted) - np.argmax(counted[::-1], 0)
-        losses, at, state = [], 0, np.zeros((lanes.shape[1], self.hidden), np.float32)
-        for _ in range(updates):
-            if at + window + 1 > len(lanes):
-                at, state = 0, np.zeros((lanes.shape[1], self.hidden), np.float32)
-                if at + window + 1 > len(lanes):
-                    break
-            live = lanes.shape[1] if length is None else max(int(np.searchsorted(-length, -at - 1, "left")), 1)
-            part = slice(at, at + window + 1)
-            loss, grads, state = self._window(lanes[part, :live], state[:live], None if counted is None else counted[part, :live])
+        length = len(lanes) - np.argmax((lanes != self.start)[::-1], 0)
+        losses, state = [], np.zeros((lanes.shape[1], self.hidden), np.float32)
+        at = 0
+        while at + 1 < len(lanes):
+            live = max(int(np.searchsorted(-length, -at - 1, "left")), 1)
+            # Where few lanes are left, windows are longer, so that each still holds many words.
+            span = window * min(lanes.shape[1] // live, LONGER)
+            loss, grads, state = self._window(lanes[at: at + span + 1, :live], state[:live])
             losses.append(loss)
-            at += window
+            at += span
             update = moments["updates"] = moments.get("updates", 0) + 1
             for k, g in grads.items():
                 first, second = moments[k]
-                first += 0.1 * (g - first)
-                second += 0.001 * (g * g - second)
-                self.p[k] -= rate * (first / (1 - 0.9 ** update)) / (np.sqrt(second / (1 - 0.999 ** update)) + 1e-8)
+                first += np.float32(0.1) * (g - first)
+                second += np.float32(0.001) * (g * g - second)
+                scale = np.float32(rate / (1 - 0.9 ** update))
+                self.p[k] -= scale * first / (np.sqrt(second * np.float32(1 / (1 - 0.999 ** update))) + np.float32(1e-8))
         return losses
 
-    def _window(self, words: np.ndarray, state: np.ndarray, counted: np.ndarray | None = None):
+    def forward(self, words: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(state before, state after, gates, and the two parts of the candidate) of each word read by (time, lane)."""
+        p, (span, lanes), h = self.p, words.shape, self.hidden
+        kind = p["U"].dtype
+        inputs = (p["W"] + p["b"])[words.ravel()].reshape(span, lanes, 3 * h)
+        begin = words == self.start
+        resets = begin.any(1)
+        before, states, un, new = (np.empty((span, lanes, h), kind) for _ in range(4))
+        gates = inputs[:, :, : 2 * h]
+        for t in range(span):
+            held, g, n, after = before[t], gates[t], new[t], states[t]
+            held[:] = state
+            if resets[t]:
+                held[begin[t]] = 0
+            u = held @ p["U"]
+            g += u[:, : 2 * h]
+            np.negative(g, out=g)
+            np.exp(g, out=g)
+            g += 1
+            np.reciprocal(g, out=g)
+            un[t] = u[:, 2 * h:]
+            np.multiply(g[:, h:], un[t], out=n)
+            n += inputs[t, :, 2 * h:]
+            # The hyperbolic tangent of x is 1 - 2 / (exp(2 x) + 1).
+            n *= 2
+            np.exp(n, out=n)
+            n += 1
+            np.divide(-2, n, out=n)
+            n += 1
+            np.subtract(held, n, out=after)
+            after *= g[:, :h]
+            after += n
+            state = after
+        return before, states, gates, un, new
+
+    def _window(self, words: np.ndarray, state: np.ndarray):
         """Loss, gradients and the last state of one window; a text's first word meets an empty state.
 
-        A stream holds the start mark before each text. The mark is read but never predicted, as are words not counted.
+        A stream holds the start mark before each text. The mark is read but never predicted.
         """
-        span, lanes, h = len(words) - 1, words.shape[1], self.hidden
-        kept, states = [], np.zeros((span, lanes, h), np.float32)
-        for t in range(span):
-            state = np.where((words[t] == self.start)[:, None], np.float32(0), state)
-            before = state
-            state, z, r, n, un = self.step(before, words[t])
-            states[t] = state
-            kept.append((before, z, r, n, un))
+        p, (span, lanes), h = self.p, (len(words) - 1, words.shape[1]), self.hidden
+        kind, read = p["U"].dtype, words[:span].ravel()
+        before, states, gates, un, new = self.forward(words[:span], state)
+        begin = words[:span] == self.start
         target = words[1:].ravel()
-        real = np.flatnonzero(target != self.start if counted is None else counted[1:].ravel() & (target != self.start))
+        real = np.flatnonzero(target != self.start)
         flat = states.reshape(-1, h)
         value, grad, grads = self.outputs(flat[real], target[real], learn=True)
-        scale = np.float32(1 / max(len(real), 1))
-        grads = {k: g * scale for k, g in grads.items()}
+        scale = kind.type(1 / max(len(real), 1))
+        for g in grads.values():
+            g *= scale
         inner = np.zeros_like(flat)
         inner[real] = grad * scale
         inner = inner.reshape(states.shape)
-        grads |= {"W": np.zeros_like(self.p["W"]), "U": np.zeros_like(self.p["U"]), "b": np.zeros_like(self.p["b"])}
-        later, inputs = np.zeros((lanes, h), np.float32), np.zeros((span, lanes, 3 * h), inner.dtype)
+        # What a state's gradient is multiplied by does not depend on later steps, so it is worked out for all at once.
+        z, r = gates[:, :, :h], gates[:, :, h:]
+        of_z = (before - new) * z * (1 - z)
+        of_n = (1 - z) * (1 - new * new)
+        of_r = un * r * (1 - r)
+        through, later = np.empty((span, lanes, 3 * h), kind), np.zeros((lanes, h), kind)
+        direct = np.empty((span, lanes, h), kind)
+        back = np.ascontiguousarray(p["U"].T)
         for t in range(span - 1, -1, -1):
-            before, z, r, n, un = kept[t]
-            dh = inner[t] + later
-            dz = dh * (before - n) * z * (1 - z)
-            dn = dh * (1 - z) * (1 - n * n)
-            dr = dn * un * r * (1 - r)
-            through = np.concatenate([dz, dr, dn * r], 1)
-            direct = np.concatenate([dz, dr, dn], 1)
-            grads["U"] += before.T @ through
-            inputs[t] = direct
-            later = dh * z + through @ self.p["U"].T
-            later[words[t] == self.start] = 0
-        order = np.argsort(words[:span].ravel(), kind="stable")
-        read, first = np.unique(words[:span].ravel()[order], return_index=True)
-        grads["W"][read] = np.add.reduceat(inputs.reshape(-1, 3 * h)[order], first, 0)
-        grads["b"] += inputs.sum((0, 1))
+            dh, mine = inner[t], through[t]
+            dh += later
+            np.multiply(dh, of_z[t], out=mine[:, :h])
+            np.multiply(dh, of_n[t], out=direct[t])
+            np.multiply(direct[t], of_r[t], out=mine[:, h: 2 * h])
+            np.multiply(direct[t], r[t], out=mine[:, 2 * h:])
+            later = mine @ back
+            dh *= z[t]
+            later += dh
+            later[begin[t]] = 0
+        grads["U"] = before.reshape(-1, h).T @ through.reshape(-1, 3 * h)
+        through[:, :, 2 * h:] = direct
+        order = np.argsort(read.astype(np.uint16), kind="stable")
+        seen, first = np.unique(read[order], return_index=True)
+        grads["W"] = np.zeros_like(p["W"])
+        grads["W"][seen] = np.add.reduceat(through.reshape(-1, 3 * h)[order], first, 0)
+        grads["b"] = grads["W"].sum(0)
         norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
         if norm > 1:
-            grads = {k: g / np.float32(norm) for k, g in grads.items()}
-        return float(-value.mean()) if len(value) else 0.0, grads, state
+            grads = {k: g / kind.type(norm) for k, g in grads.items()}
+        return float(-value.mean()) if len(value) else 0.0, grads, states[-1]
 
 
 def _numbers(hashes: np.ndarray, seen: Corpus) -> np.ndarray:
@@ -310,34 +352,24 @@ def _numbers(hashes: np.ndarray, seen: Corpus) -> np.ndarray:
     return np.where(seen.words[at] == hashes, at, len(seen.words))
 
 
-def streams(texts: list[np.ndarray], net: Network, end: int, lanes: int = LANES, stretch: int = STRETCH,
-            window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """(words, counted) by (time, lane), longest lane first, for whole windows: every word and every end is counted once.
+def streams(texts: list[np.ndarray], net: Network, end: int, lanes: int, window: int = WINDOW) -> np.ndarray:
+    """Words by (time, lane), longest lane first, for whole windows; every text stands in one lane, whole.
 
-    A text stands after the start mark and before the end mark. One longer than `stretch` goes on in another lane, where
-    the `window` words before it are read again for the state but not counted. Short lanes are filled up with start marks.
+    A text stands after the start mark and before the end mark, so the state is carried through it to its end. Long
+    texts are dealt first. Short lanes are filled up with start marks.
     """
     rows: list[list[np.ndarray]] = [[] for _ in range(lanes)]
-    marks: list[list[np.ndarray]] = [[] for _ in range(lanes)]
     sizes = [(0, lane) for lane in range(lanes)]
-    for text in texts:
-        whole = np.concatenate([[net.start], text, [end]])
-        for at in range(0, len(whole) - 1, stretch):
-            seen = whole[max(at - window, 0): at + stretch + 1]
-            head = min(at, window) + 1
-            if at > window:
-                seen, head = np.concatenate([[net.start], seen]), head + 1
-            size, lane = heapq.heappop(sizes)
-            rows[lane].append(seen)
-            marks[lane].append(np.arange(len(seen)) >= head)
-            heapq.heappush(sizes, (size + len(seen), lane))
+    for i in sorted(range(len(texts)), key=lambda i: -len(texts[i])):
+        size, lane = heapq.heappop(sizes)
+        rows[lane] += [[net.start], texts[i], [end]]
+        heapq.heappush(sizes, (size + len(texts[i]) + 2, lane))
     order = sorted((-size, lane) for size, lane in sizes if size)
     length = -order[0][0] if order else 1
-    length = -(-(length - 1) // window) * window + 1
-    words, counted = np.full((length, len(order)), net.start), np.zeros((length, len(order)), bool)
+    words = np.full((-(-(length - 1) // window) * window + 1, len(order)), net.start, np.int32)
     for i, (size, lane) in enumerate(order):
-        words[:-size, i], counted[:-size, i] = np.concatenate(rows[lane]), np.concatenate(marks[lane])
-    return words, counted
+        words[:-size, i] = np.concatenate(rows[lane])
+    return words
 
 
 def share_of(documents: int) -> np.ndarray:
@@ -345,39 +377,46 @@ def share_of(documents: int) -> np.ndarray:
     return (np.arange(documents) * 0.6180339887498949) % 1.0
 
 
-def train(blocks: DataFrame, seen: Corpus, updates: int = UPDATES, rounds: np.ndarray = ROUNDS, rate: float = 0.01) -> Network:
+def train(blocks: DataFrame, seen: Corpus, passes: int = 1, rounds: np.ndarray = ROUNDS, rate: float = 0.01) -> Network:
     """A network trained on every token of all training documents of the blocks.
 
     Each round takes its share of the documents of every block. All tasks begin with the same weights, learn from their
-    blocks by themselves, and the weights are averaged by the tokens learnt. A corpus of less than `updates` windows of
-    LANES streams is gone over as often as it takes. The weights depend on how the documents lie in blocks and tasks.
+    blocks by themselves, `passes` times, and the weights are averaged by the tokens learnt. The weights depend on how
+    the documents lie in blocks and tasks.
     """
     net = Network(seen)
     if seen.tokens == 0:
         return net
-    passes = max(-(-updates * LANES * WINDOW // seen.tokens), 1)
     end = int(_numbers(np.array([END]), seen)[0])
     shapes = [(k, v.shape) for k, v in net.p.items()]
 
     def learn(low: float, high: float, rate: float):
         def run(batches):
             mine, moments, learnt, task = copy.deepcopy(net), {}, 0, TaskContext.get().partitionId()
+
+            def go_over(texts: list[np.ndarray], count: int) -> None:
+                # At least 20 windows a lane, so that small shares take many steps too.
+                lanes = streams(texts, mine, end, min(max(count // (20 * WINDOW), 1), WIDE))
+                for _ in range(passes):
+                    mine.train(lanes, rate=rate, moments=moments)
+
+            texts, held = [], 0
             for batch in batches:
                 for i in range(batch.num_rows):
                     sizes, codes, words, flags = (c[i].as_py() for c in batch.columns)
                     sizes, codes = np.frombuffer(sizes, np.int32).astype(np.int64), np.frombuffer(codes, np.int32)
-                    number, offsets = _numbers(np.frombuffer(words, np.uint64), seen), np.concatenate([[0], np.cumsum(sizes)])
+                    number, offsets = _numbers(np.frombuffer(words, np.uint64), seen).astype(np.int32), np.concatenate([[0], np.cumsum(sizes)])
                     usable = np.flatnonzero(np.frombuffer(flags, bool))
                     place = share_of(len(usable))
                     chosen = usable[(place >= low) & (place < high)]
-                    texts = [number[codes[offsets[d]: offsets[d + 1]]] for d in chosen]
-                    count = int(sizes[chosen].sum()) + len(chosen)
-                    if not count:
-                        continue
-                    # At least 20 windows a lane, so that small shares take many steps too.
-                    lanes, counted = streams(texts, mine, end, min(max(count // (20 * WINDOW), 1), WIDE))
-                    mine.train(lanes, updates=(len(lanes) - 1) // WINDOW * passes, rate=rate, counted=counted, moments=moments)
-                    learnt += count
+                    texts += [number[codes[offsets[d]: offsets[d + 1]]] for d in chosen]
+                    held += int(sizes[chosen].sum()) + len(chosen)
+                    if held >= TASK_TOKENS:
+                        go_over(texts, held)
+                        learnt, texts, held = learnt + held, [], 0
+            if held:
+                go_over(texts, held)
+                learnt += held
             if learnt:
                 flat = np.concatenate([mine.p[k].ravel() for k, _ in shapes]).astype(np.float64) * learnt
                 parts = np.array_split(flat, SLICES)
@@ -428,41 +467,46 @@ def _score_block(net: Network, seen: Corpus, sizes: np.ndarray, codes: np.ndarra
     score = np.bincount(of, within[codes], len(sizes))
     order = np.argsort(-sizes, kind="stable")
     length, begin = sizes[order] + 1, offsets[:-1][order]
-    state, previous = np.zeros((len(sizes), net.hidden), np.float32), np.full(len(sizes), net.start)
-    states, targets, lanes, held = [], [], [], 0
-    for t in range(int(length[0]) if len(length) else 0):
+    state, t = np.zeros((len(sizes), net.hidden), np.float32), 0
+    while len(length) and t < length[0]:
         live = int(np.searchsorted(-length, -t, "left"))  # longer texts come first
-        state[:live] = net.step(state[:live], previous[:live])[0]
-        word = np.where(t < length[:live] - 1, number[codes[np.minimum(begin[:live] + t, max(len(codes) - 1, 0))]] if len(codes) else end, end)
-        previous[:live] = word
-        states.append(state[:live].copy())
-        targets.append(word)
-        lanes.append(np.arange(live))
-        held += live
-        if held >= rows or t + 1 == length[0]:
-            value = net.outputs(np.concatenate(states), np.concatenate(targets))[0]
-            score[order] += np.bincount(np.concatenate(lanes), value, len(sizes)) / np.log(10)
-            states, targets, lanes, held = [], [], [], 0
+        span = int(min(max(rows // live, 1), LONGEST, length[0] - t))
+        # Place k of a text is its k-th word, read after the one before it; its last place is the end mark.
+        place = t + np.arange(span + 1)[:, None] - 1
+        word = np.full((span + 1, live), end)
+        if len(codes):
+            word = np.where(place < length[:live] - 1, number[codes[np.clip(begin[:live] + place, 0, len(codes) - 1)]], end)
+        if t == 0:
+            word[0] = net.start
+        states = net.forward(word[:-1], state[:live])[1]
+        state = states[-1]
+        inside = (place[1:] < length[:live]).ravel()
+        value = net.outputs(states.reshape(-1, net.hidden)[inside], word[1:].ravel()[inside])[0]
+        score[order] += np.bincount(np.broadcast_to(np.arange(live), (span, live)).ravel()[inside], value, len(sizes)) / np.log(10)
+        t += span
     return sizes + 1, known, base_score, score
 
 
-def score(docs: DataFrame, usable: Column, buckets: int | None = None, **settings) -> DataFrame:
+def score(docs: DataFrame, usable: Column, buckets: int | None = None, frequent: int = FREQUENT, **settings) -> DataFrame:
     """log10 likelihood of every whole text, by corpus counts and by the recurrent network.
 
     Args:
         docs: `doc_id`, `text`; other columns are ignored. A null text is empty: its only token is the end.
         usable: condition on `doc_id` that marks the documents to learn from; a null id is not learnt from.
-        buckets: into how many the vocabulary is cut; by default four per shuffle partition.
+        buckets: into how many the vocabulary is cut; by default four per shuffle partition, more where they would be large.
+        frequent: how many words the network tells apart; the others share one class.
 
     Returns:
-        `doc_id`, `n_tokens`, `n_known`, `train_tokens`, `base_score`, `score`; one row per row of `docs`.
-        Where nothing may be learnt from, both scores are 0.
+        `doc_id`, `n_tokens`, `n_known`, `train_tokens`, `base_score`, `score`; one row per row of `docs`, repeated rows
+        included. Where nothing may be learnt from, both scores are 0; an empty table gives no row.
     """
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     blocks = encode(docs, F.coalesce(usable, F.lit(False)))
-    buckets = buckets or 4 * max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    answers = exchange(blocks, buckets)
-    seen = corpus(blocks, answers)
+    if buckets is None:
+        held = 2 * (blocks.agg(F.sum(F.length("words"))).first()[0] or 0)
+        buckets = max(4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-held // BUCKET_BYTES))
+    answers = exchange(blocks, buckets, frequent)
+    seen = corpus(blocks, answers, frequent)
     net = train(blocks, seen, **settings)
     replies = answers.where("block >= 0").groupBy("block").agg(F.array_sort(F.collect_list(F.struct("bucket", "counts"))).alias("replies"))
     ready = blocks.select("block", "doc_ids", "sizes", "codes", "words").join(replies.select("block", F.col("replies.counts").alias("replies")), "block", "left")

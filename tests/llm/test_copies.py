@@ -107,13 +107,23 @@ def test_one_document_of_each_class_stays(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [min(v) for v in plain_classes(texts)]
 
 
+def test_unlike_texts_under_one_id(spark):
+    one, other = prose(random.Random(1), "en", 60), prose(random.Random(2), "de", 60)
+    df = spark.createDataFrame([(5, one), (5, other), (5, one + " end"), (7, other), (None, "alone"), (None, "single")], "doc_id int, text string")
+    found = neardup.classes(df).collect()
+    assert len({r.class_key for r in found}) == 4 and sorted((r.class_id is None, r.class_id or 0, r.class_size) for r in found) == [
+        (False, 5, 2)] * 4 + [(True, 0, 1)] * 2
+    assert sorted(str(r.doc_id) for r in neardup.keep_first(df).collect()) == ["5", "5", "None", "None"]
+
+
 def test_classes_of_odd_documents(spark):
     docs = odd_documents(spark)
     found = neardup.classes(docs)
     rows = odd_rows()
     want = Counter(len(c) for c in plain_classes([r[1] for r in rows]))
     assert found.count() == len(rows)
-    assert Counter(r["count"] // r.class_size for r in found.groupBy("class_id", "class_size").count().collect()) is not None
+    sizes = found.groupBy("class_key", "class_id", "class_size").count().collect()
+    assert all(r["count"] == r.class_size for r in sizes) and len(sizes) == sum(want.values())
     assert Counter(r.class_size for r in found.select("key", "class_size").collect()) == Counter(n for n, k in want.items() for _ in range(n * k))
     assert neardup.classes(no_documents(spark)).isEmpty() and neardup.keep_first(no_documents(spark)).isEmpty()
 

@@ -160,7 +160,7 @@ def plain_words(text):
 
 def test_base_scores_beside_plain_counts(spark):
     docs = odd_documents(spark)
-    found = recurrent.score(docs, queries.remainder(7) != 2, buckets=8, updates=5).collect()
+    found = recurrent.score(docs, queries.remainder(7) != 2, buckets=8).collect()
     rows = [(r[0], plain_words(r[1] or "") + [None]) for r in odd_rows()]
     counts = Counter(w for i, ws in rows if i is not None and remainder(i, 7) != 2 for w in ws)
     total, distinct = sum(counts.values()), len(counts)
@@ -199,9 +199,8 @@ def test_gradients_beside_differences():
     words = rng.integers(0, net.start + 1, (7, 3))
     words[0] = net.start
     state = np.zeros((3, 4))
-    loss, grads, _ = net._window(words, state)
-    norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
-    assert norm < 1 + 1e-9
+    grads = net._window(words, state)[1]
+    slopes, found = [], []
     for name in net.p:
         at = np.unravel_index(int(np.abs(grads[name]).argmax()), grads[name].shape)
         old = net.p[name][at]
@@ -210,9 +209,19 @@ def test_gradients_beside_differences():
             net.p[name][at] = old + step
             sides.append(net._window(words, state)[0])
         net.p[name][at] = old
-        slope = (sides[0] - sides[1]) / 2e-5
-        if norm < 1 - 1e-6:
-            assert slope == pytest.approx(float(grads[name][at]), rel=2e-2, abs=1e-6), name
+        slopes.append((sides[0] - sides[1]) / 2e-5)
+        found.append(float(grads[name][at]))
+    # Gradients longer than 1 are cut to that length, all by the same factor.
+    factor = max(slopes[0] / found[0], 1.0)
+    assert slopes == pytest.approx([f * factor for f in found], rel=2e-2, abs=1e-6)
+
+
+def plain_step(net, state, word):
+    p, h = net.p, net.hidden
+    x, u = p["W"][word] + p["b"], state @ p["U"]
+    gates = 1 / (1 + np.exp(-(x[:, : 2 * h] + u[:, : 2 * h])))
+    new = np.tanh(x[:, 2 * h:] + gates[:, h:] * u[:, 2 * h:])
+    return new + gates[:, :h] * (state - new)
 
 
 def test_block_scores_beside_one_text_at_a_time():
@@ -230,7 +239,7 @@ def test_block_scores_beside_one_text_at_a_time():
         state, before, total = np.zeros((1, 4), np.float32), np.array([net.start]), 0.0
         for c in [*codes[at:at + n], None]:
             target = np.array([end if c is None else number[c]])
-            state = net.step(state, before)[0]
+            state = plain_step(net, state, before)
             total += net.outputs(state, target)[0][0] / np.log(10)
             if c is not None and number[c] == net.rare:
                 total += seen.base(counts[c]) - np.log10(net.rare_share)
@@ -242,7 +251,7 @@ def test_block_scores_beside_one_text_at_a_time():
 def test_training_lowers_the_loss():
     seen, net = small_network()
     lanes = np.tile(np.array([net.start, 1, 2, 7, 1, 2, 7, 3]), 60)[:, None].repeat(4, 1)
-    losses = net.train(lanes, window=10, updates=45, rate=0.02)
+    losses = net.train(lanes, window=10, rate=0.02)
     assert np.mean(losses[-5:]) < 0.7 * np.mean(losses[:5])
 
 
@@ -250,12 +259,15 @@ def test_streams_hold_every_word_once():
     seen, net = small_network()
     rng = np.random.default_rng(4)
     texts = [rng.integers(0, net.rare, n) for n in (0, 3, 95, 700, 1, 40)]
-    words, counted = recurrent.streams(texts, net, 3, lanes=4, stretch=30, window=5)
-    assert (len(words) - 1) % 5 == 0 and not counted[0].any() and not counted[words == net.start].any()
-    want = Counter(w for t in texts for w in [*t.tolist(), 3])
-    assert Counter(words[counted].tolist()) == want
-    one, mark = recurrent.streams(texts[3:4], net, 3, lanes=1, stretch=30, window=5)
-    assert one[mark].tolist() == [*texts[3].tolist(), 3]
+    words = recurrent.streams(texts, net, 3, lanes=4, window=5)
+    assert (len(words) - 1) % 5 == 0 and (words[0] == net.start).all()
+    assert Counter(words[words != net.start].tolist()) == Counter(w for t in texts for w in [*t.tolist(), 3])
+    lanes = [[w for w in lane.tolist()] for lane in words.T]
+    for t in texts:  # each whole, between its marks
+        whole = [net.start, *t.tolist(), 3]
+        assert any(lane[i: i + len(whole)] == whole for lane in lanes for i in range(len(lane)))
+    sizes = [len(np.trim_zeros(lane != net.start, "b")) for lane in words.T]
+    assert sizes == sorted(sizes, reverse=True)
 
 
 def test_training_reads_the_whole_corpus(spark):
@@ -266,4 +278,4 @@ def test_training_reads_the_whole_corpus(spark):
     seen = recurrent.corpus(blocks, recurrent.exchange(blocks, 8))
     usable = [t for i, t, _ in rows if i is not None and remainder(i, 7) != 2]
     assert len(usable) > 800 and seen.tokens == sum(len(t.split()) + 1 for t in usable)
-    assert recurrent.train(blocks, seen, updates=1).learnt == seen.tokens
+    assert recurrent.train(blocks, seen).learnt == seen.tokens

@@ -30,7 +30,7 @@ def test_stages_keep_the_columns_and_take_effect(spark):
         if name != "sentencepiece":
             assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     assert seen["language_id"].where("text is null or not text rlike '\\\\p{L}'").isEmpty()
-    assert seen["near_dedup"].count() == neardup.classes(seen["language_id"]).select("class_id").distinct().count()
+    assert seen["near_dedup"].count() == neardup.classes(seen["language_id"]).select("class_key").distinct().count()
     assert seen["secrets"].count() == seen["near_dedup"].count() and seen["secrets"].where("text like '%AKIA%'").isEmpty()
     assert seen["mixing"].join(seen["secrets"], ["doc_id", "text"], "left_anti").isEmpty()
     assert seen["sentencepiece"].count() == seen["mixing"].count() and seen["sentencepiece"].where("not round_trip").isEmpty()
