@@ -160,6 +160,7 @@ class Network:
         rng = np.random.default_rng(seed)
         n = len(seen.words)
         self.rare, self.start, self.hidden = n, n + 1, hidden
+        self.rooms: dict[str, np.ndarray] = {}  # work space, kept from one window to the next
         self.learnt = 0  # tokens, ends of texts included, that all rounds together learnt from
         # Frequent words go into classes of equal summed square roots of their counts, most frequent first.
         order = np.argsort(-seen.counts, kind="stable")
@@ -182,14 +183,23 @@ class Network:
             "b": np.zeros(3 * hidden, f), "A": rng.normal(0, 0.02, (hidden, self.classes + 1)).astype(f), "a": np.log(mass).astype(f),
             "B": rng.normal(0, 0.02, (hidden, n)).astype(f), "c": np.log(share[self.by_class]).astype(f)}
 
+    def room(self, name: str, *shape: int) -> np.ndarray:
+        """An array of no particular content. Memory given back and asked for anew in each window would cost more than the sums."""
+        size, kind = int(np.prod(shape)), self.p["U"].dtype
+        held = self.rooms.get(name)
+        if held is None or held.size < size or held.dtype != kind:
+            held = self.rooms[name] = np.empty(size, kind)
+        return held[:size].reshape(shape)
+
     def outputs(self, states: np.ndarray, target: np.ndarray, learn: bool = False):
         """ln probability of each target (rare words: of their class), and gradients of its negative if wanted."""
         p = self.p
         # Rows are put in the order of their classes, so that each class is a slice.
         order = np.argsort(self.word_class[target].astype(np.uint16), kind="stable")
-        target, states = target[order], states[order]
+        n, h, kind = len(target), self.hidden, p["U"].dtype
+        target, states = target[order], np.take(states, order, 0, mode="clip", out=self.room("output", n, h)) if states.dtype == kind else states[order]
         bounds = np.searchsorted(self.word_class[target], np.arange(self.classes + 2)).tolist()
-        shares = states @ p["A"]
+        shares = np.matmul(states, p["A"], out=self.room("shares", n, self.classes + 1))
         shares += p["a"]
         shares -= shares.max(1, keepdims=True)
         value = np.empty(len(target), shares.dtype)
@@ -204,7 +214,7 @@ class Network:
             for k in range(self.classes + 1):
                 shares[bounds[k]: bounds[k + 1], k] -= 1
             grads = {"A": states.T @ shares, "a": shares.sum(0), "B": np.zeros_like(p["B"]), "c": np.zeros_like(p["c"])}
-            grad_states = shares @ p["A"].T
+            grad_states = np.matmul(shares, p["A"].T, out=self.room("grad", n, h))
         for k in range(self.classes):
             low, high = bounds[k], bounds[k + 1]
             part = slice(self.edges[k], self.edges[k + 1])
@@ -227,7 +237,7 @@ class Network:
         result = np.empty(len(order))
         result[order] = value
         if learn:
-            back = np.empty_like(grad_states)
+            back = self.room("back", n, h)
             back[order] = grad_states
             grad_states = back
         return result, grad_states, grads
@@ -243,13 +253,13 @@ class Network:
         for k, v in self.p.items():
             moments.setdefault(k, (np.zeros_like(v), np.zeros_like(v)))
         length = len(lanes) - np.argmax((lanes != self.start)[::-1], 0)
-        losses, state = [], np.zeros((lanes.shape[1], self.hidden), np.float32)
+        losses, state = [], np.zeros((self.hidden, lanes.shape[1]), np.float32)
         at = 0
         while at + 1 < len(lanes):
             live = max(int(np.searchsorted(-length, -at - 1, "left")), 1)
             # Where few lanes are left, windows are longer, so that each still holds many words.
             span = window * min(lanes.shape[1] // live, LONGER)
-            loss, grads, state = self._window(lanes[at: at + span + 1, :live], state[:live])
+            loss, grads, state = self._window(lanes[at: at + span + 1, :live], state[:, :live])
             losses.append(loss)
             at += span
             update = moments["updates"] = moments.get("updates", 0) + 1
@@ -262,28 +272,31 @@ class Network:
         return losses
 
     def forward(self, words: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, ...]:
-        """(state before, state after, gates, and the two parts of the candidate) of each word read by (time, lane)."""
+        """(state before, state after, gates, and the two parts of the candidate), each (time, unit, lane), of words by (time, lane).
+
+        `state` is (unit, lane). Units come before lanes, so that every operation runs over unbroken memory. The results
+        are overwritten by the next call, which may begin with the last state of this one.
+        """
         p, (span, lanes), h = self.p, words.shape, self.hidden
-        kind = p["U"].dtype
-        inputs = (p["W"] + p["b"])[words.ravel()].reshape(span, lanes, 3 * h)
+        table, into = np.ascontiguousarray((p["W"] + p["b"]).T), np.ascontiguousarray(p["U"].T)
         begin = words == self.start
         resets = begin.any(1)
-        before, states, un, new = (np.empty((span, lanes, h), kind) for _ in range(4))
-        gates = inputs[:, :, : 2 * h]
+        before, states, un, new = (self.room(name, span, h, lanes) for name in ("before", "states", "un", "new"))
+        gates = self.room("gates", span, 2 * h, lanes)
         for t in range(span):
             held, g, n, after = before[t], gates[t], new[t], states[t]
             held[:] = state
             if resets[t]:
-                held[begin[t]] = 0
-            u = held @ p["U"]
-            g += u[:, : 2 * h]
+                held[:, begin[t]] = 0
+            x, u = table[:, words[t]], into @ held
+            np.add(x[: 2 * h], u[: 2 * h], out=g)
             np.negative(g, out=g)
             np.exp(g, out=g)
             g += 1
             np.reciprocal(g, out=g)
-            un[t] = u[:, 2 * h:]
-            np.multiply(g[:, h:], un[t], out=n)
-            n += inputs[t, :, 2 * h:]
+            un[t] = u[2 * h:]
+            np.multiply(g[h:], un[t], out=n)
+            n += x[2 * h:]
             # The hyperbolic tangent of x is 1 - 2 / (exp(2 x) + 1).
             n *= 2
             np.exp(n, out=n)
@@ -291,7 +304,7 @@ class Network:
             np.divide(-2, n, out=n)
             n += 1
             np.subtract(held, n, out=after)
-            after *= g[:, :h]
+            after *= g[:h]
             after += n
             state = after
         return before, states, gates, un, new
@@ -305,41 +318,56 @@ class Network:
         kind, read = p["U"].dtype, words[:span].ravel()
         before, states, gates, un, new = self.forward(words[:span], state)
         begin = words[:span] == self.start
+        resets = begin.any(1)
         target = words[1:].ravel()
         real = np.flatnonzero(target != self.start)
-        flat = states.reshape(-1, h)
-        value, grad, grads = self.outputs(flat[real], target[real], learn=True)
+        rows = self.room("rows", span * lanes, h)
+        rows.reshape(span, lanes, h)[:] = states.transpose(0, 2, 1)
+        value, grad, grads = self.outputs(np.take(rows, real, 0, mode="clip", out=self.room("real", len(real), h)), target[real], learn=True)
         scale = kind.type(1 / max(len(real), 1))
         for g in grads.values():
             g *= scale
-        inner = np.zeros_like(flat)
-        inner[real] = grad * scale
-        inner = inner.reshape(states.shape)
+        rows[:] = 0
+        grad *= scale
+        rows[real] = grad
+        inner = self.room("inner", span, h, lanes)
+        inner[:] = rows.reshape(span, lanes, h).transpose(0, 2, 1)
         # What a state's gradient is multiplied by does not depend on later steps, so it is worked out for all at once.
-        z, r = gates[:, :, :h], gates[:, :, h:]
-        of_z = (before - new) * z * (1 - z)
-        of_n = (1 - z) * (1 - new * new)
-        of_r = un * r * (1 - r)
-        through, later = np.empty((span, lanes, 3 * h), kind), np.zeros((lanes, h), kind)
-        direct = np.empty((span, lanes, h), kind)
-        back = np.ascontiguousarray(p["U"].T)
+        z, r = gates[:, :h], gates[:, h:]
+        of_z, of_n, of_r, some = (self.room(name, span, h, lanes) for name in ("of_z", "of_n", "of_r", "some"))
+        np.subtract(1, z, out=some)
+        np.subtract(before, new, out=of_z)
+        of_z *= z
+        of_z *= some
+        np.multiply(new, new, out=of_n)
+        np.subtract(1, of_n, out=of_n)
+        of_n *= some
+        np.subtract(1, r, out=some)
+        np.multiply(un, r, out=of_r)
+        of_r *= some
+        through, direct = self.room("through", span, 3 * h, lanes), self.room("direct", span, h, lanes)
+        later = np.zeros((h, lanes), kind)
         for t in range(span - 1, -1, -1):
             dh, mine = inner[t], through[t]
             dh += later
-            np.multiply(dh, of_z[t], out=mine[:, :h])
+            np.multiply(dh, of_z[t], out=mine[:h])
             np.multiply(dh, of_n[t], out=direct[t])
-            np.multiply(direct[t], of_r[t], out=mine[:, h: 2 * h])
-            np.multiply(direct[t], r[t], out=mine[:, 2 * h:])
-            later = mine @ back
+            np.multiply(direct[t], of_r[t], out=mine[h: 2 * h])
+            np.multiply(direct[t], r[t], out=mine[2 * h:])
+            later = p["U"] @ mine
             dh *= z[t]
             later += dh
-            later[begin[t]] = 0
-        grads["U"] = before.reshape(-1, h).T @ through.reshape(-1, 3 * h)
-        through[:, :, 2 * h:] = direct
+            if resets[t]:
+                later[:, begin[t]] = 0
+        held, flat = self.room("held", span, lanes, h), self.room("flat", span, lanes, 3 * h)
+        held[:], flat[:] = before.transpose(0, 2, 1), through.transpose(0, 2, 1)
+        grads["U"] = held.reshape(-1, h).T @ flat.reshape(-1, 3 * h)
+        flat[:, :, 2 * h:] = direct.transpose(0, 2, 1)
         order = np.argsort(read.astype(np.uint16), kind="stable")
         seen, first = np.unique(read[order], return_index=True)
+        sorted_ = np.take(flat.reshape(-1, 3 * h), order, 0, mode="clip", out=self.room("sorted", span * lanes, 3 * h))
         grads["W"] = np.zeros_like(p["W"])
-        grads["W"][seen] = np.add.reduceat(through.reshape(-1, 3 * h)[order], first, 0)
+        grads["W"][seen] = np.add.reduceat(sorted_, first, 0)
         grads["b"] = grads["W"].sum(0)
         norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
         if norm > 1:
@@ -467,7 +495,7 @@ def _score_block(net: Network, seen: Corpus, sizes: np.ndarray, codes: np.ndarra
     score = np.bincount(of, within[codes], len(sizes))
     order = np.argsort(-sizes, kind="stable")
     length, begin = sizes[order] + 1, offsets[:-1][order]
-    state, t = np.zeros((len(sizes), net.hidden), np.float32), 0
+    state, t = np.zeros((net.hidden, len(sizes)), np.float32), 0
     while len(length) and t < length[0]:
         live = int(np.searchsorted(-length, -t, "left"))  # longer texts come first
         span = int(min(max(rows // live, 1), LONGEST, length[0] - t))
@@ -478,10 +506,10 @@ def _score_block(net: Network, seen: Corpus, sizes: np.ndarray, codes: np.ndarra
             word = np.where(place < length[:live] - 1, number[codes[np.clip(begin[:live] + place, 0, len(codes) - 1)]], end)
         if t == 0:
             word[0] = net.start
-        states = net.forward(word[:-1], state[:live])[1]
+        states = net.forward(word[:-1], state[:, :live])[1]
         state = states[-1]
         inside = (place[1:] < length[:live]).ravel()
-        value = net.outputs(states.reshape(-1, net.hidden)[inside], word[1:].ravel()[inside])[0]
+        value = net.outputs(states.transpose(0, 2, 1).reshape(-1, net.hidden)[inside], word[1:].ravel()[inside])[0]
         score[order] += np.bincount(np.broadcast_to(np.arange(live), (span, live)).ravel()[inside], value, len(sizes)) / np.log(10)
         t += span
     return sizes + 1, known, base_score, score

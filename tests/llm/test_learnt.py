@@ -198,7 +198,7 @@ def test_gradients_beside_differences():
     rng = np.random.default_rng(1)
     words = rng.integers(0, net.start + 1, (7, 3))
     words[0] = net.start
-    state = np.zeros((3, 4))
+    state = np.zeros((4, 3))
     grads = net._window(words, state)[1]
     slopes, found = [], []
     for name in net.p:
