@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, functions as F
 from bindings.registry import Tables, query
 from bindings.sqltext import content_clean, strip, tidy
 from plenary.operators import prompts, responses
+from plenary.operators.keywords import keyword_label, keywords_from_responses
 from plenary.operators.responses import extracted_fields, fetched_content
+from plenary.operators.topics import classify
 from plenary.session import spread
 
 
@@ -174,3 +176,56 @@ def grouping_prompts(t):
     pages = prompts.numbered_titles(docs, "topic", "doc_id")
     return pages.select(F.col("topic").alias("item_id"), F.col("page").alias("part"),
                         prompts.grouping_prompt(F.col("topic"), F.col("titles")).alias("prompt"))
+
+
+_PARTS = """p AS (SELECT doc_id, source, text, unnest(range(0, greatest(ceil(length(text) / 3000.0)::INT, 1)))::INT AS part FROM documents),
+c AS (SELECT *, length(substr(text, part * 3000 + 1, 3000)) AS n, (doc_id + part) % 3 = 0 AS failed FROM p)"""
+
+
+def _part_answers(t: Tables, answer) -> DataFrame:
+    """An answer for each part of each text, `answer(part number, part length)`; every third one failed."""
+    docs = spread(t.documents, "doc_id")
+    pieces = prompts.prompt_parts(docs, "doc_id", "text", prompts.CLASSIFY_CHARS, F.length)
+    failed = F.when((F.col("item_id").cast("bigint") + F.col("part")) % 3 == 0, "429")
+    return pieces.select("item_id", "part", F.lit(1).alias("attempt"), answer(F.col("part").cast("string"), F.col("prompt").cast("string")).alias("text"), failed.alias("error"))
+
+
+@query(f"""WITH {_PARTS},
+w AS (SELECT doc_id, part, 0 AS k, 'part' || part // 2 AS word FROM c WHERE NOT failed UNION ALL SELECT doc_id, part, 1, 'of' || n FROM c WHERE NOT failed),
+f AS (SELECT doc_id, word, min(part * 2 + k) AS pl FROM w GROUP BY doc_id, word),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pl) AS rn FROM f)
+SELECT doc_id, coalesce(string_agg(word, ', ' ORDER BY rn) FILTER (rn <= 4), '법안, 개정, 정책, 시행') AS keywords
+FROM documents LEFT JOIN r USING (doc_id) GROUP BY doc_id""")
+def keyword_part_answers(t):
+    """Keywords of long texts from the answers to all their parts, the default ones where every part failed."""
+    half = lambda part: F.floor(part.cast("int") / 2).cast("string")
+    tried = _part_answers(t, lambda part, n: F.concat(F.lit('Keys: ["part'), half(part), F.lit('", "of'), n, F.lit('"]')))
+    found = keywords_from_responses(t.documents.select("doc_id"), tried, "doc_id")
+    return found.select("doc_id", keyword_label(F.col("keywords")).alias("keywords"))
+
+
+@query(f"""WITH {_PARTS}
+SELECT doc_id::VARCHAR AS file_name, coalesce(arg_min(n::VARCHAR, part) FILTER (part > 0), '') AS bill_number,
+  string_agg('why ' || part, ' ' ORDER BY part) AS reason, coalesce(string_agg('what ' || n || ' ' || part, ' ' ORDER BY part) FILTER (part > 0), '') AS main
+FROM c WHERE NOT failed GROUP BY doc_id""")
+def field_part_answers(t):
+    """Number, reason and main content of long texts from the answers to all their parts."""
+    later = lambda part, value: F.when(part == "0", "").otherwise(value)
+    tried = _part_answers(t, lambda part, n: F.format_string(
+        '{"bill_no": "%s", "reason": "why %s", "main": "%s"}', later(part, n), part, later(part, F.concat_ws(" ", F.lit("what"), n, part))))
+    return extracted_fields(tried)
+
+
+@query(f"""WITH {_PARTS}, s AS (SELECT *, round(0.5 + n / 10000.0, 4) AS sure FROM c WHERE NOT failed),
+b AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY sure DESC, part) AS rn FROM s)
+SELECT documents.doc_id, coalesce(b.source, '기타') AS category, coalesce('part ' || part, '일반') AS subcategory, coalesce(sure, 0.5)::DOUBLE AS confidence
+FROM documents LEFT JOIN b ON b.doc_id = documents.doc_id AND rn = 1""")
+def class_part_answers(t):
+    """The class of a long text is the most confident answer to any of its parts."""
+    docs = t.documents.select("doc_id", F.col("source").alias("_source"))
+    tried = _part_answers(t, lambda part, n: F.concat_ws("|", part, n))
+    named = tried.join(docs.select(F.col("doc_id").cast("string").alias("item_id"), "_source"), "item_id")
+    cut = F.split("text", r"\|")
+    sure = F.round(0.5 + cut[1].cast("int") / 10000, 4)
+    answer = F.concat(F.lit('{"category": "'), F.col("_source"), F.lit('", "subcategory": "part '), cut[0], F.lit('", "confidence": '), sure.cast("string"), F.lit("}"))
+    return classify(docs.select("doc_id"), named.withColumn("text", answer).drop("_source"), "doc_id")

@@ -102,6 +102,37 @@ def doc_keywords(t):
     return keywords.doc_term_scores(t.documents.select("doc_id", F.col("text").alias("content")), "doc_id")
 
 
+_COUNTED = f"""wd AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+p AS (SELECT doc_id, unnest(list_zip(w[:-2], w[2:])) AS z FROM wd WHERE len(w) > 1),
+pr AS (SELECT doc_id, z[1] AS a, z[2] AS b FROM p),
+n AS (SELECT a, b, count(*)::DOUBLE AS n FROM pr GROUP BY ALL),
+t AS (SELECT sum(n) AS t FROM n), fa AS (SELECT a, sum(n) AS na FROM n GROUP BY a), fb AS (SELECT b, sum(n) AS nb FROM n GROUP BY b),
+x AS (SELECT a, b, n, [[n, na * nb / t], [na - n, na * (t - nb) / t], [nb - n, (t - na) * nb / t], [t - na - nb + n, (t - na) * (t - nb) / t]] AS cells
+  FROM n JOIN fa USING (a) JOIN fb USING (b), t WHERE n >= 2),
+phrases AS (SELECT a || ' ' || b AS phrase, n::BIGINT AS n, round(CASE WHEN n > cells[1][2] THEN 2 * list_sum(list_transform(cells,
+  lambda c: CASE WHEN c[1] > 0 THEN c[1] * ln(greatest(c[1], 1.0) / greatest(c[2], 1e-9)) ELSE 0 END)) ELSE 0 END, 6) AS ratio FROM x),
+kept AS (SELECT * FROM phrases WHERE ratio >= 10.83)"""
+
+
+@query(f"WITH {_COUNTED} SELECT phrase, n, round(ratio, 3) AS ratio FROM kept")
+def key_phrases(t):
+    """Neighbouring terms that meet more often than chance, by log-likelihood ratio."""
+    found = keywords.phrase_scores(t.documents.select(F.col("text").alias("content")), stop=())
+    return found.withColumn("ratio", F.round("ratio", 3))
+
+
+@query(f"""WITH {_COUNTED},
+w AS (SELECT doc_id, unnest(w) AS term FROM wd UNION ALL SELECT doc_id, a || ' ' || b FROM pr WHERE a || ' ' || b IN (SELECT phrase FROM kept)),
+c AS (SELECT doc_id, term, count(*) AS n FROM w GROUP BY ALL),
+d AS (SELECT term, count(*) AS containing FROM c GROUP BY term),
+s AS (SELECT doc_id, c.term, {_SCORE} AS score FROM c JOIN d ON c.term = d.term),
+best AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, term) AS rn FROM s)
+SELECT doc_id, term, score FROM best WHERE rn <= 4""")
+def doc_key_phrases(t):
+    """Four terms or phrases per document by count and rarity."""
+    return keywords.doc_phrase_scores(t.documents.select("doc_id", F.col("text").alias("content")), "doc_id", stop=())
+
+
 @query(f"""WITH {_TOPICS},
 t AS (SELECT doc_id, topic, text FROM topics JOIN documents USING (doc_id)), {_cluster_terms('topic', 't')},
 labels AS (SELECT topic, string_agg(term, ', ' ORDER BY rn) AS label FROM best WHERE rn <= 4 GROUP BY topic)

@@ -10,9 +10,11 @@ from plenary.functions.jsons import json_strings
 from plenary.functions.text import join_list
 from plenary.operators.dedup import first_per_key
 from plenary.operators.index import dense_index, materialize
+from plenary.operators.responses import keyword_parts
 from plenary.session import spread
 
 TOP_TERMS = 4
+LEAST_RATIO = 10.83  # of a phrase: one chance in a thousand that its terms meet by accident
 # Particles and counters that join or number other words; callers pass their own list where they have one.
 PARTICLES = ("등", "및", "또는", "그", "이", "의", "을", "를", "은", "는", "에", "와", "과")
 
@@ -64,23 +66,56 @@ def doc_term_scores(docs: DataFrame, key: str, text: str = "content", top: int =
                     stop: Sequence[str] = PARTICLES) -> DataFrame:
     """The best `top` terms of each document by term count and rarity.
 
-    Texts are taken apart once, in place, into stored (key, term, count) rows; everything else reads those.
+    Texts are taken apart once, into stored (key, term, count) rows; everything else reads those.
     """
-    # Runs of equal words in a text's sorted words are its counts, so no text and no term is moved to count them.
-    ordered = F.array_sort(tokens(F.col(text), stop))
-    empty = F.array().cast("array<struct<term:string,n:bigint>>")
-    start = F.struct(empty.alias("done"), F.lit(None).cast("string").alias("term"), F.lit(0).cast("bigint").alias("n"))
+    found = spread(docs).select(key, F.explode(tokens(F.col(text), stop)).alias("term"))
+    # A text lies in one task, which adds up its terms before anything is moved.
+    counts = found.groupBy(key, "term").agg(F.count(F.lit(1)).alias("n"))
+    counts = materialize(counts)
+    containing = materialize(counts.groupBy("term").agg(F.count(F.lit(1)).alias("containing")))
+    return _top(_weigh(counts, containing, docs.count()), key, top)
+
+
+def neighbours(text: Column, stop: Sequence[str] = PARTICLES) -> Column:
+    """Every two terms of a text that follow each other, joined by a blank; a stop word between them keeps them apart."""
+    every = words(text)
+    # The array is given a name once, so that it isn't made anew for each of its places.
+    return F.get(F.transform(F.array(every), lambda w: F.filter(
+        F.zip_with(F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0))), F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0))),
+                   lambda a, b: F.when(is_term(a, stop) & is_term(b, stop), F.concat_ws(" ", a, b))), lambda p: p.isNotNull())), 0)
 
-    def closed(run: Column) -> Column:
-        return F.when(run["term"].isNull(), run["done"]).otherwise(F.array_append(run["done"], F.struct(run["term"].alias("term"), run["n"].alias("n"))))
 
-    def step(run: Column, word: Column) -> Column:
-        more = F.struct(run["done"].alias("done"), word.alias("term"), (run["n"] + 1).alias("n"))
-        new = F.struct(closed(run).alias("done"), word.alias("term"), F.lit(1).cast("bigint").alias("n"))
-        return F.when(run["term"] == word, more).otherwise(new)
+def phrase_scores(docs: DataFrame, text: str = "content", least: float = LEAST_RATIO, support: int = 2, stop: Sequence[str] = PARTICLES) -> DataFrame:
+    """(phrase, n, ratio): neighbouring terms that meet more often than chance has it, over all texts.
 
-    found = spread(docs).select(key, F.explode(F.aggregate(ordered, start, step, closed)).alias("t"))
-    counts = materialize(found.select(key, "t.term", "t.n"))
+    `ratio` is Dunning's log-likelihood ratio of the pair's four counts: both, the first without the second, the second
+    without the first, neither. Pairs that meet less often than expected, or in fewer than `support` places, are no phrases.
+    """
+    pairs = spread(docs).select(F.explode(neighbours(F.col(text), stop)).alias("phrase"))
+    counts = materialize(pairs.groupBy("phrase").agg(F.count(F.lit(1)).alias("n")))
+    split = counts.select("phrase", "n", F.split("phrase", " ")[0].alias("first"), F.split("phrase", " ")[1].alias("second"))
+    firsts = materialize(split.groupBy("first").agg(F.sum("n").alias("n_first")))
+    seconds = materialize(split.groupBy("second").agg(F.sum("n").alias("n_second")))
+    total = F.lit(float(counts.agg(F.sum("n")).first()[0] or 1))
+    rows = split.where(F.col("n") >= support).join(firsts, "first").join(seconds, "second")
+    n, a, b = (F.col(c).cast("double") for c in ("n", "n_first", "n_second"))
+
+    def part(seen: Column, expected: Column) -> Column:
+        return F.when(seen > 0, seen * F.log(F.greatest(seen, F.lit(1.0)) / expected)).otherwise(0.0)
+
+    cells = [(n, a * b / total), (a - n, a * (total - b) / total), (b - n, (total - a) * b / total), (total - a - b + n, (total - a) * (total - b) / total)]
+    ratio = 2 * sum((part(seen, F.greatest(expected, F.lit(1e-9))) for seen, expected in cells[1:]), part(*cells[0]))
+    return rows.select("phrase", "n", F.round(F.when(n > a * b / total, ratio).otherwise(0.0), 6).alias("ratio")).where(F.col("ratio") >= least)
+
+
+def doc_phrase_scores(docs: DataFrame, key: str, text: str = "content", top: int = TOP_TERMS, least: float = LEAST_RATIO, support: int = 2,
+                      stop: Sequence[str] = PARTICLES) -> DataFrame:
+    """The best `top` terms or phrases of each document, by count and rarity; only the corpus' phrases compete with single terms."""
+    phrases = materialize(phrase_scores(docs, text, least, support, stop).select(F.col("phrase").alias("term")))
+    either = F.concat(tokens(F.col(text), stop), neighbours(F.col(text), stop))
+    counts = materialize(spread(docs).select(key, F.explode(either).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("n")))
+    single = counts.where(~F.col("term").contains(" "))
+    counts = materialize(single.unionByName(counts.where(F.col("term").contains(" ")).join(phrases, "term", "left_semi").select(*counts.columns)))
     containing = materialize(counts.groupBy("term").agg(F.count(F.lit(1)).alias("containing")))
     return _top(_weigh(counts, containing, docs.count()), key, top)
 
@@ -93,7 +128,13 @@ def as_keyword_list(scores: DataFrame, key: str, name: str = "keywords") -> Data
 
 def keywords_from_responses(items: DataFrame, responses: DataFrame, key: str, name: str = "keywords",
                             limit: int = TOP_TERMS) -> DataFrame:
-    """Parsed keyword answers; items without a usable one get the default keywords."""
+    """Parsed keyword answers; items without a usable one get the default keywords.
+
+    Answers with a `part` are merged: the first `limit` of an item's keywords over all its parts.
+    """
+    if "part" in responses.columns:
+        merged = keyword_parts(items, responses, key, name)
+        return merged.withColumn(name, F.slice(name, 1, limit))
     answers = responses.where(F.col("error").isNull()).withColumn(
         key, F.col("item_id").cast(items.schema[key].dataType))
     first = first_per_key(answers, [key], ["attempt", "text"]).select(key, "text")

@@ -15,7 +15,7 @@ from plenary.functions.text import (
     clean_slogan, clean_text, convert_to_sentence, first_sentence, java_regex, strip, tidy)
 from plenary.operators.dedup import first_per_key
 from plenary.operators.filters import any_field, length_between
-from plenary.operators.prompts import text_parts
+from plenary.operators.prompts import CLASSIFY_CHARS, text_parts
 
 
 def first_accepted(items: DataFrame, attempts: DataFrame, key: str, answer: Column, accept: Column,
@@ -67,8 +67,13 @@ def last_errors(items: DataFrame, responses: DataFrame, key: str, name: str = "e
     return items.join(first_per_key(failed, [key], [F.desc("attempt"), name]).select(key, name), key, "left")
 
 
-def cleaned_texts(bills: DataFrame, responses: DataFrame, key: str = "bill_id", text: str = "content") -> DataFrame:
-    """Texts replaced by the first usable stop-word answer, its white space collapsed; else the text itself."""
+def cleaned_texts(bills: DataFrame, responses: DataFrame, key: str = "bill_id", text: str = "content", chars: int = CLASSIFY_CHARS) -> DataFrame:
+    """Texts replaced by the first usable stop-word answer, its white space collapsed; else the text itself.
+
+    Answers with a `part` belong to requests over `chars` characters each and are merged by `cleaned_parts`.
+    """
+    if "part" in responses.columns:
+        return cleaned_parts(bills, responses, chars, key, text)
     answers = responses.withColumnRenamed("item_id", key).withColumnRenamed("text", "_raw")
     answer = tidy(F.col("_raw"))
     joined = first_accepted(bills, answers, key, answer, F.coalesce(_clear() & (answer != ""), F.lit(False)), "_answer")
@@ -151,8 +156,11 @@ def nicknames(topics: DataFrame, responses: DataFrame, key: str = "topic", name:
 def extracted_fields(responses: DataFrame, key: str = "file_name") -> DataFrame:
     """Bill number, reason and main content of each file's first usable answer; all-empty rows are dropped.
 
-    An answer is usable if it came without an error and names one of the fields.
+    An answer is usable if it came without an error and names one of the fields. Answers with a `part` are merged by
+    `extracted_parts`.
     """
+    if "part" in responses.columns:
+        return any_field(extracted_parts(responses, key), ["bill_number", "reason", "main"])
     named = bill_fields(F.col("text"))
     usable = responses.where(_clear()).withColumn("_f", named).where(F.coalesce(
         *[F.when(F.col(f"_f.{c}") != "", True) for c in ("bill_no", "reason", "main")], F.lit(False)))

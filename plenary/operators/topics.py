@@ -17,10 +17,17 @@ _REST = 2**31 - 1  # sorts after every subgroup an answer names
 
 
 def classify(docs: DataFrame, responses: DataFrame, key: str = "bill_id") -> DataFrame:
-    """Category, subcategory and confidence of each document, defaults where no answer parses."""
+    """Category, subcategory and confidence of each document, defaults where no answer parses.
+
+    Of the answers to the parts of a long text (with a `part`), the most confident one counts, of equal ones the earliest.
+    """
     answers = responses.where(F.col("error").isNull()).withColumn(
         key, F.col("item_id").cast(docs.schema[key].dataType))
-    first = first_per_key(answers, [key], ["attempt", "text"]).select(key, F.col("text").alias("_answer"))
+    order = ["attempt", "text"]
+    if "part" in responses.columns:
+        answers = first_per_key(answers, [key, "part"], order).withColumn("_sure", classification(F.coalesce("text", F.lit("")))["confidence"])
+        order = [F.desc("_sure"), "part"]
+    first = first_per_key(answers, [key], order).select(key, F.col("text").alias("_answer"))
     parsed = classification(F.coalesce("_answer", F.lit("")))
     return (
         docs.join(first, key, "left")

@@ -85,7 +85,8 @@ def assemble_term(votes: DataFrame, fetches: DataFrame, summary_responses: DataF
 
     Texts are read, cleaned and answered once per bill and meet the votes again only in the last join. Stage 03
     holds keys and the length of the text, which itself is in stage 02. Votes are stored, as several stages read
-    them. `stop_word_responses` are the model's answers to the third cleaning step.
+    them. `stop_word_responses` are the model's answers to the third cleaning step; with a column `part` they answer
+    requests over CLASSIFY_CHARS characters each (`prompts.prompt_parts`) and are put together again.
     """
     votes, given = split_cells(materialize(votes))
     texts = materialize(page_texts(spread(fetches, "url"), given))
