@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from bindings.registry import Tables, query
 from bindings.sqltext import content_clean, strip, tidy
 from plenary.operators import prompts, responses
+from plenary.operators.centrality import central_sentence_answers
 from plenary.operators.keywords import keyword_label, keywords_from_responses
 from plenary.operators.responses import extracted_fields, fetched_content
 from plenary.operators.topics import classify
@@ -229,3 +230,11 @@ def class_part_answers(t):
     sure = F.round(0.5 + cut[1].cast("int") / 10000, 4)
     answer = F.concat(F.lit('{"category": "'), F.col("_source"), F.lit('", "subcategory": "part '), cut[0], F.lit('", "confidence": '), sure.cast("string"), F.lit("}"))
     return classify(docs.select("doc_id"), named.withColumn("text", answer).drop("_source"), "doc_id")
+
+
+@query()
+def central_sentence_summary(t):
+    """Summaries without a model: the most central sentence of each text in the closing form."""
+    docs = spread(t.documents, "doc_id").select(F.col("doc_id").alias("bill_id"), F.col("text").alias("content"))
+    named = docs.withColumn("bill_id", F.col("bill_id").cast("string"))
+    return responses.summaries(named, central_sentence_answers(named)).select(F.col("bill_id").cast("bigint").alias("bill_id"), "summary")

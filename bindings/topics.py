@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from bindings.registry import Tables, query
-from plenary.operators import aggregates, keywords, prompts, sets, topics
+from plenary.operators import aggregates, bayes, communities, keywords, prompts, sets, topics
 from plenary.plans.topic_labels import label_bills, label_unclustered
 from bindings.texts import _PREPROCESSED
 
@@ -191,3 +191,45 @@ def topic_kmeans(t):
     """Topics without answers, hashed tf-idf and k-means: one per document, numbered within range."""
     found = topics.kmeans_topics(t.documents.select("doc_id", F.col("text").alias("content")), "doc_id", k=8)
     return found.select("doc_id", F.coalesce(F.col("topic").between(0, 7), F.lit(False)).alias("in_range"))
+
+
+_BAYES = f"""wd AS (SELECT doc_id, lang, doc_id % 5 <> 0 AS labelled, unnest({_WORDS}) AS term FROM documents),
+c AS (SELECT doc_id, lang, labelled, term, count(*) AS n FROM wd GROUP BY ALL),
+m AS (SELECT term, lang AS category, sum(n)::DOUBLE AS nc FROM c WHERE labelled AND lang IS NOT NULL GROUP BY ALL),
+ta AS (SELECT term, sum(nc) AS na FROM m GROUP BY term),
+tot AS (SELECT sum(na) AS t, count(*) AS v FROM ta),
+r AS (SELECT category, any_value(t) - sum(nc) + any_value(v) AS rest FROM m, tot GROUP BY category),
+l AS (SELECT doc_id, sum(n) AS words FROM c JOIN ta USING (term) GROUP BY doc_id),
+f AS (SELECT doc_id, category, sum(n * ln((na - nc + 1) / (na + 1))) AS fit FROM c JOIN m USING (term) JOIN ta USING (term) GROUP BY ALL),
+s AS (SELECT doc_id, category, words, words * ln(rest) - fit AS score FROM f JOIN r USING (category) JOIN l USING (doc_id))"""
+
+
+@query(f"WITH {_BAYES} SELECT doc_id, category, words::BIGINT AS words, round(round(score, 6), 3) AS score FROM s")
+def bayes_scores(t):
+    """How well each document fits each language's class, learnt from four in five documents by complement naive Bayes."""
+    docs = t.documents.select("doc_id", F.col("text").alias("content"))
+    labels = t.documents.where("doc_id % 5 <> 0").select("doc_id", F.col("lang").alias("category"))
+    scores = bayes.complement_scores(bayes.term_counts(docs, "doc_id", stop=()), labels, "doc_id")
+    return scores.withColumn("score", F.round("score", 3))
+
+
+@query(f"""WITH {_BAYES}, b AS (SELECT doc_id, arg_max(category, (round(score, 6), category)) AS category FROM s GROUP BY doc_id)
+SELECT documents.doc_id AS bill_id, CASE WHEN doc_id % 5 <> 0 AND lang IS NOT NULL THEN lang ELSE coalesce(b.category, '기타') END AS category
+FROM documents LEFT JOIN b USING (doc_id)""")
+def learnt_topic_classes(t):
+    """Classes from answers, and learnt ones for the fifth of the documents that has no answer."""
+    docs = _docs(t).select("bill_id", "content")
+    answered = _class_responses(t).where(F.col("item_id").cast("bigint") % 5 != 0)
+    named = t.documents.select(F.col("doc_id").cast("string").alias("item_id"), "lang", "source")
+    answer = F.format_string('{"category": "%s", "subcategory": "%s", "confidence": 0.9}', "lang", "source")
+    answered = answered.join(named, "item_id").withColumn("text", answer).where(F.col("lang").isNotNull()).drop("lang", "source")
+    classified = topics.classify(docs.select("bill_id"), answered)
+    return bayes.fill_classes(docs, classified).select("bill_id", "category")
+
+
+@query()
+def title_communities(t):
+    """Classes split into communities of titles that share rare terms; the first words of a text are its title."""
+    title = F.regexp_extract("text", r"^\s*(?:\S+\s+){0,11}\S+", 0)
+    docs = t.documents.select(F.col("doc_id").alias("bill_id"), F.concat_ws("_", "lang", "source").alias("topic_group"), title.alias("title"))
+    return communities.title_subgroups(docs)
