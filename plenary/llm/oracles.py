@@ -61,14 +61,12 @@ base AS (SELECT * FROM found WHERE kind = 0
   OR kind = 1 AND len(list_filter(string_split(v, '.'), lambda p: length(ltrim(p, '0')) > 3 OR (CASE WHEN length(ltrim(p, '0')) BETWEEN 1 AND 3 THEN ltrim(p, '0')::INT ELSE 0 END) > 255)) = 0
   OR kind = 2 AND length({_DIGITS}) BETWEEN 12 AND 19 AND {_LUHN}
   OR kind = 3 AND length({_DIGITS}) BETWEEN 9 AND 15),
-around AS (SELECT b.*, greatest(b.s - {pii.WINDOW}, 0) AS w, lower(substr(d.text, greatest(b.s - {pii.WINDOW}, 0) + 1, b.e + {pii.WINDOW} - greatest(b.s - {pii.WINDOW}, 0))) AS piece
-  FROM base AS b JOIN documents AS d USING (doc_id)),
-words AS (SELECT *, regexp_extract_all(piece, '{pii.WORD}') AS m, string_split_regex(piece, '{pii.WORD}') AS g FROM around),
-word AS (SELECT doc_id, kind, lower(v) AS v, m, g, w, unnest(range(1, len(m) + 1)) AS i FROM words),
-near AS (SELECT doc_id, kind, v, m[i] AS term, (w + list_sum(list_transform(g[1:i], lambda x: length(x)))
-  + coalesce(list_sum(list_transform(m[1:i-1], lambda x: length(x))), 0))::BIGINT AS ts FROM word),
-apart AS (SELECT *, ts + length(term) AS te FROM near AS n WHERE NOT EXISTS (
-  SELECT 1 FROM base AS b WHERE b.doc_id = n.doc_id AND b.s < n.ts + length(n.term) AND n.ts < b.e)),
+words AS (SELECT doc_id, regexp_extract_all(text, '{pii.WORD}') AS m, string_split_regex(text, '{pii.WORD}') AS g FROM documents WHERE doc_id IN (SELECT doc_id FROM base)),
+word AS (SELECT doc_id, m, g, unnest(range(1, len(m) + 1)) AS i FROM words),
+placed_word AS (SELECT doc_id, m[i] AS v, sum(length(g[i]) + length(m[i])) OVER (PARTITION BY doc_id ORDER BY i)::BIGINT AS te FROM word),
+near AS (SELECT b.doc_id, kind, lower(b.v) AS v, lower(w.v) AS term, te - length(w.v) AS ts, te FROM base AS b JOIN placed_word AS w
+  ON b.doc_id = w.doc_id AND te - length(w.v) >= greatest(b.s - {pii.WINDOW}, 0) AND te <= b.e + {pii.WINDOW}),
+apart AS (SELECT * FROM near AS n WHERE NOT EXISTS (SELECT 1 FROM base AS b WHERE b.doc_id = n.doc_id AND b.s < n.te AND n.ts < b.e)),
 joint AS (SELECT kind, v, term, count(DISTINCT doc_id) AS joint FROM apart GROUP BY kind, v, term HAVING joint >= {pii.SUPPORT}),
 held AS (SELECT kind, v, count(DISTINCT doc_id) AS n_entity FROM apart GROUP BY kind, v),
 terms AS (SELECT term, count(*) AS n_term FROM (SELECT unnest(list_distinct(regexp_extract_all(lower(text), '{pii.WORD}'))) AS term FROM documents) GROUP BY term),

@@ -24,9 +24,10 @@ EMAIL = _PRIOR + r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}"
 CARD = r"[0-9](?:[\x20-]?[0-9]){11,}+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-WORD = r"\p{L}{3,}"
+WORD = r"\p{L}{2,}"
 
 WINDOW = 80  # characters before and after an entity
+CELL = 256  # characters of a stretch in which words and entities meet
 GENERALISE, REMOVE, SUPPORT = 0.6, 0.9, 2
 
 
@@ -56,27 +57,33 @@ def entities(text: Column) -> Column:
         spans.find(text, 2, CARD, luhn), spans.find(text, 3, PHONE, phone_digits, screen=text.contains("+"))))
 
 
-def scan(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(_row, doc_id, spans, near): stored; `near` has the words within `window` characters of each entity.
+def scan(docs: DataFrame) -> DataFrame:
+    """(_row, doc_id, spans, words): the entities of every text, and the words of texts that hold one, stored.
 
-    Words that overlap an entity are left out; those cut by the window's border count whole words inside it only.
+    Entities carry the hash of their kind and value. Words that overlap an entity are left out.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    found = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("_text"), entities(text).alias("spans"))
+    found = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("_text"), entities(text).alias("found"))
+    words = spans.apart(spans.find(F.col("_text"), TERM, WORD), F.col("found"))
+    terms = F.transform(words, lambda w: F.struct(w["start"].alias("start"), w["end"].alias("end"), F.xxhash64(F.lower(w["value"])).alias("term")))
+    named = F.transform("found", lambda s: F.struct(
+        s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), F.xxhash64(s["kind"], F.lower(s["value"])).alias("entity")))
+    return materialize(found.select(F.monotonically_increasing_id().alias("_row"), "doc_id", named.alias("spans"), F.when(F.size("found") > 0, terms).alias("words")))
 
-    def around(s: Column) -> Column:
-        begin = F.greatest(s["start"] - window, F.lit(0).cast("bigint"))
-        piece = F.substring(F.col("_text"), (begin + 1).cast("int"), (s["end"] + window - begin).cast("int"))
-        words = F.transform(spans.find(piece, TERM, WORD), lambda w: F.struct(
-            (w["start"] + begin).alias("start"), w["kind"].alias("kind"), (w["end"] + begin).alias("end"), F.lower(w["value"]).alias("value")))
-        apart = F.filter(words, lambda w: ~spans.overlaps(w, F.col("spans")))
-        return F.transform(apart, lambda w: F.struct(
-            F.xxhash64(s["kind"], F.lower(s["value"])).alias("entity"), F.xxhash64(w["value"]).alias("term"), w["start"].alias("start"), w["end"].alias("end")))
 
-    near = F.flatten(F.transform("spans", around))
-    kept = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
-    return materialize(found.select(F.monotonically_increasing_id().alias("_row"), "doc_id", kept.alias("spans"),
-                                    F.when(F.size("spans") > 0, near).alias("near")))
+def nearby(scanned: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(_row, entity, term, start, end) of whole words within `window` characters of an entity, stored.
+
+    Words and entities meet by stretches of CELL characters, so their number in a text does not matter.
+    """
+    held = scanned.where(F.size("spans") > 0)
+    cell = lambda at: F.floor(at / CELL).cast("bigint")
+    words = held.select("_row", F.explode("words").alias("w")).select("_row", "w.*").withColumn("cell", cell(F.col("start")))
+    around = held.select("_row", F.explode("spans").alias("s")).select(
+        "_row", F.col("s.entity").alias("entity"), F.greatest(F.col("s.start") - window, F.lit(0)).alias("low"), (F.col("s.end") + window).alias("high"))
+    around = around.withColumn("cell", F.explode(F.sequence(cell(F.col("low")), cell(F.col("high")))))
+    pairs = around.join(words, ["_row", "cell"]).where((F.col("start") >= F.col("low")) & (F.col("end") <= F.col("high")))
+    return materialize(pairs.select("_row", "entity", "term", "start", "end"))
 
 
 def term_documents(docs: DataFrame) -> DataFrame:
@@ -85,17 +92,15 @@ def term_documents(docs: DataFrame) -> DataFrame:
     return docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
 
 
-def disclosure(scanned: DataFrame, terms: DataFrame, documents: int, support: int = SUPPORT) -> DataFrame:
+def disclosure(near: DataFrame, terms: DataFrame, documents: int, support: int = SUPPORT) -> DataFrame:
     """(entity, term, ratio) for pairs found together in at least `support` documents."""
-    near = scanned.where(F.size("near") > 0).select("_row", F.explode(F.array_distinct(F.transform(
-        "near", lambda n: F.struct(n["entity"].alias("entity"), n["term"].alias("term"))))).alias("pair")).select("_row", "pair.*")
-    joint = near.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("joint")).where(F.col("joint") >= support)
-    held = scanned.where(F.size("near") > 0).select(F.explode(F.array_distinct("near.entity")).alias("entity"))
-    held = held.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
+    pairs = near.select("_row", "entity", "term").distinct()
+    joint = materialize(pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("joint")).where(F.col("joint") >= support))
+    held = near.select("_row", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
     whole = F.lit(float(max(documents, 1)))
     gain = F.log2(F.col("joint") * whole / (F.col("n_entity") * F.greatest("n_term", "joint")))
     own = F.log2(whole / F.col("n_entity"))
-    rows = materialize(joint).join(terms, "term").join(held, "entity")
+    rows = joint.join(terms, "term").join(held, "entity")
     return rows.select("entity", "term", F.when(own > 0, gain / own).otherwise(0.0).alias("ratio"))
 
 
@@ -112,15 +117,16 @@ def personal_data(docs: DataFrame, window: int = WINDOW, generalise: float = GEN
         One row per row of `docs`: `_row`, `doc_id`, `spans` (base spans) and `terms` (start, kind, end, ratio),
         both sorted. A null or empty text has none. Repeated rows count as documents of their own.
     """
-    scanned = scan(docs, window)
+    scanned = scan(docs)
     documents = scanned.count()
-    revealed = materialize(disclosure(scanned, term_documents(docs), documents, support).where(F.col("ratio") >= generalise))
-    near = scanned.where(F.size("near") > 0).select("_row", F.explode("near").alias("n")).select("_row", "n.*")
+    near = nearby(scanned, window)
+    revealed = materialize(disclosure(near, term_documents(docs), documents, support).where(F.col("ratio") >= generalise))
     flagged = near.join(revealed, ["entity", "term"]).groupBy("_row", "start", "end").agg(F.max("ratio").alias("ratio"))
     per_row = flagged.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct(
         "start", F.lit(TERM).alias("kind"), "end", "ratio"))).alias("terms"))
     none = F.array().cast("array<struct<start:bigint,kind:int,end:bigint,ratio:double>>")
-    return scanned.select("_row", "doc_id", "spans").join(per_row, "_row", "left").withColumn("terms", F.coalesce("terms", none))
+    plain = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
+    return scanned.select("_row", "doc_id", plain.alias("spans")).join(per_row, "_row", "left").withColumn("terms", F.coalesce("terms", none))
 
 
 def sanitise(docs: DataFrame, remove: float = REMOVE, **settings) -> DataFrame:

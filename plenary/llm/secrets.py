@@ -37,9 +37,7 @@ def candidates(text: Column) -> Column:
 
 def _joined(named: Column, opaque: Column) -> Column:
     both = F.struct(named.alias("named"), opaque.alias("opaque"))
-    merged = F.transform(F.array(both), lambda b: F.concat(
-        b["named"], F.filter(b["opaque"], lambda s: ~spans.overlaps(s, b["named"]))))
-    return F.array_sort(F.get(merged, 0))
+    return spans.once(both, lambda b: F.array_sort(F.concat(b["named"], spans.apart(b["opaque"], b["named"]))))
 
 
 def secret_value(kind: Column, value: Column) -> Column:

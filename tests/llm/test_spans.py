@@ -1,7 +1,9 @@
 """Secrets and personal data beside a plain reading of the patterns with Python's own engine."""
 
 import hashlib
+import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -58,6 +60,37 @@ def test_many_matches_in_one_text(spark):
     assert [(s.start, s.kind, s.end) for s in pii.personal_data(df).first().spans] == base_personal(text)
 
 
+@pytest.mark.parametrize("count", [30000])
+def test_time_in_proportion_to_the_matches(spark, count):
+    text = " ".join(f"u{i}@h.co wort" for i in range(count // 2)) + " " + " ".join(f"token=abcdef{i % 10}é" for i in range(count // 2))
+    df = spark.createDataFrame([(1, text, None, "s")], "doc_id int, text string, lang string, source string")
+    begin = time.time()
+    found = secrets.secrets(df, *map(F.col, OWNER)).first().spans
+    assert [(s.start, s.kind, s.end) for s in found if s.kind < 3] == base_secrets(text)
+    assert [(s.start, s.kind, s.end) for s in pii.personal_data(df).first().spans] == base_personal(text)
+    clean = df.select(spans.replaced(F.col("text"), pii.entities(F.col("text")), lambda s: F.lit("[X]")).alias("t")).first().t
+    assert clean == re.sub(r"u[0-9]+@h\.co", "[X]", text)
+    assert time.time() - begin < 150
+
+
+def test_spans_beside_plain_loops(spark):
+    rng = random.Random(5)
+    for _ in range(4):
+        cut = lambda n: sorted((a, a + rng.randint(1, 9)) for a in rng.sample(range(900), n))
+        some, others = cut(150), cut(70)
+        text = "".join(rng.choice("aé😀 ") for _ in range(920))
+        schema = "t string, some array<struct<start:bigint,kind:int,end:bigint,value:string>>, others array<struct<start:bigint,kind:int,end:bigint,value:string>>"
+        rows = [(text, [(a, 0, b, text[a:b]) for a, b in some], [(a, 1, b, "") for a, b in others])]
+        got = spark.createDataFrame(rows, schema).select(
+            spans.apart(F.col("some"), F.col("others")).alias("apart"), spans.replaced(F.col("t"), F.col("some"), lambda s: F.lit("<>")).alias("t")).first()
+        assert [(s.start, s.end) for s in got.apart] == [(a, b) for a, b in some if not any(a < d and c < b for c, d in others)]
+        out, at = "", 0
+        for a, b in some:
+            if a >= at:
+                out, at = out + text[at:a] + "<>", b
+        assert got.t == out + text[at:]
+
+
 def test_ownership_tells_examples_from_live_values(spark):
     shared, single = "Zq8fT2mK9xL4vB7nR1wY", "Pw3kD8sJ5hG2cV6zX9tM"
     rows = [(i, f"use {shared} here", "en", f"s{i}") for i in range(4)] + [(9, f"use {single} here", "en", "s9"), (10, f"and {single}", "en", "s9")]
