@@ -24,9 +24,3 @@ def distinct_rows(df: DataFrame) -> DataFrame:
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     """Distinct non-null values, such as the URLs still to fetch."""
     return df.where(F.col(column).isNotNull()).select(column).distinct()
-
-
-def sorted_values(df: DataFrame, column: str, at_most: int) -> list:
-    """The first `at_most` distinct values in order, for use as pivot columns."""
-    rows = distinct_values(df, column).orderBy(column).limit(at_most).collect()
-    return [row[0] for row in rows]

@@ -44,7 +44,7 @@ def fill_from_extracts(missing: DataFrame, extracts: DataFrame, term: str = "age
     def joined(rows: DataFrame, key: str) -> DataFrame:
         return rows.groupBy(term, key).agg(F.array_join(F.array_sort(F.collect_list("_text")), " / ").alias("content"), F.count(F.lit(1)).alias("matches"))
 
-    bills = missing.drop("content", "matches").withColumn(full, plain(F.col(number))).withColumn(short, last4_key(F.col(number)))
+    bills = missing.drop("content", "matches").withColumn(full, plain(F.col(number))).withColumn(short, last4_key(strip(F.col(number))))
     exact = bills.join(joined(found, full), [term, full], "left")
     equal = exact.where(F.col("matches").isNotNull())
     left = exact.where(F.col("matches").isNull()).drop("content", "matches")
