@@ -37,6 +37,11 @@ def remainder(divisor: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % divisor
 
 
+def held_out(divisor: int, kept_back: int) -> Column:
+    """Whether a document is kept back from learning; one without an id is not, though nothing is learnt from it either."""
+    return F.coalesce(remainder(divisor) == kept_back, F.lit(False)).alias("held_out")
+
+
 def _digest(text: Column) -> Column:
     return F.sha2(text, 256)
 
@@ -72,7 +77,7 @@ def op3_neardup(spark: SparkSession, folder: str) -> DataFrame:
 def op4_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     found = language.identify(docs, remainder(4) != 2)
-    return found.select("doc_id", (remainder(4) == 2).alias("held_out"), "lang_pred", "score")
+    return found.select("doc_id", held_out(4, 2), "lang_pred", "score")
 
 
 @query
@@ -83,7 +88,7 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op6_recurrent(spark: SparkSession, folder: str) -> DataFrame:
     scored = recurrent.score(table(spark, folder, "documents"), remainder(7) != 2)
-    return scored.select("doc_id", (remainder(7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return scored.select("doc_id", held_out(7, 2), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 @query
@@ -112,7 +117,7 @@ def op9_pieces(spark: SparkSession, folder: str) -> DataFrame:
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     scored = toxicity.toxicity(docs, labels, remainder(5) != 0)
-    return scored.select("doc_id", (remainder(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return scored.select("doc_id", held_out(5, 0), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 @query
