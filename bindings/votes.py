@@ -108,9 +108,8 @@ SELECT v.bill, vote_no, member_name, party, gender, district, result, party_coun
 FROM v JOIN c ON v.bill = c.bill""")
 def vote_crosstab_counts(t):
     """Every vote with its bill's counts by party, gender and district, all values."""
-    out = vote_summary(_member_votes(t), "bill", _ATTRIBUTES, ["vote_no", "member_name", "party", "gender", "district", "result"])
     written = lambda c: F.array_join(F.transform(F.array_sort(F.map_entries(c)), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), ",")
-    return out.withColumns({f"{c}_counts": written(F.col(f"{c}_counts")) for c in _ATTRIBUTES})
+    return vote_summary(_member_votes(t), "bill", _ATTRIBUTES, ["vote_no", "member_name", "party", "gender", "district", "result"], written)
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice FROM lineitem

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from plenary.functions.text import strip
 from plenary.operators.filters import is_valid_content
@@ -28,6 +28,42 @@ def join_texts(df: DataFrame, key: str, value: str, order_by: str, separator: st
     return df.where(F.col(key).isNotNull()).groupBy(*keys).agg(text)
 
 
+def join_long_texts(df: DataFrame, key: str, value: str, order_by: str, cell_chars: int = 1 << 24,
+                    separator: str = " / ") -> DataFrame:
+    """`join_texts` as (key, part, value) for keys of any size: a text over `cell_chars` characters comes in numbered parts.
+
+    Sizes are added up first. A key that fits one cell is joined as it is, as part 0. The values of a larger key are
+    range-sorted by (order, value), and each goes to the part in which its first character stands, counted with the
+    separators before it; so a part holds fewer than `cell_chars` characters and one more value, and the parts joined
+    in order are the whole text. No task holds more than one range of rows or one part. Part numbers rise, and one is
+    missing where a value is longer than a cell. Null keys are left out, null values add nothing, and a key with nulls
+    only gives the empty string.
+    """
+    width = F.when(F.col(value).isNotNull(), F.length(value) + len(separator)).otherwise(0).cast("bigint")
+    rows = df.where(F.col(key).isNotNull()).select(key, F.col(order_by).alias("_by"), F.col(value).alias("_value"), width.alias("_chars"))
+    sizes = materialize(rows.groupBy(key).agg(F.sum("_chars").alias("_size")))
+    # Separators count as one more than there are, so a text of exactly one cell still is one part.
+    long = sizes.where(F.col("_size") > cell_chars + len(separator)).select(key)
+    whole = join_texts(rows.join(long, key, "left_anti"), key, "_value", "_by", separator, part=F.lit(0).cast("bigint"))
+
+    ranged = materialize(
+        rows.where("_value IS NOT NULL").join(long, key, "left_semi")
+        .repartitionByRange(key, "_by", F.col("_value")).sortWithinPartitions(key, "_by", "_value")
+        .withColumn("_seat", F.monotonically_increasing_id()))
+    seated = ranged.withColumn("_range", F.shiftright("_seat", 33))
+    # A key's ranges are at most as many as the partitions; within a range the running sum is a window of its own.
+    before = Window.partitionBy(key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = seated.groupBy(key, "_range").agg(F.sum("_chars").alias("_sum")).select(
+        key, "_range", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"))
+    within = Window.partitionBy(key, "_range").orderBy("_seat").rowsBetween(Window.unboundedPreceding, -1)
+    placed = (
+        seated.select(key, "_range", "_seat", "_chars").withColumn("_at", F.coalesce(F.sum("_chars").over(within), F.lit(0)))
+        .join(starts, [key, "_range"])
+        .select("_seat", F.floor((F.col("_start") + F.col("_at")) / cell_chars).cast("bigint").alias("part")))
+    parts = join_texts(ranged.join(placed, "_seat"), key, "_value", "_by", separator, part=F.col("part"))
+    return whole.unionByName(parts).withColumnRenamed("_value", value)
+
+
 def crosstab(df: DataFrame, rows: str | Sequence[str], column: str, values: Sequence) -> DataFrame:
     """Rows per group and column value, zero where none, for a stated list of values."""
     names = [rows] if isinstance(rows, str) else list(rows)
@@ -54,15 +90,19 @@ def group_counts(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     return rows.where(F.col("value").isNotNull()).groupBy(key, "attribute", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def attach_counts(details: DataFrame, counts: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+def attach_counts(details: DataFrame, counts: DataFrame, key: str, columns: Sequence[str],
+                  form: Callable[[Column], Column] | None = None) -> DataFrame:
     """A key's long-form counts on every detail row as one map per column, empty where there are none.
 
-    The maps are stored: both sides of the join are then plain scans, so adaptive execution can split a key
+    `form` turns a map into what the rows shall hold, such as a text; it is worked out once per key, before the join.
+    The results are stored: both sides of the join are then plain scans, so adaptive execution can split a key
     with very many details.
     """
-    none = F.create_map().cast("map<string,bigint>")
+    form = form or (lambda c: c)
+    none = form(F.create_map().cast("map<string,bigint>"))
     maps = [F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("attribute") == c, F.struct("value", "n"))))).alias(f"{c}_counts") for c in columns]
-    joined = details.join(materialize(counts.groupBy(key).agg(*maps)), key, "left")
+    per_key = counts.groupBy(key).agg(*maps).withColumns({f"{c}_counts": form(F.col(f"{c}_counts")) for c in columns})
+    joined = details.join(materialize(per_key), key, "left")
     return joined.withColumns({f"{c}_counts": F.coalesce(f"{c}_counts", none) for c in columns})
 
 

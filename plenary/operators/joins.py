@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from plenary.functions.text import join_nullable, last4_key, strip, zero_fill
 from plenary.operators.dedup import first_per_key
 from plenary.operators.filters import not_blank
+from plenary.operators.index import materialize
 
 
 def attach_content(votes: DataFrame, texts: DataFrame, url: str = "BILL_URL", text_url: str = "url",
@@ -38,19 +39,23 @@ def fill_from_extracts(missing: DataFrame, extracts: DataFrame, term: str = "age
     """
     full, short = "_full", "_last4"
     plain = lambda c: F.regexp_replace(strip(c), "^0+(?=.)", "")
-    text = join_nullable(F.col(reason), F.col(main))
-    found = extracts.select(term, plain(F.col(number)).alias(full), last4_key(strip(F.col(number))).alias(short), text.alias("_text")).where(not_blank(F.col("_text")))
-
-    def joined(rows: DataFrame, key: str) -> DataFrame:
-        return rows.groupBy(term, key).agg(F.array_join(F.array_sort(F.collect_list("_text")), " / ").alias("content"), F.count(F.lit(1)).alias("matches"))
-
-    bills = missing.drop("content", "matches").withColumn(full, plain(F.col(number))).withColumn(short, last4_key(strip(F.col(number))))
-    exact = bills.join(joined(found, full), [term, full], "left")
-    equal = exact.where(F.col("matches").isNotNull())
-    left = exact.where(F.col("matches").isNull()).drop("content", "matches")
-    spare = found.join(missing.select(term, plain(F.col(number)).alias(full)).distinct(), [term, full], "left_anti")
-    close = left.join(joined(spare, short), [term, short], "inner")
-    return equal.unionByName(close).drop(full, short)
+    keys = lambda df: [plain(F.col(number)).alias(full), last4_key(strip(F.col(number))).alias(short)]
+    bills = missing.drop("content", "matches").select("*", *keys(missing))
+    found = extracts.select(term, *keys(extracts), join_nullable(F.col(reason), F.col(main)).alias("_text")).where(not_blank(F.col("_text")))
+    # An extract is meant for the bills of its own number if there are any, for those of its last four digits otherwise.
+    numbers = bills.select(term, full).distinct().withColumn("_exact", F.lit(True))
+    aimed = found.join(numbers, [term, full], "left").select(
+        term, F.coalesce("_exact", F.lit(False)).alias("_exact"), F.when(F.col("_exact"), F.col(full)).otherwise(F.col(short)).alias("_key"), "_text")
+    texts = materialize(aimed.where("_key IS NOT NULL").groupBy(term, "_exact", "_key").agg(
+        F.array_join(F.array_sort(F.collect_list("_text")), " / ").alias("content"), F.count(F.lit(1)).alias("matches")))
+
+    def named(exact: bool, key: str, mark: str) -> DataFrame:
+        rows = texts.where(F.col("_exact") == F.lit(exact))
+        return rows.select(term, F.col("_key").alias(key), F.col("content").alias(f"_content{mark}"), F.col("matches").alias(f"_matches{mark}"))
+
+    both = bills.join(named(True, full, "1"), [term, full], "left").join(named(False, short, "2"), [term, short], "left")
+    chosen = {c: F.coalesce(f"_{c}1", f"_{c}2") for c in ("content", "matches")}
+    return both.withColumns(chosen).where(F.col("matches").isNotNull()).drop(full, short, "_content1", "_content2", "_matches1", "_matches2")
 
 
 def key_multiplicity(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from plenary.functions.dates import vote_date
 from plenary.functions.text import drop_stop_words, preprocess, split_url_cell
-from plenary.operators.aggregates import join_texts
+from plenary.operators.aggregates import join_long_texts, join_texts
 from plenary.operators.dedup import distinct_values
 from plenary.operators.filters import passed
 from plenary.operators.index import materialize
@@ -42,11 +42,16 @@ def urls_to_fetch(votes: DataFrame) -> DataFrame:
     return distinct_values(votes.where(~F.col("BILL_URL").contains(",")), "BILL_URL")
 
 
-def page_texts(fetches: DataFrame, given: DataFrame | None = None) -> DataFrame:
-    """One text per URL: the contents of fetched pages and of `given` texts joined, the empty string where there is none."""
+def page_texts(fetches: DataFrame, given: DataFrame | None = None, cell_chars: int | None = None) -> DataFrame:
+    """One text per URL: the contents of fetched pages and of `given` texts joined, the empty string where there is none.
+
+    With `cell_chars`, a URL with more text than that comes in numbered parts (`join_long_texts`).
+    """
     texts = fetched_content(fetches).select("url", "content")
     if given is not None:
         texts = texts.unionByName(given.select("url", "content"))
+    if cell_chars is not None:
+        return join_long_texts(texts, "url", "content", "content", cell_chars)
     return join_texts(texts, "url", "content", order_by="content")
 
 

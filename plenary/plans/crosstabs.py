@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from plenary.operators.aggregates import attach_counts, crosstab, group_counts, with_ratios
 from plenary.operators.filters import drop_incomplete
+from plenary.operators.index import materialize
 from plenary.operators.joins import attach_members
 from plenary.operators.project import trim_names
 
@@ -23,13 +24,15 @@ def vote_counts(votes: DataFrame, bill: str, attributes: Sequence[str]) -> DataF
     return group_counts(votes, bill, attributes)
 
 
-def vote_summary(votes: DataFrame, bill: str, attributes: Sequence[str], details: Sequence[str]) -> DataFrame:
+def vote_summary(votes: DataFrame, bill: str, attributes: Sequence[str], details: Sequence[str],
+                 form: Callable[[Column], Column] | None = None) -> DataFrame:
     """Every vote with its bill's counts, one map from value to count per attribute (`party_counts`, …).
 
-    All values are kept; picking columns out of the maps is the caller's. The counts are stored, so the
-    votes are read once to count and once for their details.
+    All values are kept; picking columns out of the maps, or writing them as text, is the caller's `form`. The votes
+    are worked out once and stored with the columns that are needed, then read to count and for their details.
     """
-    return attach_counts(votes.select(bill, *details), vote_counts(votes, bill, attributes), bill, attributes)
+    stored = materialize(votes.select(bill, *dict.fromkeys([*attributes, *details])))
+    return attach_counts(stored.select(bill, *details), vote_counts(stored, bill, attributes), bill, attributes, form)
 
 
 def result_shares(votes: DataFrame, groups: Sequence[str], result: str, results: Sequence) -> DataFrame:

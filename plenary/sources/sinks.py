@@ -5,7 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from plenary.operators.dedup import first_per_key
+from plenary.operators.index import materialize
 
 
 # Cells are written as they are; by default Spark would trim them.
@@ -63,3 +66,42 @@ def write_backup(df: DataFrame, path: str) -> DataFrame:
     """A copy of the table as it is; the copy is what later steps read."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def upsert(spark: SparkSession, path: str, changes: DataFrame, key: str, partition: str,
+           removals: DataFrame | None = None, order_by: list[str | Column] | None = None) -> DataFrame:
+    """Changed and new rows put into a table partitioned by `partition`; only partitions that hold touched keys are rewritten.
+
+    A row of `changes` takes the place of the rows with its key, in whatever partition they are; of several with one
+    key the first by `order_by` (by all columns) counts. Keys in `removals` leave the table, and a key in both is
+    removed. Null keys change and remove nothing. The new partitions are worked out and stored first, and Spark moves
+    them into place only when all are written, so a run that fails before leaves the table as it was. Partitions
+    left without rows lose their files. The partition column must be written back as it was read: its type is that
+    of `changes`. Returns the rewritten values of `partition`, of which there are as many as folders.
+    """
+    old = spark.read.schema(changes.schema).parquet(path)
+    names = changes.columns
+    order = order_by or [F.col(f"`{c}`") for c in names]
+    gone = (removals if removals is not None else changes.limit(0)).select(key).where(F.col(key).isNotNull()).distinct()
+    fresh = materialize(first_per_key(changes.where(F.col(key).isNotNull()), [key], order).join(gone, key, "left_anti").select(*names))
+    named = materialize(fresh.select(key).union(gone.select(key)).distinct())
+
+    touched = old.select(key, partition).join(named, key, "left_semi").select(partition).union(fresh.select(partition)).distinct()
+    folders = [r[0] for r in touched.collect()]
+    if not folders:
+        return touched
+    inside = F.coalesce(F.col(partition).isin([v for v in folders if v is not None]), F.lit(False))
+    if None in folders:
+        inside = inside | F.col(partition).isNull()
+    staged = materialize(old.where(inside).join(named, key, "left_anti").select(*names).unionByName(fresh))
+    staged.repartition(F.col(partition), F.pmod(F.xxhash64(key), F.lit(int(spark.conf.get("spark.sql.shuffle.partitions"))))) \
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+
+    # A dynamic overwrite leaves a folder alone that gets no row, so the files of emptied ones are removed by name.
+    left = {r[0] for r in staged.select(partition).distinct().collect()}
+    for value in set(folders) - left:
+        where = F.col(partition).isNull() if value is None else F.col(partition) == F.lit(value)
+        for row in old.where(where).select(F.col("_metadata.file_path").alias("file")).distinct().collect():
+            file = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(row["file"]))
+            file.getFileSystem(spark._jsc.hadoopConfiguration()).delete(file, False)
+    return spark.createDataFrame([(v,) for v in folders], f"`{partition}` {dict(changes.dtypes)[partition]}")
