@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from plenary.functions.text import tidy
 from plenary.operators.index import materialize
+from plenary.session import spread
 
 AT_LEAST = 20  # texts' uses of a word before it counts as a part of others
 SHORTEST = 2   # letters of a part
@@ -65,13 +66,16 @@ def learnt_splits(counts: DataFrame, at_least: int = AT_LEAST, shortest: int = S
     known = counts.where((F.col("n") >= at_least) & (F.length("word") >= shortest)).select(
         F.col("word").alias("piece"), F.log(F.col("n") / F.lit(total)).alias("value"))
     lengths = [r[0] for r in known.select(F.length("piece")).distinct().collect()]  # at most LONGEST numbers
-    places = F.flatten(F.transform(F.sequence(F.lit(0), F.length("word") - shortest), lambda start: F.transform(
-        F.filter(F.array(*[F.lit(n) for n in sorted(lengths)]), lambda n: (start + n <= F.length("word")) & (n < F.length("word"))),
-        lambda n: F.struct(start.alias("start"), n.alias("length")))))
-    wide = counts.where((F.length("word") >= 2 * shortest) & F.lit(bool(lengths)))
-    stretches = wide.select("word", "n", F.explode(places).alias("p")).select(
-        "word", "n", "p.start", "p.length", F.expr("substring(word, p.start + 1, p.length)").alias("piece"))
-    edges = stretches.join(known, "piece").groupBy("word", "n").agg(F.collect_list(F.struct("start", "length", "value")).alias("edges"))
+    letters = F.length("word")
+    wide = spread(counts.where((letters >= 2 * shortest) & F.lit(bool(lengths))))
+    starts = wide.select("word", "n", F.explode(F.sequence(F.lit(0), letters - shortest)).alias("start"))
+    stretches = starts.select("word", "n", "start", F.explode(F.array(*[F.lit(n) for n in sorted(lengths)]).cast("array<int>")).alias("length")).where(
+        (F.col("start") + F.col("length") <= letters) & (F.col("length") < letters)).select(
+        "word", "n", "start", "length", F.expr("substring(word, start + 1, length)").alias("piece"))
+    # Only words with a part at either end can be cut.
+    edges = stretches.join(known, "piece").groupBy("word", "n").agg(
+        F.collect_list(F.struct("start", "length", "value")).alias("edges"),
+        F.bool_or(F.col("start") == 0).alias("_front"), F.bool_or(F.col("start") + F.col("length") == letters).alias("_back")).where("_front AND _back")
 
     @F.pandas_udf(T.StringType())
     def cut(words: pd.Series, uses: pd.Series, edges: pd.Series) -> pd.Series:
