@@ -63,8 +63,9 @@ def learnt_splits(counts: DataFrame, at_least: int = AT_LEAST, shortest: int = S
     total = counts.agg(F.sum("n")).first()[0]
     if not total:
         return counts.select("word", "n", F.col("word").alias("spaced"))
-    known = counts.where((F.col("n") >= at_least) & (F.length("word") >= shortest)).select(
-        F.col("word").alias("piece"), F.log(F.col("n") / F.lit(total)).alias("value"))
+    # Stored, so that Spark knows its real size: a small list of parts is broadcast and no stretch is moved, a large one is not.
+    known = materialize(counts.where((F.col("n") >= at_least) & (F.length("word") >= shortest)).select(
+        F.col("word").alias("piece"), F.log(F.col("n") / F.lit(total)).alias("value")))
     lengths = [r[0] for r in known.select(F.length("piece")).distinct().collect()]  # at most LONGEST numbers
     letters = F.length("word")
     wide = spread(counts.where((letters >= 2 * shortest) & F.lit(bool(lengths))))
