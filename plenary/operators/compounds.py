@@ -68,15 +68,20 @@ def learnt_splits(counts: DataFrame, at_least: int = AT_LEAST, shortest: int = S
         F.col("word").alias("piece"), F.log(F.col("n") / F.lit(total)).alias("value")))
     lengths = [r[0] for r in known.select(F.length("piece")).distinct().collect()]  # at most LONGEST numbers
     letters = F.length("word")
+    sizes = F.explode(F.array(*[F.lit(n) for n in sorted(lengths)]).cast("array<int>")).alias("length")
     wide = spread(counts.where((letters >= 2 * shortest) & F.lit(bool(lengths))))
-    starts = wide.select("word", "n", F.explode(F.sequence(F.lit(0), letters - shortest)).alias("start"))
-    stretches = starts.select("word", "n", "start", F.explode(F.array(*[F.lit(n) for n in sorted(lengths)]).cast("array<int>")).alias("length")).where(
+    # Logs of shares are negative, so no cut is worth more than its first and last part: most words are out by these alone.
+    ends = wide.select("word", "n", sizes).where(F.col("length") < letters).select("word", "n", F.inline(F.array(
+        F.struct(F.lit(True).alias("front"), F.expr("left(word, length)").alias("piece")),
+        F.struct(F.lit(False).alias("front"), F.expr("right(word, length)").alias("piece")))))
+    bound = F.max(F.when(F.col("front"), F.col("value"))) + F.max(F.when(~F.col("front"), F.col("value")))
+    kept = materialize(ends.join(known, "piece").groupBy("word", "n").agg(bound.alias("_bound"))
+                       .where(F.col("_bound") > F.log(F.col("n") / F.lit(total)) - 1e-9).select("word", "n"))
+    starts = spread(kept).select("word", "n", F.explode(F.sequence(F.lit(0), letters - shortest)).alias("start"))
+    stretches = starts.select("word", "n", "start", sizes).where(
         (F.col("start") + F.col("length") <= letters) & (F.col("length") < letters)).select(
         "word", "n", "start", "length", F.expr("substring(word, start + 1, length)").alias("piece"))
-    # Only words with a part at either end can be cut.
-    edges = stretches.join(known, "piece").groupBy("word", "n").agg(
-        F.collect_list(F.struct("start", "length", "value")).alias("edges"),
-        F.bool_or(F.col("start") == 0).alias("_front"), F.bool_or(F.col("start") + F.col("length") == letters).alias("_back")).where("_front AND _back")
+    edges = stretches.join(known, "piece").groupBy("word", "n").agg(F.collect_list(F.struct("start", "length", "value")).alias("edges"))
 
     @F.pandas_udf(T.StringType())
     def cut(words: pd.Series, uses: pd.Series, edges: pd.Series) -> pd.Series:
