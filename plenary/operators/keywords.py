@@ -11,9 +11,10 @@ from plenary.functions.text import join_list
 from plenary.operators.dedup import first_per_key
 from plenary.operators.index import dense_index, materialize
 from plenary.operators.responses import keyword_parts
-from plenary.session import spread
+from plenary.session import part_count, spread
 
 TOP_TERMS = 4
+FREQUENT = 1 << 17  # most terms whose weights are sent to all tasks
 LEAST_RATIO = 10.83  # of a phrase: one chance in a thousand that its terms meet by accident
 # Particles and counters that join or number other words; callers pass their own list where they have one.
 PARTICLES = ("등", "및", "또는", "그", "이", "의", "을", "를", "은", "는", "에", "와", "과")
@@ -33,12 +34,22 @@ def tokens(text: Column, stop: Sequence[str] = PARTICLES) -> Column:
     return F.filter(words(text), lambda w: is_term(w, stop))
 
 
+def term_counts(docs: DataFrame, key: str, terms: Column) -> DataFrame:
+    """(key, term, n), stored; the texts of a key meet in one task, so that nothing but the texts is moved."""
+    found = docs.repartition(part_count(docs), key).select(key, F.explode(terms).alias("term"))
+    return materialize(found.groupBy(key, "term").agg(F.count(F.lit(1)).alias("n")))
+
+
 def _weigh(counts: DataFrame, containing: DataFrame, total: int) -> DataFrame:
     """Adds `score`: a term's count times the logarithm of its rarity among all documents.
 
-    Both tables are stored, so adaptive execution can split the few terms that nearly every document has.
+    Both tables are stored. Terms with more than one in FREQUENT of all rows, and so at most FREQUENT of them, are sent to
+    the tasks; only the rows of the others are moved.
     """
-    joined = counts.join(containing, "term")
+    rows = containing.agg(F.sum("containing")).first()[0] or 0
+    frequent = F.broadcast(containing.where(F.col("containing") > rows / FREQUENT))
+    rest = counts.join(frequent, "term", "left_anti").join(containing.where(F.col("containing") <= rows / FREQUENT), "term")
+    joined = counts.join(frequent, "term").unionByName(rest)
     rarity = F.log(F.lit(1.0 + total) / (F.lit(1.0) + F.col("containing")))
     return joined.withColumn("score", F.round(F.col("n") * rarity, 6))
 
@@ -68,10 +79,7 @@ def doc_term_scores(docs: DataFrame, key: str, text: str = "content", top: int =
 
     Texts are taken apart once, into stored (key, term, count) rows; everything else reads those.
     """
-    found = spread(docs).select(key, F.explode(tokens(F.col(text), stop)).alias("term"))
-    # A text lies in one task, which adds up its terms before anything is moved.
-    counts = found.groupBy(key, "term").agg(F.count(F.lit(1)).alias("n"))
-    counts = materialize(counts)
+    counts = term_counts(docs, key, tokens(F.col(text), stop))
     containing = materialize(counts.groupBy("term").agg(F.count(F.lit(1)).alias("containing")))
     return _top(_weigh(counts, containing, docs.count()), key, top)
 
