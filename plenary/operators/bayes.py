@@ -8,16 +8,15 @@ from pyspark.sql import DataFrame, functions as F
 
 from plenary.functions import lexicon
 from plenary.operators.index import materialize
-from plenary.operators.keywords import PARTICLES, tokens
-from plenary.session import spread
+from plenary.operators import keywords
+from plenary.operators.keywords import FREQUENT, PARTICLES, tokens
 
 SMOOTHING = 1.0
 
 
 def term_counts(docs: DataFrame, key: str, text: str = "content", stop: Sequence[str] = PARTICLES) -> DataFrame:
     """(key, term, n), stored; a text's terms are added up in its own task."""
-    found = spread(docs).select(key, F.explode(tokens(F.col(text), stop)).alias("term"))
-    return materialize(found.groupBy(key, "term").agg(F.count(F.lit(1)).alias("n")))
+    return keywords.term_counts(docs, key, tokens(F.col(text), stop))
 
 
 def complement_scores(counts: DataFrame, labels: DataFrame, key: str, label: str = "category", smoothing: float = SMOOTHING) -> DataFrame:
@@ -39,10 +38,18 @@ def complement_scores(counts: DataFrame, labels: DataFrame, key: str, label: str
     total, vocabulary = terms.agg(F.sum("n_all"), F.count(F.lit(1))).first()
     rest = materialize(model.groupBy(label).agg((F.lit(float(total or 0)) - F.sum("n_class") + smoothing * (vocabulary or 0)).alias("rest")))
     weight = F.log((F.col("n_all") - F.col("n_class") + smoothing) / (F.col("n_all") + smoothing))
-    weights = materialize(model.join(terms, "term").select("term", label, weight.alias("weight")))
-    heard = counts.join(terms.select("term"), "term", "left_semi")
-    lengths = heard.groupBy(key).agg(F.sum("n").alias("words"))
-    sums = materialize(counts.join(weights, "term").groupBy(key, label).agg(F.sum(F.col("n") * F.col("weight")).alias("fit")))
+    # One row a term: its weight for each class, and for a class of no name a weight of one, whose sum is the text's length.
+    every = F.concat(F.collect_list(F.struct(F.col(label), weight.alias("weight"))),
+                     F.array(F.struct(F.lit(None).cast(model.schema[label].dataType).alias(label), F.lit(1.0).alias("weight"))))
+    weights = materialize(model.join(terms, "term").groupBy("term", "n_all").agg(every.alias("weights")))
+    # Terms with more than that share of all uses are few, and so are their weights: the tasks get them, and only the rows of other terms are moved.
+    often = F.col("n_all") > float(total or 0) * max(rest.count(), 1) / FREQUENT
+    frequent = F.broadcast(weights.where(often).select("term", "weights"))
+    others = counts.join(frequent, "term", "left_anti").join(weights.where(~often).select("term", "weights"), "term")
+    parts = [rows.select(key, "n", F.inline("weights")).groupBy(key, label).agg(F.sum(F.col("n") * F.col("weight")).alias("fit"))
+             for rows in (counts.join(frequent, "term"), others)]
+    sums = materialize(parts[0].unionByName(parts[1]).groupBy(key, label).agg(F.sum("fit").alias("fit")))
+    lengths = sums.where(F.col(label).isNull()).select(key, F.col("fit").cast("bigint").alias("words"))
     score = F.col("words") * F.log("rest") - F.col("fit")
     return sums.join(rest, label).join(lengths, key).select(key, label, "words", F.round(score, 6).alias("score"))
 
