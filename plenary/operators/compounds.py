@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from plenary.functions.text import tidy
 from plenary.operators.index import materialize
+from plenary.operators.keywords import FREQUENT
 from plenary.session import spread
 
 AT_LEAST = 20  # texts' uses of a word before it counts as a part of others
@@ -98,9 +99,17 @@ def space_compounds(texts: DataFrame, splits: DataFrame, column: str = "content"
     meet the splits, named by the text's hash, so ids need not be unique; the texts themselves are joined once.
     """
     text = tidy(F.col(column))
-    words = texts.select(F.sha2(F.col(column), 256).alias("_text"), F.explode(F.array_distinct(F.split(F.lower(text), " "))).alias("word"))
+    name = F.unhex(F.left(F.sha2(F.col(column), 256), F.lit(32)))
+    words = texts.select(name.alias("_text"), F.array_distinct(F.split(F.lower(text), " ")).alias("_words")).select("_text", F.explode("_words").alias("word"))
+    splits = materialize(splits.select("word", "spaced"))
+    # Words that fill more than one in FREQUENT of all rows are few: the tasks get them with their cut, if any. Only rows of other words are moved.
+    uses = materialize(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")))
+    often = uses.where(F.col("n") > float(uses.agg(F.sum("n")).first()[0] or 0) / FREQUENT)
+    frequent = materialize(often.join(splits, "word", "left").select("word", "spaced", F.lit(True).alias("_known")))
+    met = materialize(words.join(F.broadcast(frequent), "word", "left").where("_known IS NULL OR spaced IS NOT NULL"))
+    rest = met.where("_known IS NULL").select("_text", "word").join(splits, "word")
     pairs = F.collect_set(F.struct("word", "spaced"))
-    hits = words.distinct().join(splits.select("word", "spaced"), "word").groupBy("_text").agg(pairs.alias("_pairs"))
+    hits = met.where("_known").select("_text", "word", "spaced").unionByName(rest).groupBy("_text").agg(pairs.alias("_pairs"))
 
     @F.pandas_udf(T.StringType())
     def spaced(values: pd.Series, pairs: pd.Series) -> pd.Series:
@@ -120,5 +129,5 @@ def space_compounds(texts: DataFrame, splits: DataFrame, column: str = "content"
 
         return pd.Series([one(v, p) for v, p in zip(values, pairs)], dtype=object)
 
-    joined = texts.withColumn("_text", F.sha2(F.col(column), 256)).join(hits, "_text", "left")
+    joined = texts.withColumn("_text", name).join(hits, "_text", "left")
     return joined.withColumn(column, spaced(text, "_pairs")).drop("_text", "_pairs")
