@@ -11,7 +11,7 @@ from plenary.functions.jsons import classification, subgroups
 from plenary.operators.dedup import first_per_key
 from plenary.operators.index import dense_index, group_position, materialize
 from plenary.operators.keywords import tokens
-from plenary.session import spread
+from plenary.session import part_count, spread
 
 _REST = 2**31 - 1  # sorts after every subgroup an answer names
 
@@ -97,7 +97,9 @@ def kmeans_topics(docs: DataFrame, key: str, text: str = "content", k: int = 16,
     """
     words = spread(docs, key).select(key, tokens(F.col(text)).alias("words"))
     counts = HashingTF(inputCol="words", outputCol="tf", numFeatures=features).transform(words).select(key, "tf")
-    counts = materialize(counts)  # texts are taken apart once; fits and the transform read the vectors
+    # Texts are taken apart once; fits and the transform read the vectors. Stored, these are a tenth of what they are in
+    # memory, so they are dealt by the size of the texts, not by that of their files.
+    counts = materialize(counts).repartition(part_count(docs), key)
     pipeline = Pipeline(stages=[
         IDF(inputCol="tf", outputCol="tfidf"),
         Normalizer(inputCol="tfidf", outputCol="features"),

@@ -68,3 +68,8 @@ def test_spread_leaves_large_tables_alone(spark, hot, monkeypatch):
     assert spread(hot, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     monkeypatch.setattr("plenary.session.SPREAD_BYTES", 1)
     assert spread(hot, "id") is hot
+
+
+def test_parts_of_a_spread_table_do_not_grow_with_it(spark, hot, monkeypatch):
+    monkeypatch.setattr("plenary.session.PART_BYTES", 1000)
+    assert spread(hot, "id").rdd.getNumPartitions() > 2 * spark.sparkContext.defaultParallelism
