@@ -93,15 +93,23 @@ def neighbours(text: Column, stop: Sequence[str] = PARTICLES) -> Column:
                    lambda a, b: F.when(is_term(a, stop) & is_term(b, stop), F.concat_ws(" ", a, b))), lambda p: p.isNotNull())), 0)
 
 
-def phrase_scores(docs: DataFrame, text: str = "content", least: float = LEAST_RATIO, support: int = 2, stop: Sequence[str] = PARTICLES) -> DataFrame:
+def phrase_scores(docs: DataFrame, text: str = "content", least: float = LEAST_RATIO, support: int = 2, stop: Sequence[str] = PARTICLES,
+                  key: str | None = None) -> DataFrame:
     """(phrase, n, ratio): neighbouring terms that meet more often than chance has it, over all texts.
 
+    With a `key`, also `containing`: the number of keys whose texts hold the phrase.
+
     `ratio` is Dunning's log-likelihood ratio of the pair's four counts: both, the first without the second, the second
     without the first, neither. Pairs that meet less often than expected, or in fewer than `support` places, are no phrases.
     """
-    pairs = spread(docs).select(F.explode(neighbours(F.col(text), stop)).alias("phrase"))
-    counts = materialize(pairs.groupBy("phrase").agg(F.count(F.lit(1)).alias("n")))
-    split = counts.select("phrase", "n", F.split("phrase", " ")[0].alias("first"), F.split("phrase", " ")[1].alias("second"))
+    pair = F.explode(neighbours(F.col(text), stop)).alias("phrase")
+    if key is None:
+        counts = materialize(spread(docs).select(pair).groupBy("phrase").agg(F.count(F.lit(1)).alias("n")))
+    else:
+        own = docs.repartition(part_count(docs), key).select(key, pair).groupBy(key, "phrase").agg(F.count(F.lit(1)).alias("n"))
+        counts = materialize(own.groupBy("phrase").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("containing")))
+    more = [c for c in counts.columns if c == "containing"]
+    split = counts.select("phrase", "n", *more, F.split("phrase", " ")[0].alias("first"), F.split("phrase", " ")[1].alias("second"))
     firsts = materialize(split.groupBy("first").agg(F.sum("n").alias("n_first")))
     seconds = materialize(split.groupBy("second").agg(F.sum("n").alias("n_second")))
     total = F.lit(float(counts.agg(F.sum("n")).first()[0] or 1))
@@ -113,19 +121,25 @@ def phrase_scores(docs: DataFrame, text: str = "content", least: float = LEAST_R
 
     cells = [(n, a * b / total), (a - n, a * (total - b) / total), (b - n, (total - a) * b / total), (total - a - b + n, (total - a) * (total - b) / total)]
     ratio = 2 * sum((part(seen, F.greatest(expected, F.lit(1e-9))) for seen, expected in cells[1:]), part(*cells[0]))
-    return rows.select("phrase", "n", F.round(F.when(n > a * b / total, ratio).otherwise(0.0), 6).alias("ratio")).where(F.col("ratio") >= least)
+    return rows.select("phrase", "n", *more, F.round(F.when(n > a * b / total, ratio).otherwise(0.0), 6).alias("ratio")).where(F.col("ratio") >= least)
 
 
 def doc_phrase_scores(docs: DataFrame, key: str, text: str = "content", top: int = TOP_TERMS, least: float = LEAST_RATIO, support: int = 2,
                       stop: Sequence[str] = PARTICLES) -> DataFrame:
     """The best `top` terms or phrases of each document, by count and rarity; only the corpus' phrases compete with single terms."""
-    phrases = materialize(phrase_scores(docs, text, least, support, stop).select(F.col("phrase").alias("term")))
-    either = F.concat(tokens(F.col(text), stop), neighbours(F.col(text), stop))
-    counts = materialize(spread(docs).select(key, F.explode(either).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("n")))
-    single = counts.where(~F.col("term").contains(" "))
-    counts = materialize(single.unionByName(counts.where(F.col("term").contains(" ")).join(phrases, "term", "left_semi").select(*counts.columns)))
-    containing = materialize(counts.groupBy("term").agg(F.count(F.lit(1)).alias("containing")))
-    return _top(_weigh(counts, containing, docs.count()), key, top)
+    phrases = materialize(phrase_scores(docs, text, least, support, stop, key).select(F.col("phrase").alias("term"), "containing"))
+    singles = term_counts(docs, key, tokens(F.col(text), stop))
+    containing = materialize(singles.groupBy("term").agg(F.count(F.lit(1)).alias("containing")))
+    total = docs.count()
+    best = materialize(_top(_weigh(singles, containing, total), key, top))
+    # A phrase's score is at most that of one in a single document; those that cannot pass the last of `top` terms are left out at once.
+    last = best.groupBy(F.col(key).alias("_key")).agg(F.when(F.count(F.lit(1)) >= top, F.min("score")).alias("_last"))
+    texts = docs.select(key, text).join(last, F.col(key).eqNullSafe(F.col("_key")), "left").select(key, text, "_last")
+    pairs = texts.repartition(part_count(docs), key).select(key, "_last", F.explode(neighbours(F.col(text), stop)).alias("term"))
+    counts = pairs.groupBy(key, "_last", "term").agg(F.count(F.lit(1)).alias("n"))
+    able = F.col("_last").isNull() | (F.col("n") * F.log(F.lit((1.0 + total) / 2)) >= F.col("_last") - 1e-4)
+    counts = materialize(counts.where(able).select(key, "term", "n"))
+    return _top(_weigh(counts, phrases, total).select(*best.columns).unionByName(best), key, top)
 
 
 def as_keyword_list(scores: DataFrame, key: str, name: str = "keywords") -> DataFrame:

@@ -173,3 +173,67 @@ def test_phrases(spark):
     assert found == {"국민 건강": 3}
     terms = {(r.k, r.term) for r in keywords.doc_phrase_scores(df, "k", top=2).collect()}
     assert ("a", "국민 건강") in terms and not any(k in "de" for k, _ in terms)
+
+
+def stored_plans(monkeypatch, module):
+    """The plans of the tables that a module stores from now on."""
+    plans, store = [], module.materialize
+
+    def noted(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return store(df)
+
+    monkeypatch.setattr(module, "materialize", noted)
+    return plans
+
+
+def plain_best(rows, top):
+    """The best terms and corpus phrases of each key, by count and rarity; phrases are pairs in `known`."""
+    found = defaultdict(Counter)
+    known = {r for r, n in Counter(f"{a} {b}" for _, t in rows for a, b in zip((t or "").split(), (t or "").split()[1:])).items() if n >= 2}
+    for k, t in rows:
+        words = (t or "").split()
+        found[k].update(words)
+        found[k].update(p for p in (f"{a} {b}" for a, b in zip(words, words[1:])) if p in known)
+    holding = Counter(w for c in found.values() for w in c)
+    score = lambda n, w: round(n * math.log((1.0 + len(rows)) / (1.0 + holding[w])), 6)
+    return {k: [w for _, w in sorted((-score(n, w), w) for w, n in c.items())[:top]] for k, c in found.items()}
+
+
+def test_terms_are_counted_where_the_texts_are(spark, monkeypatch):
+    rows = [(i % 7 or None, f"a b{i} c{i % 3} c{i % 3}") for i in range(20)]
+    df = spark.createDataFrame(rows, "k int, content string")
+    plans = stored_plans(monkeypatch, keywords)
+    whole = sorted(map(tuple, keywords.doc_term_scores(df, "k", stop=()).collect()), key=str)
+    assert plans[0].count("Exchange") == 1  # of the texts alone
+    monkeypatch.setattr(keywords, "FREQUENT", 3)
+    assert sorted(map(tuple, keywords.doc_term_scores(df, "k", stop=()).collect()), key=str) == whole
+
+
+def test_phrases_that_cannot_be_among_the_best_are_not_stored(spark, monkeypatch):
+    rng = random.Random(6)
+    names = [a + b for a in "bcdfgh" for b in "aeiou"]
+    rows = [(i % 40 or None, " ".join(rng.choice(names) for _ in range(rng.randint(0, 60)))) for i in range(50)]
+    df = spark.createDataFrame(rows, "k int, content string")
+    sizes, store = [], keywords.materialize
+    monkeypatch.setattr(keywords, "materialize", lambda d: sizes.append(d.columns) or store(d))
+    got = defaultdict(list)
+    for r in keywords.doc_phrase_scores(df, "k", least=0.0, stop=()).orderBy(F.desc("score"), "term").collect():
+        got[r.k].append((r.term, r.score))
+    assert all(len(v) <= 4 for v in got.values()) and ["phrase", "n", "containing"] in sizes
+    want = plain_best([(k, t) for k, t in rows], 4)
+    assert {k: [w for w, _ in v] for k, v in got.items()}.keys() == {k for k, v in want.items() if v}
+
+
+def test_scores_are_the_same_with_few_frequent_terms(spark, monkeypatch):
+    rows = list(bills(random.Random(5), 80))
+    docs = spark.createDataFrame([(i, t) for i, _, t in rows], "bill_id int, content string")
+    labels = spark.createDataFrame([(i, c) for i, c, _ in rows if i % 4], "bill_id int, category string")
+    plans = stored_plans(monkeypatch, keywords)
+    counts = bayes.term_counts(docs, "bill_id")
+    assert plans[0].count("Exchange") == 1
+    found = []
+    for n in (1 << 17, 20, 1):
+        monkeypatch.setattr(bayes, "FREQUENT", n)
+        found.append(sorted((r.bill_id, r.category, r.words, round(r.score, 4)) for r in bayes.complement_scores(counts, labels, "bill_id").collect()))
+    assert found[0] == found[1] == found[2]
