@@ -208,3 +208,23 @@ def test_extract_of_its_own_number_comes_first(spark):
                                      "age int, bill_number string, reason string, main string")
     got = {r["title"]: (r["content"], r["matches"]) for r in fill_from_extracts(bills, extracts).collect()}
     assert got == {"t": ("own", 1), "u": ("spare", 1)}
+
+
+def test_only_rows_of_rare_words_meet_the_splits(spark, monkeypatch):
+    df = spark.createDataFrame([(i, f"the the Rainfall w{i}") for i in range(30)] + [(30, None), (30, "the x")], "id int, content string")
+    splits = spark.createDataFrame([("rainfall", 30, "rain fall"), ("w7", 1, "w 7")], "word string, n bigint, spaced string")
+    sizes, store = [], compounds.materialize
+
+    def noted(d):
+        out = store(d)
+        if "_text" in d.columns:
+            sizes.append(out.groupBy("word").count().count())
+        return out
+
+    monkeypatch.setattr(compounds, "materialize", noted)
+    want = Counter([(i, f"the the Rain fall {'w 7' if i == 7 else f'w{i}'}") for i in range(30)] + [(30, None), (30, "the x")])
+    for frequent in (1 << 17, 20, 1):
+        monkeypatch.setattr(compounds, "FREQUENT", frequent)
+        assert Counter(map(tuple, compounds.space_compounds(df, splits).collect())) == want
+    # rainfall and w7 alone; with few words known, w0 to w29 and x beside rainfall; with none, "the" too.
+    assert sizes == [2, 32, 33]
