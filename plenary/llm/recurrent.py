@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import copy
 import heapq
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,13 +26,16 @@ from plenary.llm import tokens
 from plenary.operators.index import materialize
 
 BLOCK_BYTES = 8 << 20
-SCORED_ROWS, LONGEST = 1 << 15, 1 << 10  # states computed at a time when scoring, and most words of a text among them
+SCORED_ROWS, LONGEST = 1 << 13, 1 << 10  # states computed at a time when scoring, and most words of a text among them
+SCORED_TEXTS = 256  # read side by side when scoring
 FREQUENT, CLASSES, HIDDEN = 1024, 32, 32
 WINDOW, WIDE = 20, 256  # words a window, and most streams at a time, which share the cost of a step
 LONGER = 8  # times a window's words, where few streams are left
 TASK_TOKENS = 4 << 20  # of a task that are made into one set of streams
 BUCKET_BYTES = 16 << 20  # of word hashes and counts that are added up together
 ROUNDS = np.array([0, 1 / 16, 1 / 8, 1 / 4, 1 / 2, 1])  # borders of the documents' shares after which weights are averaged
+NEAR = 60  # exponentials of numbers up to this stay within 32-bit numbers, and so do their sums
+MANY = 24  # rows of a word that are added up by themselves
 SLICES = 64  # into which the weights are cut to be averaged
 END = np.uint64(0x5DEECE66D1234567)  # stands for the end of a text among the word hashes
 
@@ -185,60 +189,80 @@ class Network:
 
     def room(self, name: str, *shape: int) -> np.ndarray:
         """An array of no particular content. Memory given back and asked for anew in each window would cost more than the sums."""
-        size, kind = int(np.prod(shape)), self.p["U"].dtype
+        size, kind = math.prod(shape), self.p["U"].dtype
         held = self.rooms.get(name)
         if held is None or held.size < size or held.dtype != kind:
             held = self.rooms[name] = np.empty(size, kind)
         return held[:size].reshape(shape)
 
-    def outputs(self, states: np.ndarray, target: np.ndarray, learn: bool = False):
-        """ln probability of each target (rare words: of their class), and gradients of its negative if wanted."""
+    def outputs(self, states: np.ndarray, target: np.ndarray, learn: bool = False, chosen: np.ndarray | None = None):
+        """ln probability of each target (rare words: of their class), and gradients of its negative if wanted.
+
+        `chosen` are the rows of `states` that the targets belong to, by default all; the other rows have gradients of 0.
+        """
         p = self.p
         # Rows are put in the order of their classes, so that each class is a slice.
         order = np.argsort(self.word_class[target].astype(np.uint16), kind="stable")
-        n, h, kind = len(target), self.hidden, p["U"].dtype
-        target, states = target[order], np.take(states, order, 0, mode="clip", out=self.room("output", n, h)) if states.dtype == kind else states[order]
+        n, h, kind, every = len(target), self.hidden, p["U"].dtype, len(states)
+        source, target = order if chosen is None else chosen[order], target[order]
+        states = np.take(states, source, 0, mode="clip", out=self.room("output", n, h)) if states.dtype == kind else states[source]
         bounds = np.searchsorted(self.word_class[target], np.arange(self.classes + 2)).tolist()
+        place, ones = self.place[target[: bounds[-2]]], np.ones(max(self.classes + 1, int(np.diff(self.edges).max())), kind)
         shares = np.matmul(states, p["A"], out=self.room("shares", n, self.classes + 1))
         shares += p["a"]
-        shares -= shares.max(1, keepdims=True)
+        # No number is further from 0 than this; where all are near, their exponentials need no common factor taken out.
+        reach = max(float(states.max(initial=1)), -float(states.min(initial=-1)))
+        far = lambda weights, offset: float((np.abs(weights).sum(0) * reach + np.abs(offset)).max(initial=0)) > NEAR
+        if far(p["A"], p["a"]):
+            shares -= shares.max(1, keepdims=True)
+        distant = far(p["B"], p["c"])
         value = np.empty(len(target), shares.dtype)
         for k in range(self.classes + 1):
             value[bounds[k]: bounds[k + 1]] = shares[bounds[k]: bounds[k + 1], k]
         np.exp(shares, out=shares)
-        total = shares.sum(1, keepdims=True)
-        value -= np.log(total[:, 0])
+        total = shares @ ones[: self.classes + 1]
+        value -= np.log(total)
         grad_states = grads = None
         if learn:
-            shares /= total
+            shares *= (1 / total)[:, None]
             for k in range(self.classes + 1):
                 shares[bounds[k]: bounds[k + 1], k] -= 1
-            grads = {"A": states.T @ shares, "a": shares.sum(0), "B": np.zeros_like(p["B"]), "c": np.zeros_like(p["c"])}
+            every_one = np.ones(n, kind)
+            grads = {"A": states.T @ shares, "a": every_one @ shares, "B": np.zeros_like(p["B"]), "c": np.zeros_like(p["c"])}
             grad_states = np.matmul(shares, p["A"].T, out=self.room("grad", n, h))
         for k in range(self.classes):
             low, high = bounds[k], bounds[k + 1]
             part = slice(self.edges[k], self.edges[k + 1])
-            if low == high or part.stop - part.start == 1:  # the only word of its class is certain
+            size = part.stop - part.start
+            if low == high or size == 1:  # the only word of its class is certain
                 continue
-            inner = states[low:high] @ p["B"][:, part]
+            weights, mine = p["B"][:, part], states[low:high]
+            inner = np.matmul(mine, weights, out=self.room("inner", high - low, size))
             inner += p["c"][part]
-            inner -= inner.max(1, keepdims=True)
-            rows, mine = np.arange(high - low), self.place[target[low:high]] - self.edges[k]
-            picked = inner[rows, mine]
+            if distant:
+                inner -= inner.max(1, keepdims=True)
+            # Places in the unbroken memory of `inner`.
+            at = np.arange(0, inner.size, size)
+            at += place[low:high]
+            at -= part.start
+            picked = inner.ravel()[at]
             np.exp(inner, out=inner)
-            sums = inner.sum(1, keepdims=True)
-            value[low:high] += picked - np.log(sums[:, 0])
+            sums = inner @ ones[:size]
+            picked -= np.log(sums)
+            value[low:high] += picked
             if learn:
-                inner /= sums
-                inner[rows, mine] -= 1
-                grads["B"][:, part] = states[low:high].T @ inner
-                grads["c"][part] = inner.sum(0)
-                grad_states[low:high] += inner @ p["B"][:, part].T
+                inner *= (1 / sums)[:, None]
+                inner.ravel()[at] -= 1
+                grads["B"][:, part] = mine.T @ inner
+                grads["c"][part] = every_one[: high - low] @ inner
+                grad_states[low:high] += inner @ weights.T
         result = np.empty(len(order))
         result[order] = value
         if learn:
-            back = self.room("back", n, h)
-            back[order] = grad_states
+            back = self.room("back", every, h)
+            if every > n:
+                back[:] = 0
+            back[source] = grad_states
             grad_states = back
         return result, grad_states, grads
 
@@ -265,114 +289,127 @@ class Network:
             update = moments["updates"] = moments.get("updates", 0) + 1
             for k, g in grads.items():
                 first, second = moments[k]
-                first += np.float32(0.1) * (g - first)
-                second += np.float32(0.001) * (g * g - second)
-                scale = np.float32(rate / (1 - 0.9 ** update))
-                self.p[k] -= scale * first / (np.sqrt(second * np.float32(1 / (1 - 0.999 ** update))) + np.float32(1e-8))
+                step, square = self.room("step", *g.shape), self.room("square", *g.shape)
+                np.subtract(g, first, out=step)
+                step *= np.float32(0.1)
+                first += step
+                np.multiply(g, g, out=square)
+                square -= second
+                square *= np.float32(0.001)
+                second += square
+                np.multiply(second, np.float32(1 / (1 - 0.999 ** update)), out=square)
+                np.sqrt(square, out=square)
+                square += np.float32(1e-8)
+                np.multiply(first, np.float32(rate / (1 - 0.9 ** update)), out=step)
+                step /= square
+                self.p[k] -= step
         return losses
 
     def forward(self, words: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, ...]:
-        """(state before, state after, gates, and the two parts of the candidate), each (time, unit, lane), of words by (time, lane).
+        """(states, the two gates, the state's part of the candidate, candidate), each (time, lane, unit), of words by (time, lane).
 
-        `state` is (unit, lane). Units come before lanes, so that every operation runs over unbroken memory. The results
-        are overwritten by the next call, which may begin with the last state of this one.
+        `states` has one more step than the words: place t is the state that word t meets, which is empty where the word is a
+        start mark, and the state after word t is at t + 1. `state` is (lane, unit). The results are overwritten by the next
+        call, which may begin with the last state of this one.
         """
         p, (span, lanes), h = self.p, words.shape, self.hidden
-        table, into = np.ascontiguousarray((p["W"] + p["b"]).T), np.ascontiguousarray(p["U"].T)
+        # The logistic function is (tanh(x / 2) + 1) / 2; its first half goes into the weights.
+        factor = np.repeat(np.array([0.5, 1], p["U"].dtype), [2 * h, h])
+        table, into = (p["W"] + p["b"]) * factor, p["U"] * factor
         begin = words == self.start
-        resets = begin.any(1)
-        before, states, un, new = (self.room(name, span, h, lanes) for name in ("before", "states", "un", "new"))
-        gates = self.room("gates", span, 2 * h, lanes)
+        resets = begin.any(1).tolist()
+        first, half = state.copy(), p["U"].dtype.type(0.5)
+        states, (z, r, un, new) = self.room("states", span + 1, lanes, h), (self.room(name, span, lanes, h) for name in ("z", "r", "un", "new"))
+        x, u = self.room("x", lanes, 3 * h), self.room("u", lanes, 3 * h)
+        states[0] = first
         for t in range(span):
-            held, g, n, after = before[t], gates[t], new[t], states[t]
-            held[:] = state
+            held, n, after = states[t], new[t], states[t + 1]
             if resets[t]:
-                held[:, begin[t]] = 0
-            x, u = table[:, words[t]], into @ held
-            np.add(x[: 2 * h], u[: 2 * h], out=g)
-            np.negative(g, out=g)
-            np.exp(g, out=g)
-            g += 1
-            np.reciprocal(g, out=g)
-            un[t] = u[2 * h:]
-            np.multiply(g[h:], un[t], out=n)
-            n += x[2 * h:]
-            # The hyperbolic tangent of x is 1 - 2 / (exp(2 x) + 1).
-            n *= 2
-            np.exp(n, out=n)
-            n += 1
-            np.divide(-2, n, out=n)
-            n += 1
+                held[begin[t]] = 0
+            np.take(table, words[t], 0, mode="clip", out=x)
+            np.matmul(held, into, out=u)
+            for k, gate in enumerate((z[t], r[t])):
+                np.add(x[:, k * h: (k + 1) * h], u[:, k * h: (k + 1) * h], out=gate)
+                np.tanh(gate, out=gate)
+                gate += 1
+                gate *= half
+            un[t] = u[:, 2 * h:]
+            np.multiply(r[t], un[t], out=n)
+            n += x[:, 2 * h:]
+            np.tanh(n, out=n)
             np.subtract(held, n, out=after)
-            after *= g[:h]
+            after *= z[t]
             after += n
-            state = after
-        return before, states, gates, un, new
+        return states, z, r, un, new
 
     def _window(self, words: np.ndarray, state: np.ndarray):
-        """Loss, gradients and the last state of one window; a text's first word meets an empty state.
+        """Loss, gradients and the last state (unit, lane) of one window; a text's first word meets an empty state.
 
-        A stream holds the start mark before each text. The mark is read but never predicted.
+        A stream holds the start mark before each text. The mark is read but never predicted, so the state before it is not needed.
         """
         p, (span, lanes), h = self.p, (len(words) - 1, words.shape[1]), self.hidden
         kind, read = p["U"].dtype, words[:span].ravel()
-        before, states, gates, un, new = self.forward(words[:span], state)
+        states, z, r, un, new = self.forward(words[:span], state.T)
         begin = words[:span] == self.start
-        resets = begin.any(1)
+        resets = begin.any(1).tolist()
         target = words[1:].ravel()
         real = np.flatnonzero(target != self.start)
-        rows = self.room("rows", span * lanes, h)
-        rows.reshape(span, lanes, h)[:] = states.transpose(0, 2, 1)
-        value, grad, grads = self.outputs(np.take(rows, real, 0, mode="clip", out=self.room("real", len(real), h)), target[real], learn=True)
+        value, grad, grads = self.outputs(states[1:].reshape(-1, h), target[real], learn=True, chosen=real)
         scale = kind.type(1 / max(len(real), 1))
         for g in grads.values():
             g *= scale
-        rows[:] = 0
         grad *= scale
-        rows[real] = grad
-        inner = self.room("inner", span, h, lanes)
-        inner[:] = rows.reshape(span, lanes, h).transpose(0, 2, 1)
-        # What a state's gradient is multiplied by does not depend on later steps, so it is worked out for all at once.
-        z, r = gates[:, :h], gates[:, h:]
-        of_z, of_n, of_r, some = (self.room(name, span, h, lanes) for name in ("of_z", "of_n", "of_r", "some"))
-        np.subtract(1, z, out=some)
-        np.subtract(before, new, out=of_z)
-        of_z *= z
-        of_z *= some
-        np.multiply(new, new, out=of_n)
-        np.subtract(1, of_n, out=of_n)
-        of_n *= some
-        np.subtract(1, r, out=some)
-        np.multiply(un, r, out=of_r)
-        of_r *= some
-        through, direct = self.room("through", span, 3 * h, lanes), self.room("direct", span, h, lanes)
-        later = np.zeros((h, lanes), kind)
+        inner, flat = grad.reshape(span, lanes, h), self.room("flat", span, lanes, 3 * h)
+        u_grad, back = np.zeros_like(p["U"]), np.ascontiguousarray(p["U"].T)
+        later, rest, of, direct = np.zeros((lanes, h), kind), *(self.room(name, lanes, h) for name in ("rest", "of", "direct"))
         for t in range(span - 1, -1, -1):
-            dh, mine = inner[t], through[t]
+            dh, mine, n = inner[t], flat[t], new[t]
             dh += later
-            np.multiply(dh, of_z[t], out=mine[:h])
-            np.multiply(dh, of_n[t], out=direct[t])
-            np.multiply(direct[t], of_r[t], out=mine[h: 2 * h])
-            np.multiply(direct[t], r[t], out=mine[2 * h:])
-            later = p["U"] @ mine
-            dh *= z[t]
-            later += dh
+            np.multiply(dh, z[t], out=later)
+            np.subtract(dh, later, out=rest)  # what goes into the candidate
+            np.subtract(states[t], n, out=of)
+            of *= z[t]
+            np.multiply(of, rest, out=mine[:, :h])
+            np.multiply(n, n, out=of)
+            np.subtract(1, of, out=of)
+            np.multiply(of, rest, out=direct)
+            np.multiply(direct, r[t], out=of)
+            mine[:, 2 * h:] = of
+            of *= un[t]
+            np.subtract(1, r[t], out=rest)
+            np.multiply(of, rest, out=mine[:, h: 2 * h])
+            u_grad += states[t].T @ mine
+            later += mine @ back
+            mine[:, 2 * h:] = direct
             if resets[t]:
-                later[:, begin[t]] = 0
-        held, flat = self.room("held", span, lanes, h), self.room("flat", span, lanes, 3 * h)
-        held[:], flat[:] = before.transpose(0, 2, 1), through.transpose(0, 2, 1)
-        grads["U"] = held.reshape(-1, h).T @ flat.reshape(-1, 3 * h)
-        flat[:, :, 2 * h:] = direct.transpose(0, 2, 1)
+                later[begin[t]] = 0
+        grads["U"] = u_grad
         order = np.argsort(read.astype(np.uint16), kind="stable")
-        seen, first = np.unique(read[order], return_index=True)
+        seen, starts = np.unique(read[order], return_index=True)
         sorted_ = np.take(flat.reshape(-1, 3 * h), order, 0, mode="clip", out=self.room("sorted", span * lanes, 3 * h))
         grads["W"] = np.zeros_like(p["W"])
-        grads["W"][seen] = np.add.reduceat(sorted_, first, 0)
+        grads["W"][seen] = _sums(sorted_, starts)
         grads["b"] = grads["W"].sum(0)
-        norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
+        norm = np.sqrt(sum(float(np.vdot(g, g)) for g in grads.values()))
         if norm > 1:
-            grads = {k: g / kind.type(norm) for k, g in grads.items()}
-        return float(-value.mean()) if len(value) else 0.0, grads, states[-1]
+            for g in grads.values():
+                g /= kind.type(norm)
+        return float(-value.mean()) if len(value) else 0.0, grads, states[-1].T
+
+
+def _sums(rows: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sums of the stretches of rows that begin at `starts`; large ones as products, which are faster."""
+    sums, ends = np.empty((len(starts), rows.shape[1]), rows.dtype), np.append(starts[1:], len(rows))
+    large = np.flatnonzero(ends - starts > MANY)
+    ones = np.ones(int((ends - starts).max(initial=0)), rows.dtype)
+    at = 0
+    for k in [*large.tolist(), len(starts)]:
+        if at < k:
+            np.add.reduceat(rows[: ends[k - 1]], starts[at: k], 0, out=sums[at: k])
+        if k < len(starts):
+            np.matmul(ones[: ends[k] - starts[k]], rows[starts[k]: ends[k]], out=sums[k])
+        at = k + 1
+    return sums
 
 
 def _numbers(hashes: np.ndarray, seen: Corpus) -> np.ndarray:
@@ -495,23 +532,28 @@ def _score_block(net: Network, seen: Corpus, sizes: np.ndarray, codes: np.ndarra
     score = np.bincount(of, within[codes], len(sizes))
     order = np.argsort(-sizes, kind="stable")
     length, begin = sizes[order] + 1, offsets[:-1][order]
-    state, t = np.zeros((net.hidden, len(sizes)), np.float32), 0
-    while len(length) and t < length[0]:
-        live = int(np.searchsorted(-length, -t, "left"))  # longer texts come first
-        span = int(min(max(rows // live, 1), LONGEST, length[0] - t))
-        # Place k of a text is its k-th word, read after the one before it; its last place is the end mark.
-        place = t + np.arange(span + 1)[:, None] - 1
-        word = np.full((span + 1, live), end)
-        if len(codes):
-            word = np.where(place < length[:live] - 1, number[codes[np.clip(begin[:live] + place, 0, len(codes) - 1)]], end)
-        if t == 0:
-            word[0] = net.start
-        states = net.forward(word[:-1], state[:, :live])[1]
-        state = states[-1]
-        inside = (place[1:] < length[:live]).ravel()
-        value = net.outputs(states.transpose(0, 2, 1).reshape(-1, net.hidden)[inside], word[1:].ravel()[inside])[0]
-        score[order] += np.bincount(np.broadcast_to(np.arange(live), (span, live)).ravel()[inside], value, len(sizes)) / np.log(10)
-        t += span
+    # Texts of like length are read side by side, so that a step's arrays stay in the fast memory.
+    for begins in range(0, len(sizes), SCORED_TEXTS):
+        mine = slice(begins, begins + SCORED_TEXTS)
+        size, first, total = length[mine], begin[mine], np.zeros(len(length[mine]))
+        state, t = np.zeros((len(size), net.hidden), np.float32), 0
+        while t < size[0]:
+            live = int(np.searchsorted(-size, -t, "left"))  # longer texts come first
+            span = int(min(max(rows // live, 1), LONGEST, size[0] - t))
+            # Place k of a text is its k-th word, read after the one before it; its last place is the end mark.
+            place = t + np.arange(span + 1)[:, None] - 1
+            word = np.full((span + 1, live), end)
+            if len(codes):
+                word = np.where(place < size[:live] - 1, number[codes[np.clip(first[:live] + place, 0, len(codes) - 1)]], end)
+            if t == 0:
+                word[0] = net.start
+            states = net.forward(word[:-1], state[:live])[0]
+            state = states[-1]
+            inside = np.flatnonzero((place[1:] < size[:live]).ravel())
+            value = net.outputs(states[1:].reshape(-1, net.hidden), word[1:].ravel()[inside], chosen=inside)[0]
+            total[:live] += np.bincount(inside % live, value, live)
+            t += span
+        score[order[mine]] += total / np.log(10)
     return sizes + 1, known, base_score, score
 
 

@@ -248,6 +248,39 @@ def test_block_scores_beside_one_text_at_a_time():
         at += n
 
 
+def test_scoring_many_texts_keeps_little_work_space():
+    seen, _ = small_network()
+    net = recurrent.Network(seen)
+    sizes = np.full(3000, 40)
+    words = np.sort(seen.words)
+    codes = np.random.default_rng(6).integers(0, len(words), sizes.sum())
+    value = recurrent._score_block(net, seen, sizes, codes, words, np.full(len(words), 3))[3]
+    assert sum(held.nbytes for held in net.rooms.values()) < 14 << 20
+    for some in (slice(0, 1), slice(700, 703), slice(2999, 3000)):  # as if they were the block's only texts
+        alone = recurrent._score_block(net, seen, sizes[some], codes[some.start * 40: some.stop * 40], words, np.full(len(words), 3))[3]
+        assert value[some] == pytest.approx(alone, rel=1e-4)
+
+
+def test_sums_of_large_and_small_stretches():
+    rows = np.random.default_rng(5).normal(size=(400, 3))
+    for starts in ([0], [0, 1, 2], [0, 100, 101, 103, 350], [0, 30, 60, 399], list(range(400))):
+        assert np.allclose(recurrent._sums(rows, np.array(starts)), np.add.reduceat(rows, starts, 0))
+
+
+def test_outputs_of_chosen_states():
+    seen, net = small_network()
+    rng = np.random.default_rng(8)
+    states, chosen = rng.uniform(-1, 1, (9, 4)).astype(np.float32), np.array([1, 2, 5, 8])
+    target = rng.integers(0, net.rare + 1, 4)
+    value, grad, grads = net.outputs(states, target, learn=True, chosen=chosen)
+    found = value.copy(), grad.copy()
+    plain = net.outputs(states[chosen], target, learn=True)
+    assert np.allclose(found[0], plain[0]) and np.allclose(found[1][chosen], plain[1]) and (np.delete(found[1], chosen, 0) == 0).all()
+    assert all(np.allclose(grads[k], plain[2][k], atol=1e-6) for k in grads)
+    net.p["A"][:], net.p["c"][0] = 500, 300  # logits beyond what exponentials hold
+    assert np.isfinite(net.outputs(states * 1.0, target)[0]).all()
+
+
 def test_training_lowers_the_loss():
     seen, net = small_network()
     lanes = np.tile(np.array([net.start, 1, 2, 7, 1, 2, 7, 3]), 60)[:, None].repeat(4, 1)
