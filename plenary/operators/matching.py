@@ -4,6 +4,9 @@ Both sides are put into one order: block, number, title, id. Neighbours of unlik
 candidate closer than those on either side of it is the best of both its rows and is settled. Rows settled leave the
 order, which brings others together, for some rounds; what is left of a block is then paired in order. Neighbours meet
 by their place in the whole order, so a block of any size is spread over all tasks and no pair is made but those of neighbours.
+
+Most blocks hold many more bills than extracts. Only bills near an extract, and the first ones of a block, can get one;
+the others are left out once all rows have their places, so the rounds go over few times as many rows as there are extracts.
 """
 
 from __future__ import annotations
@@ -36,15 +39,38 @@ def overlap(a: Column, b: Column) -> Column:
     return F.when(every > 0, F.floor(F.size(F.array_intersect(a, b)) * 1000 / F.greatest(every, F.lit(1)))).otherwise(0).cast("bigint")
 
 
+def _reachable(rows: DataFrame, rounds: int) -> DataFrame:
+    """The extracts, and all bills that can get one of them; stored.
+
+    In a round a stretch of bills between two extracts loses at most its first and its last one, so within the rounds only
+    the `rounds` bills next to an extract on either side can be settled. Of the rest, the first bills of a block are paired,
+    as many as it has extracts left; these are among its first bills, as many as it has extracts, and so among its first
+    rows, twice as many. An id that repeats leaves several places at once, and a null one leaves none: blocks that hold such
+    an id are kept whole.
+    """
+    placed = dense_index(rows, ["block", "value", "title", "extract", "id"], "_at")
+    blocks = materialize(placed.groupBy("block").agg(F.min("_at").alias("_start"), F.count_if("extract").alias("_extracts")).where("_extracts > 0"))
+    near = materialize(placed.where("extract").select(F.explode(F.sequence(F.col("_at") - rounds, F.col("_at") + rounds)).alias("_at")).distinct())
+    odd = materialize(placed.groupBy(F.col("extract").alias("_kind"), F.col("id").alias("_id")).count().where("count > 1 OR _id IS NULL"))
+    whole = placed.join(odd, (F.col("extract") == F.col("_kind")) & F.col("id").eqNullSafe(F.col("_id"))).select("block").distinct()
+    blocks = materialize(blocks.join(whole.withColumn("_whole", F.lit(True)), "block", "left"))
+    joined = placed.join(blocks, "block").join(near.withColumn("_near", F.lit(True)), "_at", "left")
+    able = F.col("extract") | F.col("_whole").isNotNull() | F.col("_near").isNotNull() | (F.col("_at") - F.col("_start") < 2 * F.col("_extracts"))
+    return materialize(joined.where(able).select(*rows.columns))
+
+
 def _neighbours(open_: DataFrame) -> DataFrame:
     """(at, bill, extract, round rank): rows of unlike kind that follow each other within a block; `at` is the first one's place."""
     placed = dense_index(open_, ["block", "value", "title", "extract", "id"], "at")
-    after = placed.select((F.col("at") - 1).alias("at"), *[F.col(c).alias(f"next_{c}") for c in ("block", "value", "title", "extract", "id")])
-    pairs = placed.join(after, "at").where((F.col("block") == F.col("next_block")) & (F.col("extract") != F.col("next_extract")))
-    gap = F.coalesce(F.abs(F.col("next_value") - F.col("value")), F.lit(FAR))
-    of = lambda kind: F.when(F.col("extract") == kind, F.col("id")).otherwise(F.col("next_id"))
-    return materialize(pairs.select("at", of(False).alias("bill"), of(True).alias("file"), F.struct(
-        F.least(gap, F.lit(FAR)).alias("distance"), (-overlap(F.col("title"), F.col("next_title"))).alias("overlap"), "at").alias("rank")))
+    # Of a pair one is an extract, so every extract asks for the rows before and behind it; no other rows meet.
+    names = ("block", "value", "title", "id")
+    beside = placed.where(~F.col("extract")).select(F.col("at").alias("bill_at"), *[F.col(c).alias(f"bill_{c}") for c in names])
+    asked = placed.where("extract").withColumn("bill_at", F.explode(F.array(F.col("at") - 1, F.col("at") + 1)))
+    pairs = asked.join(beside, "bill_at").where(F.col("block") == F.col("bill_block"))
+    gap = F.coalesce(F.abs(F.col("bill_value") - F.col("value")), F.lit(FAR))
+    at = F.least("at", "bill_at").alias("at")
+    return materialize(pairs.select(at, F.col("bill_id").alias("bill"), F.col("id").alias("file"), F.struct(
+        F.least(gap, F.lit(FAR)).alias("distance"), (-overlap(F.col("title"), F.col("bill_title"))).alias("overlap"), at).alias("rank")))
 
 
 def _settled(pairs: DataFrame) -> DataFrame:
@@ -62,9 +88,9 @@ def match_rows(rows: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         rows: `extract` tells the two kinds apart; `value` may be null, `title` is an array of words; ids are unique by kind.
         rounds: of mutual choice; the rest of a block is paired in its order, as round `rounds`.
 
-    Every block ends with as many pairs as the lesser of its two kinds has rows.
+    Every block ends with as many pairs as the lesser of its two kinds has rows. Bills that no extract can reach are left out first.
     """
-    open_, found = materialize(rows), []
+    open_, found = _reachable(materialize(rows), rounds), []
     for turn in range(rounds):
         best = materialize(_settled(_neighbours(open_)).withColumn("round", F.lit(turn)))
         found.append(best)

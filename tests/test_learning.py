@@ -167,6 +167,26 @@ def test_a_large_block_is_paired_without_its_pairs(spark):
     assert {frozenset((r.bill, r.file)) for r in got if r.round == 0} == want
 
 
+@pytest.mark.parametrize("odd", [False, True])
+def test_bills_that_no_extract_reaches_change_no_pair(spark, monkeypatch, odd):
+    rng = random.Random(7)
+    rows = []
+    for block, bills_, extracts, spread_ in (("a", 300, 6, 400), ("b", 40, 40, 60), ("c", 90, 0, 90), ("d", 0, 9, 9), ("e", 200, 25, 30), (None, 9, 9, 9)):
+        rows += [(k, f"{block}{k:d}{i:03}", block, rng.choice([None, *range(spread_)]), rng.sample("xyz", 2)) for k, n in ((False, bills_), (True, extracts)) for i in range(n)]
+    if odd:  # ids that repeat, in their own block or another one, and null ids
+        rows += [(k, i, b, v, t) for k, i, b, v, t in rows if not k and i.endswith("1")] * 4
+        rows += [(k, i, "e", v, t) for k, i, _, v, t in rows if i.endswith("2")] + [(k, None, b, 3, ["x"]) for k in (False, True) for b in "ae"]
+    df = spark.createDataFrame(rows, "extract boolean, id string, block string, value bigint, title array<string>")
+    pairs = lambda: sorted(map(str, matching.match_rows(df).collect()))
+    kept = matching._reachable(df, matching.ROUNDS).groupBy("block").count().collect()
+    got = pairs()
+    monkeypatch.setattr(matching, "_reachable", lambda rows, rounds: rows)
+    assert got == pairs()
+    if not odd:
+        counts = {r["block"]: r["count"] for r in kept}
+        assert counts["a"] <= 6 * 9 + 2 * matching.ROUNDS and "c" not in counts
+
+
 def test_phrases(spark):
     df = spark.createDataFrame([("a", "국민 건강 및 국민 건강 증진 법"), ("b", "국민 건강 보험"), ("c", "건강 국민"), ("d", None), ("e", "")] + [(f"z{i}", f"말{chr(0xAC00 + i)} 글{chr(0xAC00 + i)}") for i in range(40)], "k string, content string")
     found = {r.phrase: r.n for r in keywords.phrase_scores(df).collect()}
