@@ -36,6 +36,7 @@ BUCKET_BYTES = 16 << 20  # of word hashes and counts that are added up together
 ROUNDS = np.array([0, 1 / 16, 1 / 8, 1 / 4, 1 / 2, 1])  # borders of the documents' shares after which weights are averaged
 NEAR = 60  # exponentials of numbers up to this stay within 32-bit numbers, and so do their sums
 MANY = 24  # rows of a word that are added up by themselves
+TASKS, GATHERED = 3, 2  # tasks a core that learn at least, if there are as many stored parts, and most parts that one of them takes
 SLICES = 64  # into which the weights are cut to be averaged
 END = np.uint64(0x5DEECE66D1234567)  # stands for the end of a text among the word hashes
 
@@ -319,28 +320,29 @@ class Network:
         begin = words == self.start
         resets = begin.any(1).tolist()
         first, half = state.copy(), p["U"].dtype.type(0.5)
-        states, (z, r, un, new) = self.room("states", span + 1, lanes, h), (self.room(name, span, lanes, h) for name in ("z", "r", "un", "new"))
+        states, gates = self.room("states", span + 1, lanes, h), self.room("gates", span, 2, lanes, h)
+        un, new = self.room("un", span, lanes, h), self.room("new", span, lanes, h)
         x, u = self.room("x", lanes, 3 * h), self.room("u", lanes, 3 * h)
+        x_gates, u_gates = (part.reshape(lanes, 3, h)[:, :2].transpose(1, 0, 2) for part in (x, u))
         states[0] = first
         for t in range(span):
-            held, n, after = states[t], new[t], states[t + 1]
+            held, gate, n, after = states[t], gates[t], new[t], states[t + 1]
             if resets[t]:
                 held[begin[t]] = 0
             np.take(table, words[t], 0, mode="clip", out=x)
             np.matmul(held, into, out=u)
-            for k, gate in enumerate((z[t], r[t])):
-                np.add(x[:, k * h: (k + 1) * h], u[:, k * h: (k + 1) * h], out=gate)
-                np.tanh(gate, out=gate)
-                gate += 1
-                gate *= half
+            np.add(x_gates, u_gates, out=gate)
+            np.tanh(gate, out=gate)
+            gate += 1
+            gate *= half
             un[t] = u[:, 2 * h:]
-            np.multiply(r[t], un[t], out=n)
+            np.multiply(gate[1], u[:, 2 * h:], out=n)
             n += x[:, 2 * h:]
             np.tanh(n, out=n)
             np.subtract(held, n, out=after)
-            after *= z[t]
+            after *= gate[0]
             after += n
-        return states, z, r, un, new
+        return states, gates[:, 0], gates[:, 1], un, new
 
     def _window(self, words: np.ndarray, state: np.ndarray):
         """Loss, gradients and the last state (unit, lane) of one window; a text's first word meets an empty state.
@@ -479,6 +481,7 @@ def train(blocks: DataFrame, seen: Corpus, passes: int = 1, rounds: np.ndarray =
                     if held >= TASK_TOKENS:
                         go_over(texts, held)
                         learnt, texts, held = learnt + held, [], 0
+            batch = sizes = codes = words = flags = None  # not held while the last streams are learnt from
             if held:
                 go_over(texts, held)
                 learnt += held
@@ -498,8 +501,11 @@ def train(blocks: DataFrame, seen: Corpus, passes: int = 1, rounds: np.ndarray =
         return pa.table({"slice": table.column("slice")[:1], "learnt": pa.array([learnt], pa.int64()),
                          "weights": pa.array([(total / learnt).astype(np.float32).tobytes()], pa.binary())})
 
+    # Some parts in one task fill the streams better, and a task's fixed cost comes once.
+    parts = blocks.rdd.getNumPartitions()
+    gathered = blocks.coalesce(max(min(parts, TASKS * blocks.sparkSession.sparkContext.defaultParallelism), -(-parts // GATHERED), 1))
     for turn, (low, high) in enumerate(zip(rounds[:-1], rounds[1:])):
-        sums = blocks.select("sizes", "codes", "words", "learnt").mapInArrow(
+        sums = gathered.select("sizes", "codes", "words", "learnt").mapInArrow(
             learn(float(low), float(high), rate / (1 + turn)), "slice int, task int, learnt bigint, weights binary")
         rows = sums.groupBy("slice").applyInArrow(add, "slice int, learnt bigint, weights binary").collect()
         if not rows:
