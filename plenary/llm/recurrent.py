@@ -419,6 +419,10 @@ def _numbers(hashes: np.ndarray, seen: Corpus) -> np.ndarray:
     return np.where(seen.words[at] == hashes, at, len(seen.words))
 
 
+def _number_type(seen: Corpus) -> type:
+    return np.uint16 if len(seen.words) < 1 << 16 else np.int32
+
+
 def streams(texts: list[np.ndarray], net: Network, end: int, lanes: int, window: int = WINDOW) -> np.ndarray:
     """Words by (time, lane), longest lane first, for whole windows; every text stands in one lane, whole.
 
@@ -444,6 +448,31 @@ def share_of(documents: int) -> np.ndarray:
     return (np.arange(documents) * 0.6180339887498949) % 1.0
 
 
+def deal(blocks: DataFrame, seen: Corpus, rounds: np.ndarray = ROUNDS) -> DataFrame:
+    """(sizes0, numbers0, sizes1, …): each block's training documents as the network's word numbers, by round, stored.
+
+    A round reads its own columns only, so no task holds the blocks' codes and words while it learns.
+    """
+    names = [f"{name}{turn}" for turn in range(len(rounds) - 1) for name in ("sizes", "numbers")]
+    kind = _number_type(seen)
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                sizes, codes, words, flags = (c[i].as_py() for c in batch.columns)
+                sizes, codes = np.frombuffer(sizes, np.int32), np.frombuffer(codes, np.int32)
+                number, offsets = _numbers(np.frombuffer(words, np.uint64), seen).astype(kind), np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+                usable = np.flatnonzero(np.frombuffer(flags, bool))
+                place, parts = share_of(len(usable)), []
+                for low, high in zip(rounds[:-1], rounds[1:]):
+                    chosen = usable[(place >= low) & (place < high)]
+                    texts = [codes[offsets[d]: offsets[d + 1]] for d in chosen]
+                    parts += [sizes[chosen].tobytes(), number[np.concatenate(texts)].tobytes() if texts else b""]
+                yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in parts], names)
+
+    return materialize(blocks.select("sizes", "codes", "words", "learnt").mapInArrow(run, ", ".join(f"{x} binary" for x in names)))
+
+
 def train(blocks: DataFrame, seen: Corpus, passes: int = 1, rounds: np.ndarray = ROUNDS, rate: float = 0.01) -> Network:
     """A network trained on every token of all training documents of the blocks.
 
@@ -454,10 +483,10 @@ def train(blocks: DataFrame, seen: Corpus, passes: int = 1, rounds: np.ndarray =
     net = Network(seen)
     if seen.tokens == 0:
         return net
-    end = int(_numbers(np.array([END]), seen)[0])
+    end, kind = int(_numbers(np.array([END]), seen)[0]), _number_type(seen)
     shapes = [(k, v.shape) for k, v in net.p.items()]
 
-    def learn(low: float, high: float, rate: float):
+    def learn(rate: float):
         def run(batches):
             mine, moments, learnt, task = copy.deepcopy(net), {}, 0, TaskContext.get().partitionId()
 
@@ -469,19 +498,15 @@ def train(blocks: DataFrame, seen: Corpus, passes: int = 1, rounds: np.ndarray =
 
             texts, held = [], 0
             for batch in batches:
-                for i in range(batch.num_rows):
-                    sizes, codes, words, flags = (c[i].as_py() for c in batch.columns)
-                    sizes, codes = np.frombuffer(sizes, np.int32).astype(np.int64), np.frombuffer(codes, np.int32)
-                    number, offsets = _numbers(np.frombuffer(words, np.uint64), seen).astype(np.int32), np.concatenate([[0], np.cumsum(sizes)])
-                    usable = np.flatnonzero(np.frombuffer(flags, bool))
-                    place = share_of(len(usable))
-                    chosen = usable[(place >= low) & (place < high)]
-                    texts += [number[codes[offsets[d]: offsets[d + 1]]] for d in chosen]
-                    held += int(sizes[chosen].sum()) + len(chosen)
+                for sizes, numbers in zip(*batch.columns):
+                    sizes, numbers = np.frombuffer(sizes.as_py(), np.int32), np.frombuffer(numbers.as_py(), kind)
+                    offsets = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]).tolist()
+                    texts += [numbers[begin:after] for begin, after in zip(offsets[:-1], offsets[1:])]
+                    held += offsets[-1] + len(sizes)
                     if held >= TASK_TOKENS:
                         go_over(texts, held)
                         learnt, texts, held = learnt + held, [], 0
-            batch = sizes = codes = words = flags = None  # not held while the last streams are learnt from
+            batch = sizes = numbers = None  # not held while the last streams are learnt from
             if held:
                 go_over(texts, held)
                 learnt += held
@@ -502,11 +527,12 @@ def train(blocks: DataFrame, seen: Corpus, passes: int = 1, rounds: np.ndarray =
                          "weights": pa.array([(total / learnt).astype(np.float32).tobytes()], pa.binary())})
 
     # Some parts in one task fill the streams better, and a task's fixed cost comes once.
-    parts = blocks.rdd.getNumPartitions()
-    gathered = blocks.coalesce(max(min(parts, TASKS * blocks.sparkSession.sparkContext.defaultParallelism), -(-parts // GATHERED), 1))
-    for turn, (low, high) in enumerate(zip(rounds[:-1], rounds[1:])):
-        sums = gathered.select("sizes", "codes", "words", "learnt").mapInArrow(
-            learn(float(low), float(high), rate / (1 + turn)), "slice int, task int, learnt bigint, weights binary")
+    dealt = deal(blocks, seen, rounds)
+    parts = dealt.rdd.getNumPartitions()
+    gathered = dealt.coalesce(max(min(parts, TASKS * blocks.sparkSession.sparkContext.defaultParallelism), -(-parts // GATHERED), 1))
+    for turn in range(len(rounds) - 1):
+        sums = gathered.select(f"sizes{turn}", f"numbers{turn}").mapInArrow(
+            learn(rate / (1 + turn)), "slice int, task int, learnt bigint, weights binary")
         rows = sums.groupBy("slice").applyInArrow(add, "slice int, learnt bigint, weights binary").collect()
         if not rows:
             continue

@@ -312,3 +312,25 @@ def test_training_reads_the_whole_corpus(spark):
     usable = [t for i, t, _ in rows if i is not None and remainder(i, 7) != 2]
     assert len(usable) > 800 and seen.tokens == sum(len(t.split()) + 1 for t in usable)
     assert recurrent.train(blocks, seen).learnt == seen.tokens
+
+
+def test_a_round_reads_only_its_share_of_the_training_words(spark, monkeypatch):
+    rows = [(i, None if i % 9 == 0 else "".join(f"w{j % 7} x{i} " for j in range(i))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    blocks = recurrent.encode(docs, F.coalesce(queries.remainder(7) != 2, F.lit(False)))
+    seen = recurrent.corpus(blocks, recurrent.exchange(blocks, 8))
+    wanted = sum(r["texts"] for r in blocks.collect())
+    turns, tables = range(len(recurrent.ROUNDS) - 1), []
+    deal = recurrent.deal
+    monkeypatch.setattr(recurrent, "deal", lambda *given: tables.append(deal(*given)) or tables[0])
+    assert recurrent.train(blocks, seen).learnt == seen.tokens
+    found = tables[0].collect()
+    sizes = [np.concatenate([np.frombuffer(r[f"sizes{k}"], np.int32) for r in found]) for k in turns]
+    numbers = np.concatenate([np.frombuffer(r[f"numbers{k}"], np.uint16) for r in found for k in turns])
+    assert sum(map(len, sizes)) == wanted == seen.texts and 0 < len(sizes[0]) < wanted / 4
+    # Every word of every training document stands in one round, once, in two bytes.
+    assert len(numbers) == sum(x.sum() for x in sizes) == seen.tokens - seen.texts
+    of_end = recurrent._numbers(np.array([recurrent.END]), seen)[0]
+    counts = np.bincount(numbers, minlength=len(seen.words) + 1)
+    counts[of_end] += seen.texts
+    assert np.array_equal(counts[:-1], seen.counts) and counts[-1] == 0
