@@ -604,14 +604,17 @@ def score(docs: DataFrame, usable: Column, buckets: int | None = None, frequent:
     """
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     blocks = encode(docs, F.coalesce(usable, F.lit(False)))
+    held, parts = blocks.agg(F.sum(F.length("words")), F.greatest(F.count(F.lit(1)), F.lit(1))).first()
     if buckets is None:
-        held = 2 * (blocks.agg(F.sum(F.length("words"))).first()[0] or 0)
-        buckets = max(4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-held // BUCKET_BYTES))
+        buckets = max(4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-2 * (held or 0) // BUCKET_BYTES))
     answers = exchange(blocks, buckets, frequent)
     seen = corpus(blocks, answers, frequent)
     net = train(blocks, seen, **settings)
-    replies = answers.where("block >= 0").groupBy("block").agg(F.array_sort(F.collect_list(F.struct("bucket", "counts"))).alias("replies"))
-    ready = blocks.select("block", "doc_ids", "sizes", "codes", "words").join(replies.select("block", F.col("replies.counts").alias("replies")), "block", "left")
+    # As many parts as blocks, so that few blocks meet in one task, whatever the number of shuffle partitions.
+    replies = answers.where("block >= 0").repartition(parts, "block").groupBy("block").agg(
+        F.array_sort(F.collect_list(F.struct("bucket", "counts"))).alias("replies"))
+    ready = blocks.select("block", "doc_ids", "sizes", "codes", "words").repartition(parts, "block").join(
+        replies.select("block", F.col("replies.counts").alias("replies")), "block", "left")
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:

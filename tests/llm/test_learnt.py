@@ -334,3 +334,10 @@ def test_a_round_reads_only_its_share_of_the_training_words(spark, monkeypatch):
     counts = np.bincount(numbers, minlength=len(seen.words) + 1)
     counts[of_end] += seen.texts
     assert np.array_equal(counts[:-1], seen.counts) and counts[-1] == 0
+
+
+def test_scoring_deals_blocks_into_as_many_parts_as_there_are(spark):
+    rows = [(i, f"w{i % 5} and x{i}", "x") for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, copy string").repartition(9)
+    scored = recurrent.score(docs, queries.remainder(7) != 2, rounds=np.array([0, 1]))
+    assert scored.rdd.getNumPartitions() == 9 and sorted(r["doc_id"] for r in scored.collect()) == list(range(90))
