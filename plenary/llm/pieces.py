@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame
 from plenary.llm import tokens
 
 _BLANK = "▁"
-SLICE_BYTES = 1 << 20  # of distinct words handled at a time; a longer word is handled alone
-BATCH_BYTES = 6 << 20  # of text that is indexed together
+SLICE_BYTES = 1 << 19  # of distinct words handled at a time; a longer word is handled alone
+BATCH_BYTES = 3 << 20  # of text that is indexed together
 LONG = 400  # words of more symbols are relaxed with a heap
 
 

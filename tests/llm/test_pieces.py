@@ -1,6 +1,7 @@
 """SentencePiece by suffix array beside the library's own encoder."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -70,3 +71,20 @@ def test_the_mark_itself_counts_as_a_blank(spark):
     df = spark.createDataFrame([("a▁b", "old")], "text string, ids string")
     row = pieces.decode(pieces.encode(df, queries.PIECE_MODEL), queries.PIECE_MODEL).first()
     assert row.decoded == "a b" and row.round_trip is False
+
+
+def test_a_batch_stays_within_its_memory(loaded):
+    """Two tasks of an executor hold a batch each beside Spark's own memory."""
+    rng = np.random.default_rng(3)
+    lexicon = ["".join(chr(97 + c) for c in rng.integers(0, 26, n)) for n in rng.integers(2, 10, 40_000)]
+    body = " ".join(lexicon[k] for k in rng.zipf(1.3, 1_500_000) % len(lexicon)).encode()[: pieces.BATCH_BYTES]
+    text = pa.array([body[a: a + 2000].decode() for a in range(0, len(body), 2000)])
+    tracemalloc.start()
+    try:
+        ids, offsets = pieces.encode_batch(text, loaded)
+        same = pieces.round_trip(text, *pieces.decode_batch(ids, offsets, loaded))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert same.all() and len(text) == -(-len(body) // 2000) and len(body) == pieces.BATCH_BYTES
+    assert peak < 150 << 20, peak
