@@ -43,12 +43,15 @@ def _length(ints: Column) -> Column:
     return F.sqrt(F.aggregate(ints, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
 
 
-def blocks(vectors: DataFrame, width: int, rows: int) -> DataFrame:
+def blocks(vectors: DataFrame, width: int, rows: int, count: int | None = None) -> DataFrame:
     """(block, longest, ids, data): stretches of at most `rows` vectors in descending order of length, stored.
 
-    Order is by range partition, so a block lies within one partition's stretch of lengths.
+    Order is by range partition, so a block lies within one partition's stretch of lengths. Where the count of
+    vectors is given, partitions are few enough for full blocks.
     """
     parts = max(int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    if count is not None:
+        parts = min(parts, count // (4 * rows) + 1)
     ordered = (vectors.withColumn("length", _length(F.col("ints"))).repartitionByRange(parts, F.desc("length"), "id")
                .sortWithinPartitions(F.desc("length"), "id"))
 
@@ -191,14 +194,16 @@ def search(rows: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id",
     """
     spark = rows.sparkSession
     vectors = materialize(integer_vectors(rows, key, vector, scale))
-    width = max(vectors.agg(F.max(F.size("ints"))).first()[0] or 0, 1)
+    most, count = vectors.agg(F.max(F.size("ints")), F.count_if(is_query)).first()
+    width = max(most or 0, 1)
     part = F.shiftright("block", 33).cast("int")  # the range partition, the longest vectors first
     packed = blocks(vectors, width, VECTOR_ROWS).withColumn("part", part)
     axes = rotation(packed, width)
-    seed = packed.orderBy(F.desc("longest"), "block").select("ids", "data").limit(1).collect()  # one block
-    if not seed:
+    first = packed.select("longest", "block").orderBy(F.desc("longest"), "block").first()  # numbers only: each task sends its first row
+    if first is None:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
-    asked = blocks(vectors.where(is_query), width, QUERY_ROWS)
+    seed = packed.where(F.col("block") == first["block"]).select("ids", "data").collect()  # one block
+    asked = blocks(vectors.where(is_query), width, QUERY_ROWS, count)
     ready = materialize(_bounds(asked, tuple(map(bytes, seed[0])), width, axes, k))
     # One number per range partition: a query block skips those whose longest vector cannot reach its bounds.
     longest = dict(packed.groupBy("part").agg(F.max("longest")).collect())
@@ -206,6 +211,7 @@ def search(rows: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id",
     reach = F.when(F.col("lowest") <= 0, 0.0).otherwise(F.col("lowest") / F.col("longest") * (1 - 1e-9))
     parts = F.filter(F.sequence(F.lit(0), F.lit(max(longest))), lambda p: F.get(lengths, p) >= reach)
     paired = ready.withColumn("part", F.explode(parts)).drop("longest", "lowest")
-    found = _search(paired.join(packed.select("part", "ids", "data"), "part"), width, axes, k)
+    # Query blocks come once per range partition, which no size estimate shows: the driver must not collect them for a broadcast.
+    found = _search(paired.hint("merge").join(packed.select("part", "ids", "data"), "part"), width, axes, k)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

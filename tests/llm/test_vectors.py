@@ -44,6 +44,23 @@ def test_blocks_and_bounds(spark, monkeypatch):
     assert sorted(tuple(r) for r in found.collect()) == plain(rows, 3)
 
 
+def test_query_blocks_are_never_broadcast(spark):
+    """A query block comes once per range partition; the driver would collect them all for a broadcast."""
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=4).tolist(), "c", 1, 2) for i in range(100)]
+    plan = topk.search(spark.createDataFrame(rows, SCHEMA), F.col("id") % 10 == 0)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_counted_vectors_fill_their_blocks(spark):
+    rows = [(i, [float(i), 1.0], "c", 1, 2) for i in range(40)]
+    vectors = topk.integer_vectors(spark.createDataFrame(rows, SCHEMA), "vec_id", "embedding")
+    held = [np.frombuffer(r["ids"], np.int64) for r in topk.blocks(vectors, 2, 16, 40).orderBy("block").collect()]
+    assert [len(ids) for ids in held] == [16, 16, 8]
+    assert np.concatenate(held).tolist() == list(range(39, -1, -1))
+    assert topk.blocks(vectors.where("id < 0"), 2, 16, 0).isEmpty()
+
+
 def test_few_and_no_vectors(spark):
     rows = [(0, [1.0, 2.0], "c", 1, 2), (1, [3.0, -1.0], "c", 1, 2)]
     assert [tuple(r) for r in topk.search(spark.createDataFrame(rows, SCHEMA), F.col("id") % 10 == 0).collect()] == [(0, 1, 1, 1024 * 1024)]
